@@ -8,8 +8,9 @@ approximate quantiles of that column per hot group. The bucket is a
 monotone function of the first order column, so (bucket, order) is the same
 total order and each bucket can be ranked in its own task; per-bucket
 offsets (one row per hot group and bucket) are added afterwards.
-Groups below the threshold keep the plain window; only one extra aggregate
-(rows per key, map-side combined) is paid to find the hot groups.
+Groups below the threshold keep the plain window; one extra aggregate (rows
+per key, map-side combined, run eagerly) finds the hot groups, and when
+there are none the plain window is used as is.
 """
 
 from __future__ import annotations
@@ -48,6 +49,9 @@ def rank_within(df: DataFrame, keys: list[str], order: list, out: str = "rank",
     first = F.col(first_name)
     hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
            .where(F.col("__n") > hot_threshold).select(*keys))
+    if hot.isEmpty():
+        # No hot group: the plain window is exact and needs no extra joins.
+        return rank_within(df, keys, order, out, total_out, hot_threshold=None)
     probs = [i / buckets for i in range(1, buckets)]
     splits = (df.join(hot, keys, "left_semi").groupBy(*keys)
               .agg(F.percentile_approx(first, probs, 10000).alias("__splits")))

@@ -78,26 +78,26 @@ def fit(df: DataFrame, learner: str, feature_set: str, label: str = S.LABEL,
 
 
 def predict(model: PipelineModel, df: DataFrame, feature_set: str) -> DataFrame:
-    """Input rows plus ``score`` = P(label = 1)."""
-    out = model.transform(_prep(df, feature_set) if S.LABEL in df.columns else
-                          df.select(*[F.col(c).cast("double").alias(c) if c in FEATURE_SETS[feature_set]
-                                      else F.col(c) for c in df.columns]))
-    return out.withColumn("score", vector_to_array("probability")[1]).drop(
-        "features", "rawPrediction", "probability", "prediction")
+    """Input rows (features as DOUBLE) plus ``score`` = P(label = 1)."""
+    cols = FEATURE_SETS[feature_set]
+    d = df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in df.columns])
+    out = model.transform(d)
+    return out.select(*df.columns, vector_to_array("probability")[1].alias("score"))
 
 
 def cross_validate(df: DataFrame, learner: str, feature_set: str, folds_col: str = "fold",
-                   k: int = S.N_FOLDS, parallelism: int = 1) -> DataFrame:
-    """(fold, auc) for each held-out fold; ``df`` carries the fold column."""
+                   k: int = S.N_FOLDS, label: str = S.LABEL, parallelism: int = 1) -> DataFrame:
+    """(fold, auc) for each held-out fold; ``df`` carries the fold column.
+    Each fold's AUC is the exact distributed metric."""
     spark = df.sparkSession
-    data = _prep(df, feature_set).cache()
+    data = df.cache()
 
     def one(f):
         tr = data.where(F.col(folds_col) != f)
         te = data.where(F.col(folds_col) == f)
-        m = fit(tr.withColumnRenamed("label", S.LABEL), learner, feature_set)
-        sc = predict(m, te.withColumnRenamed("label", S.LABEL), feature_set)
-        a = auc_roc(sc.select(F.col(S.LABEL).alias("label"), "score")).first()["auc_roc"]
+        m = fit(tr, learner, feature_set, label)
+        sc = predict(m, te, feature_set)
+        a = auc_roc(sc.select(F.col(label).alias("label"), "score")).first()["auc_roc"]
         return (int(f), float(a) if a is not None else None)
 
     if parallelism > 1:

@@ -63,14 +63,13 @@ def validate_mapping(orig: DataFrame, anon: DataFrame, mapping: DataFrame,
                      key: str = S.ID, pid: str = S.PSEUDO_ID) -> DataFrame:
     """The seven mapping checks as rows (check, passed, detail)."""
     spark = orig.sparkSession
-    o = orig.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(key).alias("k"))
-    a = anon.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(pid).alias("k"),
-                 F.min(pid).alias("lo"), F.max(pid).alias("hi"))
-    m = mapping.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("anonymous_id").alias("k"))
-    on, ok = o.select("n").scalar(), o.select("k").scalar()
-    an, ak = a.select("n").scalar(), a.select("k").scalar()
-    lo, hi = a.select("lo").scalar(), a.select("hi").scalar()
-    mn, mk = m.select("n").scalar(), m.select("k").scalar()
+    o = orig.agg(F.struct(F.count(F.lit(1)).alias("n"), F.count_distinct(key).alias("k"))).scalar()
+    a = anon.agg(F.struct(F.count(F.lit(1)).alias("n"), F.count_distinct(pid).alias("k"),
+                          F.min(pid).alias("lo"), F.max(pid).alias("hi"))).scalar()
+    m = mapping.agg(F.struct(F.count(F.lit(1)).alias("n"),
+                             F.count_distinct("anonymous_id").alias("k"))).scalar()
+    on, ok, an, ak = o["n"], o["k"], a["n"], a["k"]
+    lo, hi, mn, mk = a["lo"], a["hi"], m["n"], m["k"]
     id_gone = key not in anon.columns
     int_ids = pid in anon.columns and dict(anon.dtypes)[pid] in ("int", "bigint")
     expected = (set(orig.columns) - {key}) | {pid}

@@ -791,3 +791,544 @@ def q_fold_assignment(spark, d):
     sp = SP.stratified_patient_split(f)
     tr = SP.split_rows(FT.select_enhanced(f), sp, "train")
     return SP.assign_folds(tr)
+
+
+# =============================================================================
+# Metrics (X1-X10) on the dyadic-score fixture
+# =============================================================================
+
+def scored(spark, d):
+    return FX.scored(spark, d)
+
+
+def xq(body: str, extra: list[str] | None = None) -> str:
+    return P.q(["scored"], extra or [], body)
+
+
+CM_SQL = """
+SELECT count(*) FILTER (WHERE label <> 1 AND NOT score > 0.5) AS tn, count(*) FILTER (WHERE label <> 1 AND score > 0.5) AS fp,
+       count(*) FILTER (WHERE label = 1 AND NOT score > 0.5) AS fn, count(*) FILTER (WHERE label = 1 AND score > 0.5) AS tp"""
+
+
+def _zd(n, d):
+    return f"COALESCE(CAST({n} AS DOUBLE) / nullif({d}, 0), 0)"
+
+
+THRESH_COLS = f"""
+round({_zd('tp + tn', 'tp + tn + fp + fn')}, 6) AS accuracy, round({_zd('tp', 'tp + fp')}, 6) AS precision,
+round({_zd('tp', 'tp + fn')}, 6) AS recall,
+round({_zd(f"2 * {_zd('tp', 'tp + fp')} * {_zd('tp', 'tp + fn')}", f"{_zd('tp', 'tp + fp')} + {_zd('tp', 'tp + fn')}")}, 6) AS f1,
+round({_zd('tn', 'tn + fp')}, 6) AS specificity, round({_zd('tp', 'tp + fn')}, 6) AS sensitivity,
+round({_zd('fp', 'fp + tn')}, 6) AS false_positive_rate, round({_zd('fn', 'fn + tp')}, 6) AS false_negative_rate"""
+
+
+@register("confusion_matrix", xq(CM_SQL + " FROM scored"))
+def q_confusion_matrix(spark, d):
+    return X.confusion_matrix(scored(spark, d))
+
+
+@register("threshold_metrics", xq(f"SELECT {THRESH_COLS} FROM ({CM_SQL} FROM scored) c"))
+def q_threshold_metrics(spark, d):
+    return X.threshold_metrics(scored(spark, d))
+
+
+def _running(groups: str = "", src: str = "scored") -> str:
+    g = f"{groups}, " if groups else ""
+    part = f"PARTITION BY {groups} " if groups else ""
+    frame = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    return f"""
+sc AS (SELECT {g}CAST(score AS DOUBLE) AS score, count(*) FILTER (WHERE label = 1) AS pos,
+              count(*) FILTER (WHERE label <> 1) AS neg FROM {src} GROUP BY {g}score),
+rc AS (SELECT {g}score, pos, neg,
+              sum(pos) OVER ({part}ORDER BY score DESC {frame}) AS cum_pos,
+              sum(neg) OVER ({part}ORDER BY score DESC {frame}) AS cum_neg,
+              sum(pos) OVER ({part}) AS tot_p, sum(neg) OVER ({part}) AS tot_n
+       FROM sc)"""
+
+
+CURVE_AGGS = """round(sum(CAST(neg AS DOUBLE) * (cum_pos - pos / 2.0)) / (CAST(max(tot_p) AS DOUBLE) * max(tot_n)), 6) AS auc_roc,
+       round(sum(COALESCE(CAST(pos AS DOUBLE) / nullif(tot_p, 0), 0) *
+                 COALESCE(CAST(cum_pos AS DOUBLE) / nullif(cum_pos + cum_neg, 0), 0)), 6) AS average_precision"""
+
+
+@register("roc_curve", xq(f"""
+SELECT score AS threshold, round({_zd('cum_neg', 'tot_n')}, 6) AS fpr, round({_zd('cum_pos', 'tot_p')}, 6) AS tpr
+FROM rc""", [_running()]))
+def q_roc_curve(spark, d):
+    return X.roc_curve(scored(spark, d))
+
+
+@register("auc_roc", xq("SELECT round(sum(CAST(neg AS DOUBLE) * (cum_pos - pos / 2.0)) / "
+                        "(CAST(max(tot_p) AS DOUBLE) * max(tot_n)), 6) AS auc_roc FROM rc", [_running()]))
+def q_auc_roc(spark, d):
+    return X.auc_roc(scored(spark, d))
+
+
+@register("pr_curve", xq(f"""
+SELECT score AS threshold, round({_zd('cum_pos', 'cum_pos + cum_neg')}, 6) AS precision,
+       round({_zd('cum_pos', 'tot_p')}, 6) AS recall FROM rc
+UNION ALL SELECT NULL, 1.0, 0.0""", [_running()]))
+def q_pr_curve(spark, d):
+    return X.pr_curve(scored(spark, d))
+
+
+@register("average_precision", xq("SELECT round(sum(COALESCE(CAST(pos AS DOUBLE) / nullif(tot_p, 0), 0) * "
+                                  "COALESCE(CAST(cum_pos AS DOUBLE) / nullif(cum_pos + cum_neg, 0), 0)), 6) "
+                                  "AS average_precision FROM rc", [_running()]))
+def q_average_precision(spark, d):
+    return X.average_precision(scored(spark, d))
+
+
+LOGLOSS_SQL = ("round(avg(CASE WHEN label = 1 THEN -ln(least(greatest(score, 2.220446049250313e-16), "
+               "1.0 - 2.220446049250313e-16)) ELSE -ln(1.0 - least(greatest(score, 2.220446049250313e-16), "
+               "1.0 - 2.220446049250313e-16)) END), 6)")
+
+
+@register("log_loss", xq(f"SELECT {LOGLOSS_SQL} AS log_loss FROM scored"))
+def q_log_loss(spark, d):
+    return X.log_loss(scored(spark, d))
+
+
+# Two stand-in "models" over the same labels: the fixture score, and its
+# square (same ranking, different calibration), each on two feature sets.
+MODELS_SQL = """
+long_scores AS (
+  SELECT 'dyadic' AS model, 'baseline' AS feature_set, label, score FROM scored
+  UNION ALL SELECT 'dyadic', 'enhanced', label, 1.0 - score FROM scored
+  UNION ALL SELECT 'squared', 'baseline', label, score * score FROM scored
+  UNION ALL SELECT 'squared', 'enhanced', label, score * (2.0 - score) FROM scored)"""
+
+
+def long_scores(spark, d):
+    s = scored(spark, d)
+    return (s.select(F.lit("dyadic").alias("model"), F.lit("baseline").alias("feature_set"), "label", "score")
+            .unionByName(s.select(F.lit("dyadic").alias("model"), F.lit("enhanced").alias("feature_set"),
+                                  "label", (F.lit(1.0) - F.col("score")).alias("score")))
+            .unionByName(s.select(F.lit("squared").alias("model"), F.lit("baseline").alias("feature_set"),
+                                  "label", (F.col("score") * F.col("score")).alias("score")))
+            .unionByName(s.select(F.lit("squared").alias("model"), F.lit("enhanced").alias("feature_set"),
+                                  "label", (F.col("score") * (F.lit(2.0) - F.col("score"))).alias("score"))))
+
+
+EVAL_SQL = f"""
+SELECT r.model, r.feature_set, n_rows, tn, fp, fn, tp, {THRESH_COLS}, auc_roc, average_precision, log_loss
+FROM (SELECT model, feature_set, count(*) AS n_rows,
+             count(*) FILTER (WHERE label <> 1 AND NOT score > 0.5) AS tn,
+             count(*) FILTER (WHERE label <> 1 AND score > 0.5) AS fp,
+             count(*) FILTER (WHERE label = 1 AND NOT score > 0.5) AS fn,
+             count(*) FILTER (WHERE label = 1 AND score > 0.5) AS tp,
+             {LOGLOSS_SQL} AS log_loss
+      FROM long_scores GROUP BY model, feature_set) r
+JOIN (SELECT model, feature_set, {CURVE_AGGS} FROM rc GROUP BY model, feature_set) c
+  ON r.model = c.model AND r.feature_set = c.feature_set"""
+
+
+@register("evaluate_all", xq(EVAL_SQL, [MODELS_SQL, _running("model, feature_set", "long_scores")]))
+def q_evaluate_all(spark, d):
+    return X.evaluate_all(long_scores(spark, d))
+
+
+@register("compare_models", xq("""
+SELECT model, baseline_auc, enhanced_auc, round(enhanced_auc - baseline_auc, 6) AS auc_improvement,
+       round(CASE WHEN baseline_auc > 0 THEN (enhanced_auc - baseline_auc) / baseline_auc * 100 ELSE 0 END, 6)
+         AS improvement_pct,
+       model = (SELECT model FROM ev WHERE feature_set = 'baseline' ORDER BY auc_roc DESC, model LIMIT 1) AS best_baseline,
+       model = (SELECT model FROM ev WHERE feature_set = 'enhanced' ORDER BY auc_roc DESC, model LIMIT 1) AS best_enhanced,
+       round((SELECT avg(auc_roc) FROM ev WHERE feature_set = 'baseline'), 6) AS average_baseline_auc,
+       round((SELECT avg(auc_roc) FROM ev WHERE feature_set = 'enhanced'), 6) AS average_enhanced_auc,
+       round((SELECT avg(auc_roc) FROM ev WHERE feature_set = 'enhanced')
+             - (SELECT avg(auc_roc) FROM ev WHERE feature_set = 'baseline'), 6) AS average_improvement,
+       CASE WHEN (SELECT max(auc_roc) FROM ev WHERE feature_set = 'enhanced') >
+                 (SELECT max(auc_roc) FROM ev WHERE feature_set = 'baseline') + 0.02
+            THEN 'Use enhanced model for production - significant improvement detected'
+            WHEN (SELECT max(auc_roc) FROM ev WHERE feature_set = 'enhanced') >
+                 (SELECT max(auc_roc) FROM ev WHERE feature_set = 'baseline')
+            THEN 'Enhanced model shows improvement but consider complexity trade-off'
+            ELSE 'Baseline model sufficient - enhanced features may not add value' END AS recommendation
+FROM (SELECT model, max(auc_roc) FILTER (WHERE feature_set = 'baseline') AS baseline_auc,
+             max(auc_roc) FILTER (WHERE feature_set = 'enhanced') AS enhanced_auc FROM ev GROUP BY model) p""",
+    [MODELS_SQL, _running("model, feature_set", "long_scores"), "\nev AS (" + EVAL_SQL + ")"]))
+def q_compare_models(spark, d):
+    return X.compare_models(X.evaluate_all(long_scores(spark, d)))
+
+
+@register("confidence_level", xq("""
+SELECT accident_number, label, score,
+       CASE WHEN abs(score - 0.5) * 2.0 >= 0.7 THEN 'high' WHEN abs(score - 0.5) * 2.0 >= 0.4 THEN 'medium'
+            ELSE 'low' END AS confidence_level FROM scored"""))
+def q_confidence_level(spark, d):
+    return V.add_confidence(scored(spark, d), prob="score")
+
+
+# =============================================================================
+# Request validation and response shaping (V1-V7, V9) on scoring requests
+# =============================================================================
+
+def requests_df(spark, d):
+    return FX.scoring_requests(spark, d)
+
+
+DEFAULTED = """
+req AS (SELECT request_id, p_score, p_status, fl_score, fl_status,
+               COALESCE(response_type, 'minimal') AS response_type,
+               COALESCE(days_since_accident, 21) AS days_since_accident,
+               COALESCE(consultation_number, 2) AS consultation_number FROM scoring_requests)"""
+
+
+def rq(body: str, extra: list[str] | None = None) -> str:
+    return P.q(["scoring_requests"], [DEFAULTED] + (extra or []), body)
+
+
+def _join(items: list[str]) -> str:
+    return "concat_ws(' | ', " + ", ".join(items) + ")"
+
+
+def _n(items: list[str]) -> str:
+    return "(" + " + ".join(f"CAST(({i}) IS NOT NULL AS INTEGER)" for i in items) + ")"
+
+
+def _schema_items() -> list[str]:
+    out = []
+    for name, lo, hi, _ in S.REQUEST_RANGES:
+        if name in S.BASELINE_FEATURES:
+            out.append(f"CASE WHEN {name} IS NULL THEN '{name}: Field required' END")
+        out.append(f"CASE WHEN {name} < {lo} THEN '{name}: Input should be greater than or equal to {lo}' "
+                   f"WHEN {name} > {hi} THEN '{name}: Input should be less than or equal to {hi}' END")
+    out.append("CASE WHEN response_type IS NOT NULL AND response_type NOT IN ('minimal', 'detailed') "
+               "THEN 'response_type: Input should be ''minimal'' or ''detailed''' END")
+    return out
+
+
+def _range_items() -> list[str]:
+    return [f"CASE WHEN {n} IS NULL THEN '{n} must be a numeric value' WHEN {n} < {lo} OR {n} > {hi} "
+            f"THEN '{n} ({d}) must be between {lo} and {hi}, got ' || CAST({n} AS VARCHAR) END"
+            for n, lo, hi, d in S.REQUEST_RANGES]
+
+
+STATUS_OK = "(p_status, fl_status) IN (" + ", ".join(f"({p}, {f})" for p, f, _ in S.STATUS_PAIRS) + ")"
+RULE_ERR = [f"CASE WHEN p_status IS NOT NULL AND fl_status IS NOT NULL AND NOT {STATUS_OK} THEN "
+            "printf('Invalid status combination: p_status=%d, fl_status=%d', p_status, fl_status) END"]
+RULE_WARN = ["CASE WHEN p_score = 4 AND fl_score = 0 THEN "
+             "'Warning: Maximum pain (4) with no function limitation (0) is medically unusual' END",
+             "CASE WHEN consultation_number = 1 AND days_since_accident > 90 THEN "
+             "printf('Warning: First consultation %d days after accident is unusually late', days_since_accident) END",
+             "CASE WHEN consultation_number > 1 AND days_since_accident < 7 THEN "
+             "printf('Warning: Consultation #%d only %d days after accident seems early', consultation_number, "
+             "days_since_accident) END"]
+_AVG = "CAST(days_since_accident AS DOUBLE) / consultation_number"
+_HEAD = ("printf('Temporal inconsistency: %d consultations in %d days (avg ', consultation_number, "
+         "days_since_accident) || printf('%.1f', " + _AVG + ")")
+TEMP_WARN = [f"CASE WHEN consultation_number <> 0 AND {_AVG} < 1 THEN {_HEAD} || ' days per consultation) is too frequent' "
+             f"WHEN consultation_number <> 0 AND {_AVG} > 90 THEN {_HEAD} || ' days per consultation) has large gaps' END"]
+TEMP_SYS = ["CASE WHEN consultation_number = 0 THEN 'Validation system error: division by zero' END"]
+
+
+@register("request_schema_errors", rq(
+    f"SELECT request_id, {_join(_schema_items())} AS schema_errors, {_n(_schema_items())} AS n_schema_errors, "
+    f"{_n(_schema_items())} = 0 AS schema_valid FROM req"))
+def q_request_schema_errors(spark, d):
+    v = V.validate_schema(requests_df(spark, d), "enhanced")
+    return v.select("request_id", F.array_join("schema_errors", " | ").alias("schema_errors"),
+                    F.size("schema_errors").alias("n_schema_errors"), "schema_valid")
+
+
+@register("request_range_errors", rq(
+    f"SELECT request_id, {_join(_range_items())} AS range_errors, {_n(_range_items())} AS n_range_errors FROM req"))
+def q_request_range_errors(spark, d):
+    r = FT.fill_defaults(requests_df(spark, d))
+    e = V.range_errors("enhanced")
+    return r.select("request_id", F.array_join(e, " | ").alias("range_errors"), F.size(e).alias("n_range_errors"))
+
+
+@register("request_rule_warnings", rq(
+    f"SELECT request_id, {_join(RULE_ERR)} AS rule_errors, {_join(RULE_WARN)} AS rule_warnings, "
+    f"{_n(RULE_WARN)} AS n_rule_warnings FROM req"))
+def q_request_rule_warnings(spark, d):
+    r = FT.fill_defaults(requests_df(spark, d))
+    err, warn = V.rule_messages("enhanced")
+    return r.select("request_id", F.array_join(err, " | ").alias("rule_errors"),
+                    F.array_join(warn, " | ").alias("rule_warnings"), F.size(warn).alias("n_rule_warnings"))
+
+
+@register("request_temporal_warnings", rq(
+    f"SELECT request_id, {_join(TEMP_WARN)} AS temporal_warnings, {_join(TEMP_SYS)} AS system_errors FROM req"))
+def q_request_temporal_warnings(spark, d):
+    r = FT.fill_defaults(requests_df(spark, d))
+    w, sys_ = V.temporal_messages()
+    return r.select("request_id", F.array_join(w, " | ").alias("temporal_warnings"),
+                    F.array_join(sys_, " | ").alias("system_errors"))
+
+
+@register("request_verdict", rq(
+    f"SELECT request_id, {_join(_range_items() + RULE_ERR + TEMP_SYS)} AS errors, "
+    f"{_join(RULE_WARN + TEMP_WARN)} AS warnings, {_n(_range_items() + RULE_ERR + TEMP_SYS)} = 0 AS is_valid "
+    f"FROM req"))
+def q_request_verdict(spark, d):
+    v = V.validate_requests(FT.fill_defaults(requests_df(spark, d)), "enhanced")
+    return v.select("request_id", F.array_join("errors", " | ").alias("errors"),
+                    F.array_join("warnings", " | ").alias("warnings"), "is_valid")
+
+
+@register("rule_catalogue", P.q(["scoring_requests"], [
+    "\ncat AS (SELECT * FROM (VALUES " + ", ".join(f"({p}, {f}, '{d}')" for p, f, d in S.STATUS_PAIRS)
+    + ") AS t(p_status, fl_status, description))",
+    "\nused AS (SELECT p_status, fl_status, count(*) AS n_requests FROM scoring_requests GROUP BY p_status, fl_status)"],
+    """
+SELECT COALESCE(u.p_status, c.p_status) AS p_status, COALESCE(u.fl_status, c.fl_status) AS fl_status,
+       COALESCE(c.description, 'invalid combination') AS description, COALESCE(u.n_requests, 0) AS n_requests
+FROM used u FULL OUTER JOIN cat c ON u.p_status = c.p_status AND u.fl_status = c.fl_status"""))
+def q_rule_catalogue(spark, d):
+    """The status-pair catalogue with how many requests use each pair."""
+    return V.status_pair_usage(requests_df(spark, d))
+
+
+FIXED_TS = "2025-06-12 11:41:12"
+SHAPE_SCORE = ("CAST(16 + p_status + fl_status + p_status * fl_status - 2 * p_score - fl_score AS DOUBLE) / 32")
+
+
+@register("shape_response", rq(f"""
+SELECT request_id, response_type, s AS nbe_yes_probability, 1.0 - s AS nbe_no_probability,
+       CASE WHEN response_type = 'detailed' THEN
+         CASE WHEN abs(s - 0.5) * 2.0 >= 0.7 THEN 'high' WHEN abs(s - 0.5) * 2.0 >= 0.4 THEN 'medium' ELSE 'low' END
+       END AS confidence_level,
+       CASE WHEN response_type = 'detailed' THEN 'dyadic_rule' END AS model_used,
+       CASE WHEN response_type = 'detailed' THEN 'enhanced' END AS model_type,
+       CASE WHEN response_type = 'detailed' THEN TIMESTAMP '{FIXED_TS}' END AS prediction_timestamp,
+       CASE WHEN response_type = 'detailed' THEN true END AS feature_engineering_applied,
+       CASE WHEN response_type = 'detailed' THEN true END AS input_validation_passed
+FROM (SELECT *, {SHAPE_SCORE} AS s FROM req
+      WHERE p_score IS NOT NULL AND p_status IS NOT NULL AND fl_score IS NOT NULL AND fl_status IS NOT NULL) t"""))
+def q_shape_response(spark, d):
+    """Minimal / detailed responses over stand-in scores (a fixed dyadic rule
+    of the request features) with a fixed timestamp, so both engines agree."""
+    r = V.validate_schema(requests_df(spark, d), "enhanced").where(
+        F.col("p_score").isNotNull() & F.col("p_status").isNotNull() & F.col("fl_score").isNotNull()
+        & F.col("fl_status").isNotNull())
+    s = F.expr(SHAPE_SCORE)
+    sc = r.select("request_id", "response_type", s.alias("nbe_yes_probability"),
+                  (F.lit(1.0) - s).alias("nbe_no_probability"))
+    sc = V.add_confidence(sc).select(
+        "*", F.lit("dyadic_rule").alias("model_used"), F.lit("enhanced").alias("model_type"),
+        F.lit(FIXED_TS).cast("timestamp_ntz").alias("prediction_timestamp"),
+        F.lit(True).alias("feature_engineering_applied"), F.lit(True).alias("input_validation_passed"))
+    return V.shape_response(sc)
+
+
+# =============================================================================
+# Request-log monitoring (R2-R5), batch form
+# =============================================================================
+
+from consult.streaming import monitor as R  # noqa: E402
+
+
+@register("request_metrics", P.q(["request_log"], [], """
+SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, path,
+       count(*) AS n_requests, count(*) FILTER (WHERE status >= 400 AND status < 500) AS n_4xx,
+       count(*) FILTER (WHERE status >= 500) AS n_5xx,
+       round(CAST(count(*) FILTER (WHERE status >= 400 AND status < 500) AS DOUBLE) / count(*), 6) AS rate_4xx,
+       round(CAST(count(*) FILTER (WHERE status >= 500) AS DOUBLE) / count(*), 6) AS rate_5xx,
+       round(quantile_cont(latency_ms, 0.5), 6) AS p50_latency_ms,
+       round(quantile_cont(latency_ms, 0.95), 6) AS p95_latency_ms,
+       round(quantile_cont(latency_ms, 0.99), 6) AS p99_latency_ms
+FROM request_log GROUP BY 1, 2, 3"""))
+def q_request_metrics(spark, d):
+    return R.request_metrics(FX.request_log(spark, d), "1 hour")
+
+
+LIMITS_SQL = "\nlimits AS (SELECT * FROM (VALUES " + ", ".join(
+    f"('{p}', {n})" for p, n in S.RATE_LIMITS) + ") AS t(path, limit_per_minute))"
+PER_MIN = ("\nper_min AS (SELECT date_trunc('minute', ts) AS window_start, client_id, path, count(*) AS n "
+           "FROM request_log GROUP BY 1, 2, 3)")
+
+
+@register("rate_limit_breaches", P.q(["request_log"], [LIMITS_SQL, PER_MIN], """
+SELECT m.window_start, m.client_id, m.path, m.n AS n_requests, l.limit_per_minute
+FROM per_min m JOIN limits l ON m.path = l.path WHERE m.n > l.limit_per_minute"""))
+def q_rate_limit_breaches(spark, d):
+    return R.rate_limit_breaches(FX.request_log(spark, d))
+
+
+@register("client_request_peaks", P.q(["request_log"], [LIMITS_SQL, PER_MIN], """
+SELECT m.client_id, m.path, l.limit_per_minute, max(m.n) AS peak_per_minute,
+       round(CAST(max(m.n) AS DOUBLE) / l.limit_per_minute, 6) AS peak_share_of_limit,
+       count(*) FILTER (WHERE m.n > l.limit_per_minute) AS minutes_over_limit
+FROM per_min m JOIN limits l ON m.path = l.path GROUP BY m.client_id, m.path, l.limit_per_minute"""))
+def q_client_request_peaks(spark, d):
+    return R.client_request_peaks(FX.request_log(spark, d))
+
+
+@register("permission_check", P.q(["request_log", "api_keys"], [], """
+SELECT r.request_id, r.client_id, r.path, r.api_key,
+       CASE WHEN r.path = '/api/v1/health' THEN NULL WHEN r.path LIKE '/api/v1/nbe/predict%' THEN 'predict'
+            WHEN r.path LIKE '%/models/%' THEN 'info' ELSE 'predict' END AS required_permission,
+       CASE WHEN r.path = '/api/v1/health' THEN 200
+            WHEN r.api_key IS NULL OR k.api_key IS NULL THEN 401
+            WHEN NOT list_contains(k.perms, CASE WHEN r.path LIKE '/api/v1/nbe/predict%' THEN 'predict'
+                                                  WHEN r.path LIKE '%/models/%' THEN 'info' ELSE 'predict' END) THEN 403
+            ELSE 200 END AS auth_status
+FROM request_log r LEFT JOIN (SELECT api_key, list(permission) AS perms FROM api_keys GROUP BY api_key) k
+  ON r.api_key = k.api_key"""))
+def q_permission_check(spark, d):
+    return R.check_permissions(FX.request_log(spark, d), FX.api_keys(spark))
+
+
+@register("prediction_monitor", P.q(["prediction_log"], [], """
+SELECT date_trunc('hour', ts) AS window_start, model_type, count(*) AS n_predictions,
+       round(avg(nbe_yes_probability), 6) AS mean_probability,
+       count(*) FILTER (WHERE abs(nbe_yes_probability - 0.5) * 2.0 >= 0.7) AS n_high,
+       count(*) FILTER (WHERE abs(nbe_yes_probability - 0.5) * 2.0 >= 0.4
+                          AND abs(nbe_yes_probability - 0.5) * 2.0 < 0.7) AS n_medium,
+       count(*) FILTER (WHERE abs(nbe_yes_probability - 0.5) * 2.0 < 0.4) AS n_low
+FROM prediction_log GROUP BY 1, 2"""))
+def q_prediction_monitor(spark, d):
+    return R.prediction_monitor(FX.prediction_log(spark, d), "1 hour")
+
+
+# =============================================================================
+# Learners, CV, importance, registry, scoring
+# Model output is not reproducible in SQL: rows-only checks.
+# =============================================================================
+
+from consult.operators import models as M  # noqa: E402
+
+_CACHE: dict = {}
+
+
+def model_data(spark, d):
+    """Prepared train / test tables of the clean fixture, materialized once
+    per session and input folder."""
+    key = ("data", id(spark), d)
+    if key not in _CACHE:
+        from consult.plans.prepare import build_datasets
+        ds = build_datasets(FX.consultations(spark, d))
+        _CACHE[key] = {k: ds[k].cache() for k in ("baseline_train", "baseline_test",
+                                                  "enhanced_train", "enhanced_test")}
+    return _CACHE[key]
+
+
+def fitted(spark, d, learner, fs):
+    key = ("model", id(spark), d, learner, fs)
+    if key not in _CACHE:
+        _CACHE[key] = M.fit(model_data(spark, d)[f"{fs}_train"], learner, fs)
+    return _CACHE[key]
+
+
+def _test_predictions(learner, fs):
+    def run(spark, d):
+        m = fitted(spark, d, learner, fs)
+        sc = M.predict(m, model_data(spark, d)[f"{fs}_test"], fs)
+        return sc.select(S.PSEUDO_ID, F.col(S.LABEL).alias("label"), "score",
+                         F.lit(learner).alias("learner"), F.lit(fs).alias("feature_set"))
+    run.__doc__ = f"Fit {learner} on the {fs} training rows; scores of the held-out patients."
+    return run
+
+
+for _short, _learner in (("lr", "logistic_regression"), ("rf", "random_forest"), ("gbt", "gbt")):
+    for _fs in ("baseline", "enhanced"):
+        register(f"{_short}_{_fs}")(_test_predictions(_learner, _fs))
+
+
+def _cv(learner):
+    def run(spark, d):
+        from concurrent.futures import ThreadPoolExecutor
+        data = model_data(spark, d)
+
+        def one(fs):
+            folded = SP.assign_folds(data[f"{fs}_train"])
+            return M.cross_validate(folded, learner, fs, parallelism=S.N_FOLDS).select(
+                F.lit(learner).alias("learner"), F.lit(fs).alias("feature_set"), "fold", "auc")
+        with ThreadPoolExecutor(2) as ex:
+            a, b = ex.map(one, ("baseline", "enhanced"))
+        return a.unionByName(b)
+    run.__doc__ = f"Patient-grouped stratified 5-fold CV of {learner} on both feature sets (exact AUC)."
+    return run
+
+
+for _learner in M.LEARNERS:
+    register(f"cv_{_learner}")(_cv(_learner))
+
+
+@register("feature_importance")
+def q_feature_importance(spark, d):
+    """Top-10 importances (trees) or |coefficients| for the six fitted models."""
+    out = None
+    for learner in M.LEARNERS:
+        for fs in ("baseline", "enhanced"):
+            fi = M.feature_importance(fitted(spark, d, learner, fs), fs).select(
+                F.lit(learner).alias("learner"), F.lit(fs).alias("feature_set"), "rank", "feature", "importance")
+            out = fi if out is None else out.unionByName(fi)
+    return out
+
+
+@register("training_summary")
+def q_training_summary(spark, d):
+    """Fit all six models (no CV; see cv_*), test AUC per model, best per set."""
+    from consult.operators.metrics import evaluate_all
+    data = model_data(spark, d)
+    parts = None
+    for learner in M.LEARNERS:
+        for fs in ("baseline", "enhanced"):
+            sc = _test_predictions(learner, fs)(spark, d)
+            parts = sc if parts is None else parts.unionByName(sc)
+    ev = evaluate_all(parts.withColumnRenamed("learner", "model"))
+    n = {fs: data[f"{fs}_train"].count() for fs in ("baseline", "enhanced")}
+    return ev.select(F.col("model").alias("learner"), "feature_set",
+                     F.when(F.col("feature_set") == "baseline", F.lit(n["baseline"]))
+                      .otherwise(F.lit(n["enhanced"])).alias("n_train"),
+                     "n_rows", "auc_roc", "average_precision", "log_loss", "precision", "recall", "f1")
+
+
+def _score(learner, fs, model_used):
+    def run(spark, d):
+        from consult.streaming.scoring import score_batch
+        scored_, _ = score_batch(FX.scoring_requests(spark, d), fitted(spark, d, learner, fs), fs, model_used)
+        return scored_.drop("prediction_timestamp")
+    run.__doc__ = f"Validate and score the request table with the {fs} {learner} model."
+    return run
+
+
+register("score_baseline")(_score("logistic_regression", "baseline", "logistic_regression"))
+register("score_enhanced")(_score("gbt", "enhanced", "gbt"))
+
+
+@register("model_info")
+def q_model_info(spark, d):
+    """Algorithm, features, test AUC and training rows of the served models."""
+    ts = q_training_summary(spark, d)
+    served = ts.where(((F.col("learner") == "logistic_regression") & (F.col("feature_set") == "baseline"))
+                      | ((F.col("learner") == "gbt") & (F.col("feature_set") == "enhanced")))
+    return M.model_info(served.select("learner", "feature_set", F.lit(None).cast("double").alias("cv_mean"),
+                                      "n_train", F.when(F.col("feature_set") == "baseline", 4).otherwise(10)
+                                      .alias("n_features")))
+
+
+@register("model_registry")
+def q_model_registry(spark, d):
+    """Save the baseline logistic model, reload the newest from the registry,
+    and score the test rows with the reloaded copy (round trip)."""
+    from consult.session import scratch_path
+    import uuid
+    root = scratch_path(spark, f"models-{uuid.uuid4().hex[:8]}")
+    m = fitted(spark, d, "logistic_regression", "baseline")
+    M.save_model(m, root, "logistic_regression", "baseline", run_id="20250612T114112")
+    again = M.load_latest(spark, root, "logistic_regression", "baseline")
+    sc = M.predict(again, model_data(spark, d)["baseline_test"], "baseline")
+    return sc.select(S.PSEUDO_ID, F.col(S.LABEL).alias("label"), "score")
+
+
+@register("stream_scoring")
+def q_stream_scoring(spark, d):
+    """The request table written as files, read as a stream, validated and
+    scored per micro-batch (availableNow) into valid / rejected sinks."""
+    from consult.streaming.runner import run_scoring_stream
+    return run_scoring_stream(spark, FX.scoring_requests(spark, d),
+                              fitted(spark, d, "logistic_regression", "baseline"), "baseline",
+                              "logistic_regression")
+
+
+@register("stream_request_metrics")
+def q_stream_request_metrics(spark, d):
+    """R2 on a stream: request log files in time order, 1-hour windows with a
+    1-hour watermark, closed windows appended."""
+    from consult.streaming.runner import run_metrics_stream
+    return run_metrics_stream(spark, FX.request_log(spark, d))

@@ -250,3 +250,22 @@ def with_fixtures(names: list[str], body: str, extra_ctes: str = "") -> str:
     if extra_ctes:
         ctes = ctes + ",\n" + extra_ctes
     return f"WITH {ctes}\n{body}"
+
+
+def prediction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stand-in prediction events (ts, model_type, probability) from the
+    request log: predict calls only, dyadic probability from the id."""
+    log = request_log(spark, sf_dir)
+    return log.where(F.col("path").startswith("/api/v1/nbe/predict")).select(
+        "request_id", "ts",
+        F.when(F.col("path").endswith("baseline"), F.lit("baseline")).otherwise(F.lit("enhanced")).alias("model_type"),
+        ((F.col("request_id") % 33).cast("double") / 32).alias("nbe_yes_probability"))
+
+
+FIXTURE_SQL["prediction_log"] = """
+prediction_log AS (
+  SELECT request_id, ts,
+         CASE WHEN path LIKE '%baseline' THEN 'baseline' ELSE 'enhanced' END AS model_type,
+         CAST(request_id % 33 AS DOUBLE) / 32 AS nbe_yes_probability
+  FROM request_log WHERE path LIKE '/api/v1/nbe/predict%')"""
+_DEPS["prediction_log"] = ["request_log"]
