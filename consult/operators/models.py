@@ -67,12 +67,14 @@ def _prep(df: DataFrame, feature_set: str, label: str = S.LABEL) -> DataFrame:
 
 def fit(df: DataFrame, learner: str, feature_set: str, label: str = S.LABEL,
         n_train: int | None = None) -> PipelineModel:
-    """Assembler + learner pipeline fitted on ``df`` (label 0/1)."""
+    """Assembler + learner pipeline fitted on ``df`` (label 0/1). Rows with a
+    missing feature (e.g. an unparseable contact date gives no day count)
+    are left out of the fit rather than failing it."""
     cols = FEATURE_SETS[feature_set]
     feature_count_guard(feature_set, cols)
     data = _prep(df, feature_set, label)
     n = n_train if n_train is not None else data.count()
-    pipe = Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="error"),
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="skip"),
                             make_learner(learner, n)])
     return pipe.fit(data)
 
