@@ -479,3 +479,55 @@ def rule_hook(df: DataFrame, rules: list[tuple[str, str]] | None = None) -> Data
                       r6(pct(F.col(f"__r{i}"), F.col("__n"))).alias("violation_pct"))
              for i, (name, _) in enumerate(rules)]
     return one.select(F.explode(F.array(*parts)).alias("r")).select("r.*")
+
+
+# ---------------------------------------------------------------------------
+# Q18 exploration summary
+# ---------------------------------------------------------------------------
+
+def exploration_summary(df: DataFrame, key: str = S.ID, label: str = S.LABEL,
+                        ranges: dict = S.FEATURE_RANGES) -> DataFrame:
+    """Tidy report (section, metric, value, text): overview, quality,
+    validation numbers, findings and recommendations. Recommendations fire
+    only on evidence (missing values are recommended only when some exist).
+    One aggregate over the table plus two grouped aggregates (duplicates,
+    class counts) as scalar subqueries."""
+    cols = df.columns
+    rcols = _present(df, list(ranges))
+    cells = sum((F.col(c).isNull().cast("int") for c in cols), F.lit(0))
+    one = df.agg(F.count(F.lit(1)).alias("n"), F.sum(cells).cast("bigint").alias("miss"),
+                 F.count_distinct(F.col(key)).alias("pats"),
+                 sum((F.count_if(~F.col(c).between(*ranges[c])) for c in rcols), F.lit(0)).alias("viol"))
+    dups = _dup_groups(df).agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("bigint")).scalar()
+    lab = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("k"))
+    min_class = lab.agg(F.min("k")).scalar()
+    n, miss, pats, viol = F.col("n"), F.col("miss"), F.col("pats"), F.col("viol")
+    avg_visits = F.try_divide(n.cast("double"), pats.cast("double"))
+    completeness = F.lit(100.0) - F.coalesce(pct(miss, n * len(cols)), F.lit(0.0))
+    min_share = F.try_divide(min_class.cast("double"), n.cast("double"))
+
+    def row(section, metric, value=None, text=None):
+        return F.struct(F.lit(section).alias("section"), F.lit(metric).alias("metric"),
+                        (r6(value) if value is not None else F.lit(None).cast("double")).alias("value"),
+                        (text if text is not None else F.lit(None).cast("string")).alias("text"))
+
+    rec = [
+        ("missing_values", miss > 0, F.lit("Address missing values before model training")),
+        ("duplicates", F.lit(dups) > 0,
+         F.format_string("Investigate and handle %s duplicate records", F.lit(dups).cast("string"))),
+        ("range_violations", viol > 0, F.lit("Clean data range violations before modeling")),
+        ("class_balance", min_share < S.BALANCE_THRESHOLD_VALIDATOR, F.lit("Consider class balancing techniques")),
+    ]
+    rows = [
+        row("overview", "n_rows", n), row("overview", "n_columns", F.lit(len(cols))),
+        row("overview", "unique_patients", pats), row("overview", "mean_rows_per_patient", avg_visits),
+        row("quality", "missing_cells", miss), row("quality", "completeness_pct", completeness),
+        row("quality", "duplicate_rows", F.lit(dups)),
+        row("validation", "range_violations", viol),
+        row("findings", "records", None, F.concat(F.lit("Dataset contains "), F.format_number(n, 0),
+                                                  F.lit(f" records with {len(cols)} features"))),
+        row("findings", "patients", None, F.concat(
+            F.lit("Data covers "), F.format_number(pats, 0), F.lit(" unique patients with average "),
+            F.regexp_replace(F.format_number(avg_visits, 1), ",", ""), F.lit(" consultations per patient"))),
+    ] + [F.when(cond, row("recommendations", name, None, txt)) for name, cond, txt in rec]
+    return one.select(F.explode(F.array_compact(F.array(*rows))).alias("r")).select("r.*")

@@ -771,7 +771,30 @@ def q_feature_pipeline(spark, d):
     return build_datasets(raw(spark, d))["features"]
 
 
-@register("pipeline_summary")
+def _pipeline_summary_sql() -> str:
+    sides = []
+    for name in ("baseline_train", "baseline_test", "enhanced_train", "enhanced_test"):
+        side = name.split("_")[1]
+        src = (f"(SELECT anonymous_patient_id FROM feats WHERE anonymous_patient_id IN "
+               f"(SELECT anonymous_patient_id FROM psplit WHERE split = '{side}'))")
+        sides += [f"SELECT 'features', '{name}_rows', CAST(count(*) AS DOUBLE) FROM {src} x",
+                  f"SELECT 'features', '{name}_patients', CAST(count(DISTINCT anonymous_patient_id) AS DOUBLE) "
+                  f"FROM {src} y"]
+    body = f"""
+SELECT stage, metric, round(value, 6) AS value FROM (
+  SELECT 'clean' AS stage, 'original_records' AS metric, CAST(count(*) AS DOUBLE) AS value FROM typed_raw
+  UNION ALL SELECT 'clean', 'after_label_filter', CAST(count(*) FILTER (WHERE nbe IN (0, 1)) AS DOUBLE) FROM typed_raw
+  UNION ALL SELECT 'clean', 'after_missing_removal',
+    CAST(count(*) FILTER (WHERE nbe IN (0, 1) AND {COMPLETE}) AS DOUBLE) FROM typed_raw
+  UNION ALL SELECT 'clean', 'final_records', CAST(count(*) AS DOUBLE) FROM cleaned_raw
+  UNION ALL SELECT 'clean', 'retention_pct',
+    round(100.0 * (SELECT count(*) FROM cleaned_raw) / (SELECT count(*) FROM typed_raw), 6)
+  UNION ALL SELECT 'clean', 'unique_patients', CAST(count(DISTINCT accident_number) AS DOUBLE) FROM cleaned_raw
+  UNION ALL {' UNION ALL '.join(sides)}) t"""
+    return P.q(["consultations_raw"], RAW_FEAT + SPLIT_CTES, body)
+
+
+@register("pipeline_summary", _pipeline_summary_sql())
 def q_pipeline_summary(spark, d):
     from consult.plans.prepare import build_datasets, pipeline_summary
     r = raw(spark, d)
@@ -1332,3 +1355,39 @@ def q_stream_request_metrics(spark, d):
     1-hour watermark, closed windows appended."""
     from consult.streaming.runner import run_metrics_stream
     return run_metrics_stream(spark, FX.request_log(spark, d))
+
+
+# =============================================================================
+# Reports (Q18, F14)
+# =============================================================================
+
+def _explore_sql() -> str:
+    nulls = " + ".join(f"CAST({c} IS NULL AS INTEGER)" for c in P.RAW_COLS)
+    viol = " + ".join(f"count(*) FILTER (WHERE NOT ({c} BETWEEN {lo} AND {hi}))"
+                      for c, (lo, hi) in S.FEATURE_RANGES.items())
+    return P.q(["consultations_raw"], ["typed_raw", f"""
+b AS (SELECT count(*) AS n, CAST(sum({nulls}) AS BIGINT) AS miss, count(DISTINCT accident_number) AS pats,
+             {viol} AS viol FROM typed_raw)""", f"""
+d AS (SELECT CAST(COALESCE(sum(k - 1), 0) AS BIGINT) AS dups FROM (SELECT count(*) AS k FROM typed_raw GROUP BY {ALL_COLS}) g)""", """
+m AS (SELECT min(k) AS mn FROM (SELECT count(*) AS k FROM typed_raw WHERE nbe IS NOT NULL GROUP BY nbe) g)""", """
+t AS (SELECT * FROM b, d, m)"""], """
+SELECT 'overview' AS section, 'n_rows' AS metric, round(CAST(n AS DOUBLE), 6) AS value, CAST(NULL AS VARCHAR) AS text FROM t
+UNION ALL SELECT 'overview', 'n_columns', 8.0, NULL FROM t
+UNION ALL SELECT 'overview', 'unique_patients', CAST(pats AS DOUBLE), NULL FROM t
+UNION ALL SELECT 'overview', 'mean_rows_per_patient', round(CAST(n AS DOUBLE) / pats, 6), NULL FROM t
+UNION ALL SELECT 'quality', 'missing_cells', CAST(miss AS DOUBLE), NULL FROM t
+UNION ALL SELECT 'quality', 'completeness_pct', round(100.0 - 100.0 * miss / (n * 8), 6), NULL FROM t
+UNION ALL SELECT 'quality', 'duplicate_rows', CAST(dups AS DOUBLE), NULL FROM t
+UNION ALL SELECT 'validation', 'range_violations', CAST(viol AS DOUBLE), NULL FROM t
+UNION ALL SELECT 'findings', 'records', NULL, 'Dataset contains ' || format('{:,}', n) || ' records with 8 features' FROM t
+UNION ALL SELECT 'findings', 'patients', NULL, 'Data covers ' || format('{:,}', pats) || ' unique patients with average '
+                 || printf('%.1f', CAST(n AS DOUBLE) / pats) || ' consultations per patient' FROM t
+UNION ALL SELECT 'recommendations', 'missing_values', NULL, 'Address missing values before model training' FROM t WHERE miss > 0
+UNION ALL SELECT 'recommendations', 'duplicates', NULL, 'Investigate and handle ' || CAST(dups AS VARCHAR) || ' duplicate records' FROM t WHERE dups > 0
+UNION ALL SELECT 'recommendations', 'range_violations', NULL, 'Clean data range violations before modeling' FROM t WHERE viol > 0
+UNION ALL SELECT 'recommendations', 'class_balance', NULL, 'Consider class balancing techniques' FROM t WHERE CAST(mn AS DOUBLE) / n < 0.1""")
+
+
+@register("exploration_summary", _explore_sql())
+def q_exploration_summary(spark, d):
+    return Q.exploration_summary(typed(spark, d))
