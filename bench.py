@@ -32,10 +32,9 @@ def main() -> None:
     fits = os.environ.get("BENCH_FITS", "1") != "0"
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE", "16")),
                           extra={"spark.driver.memory": "16g"})
-    from consult.operators import cleaning as C
     from consult.operators import metrics as X
     from consult.operators import models as M
-    from consult.operators import quality as Q
+    from consult.plans.explore import profile_report
     from consult.plans.prepare import build_datasets
     from consult.sources import fixtures as FX
     from consult.streaming import monitor as R
@@ -54,11 +53,10 @@ def main() -> None:
     n_raw = raw.count()
 
     def profile():
-        t = C.coerce_types(raw)
-        for df in (Q.dataset_summary(t), Q.missing_profile(t), Q.feature_profile(t), Q.class_balance(t),
-                   Q.range_violations(t), Q.group_size_stats(t), Q.correlation_matrix(t), Q.iqr_outliers(t),
-                   Q.duplicate_profile(t), Q.quality_verdict(t)):
+        typed, reports = profile_report(raw)
+        for df in reports.values():
             consume(df)
+        typed.unpersist()
 
     timed("profile_validate_cold", profile)
     timed("profile_validate_warm", profile)

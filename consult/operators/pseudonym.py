@@ -21,11 +21,13 @@ class UnmappedIdsError(ValueError):
     pass
 
 
-def build_id_mapping(df: DataFrame, key: str = S.ID, **prefix_kw) -> DataFrame:
+def build_id_mapping(df: DataFrame, key: str = S.ID, unique: bool = False, **prefix_kw) -> DataFrame:
     """(original_id STRING, anonymous_id BIGINT) with ids 1..N in id order.
-    Ids are compared as strings (fixes the numeric-id lookup defect)."""
+    Ids are compared as strings (fixes the numeric-id lookup defect).
+    ``unique=True`` says ``df`` already has one row per id (skips the distinct)."""
     ids = df.select(F.col(key).cast("string").alias("original_id")).where(
-        F.col("original_id").isNotNull()).distinct()
+        F.col("original_id").isNotNull())
+    ids = ids if unique else ids.distinct()
     m = dense_index(ids, ["original_id"], out="anonymous_id", **prefix_kw)
     return m.select("original_id", F.col("anonymous_id").cast("bigint").alias("anonymous_id"))
 

@@ -56,9 +56,8 @@ def anon(spark, d):
 
 
 def feats(spark, d):
-    f = FT.add_days_since_accident(anon(spark, d))
-    f = FT.add_consultation_sequence(f)
-    return FT.add_interactions(f)
+    from consult.plans.prepare import feature_table
+    return feature_table(cleaned(spark, d))[0]
 
 
 ANON_CTES = ["cleaned", P.id_map("cleaned"), P.anon("cleaned")]
