@@ -1250,8 +1250,10 @@ for _short, _learner in (("lr", "logistic_regression"), ("rf", "random_forest"),
         register(f"{_short}_{_fs}")(_test_predictions(_learner, _fs))
 
 
-def _cv(learner):
-    def run(spark, d):
+def cv_results(spark, d, learner):
+    """Fold AUCs of ``learner`` on both sets (computed once per session)."""
+    key = ("cv", id(spark), d, learner)
+    if key not in _CACHE:
         from concurrent.futures import ThreadPoolExecutor
         data = model_data(spark, d)
 
@@ -1261,7 +1263,13 @@ def _cv(learner):
                 F.lit(learner).alias("learner"), F.lit(fs).alias("feature_set"), "fold", "auc")
         with ThreadPoolExecutor(2) as ex:
             a, b = ex.map(one, ("baseline", "enhanced"))
-        return a.unionByName(b)
+        _CACHE[key] = a.unionByName(b).cache()
+    return _CACHE[key]
+
+
+def _cv(learner):
+    def run(spark, d):
+        return cv_results(spark, d, learner)
     run.__doc__ = f"Patient-grouped stratified 5-fold CV of {learner} on both feature sets (exact AUC)."
     return run
 
@@ -1270,6 +1278,16 @@ for _learner in M.LEARNERS:
     register(f"cv_{_learner}")(_cv(_learner))
 
 
+@register("cv_scores")
+def q_cv_scores(spark, d):
+    """Fold AUCs of all three learners on both feature sets."""
+    out = None
+    for learner in M.LEARNERS:
+        r = cv_results(spark, d, learner)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
 @register("feature_importance")
 def q_feature_importance(spark, d):
     """Top-10 importances (trees) or |coefficients| for the six fitted models."""
@@ -1284,7 +1302,8 @@ def q_feature_importance(spark, d):
 
 @register("training_summary")
 def q_training_summary(spark, d):
-    """Fit all six models (no CV; see cv_*), test AUC per model, best per set."""
+    """Fit all six models: test metrics, CV mean / population std, best per
+    set by CV mean (one failing learner would not stop the others)."""
     from consult.operators.metrics import evaluate_all
     data = model_data(spark, d)
     parts = None
@@ -1294,10 +1313,16 @@ def q_training_summary(spark, d):
             parts = sc if parts is None else parts.unionByName(sc)
     ev = evaluate_all(parts.withColumnRenamed("learner", "model"))
     n = {fs: data[f"{fs}_train"].count() for fs in ("baseline", "enhanced")}
-    return ev.select(F.col("model").alias("learner"), "feature_set",
-                     F.when(F.col("feature_set") == "baseline", F.lit(n["baseline"]))
-                      .otherwise(F.lit(n["enhanced"])).alias("n_train"),
-                     "n_rows", "auc_roc", "average_precision", "log_loss", "precision", "recall", "f1")
+    cv = q_cv_scores(spark, d).groupBy("learner", "feature_set").agg(
+        F.round(F.avg("auc"), 6).alias("cv_mean"), F.round(F.stddev_pop("auc"), 6).alias("cv_std"))
+    out = ev.select(F.col("model").alias("learner"), "feature_set",
+                    F.when(F.col("feature_set") == "baseline", F.lit(n["baseline"]))
+                     .otherwise(F.lit(n["enhanced"])).alias("n_train"),
+                    "n_rows", "auc_roc", "average_precision", "log_loss", "precision", "recall", "f1")
+    out = out.join(cv, ["learner", "feature_set"], "left")
+    best = M.best_models(out.select("learner", "feature_set", "cv_mean")).select(
+        "learner", "feature_set", F.lit(True).alias("best_by_cv"))
+    return out.join(best, ["learner", "feature_set"], "left").fillna(False, ["best_by_cv"])
 
 
 def _score(learner, fs, model_used):

@@ -48,14 +48,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder and is used as is. Only when it is unset (local tests) a scratch
     folder is created and registered.
     """
-    cur = spark.conf.get("spark.checkpoint.dir", None)
-    if not cur:
-        cur = spark.sparkContext.getCheckpointDir() if hasattr(
-            spark.sparkContext, "getCheckpointDir") else None
+    sc = spark.sparkContext
+    cur = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    active = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    if active and not cur:
+        return active
     if not cur:
         cur = tempfile.mkdtemp(prefix="consult-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", cur)
-    spark.sparkContext.setCheckpointDir(cur)
+        try:
+            spark.conf.set("spark.checkpoint.dir", cur)
+        except Exception:  # noqa: BLE001 - static conf on some deployments
+            pass
+    if active != cur and not (active or "").startswith(cur.rstrip("/")):
+        sc.setCheckpointDir(cur)
     return cur
 
 
