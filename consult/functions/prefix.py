@@ -11,8 +11,11 @@ running count over a *total* order, so they share this primitive:
    sampled, so a recomputation after a lost executor could move rows between
    partitions; the checkpoint pins them). One total per partition is
    aggregated (a table with exactly ``numPartitions`` rows, so its broadcast
-   is bounded), turned into exclusive offsets, and added to a running window
-   partitioned by the captured partition id.
+   is bounded) and turned into exclusive offsets. A dense index then needs
+   no window at all (position in the partition from
+   ``monotonically_increasing_id``); general running sums add the offsets to
+   a window partitioned by the captured partition id (one more exchange of
+   the reduced table, never of the raw rows).
 """
 
 from __future__ import annotations
@@ -47,6 +50,8 @@ def prefix_sums(df: DataFrame, order: list, sums: dict[str, Column | str],
         w = Window.orderBy(*ords).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.select("*", *[F.sum(v).over(w).alias(k) for k, v in vals.items()])
 
+    from consult.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
     nparts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     staged = (df.select("*", *[v.alias(f"_v_{k}") for k, v in vals.items()])
               .repartitionByRange(nparts, *ords)
@@ -68,9 +73,31 @@ def prefix_sums(df: DataFrame, order: list, sums: dict[str, Column | str],
 def dense_index(df: DataFrame, order: list, out: str = "idx", start: int = 1,
                 threshold: int | None = DEFAULT_THRESHOLD, method: str = "auto",
                 num_partitions: int | None = None) -> DataFrame:
-    """1-based (or ``start``-based) position of each row in the total ``order``."""
-    res = prefix_sums(df, order, {out: F.lit(1).cast("bigint")}, threshold=threshold,
-                      method=method, num_partitions=num_partitions)
-    if start != 1:
-        res = res.withColumn(out, F.col(out) + F.lit(start - 1))
-    return res
+    """``start``-based position of each row in the total ``order``.
+
+    Range path without any window: after the range shuffle and the sort
+    inside each partition, ``monotonically_increasing_id`` is
+    (partition index << 33) + position in the partition, so the position
+    comes for free in the same narrow stage; the checkpoint pins it. One row
+    per partition gives the offsets (bounded broadcast)."""
+    spark = df.sparkSession
+    ords = _order_cols(order)
+    if method == "auto":
+        n = df.count()
+        method = "window" if threshold is not None and n <= threshold else "range"
+    if method == "window":
+        w = Window.orderBy(*ords)
+        return df.select("*", (F.row_number().over(w) + F.lit(start - 1)).cast("bigint").alias(out))
+    from consult.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    nparts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    staged = (df.repartitionByRange(nparts, *ords).sortWithinPartitions(*ords)
+              .select("*", F.spark_partition_id().alias(_PID),
+                      F.monotonically_increasing_id().alias("__mid")))
+    staged = staged.checkpoint(eager=True)
+    counts = staged.groupBy(_PID).agg(F.count(F.lit(1)).alias("__n"))
+    wt = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(_PID, F.coalesce(F.sum("__n").over(wt), F.lit(0)).alias("__off"))
+    local = F.col("__mid") - F.shiftleft(F.col(_PID).cast("long"), 33)
+    return (staged.join(F.broadcast(offsets), _PID, "left")
+            .select(*df.columns, (local + F.col("__off") + F.lit(start)).cast("bigint").alias(out)))

@@ -174,18 +174,15 @@ def feature_profile(df: DataFrame, cols: list[str] = S.PROFILE_COLUMNS) -> DataF
 
 
 def value_distribution(df: DataFrame, cols: list[str] = S.PROFILE_COLUMNS) -> DataFrame:
-    """Rows per (feature, value), % of all rows and % of non-missing rows.
-
-    Nulls are grouped too so the per-feature window yields both denominators
-    from the small grouped table; they are dropped afterwards (value_counts
-    ignores missing)."""
+    """Rows per (feature, value), % of all rows and % of non-missing rows
+    (value_counts ignores missing). Totals come from a one-row-per-feature
+    table joined back by broadcast (bounded by the number of columns), so a
+    feature with many distinct values is never gathered into one task."""
     long = _long(df, _present(df, cols))
     g = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n_rows"))
-    w = Window.partitionBy("feature")
-    return (g.select("feature", "value", "n_rows",
-                     F.sum("n_rows").over(w).alias("__all"),
-                     F.sum(F.when(F.col("value").isNotNull(), F.col("n_rows"))).over(w).alias("__nn"))
-            .where(F.col("value").isNotNull())
+    tot = g.groupBy("feature").agg(F.sum("n_rows").alias("__all"),
+                                   F.sum(F.when(F.col("value").isNotNull(), F.col("n_rows"))).alias("__nn"))
+    return (g.where(F.col("value").isNotNull()).join(F.broadcast(tot), "feature")
             .select("feature", "value", "n_rows",
                     r6(pct(F.col("n_rows"), F.col("__all"))).alias("pct_rows"),
                     r6(pct(F.col("n_rows"), F.col("__nn"))).alias("pct_non_missing")))
@@ -300,9 +297,14 @@ def label_correlation(df: DataFrame, label: str = S.LABEL,
     return one.select(F.explode(F.array(*parts)).alias("r")).select("r.*")
 
 
-def _bounds(long: DataFrame, k: float) -> DataFrame:
+def _bounds(long: DataFrame, k: float, accuracy: int | None = None) -> DataFrame:
+    # Exact quartiles keep one count per distinct value (fine for scores and
+    # day counts); ``accuracy`` switches to percentile_approx for continuous
+    # columns, whose state is bounded by the accuracy instead.
+    q = (F.percentile("value", [0.25, 0.75]) if accuracy is None
+         else F.percentile_approx("value", [0.25, 0.75], accuracy).cast("array<double>"))
     return (long.groupBy("feature")
-            .agg(F.percentile("value", [0.25, 0.75]).alias("q"), F.count(F.lit(1)).alias("__rows"))
+            .agg(q.alias("q"), F.count(F.lit(1)).alias("__rows"))
             .select("feature", "__rows", F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
             .where(F.col("q1").isNotNull())
             .select("feature", "__rows", "q1", "q3",
@@ -310,12 +312,13 @@ def _bounds(long: DataFrame, k: float) -> DataFrame:
                     (F.col("q3") + k * (F.col("q3") - F.col("q1"))).alias("upper_bound")))
 
 
-def iqr_outliers(df: DataFrame, cols: list[str] = S.PROFILE_COLUMNS, k: float = 1.5) -> DataFrame:
+def iqr_outliers(df: DataFrame, cols: list[str] = S.PROFILE_COLUMNS, k: float = 1.5,
+                 accuracy: int | None = None) -> DataFrame:
     """Per numeric column: quartiles, Tukey bounds, outlier count and % of rows.
     Columns with no value are omitted. Bounds are one row per column, so the
     broadcast back to the rows is bounded by the column count."""
     long = _long(df, _present(df, cols))
-    b = _bounds(long, k)
+    b = _bounds(long, k, accuracy)
     out = long.join(F.broadcast(b.select("feature", "lower_bound", "upper_bound")), "feature")
     cnt = out.groupBy("feature").agg(F.count_if(
         (F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound"))).alias("n_outliers"))
@@ -325,10 +328,11 @@ def iqr_outliers(df: DataFrame, cols: list[str] = S.PROFILE_COLUMNS, k: float =
         "n_outliers", r6(pct(F.col("n_outliers"), F.col("__rows"))).alias("outlier_pct"))
 
 
-def iqr_outlier_values(df: DataFrame, cols: list[str] = S.PROFILE_COLUMNS, k: float = 1.5) -> DataFrame:
+def iqr_outlier_values(df: DataFrame, cols: list[str] = S.PROFILE_COLUMNS, k: float = 1.5,
+                       accuracy: int | None = None) -> DataFrame:
     """(feature, outlier value, rows) instead of a raw value list."""
     long = _long(df, _present(df, cols))
-    b = _bounds(long, k)
+    b = _bounds(long, k, accuracy)
     j = long.join(F.broadcast(b.select("feature", "lower_bound", "upper_bound")), "feature")
     return (j.where((F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound")))
             .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n_rows")))
