@@ -124,6 +124,12 @@ def _dup_groups(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
 
 
+def duplicate_groups(df: DataFrame) -> DataFrame:
+    """Rows per distinct full row (``__n``): the grouping behind every
+    duplicate count; persist it to share it between reports."""
+    return _dup_groups(df)
+
+
 def dataset_summary(df: DataFrame, key: str = S.ID) -> DataFrame:
     """Rows, columns, duplicate rows (all but the first of each identical
     group), duplicate %, distinct patients. One shuffle: group by all columns

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
+from consult import schema as S
 from consult.operators import quality as Q
 from consult.operators.cleaning import coerce_types
 
@@ -38,8 +39,23 @@ REPORTS = {
 
 def profile_report(raw: DataFrame, reports: list[str] | None = None,
                    level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """(persisted typed input, {report name: DataFrame}). Call ``unpersist``
-    on the first element when done."""
+    """(persisted typed input, {report name: DataFrame}). Unpersist with
+    ``release(typed)`` when done."""
     typed = coerce_types(raw).persist(level)
+    # Shared intermediate results: several reports group by all columns
+    # (duplicates) or by patient (rows per patient). Persisting those two
+    # grouped tables lets the cache manager substitute them into every report
+    # whose plan contains the same subtree: one shuffle each, not one per report.
+    Q.duplicate_groups(typed).persist(level)
+    if S.ID in typed.columns:
+        Q.group_sizes(typed, S.ID).persist(level)
     names = reports or list(REPORTS)
     return typed, {n: REPORTS[n](typed) for n in names}
+
+
+def release(typed: DataFrame) -> None:
+    """Drop the persisted input and the shared grouped tables."""
+    Q.duplicate_groups(typed).unpersist()
+    if S.ID in typed.columns:
+        Q.group_sizes(typed, S.ID).unpersist()
+    typed.unpersist()

@@ -10,6 +10,7 @@ because the id map, the split and the four outputs all read it.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,6 +56,10 @@ def build_datasets(raw: DataFrame, test_fraction: float = S.TEST_FRACTION, seed:
                                    **prefix_kw)
     split = stratified_patient_split(feats, test_fraction=test_fraction, seed=seed,
                                      hot_threshold=hot_threshold)
+    if materialize:
+        # One row per patient each; all four outputs read them.
+        mapping = mapping.persist(StorageLevel.MEMORY_AND_DISK)
+        split = split.persist(StorageLevel.MEMORY_AND_DISK)
     base = select_baseline(feats)
     enh = select_enhanced(feats)
     out = {"cleaned": cleaned, "mapping": mapping, "features": feats, "split": split}
