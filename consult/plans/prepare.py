@@ -33,12 +33,17 @@ def feature_table(cleaned: DataFrame, hot_threshold: int | None = DEFAULT_HOT,
     the same, and the window's hash partitioning on the id already satisfies
     the mapping join (one full shuffle fewer than numbering after the swap).
     """
+    if materialize:
+        # The hot-group check and the checkpoint both read the cleaned rows;
+        # keep them for the duration of this build (released right after).
+        cleaned = cleaned.persist(StorageLevel.MEMORY_AND_DISK)
     f = add_days_since_accident(cleaned)
     f = add_consultation_sequence(f, key=S.ID, hot_threshold=hot_threshold)
     f = add_interactions(f)
     if materialize:
         ensure_checkpoint_dir(f.sparkSession)
         f = f.checkpoint(eager=True)
+        cleaned.unpersist()
     # Each patient's first consultation is its one row: the id list for the
     # map needs no distinct (and no second pass over the raw input).
     firsts = f.where(F.col("consultation_number") == 1)

@@ -58,6 +58,8 @@ def latest_run(df: DataFrame, col: str = "run_id") -> DataFrame:
 def read_stage(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
     """Typed re-read of a stage: a given run, or the newest one."""
     df = spark.read.parquet(path)
+    # Partition discovery may type "20250612" as a number; run ids are text.
+    df = df.withColumn("run_id", F.col("run_id").cast("string"))
     return df.where(F.col("run_id") == run_id) if run_id else latest_run(df)
 
 
