@@ -1415,3 +1415,21 @@ UNION ALL SELECT 'recommendations', 'class_balance', NULL, 'Consider class balan
 @register("exploration_summary", _explore_sql())
 def q_exploration_summary(spark, d):
     return Q.exploration_summary(typed(spark, d))
+
+
+@register("stream_permission_check")
+def q_stream_permission_check(spark, d):
+    """R4 on a stream: request-log files read with readStream, joined to the
+    static key table per micro-batch."""
+    from consult.streaming.runner import run_stream
+    keys = FX.api_keys(spark)
+    return run_stream(spark, FX.request_log(spark, d), lambda s: R.check_permissions(s, keys),
+                      ts=None, name="stream-permissions")
+
+
+@register("stream_prediction_monitor")
+def q_stream_prediction_monitor(spark, d):
+    """R5 on a stream: 1-hour windows with a 1-hour watermark, closed windows."""
+    from consult.streaming.runner import run_stream
+    return run_stream(spark, FX.prediction_log(spark, d), lambda s: R.prediction_monitor(s, "1 hour"),
+                      delay="1 hour", name="stream-prediction-monitor")

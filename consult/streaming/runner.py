@@ -59,3 +59,24 @@ def run_metrics_stream(spark: SparkSession, log: DataFrame, window: str = "1 hou
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(out)
+
+
+def run_stream(spark: SparkSession, df: DataFrame, fn, ts: str | None = "ts", delay: str | None = None,
+               name: str = "stream", mode: str = "append") -> DataFrame:
+    """Land ``df`` (in event-time order when ``ts`` is given), read it back as
+    a stream, apply ``fn`` (a batch/stream-agnostic operator), write the
+    result to a Parquet sink with availableNow, and return the sink table.
+    With ``delay`` the event time gets a watermark, as stateful windows need."""
+    base = _dir(spark, name)
+    src, out, ckpt = (f"{base}/{p}" for p in ("source", "out", "_checkpoint"))
+    if ts:
+        land_in_time_order(df, src, ts)
+    else:
+        df.write.parquet(src)
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    if ts:
+        stream = with_event_time(stream, ts, delay)
+    q = (fn(stream).writeStream.outputMode(mode).format("parquet").option("path", out)
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out)

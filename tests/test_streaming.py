@@ -38,3 +38,22 @@ def test_permission_decisions(spark):
             assert st == (200 if key in ("key-0", "key-1") else 403)
         elif path == "/api/v1/models/info":
             assert st == (200 if key in ("key-0", "key-2") else 403)
+
+
+def test_permission_stream_equals_batch(spark):
+    from consult.streaming.runner import run_stream
+    log = FX.request_log(spark, SF_SMALL)
+    keys = FX.api_keys(spark)
+    st = run_stream(spark, log, lambda s: R.check_permissions(s, keys), ts=None, name="perm")
+    b = R.check_permissions(log, keys)
+    assert st.count() == b.count() and st.exceptAll(b).count() == 0
+
+
+def test_prediction_monitor_stream_closed_windows(spark):
+    from consult.streaming.runner import run_stream
+    preds = FX.prediction_log(spark, SF_SMALL)
+    st = run_stream(spark, preds, lambda s: R.prediction_monitor(s, "1 hour"), delay="1 hour", name="pm")
+    b = R.prediction_monitor(preds, "1 hour")
+    s2 = st.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                   *[c for c in b.columns if c != "window_start"])
+    assert s2.count() > 0 and s2.exceptAll(b).count() == 0
