@@ -34,7 +34,9 @@ def rank_within(df: DataFrame, keys: list[str], order: list, out: str = "rank",
                 buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Add ``out`` = 1-based position inside ``keys`` by ``order`` (ascending,
     nulls last; the order should be total), and optionally ``total_out`` =
-    rows in the group. ``hot_threshold=None`` uses the plain window."""
+    rows in the group. ``hot_threshold=None`` uses the plain window, as does
+    an order whose first column is not numeric, date or timestamp (the
+    bucket split needs quantiles of that column)."""
     ords = [_c(o).asc_nulls_last() for o in order]
     first_name = order[0] if isinstance(order[0], str) else None
     first_type = dict((f.name, f.dataType) for f in df.schema.fields).get(first_name)

@@ -1250,23 +1250,24 @@ for _short, _learner in (("lr", "logistic_regression"), ("rf", "random_forest"),
         register(f"{_short}_{_fs}")(_test_predictions(_learner, _fs))
 
 
-def cv_results(spark, d, learner):
-    """Fold AUCs of ``learner`` on both sets (computed once per session)."""
-    key = ("cv", id(spark), d, learner)
+def cv_pair(spark, d, learner, fs):
+    """Fold AUCs of one learner on one feature set (computed once per session)."""
+    key = ("cv", id(spark), d, learner, fs)
     if key not in _CACHE:
-        from concurrent.futures import ThreadPoolExecutor
-        data = model_data(spark, d)
-
-        def one(fs):
-            folded = SP.assign_folds(data[f"{fs}_train"])
-            return M.cross_validate(folded, learner, fs, parallelism=S.N_FOLDS).select(
-                F.lit(learner).alias("learner"), F.lit(fs).alias("feature_set"), "fold", "auc")
-        with ThreadPoolExecutor(2) as ex:
-            a, b = ex.map(one, ("baseline", "enhanced"))
-        _CACHE[key] = a.unionByName(b).cache()
+        folded = SP.assign_folds(model_data(spark, d)[f"{fs}_train"])
+        _CACHE[key] = M.cross_validate(folded, learner, fs, parallelism=S.N_FOLDS).select(
+            F.lit(learner).alias("learner"), F.lit(fs).alias("feature_set"), "fold", "auc").cache()
     return _CACHE[key]
 
 
+def cv_results(spark, d, learner):
+    """Fold AUCs of ``learner`` on both sets (the two sets run concurrently)."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(2) as ex:
+        a, b = ex.map(lambda fs: cv_pair(spark, d, learner, fs), ("baseline", "enhanced"))
+    return a.unionByName(b)
+
+
 def _cv(learner):
     def run(spark, d):
         return cv_results(spark, d, learner)
@@ -1340,13 +1341,23 @@ register("score_enhanced")(_score("gbt", "enhanced", "gbt"))
 
 @register("model_info")
 def q_model_info(spark, d):
-    """Algorithm, features, test AUC and training rows of the served models."""
-    ts = q_training_summary(spark, d)
-    served = ts.where(((F.col("learner") == "logistic_regression") & (F.col("feature_set") == "baseline"))
-                      | ((F.col("learner") == "gbt") & (F.col("feature_set") == "enhanced")))
-    return M.model_info(served.select("learner", "feature_set", F.lit(None).cast("double").alias("cv_mean"),
-                                      "n_train", F.when(F.col("feature_set") == "baseline", 4).otherwise(10)
-                                      .alias("n_features")))
+    """Algorithm, feature count and list, CV AUC (mean of folds) and test AUC
+    as separate columns, training rows of the two served models."""
+    from consult.operators.metrics import evaluate_all
+    data = model_data(spark, d)
+    pairs = (("logistic_regression", "baseline"), ("gbt", "enhanced"))
+    preds = _test_predictions(*pairs[0])(spark, d).unionByName(_test_predictions(*pairs[1])(spark, d))
+    ev = evaluate_all(preds.withColumnRenamed("learner", "model"))
+    cv = cv_pair(spark, d, *pairs[0]).unionByName(cv_pair(spark, d, *pairs[1])).groupBy(
+        "learner", "feature_set").agg(F.round(F.avg("auc"), 6).alias("cv_mean"))
+    n = {fs: data[f"{fs}_train"].count() for _, fs in pairs}
+    served = ev.select(F.col("model").alias("learner"), "feature_set", "auc_roc",
+                       F.when(F.col("feature_set") == "baseline", F.lit(n["baseline"]))
+                        .otherwise(F.lit(n["enhanced"])).alias("n_train")).join(cv, ["learner", "feature_set"])
+    return M.model_info(served.select("learner", "feature_set", "cv_mean", "n_train",
+                                      F.when(F.col("feature_set") == "baseline", 4).otherwise(10)
+                                      .alias("n_features"))).join(
+        served.select("feature_set", F.col("auc_roc").alias("test_auc")), "feature_set")
 
 
 @register("model_registry")
