@@ -103,3 +103,25 @@ def test_temporal_message_rounding(spark):
     w, _ = V.temporal_messages()
     msg = df.select(w).first()[0][0]
     assert "(avg " + "%.1f" % (7 / 20) + " days" in msg
+
+
+def test_d3_missing_value_recommendation_only_when_missing(spark):
+    from consult.sources import fixtures as FX
+    from tests.conftest import SF_SMALL
+    clean = FX.consultations(spark, SF_SMALL)          # no nulls
+    recs = {r["metric"] for r in Q.exploration_summary(clean).where("section = 'recommendations'").collect()}
+    assert "missing_values" not in recs
+    typed = C.coerce_types(FX.consultations_raw(spark, SF_SMALL))   # has nulls
+    recs = {r["metric"] for r in Q.exploration_summary(typed).where("section = 'recommendations'").collect()}
+    assert "missing_values" in recs
+
+
+def test_coerce_rejects_match_new_nulls(spark):
+    from consult.sources import fixtures as FX
+    from tests.conftest import SF_SMALL
+    raw = FX.consultations_raw(spark, SF_SMALL)
+    rej = {r["column_name"]: r["n_rejected"] for r in C.coerce_rejects(raw).collect()}
+    typed = C.coerce_types(raw)
+    for c in ("contact_date", "p_score"):
+        new_nulls = typed.where(F.col(c).isNull()).count() - raw.where(F.col(c).isNull()).count()
+        assert rej[c] == new_nulls and rej[c] > 0
