@@ -35,7 +35,7 @@ def main() -> None:
                           extra={"spark.driver.memory": "16g"})
     from consult.operators import metrics as X
     from consult.operators import models as M
-    from consult.plans.explore import profile_report, release
+    from consult.plans.explore import profile_report, release, write_reports
     from consult.session import scratch_path
     from consult.sources import io as IO
     from consult.plans.prepare import build_datasets
@@ -63,8 +63,8 @@ def main() -> None:
 
     def profile():
         typed, reports = profile_report(raw)
-        for df in reports.values():
-            consume(df)
+        typed.count()  # fill the persisted input once before the concurrent reports
+        write_reports(reports, lambda name, df: consume(df), parallelism=4)
         release(typed)
 
     timed("profile_validate_cold", profile)

@@ -59,3 +59,13 @@ def release(typed: DataFrame) -> None:
     if S.ID in typed.columns:
         Q.group_sizes(typed, S.ID).unpersist()
     typed.unpersist()
+
+
+def write_reports(reports: dict[str, DataFrame], write, parallelism: int = 4) -> None:
+    """Run ``write(name, df)`` for every report, ``parallelism`` jobs at a
+    time. Each report is a few small aggregation jobs over the persisted
+    input; submitting them concurrently lets the scheduler overlap them
+    instead of leaving executors idle between short stages."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max(1, parallelism)) as ex:
+        list(ex.map(lambda kv: write(*kv), reports.items()))
