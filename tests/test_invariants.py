@@ -74,3 +74,12 @@ def test_grouped_folds_keep_patients_together(spark):
     assert folds.groupBy("anonymous_patient_id").agg(F.count_distinct("fold").alias("k")) \
         .where("k > 1").count() == 0
     assert sorted(r[0] for r in folds.select("fold").distinct().collect()) == [0, 1, 2, 3, 4]
+
+
+def test_consultation_number_hot_path_equals_plain(spark):
+    from consult.operators import features as FT
+    f = FT.add_days_since_accident(CAT.cleaned(spark, SF_SMALL))
+    plain = FT.add_consultation_sequence(f, key="accident_number", hot_threshold=None)
+    hot = FT.add_consultation_sequence(f, key="accident_number", hot_threshold=5)
+    assert plain.count() == hot.count()
+    assert plain.exceptAll(hot).count() == 0 and hot.exceptAll(plain).count() == 0
