@@ -100,3 +100,20 @@ def pipeline_summary(raw: DataFrame, ds: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.select("stage", "metric", F.round("value", 6).alias("value"))
+
+
+def export_datasets(ds: dict[str, DataFrame], root: str, run_id: str, parallelism: int = 4) -> dict[str, str]:
+    """Write the four model tables (pseudonym dropped) as ``run_id``
+    partitions under ``root/<table>``, and the id map to its own location
+    ``root/_mapping/run_id=<id>`` (never joined into the outputs). The
+    writes run concurrently. Returns {table: path}."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from consult.sources.io import write_mapping, write_stage
+    paths = {k: f"{root.rstrip('/')}/{k}" for k in export_sets(ds)}
+    tables = export_sets(ds)
+    with ThreadPoolExecutor(max(1, parallelism)) as ex:
+        list(ex.map(lambda k: write_stage(tables[k], paths[k], run_id), paths))
+    paths["mapping"] = f"{root.rstrip('/')}/_mapping/run_id={run_id}"
+    write_mapping(ds["mapping"], paths["mapping"])
+    return paths

@@ -47,3 +47,15 @@ def test_conform_and_reports(spark, tmp_path):
     assert [(f.name, f.dataType) for f in c.schema.fields] == [(f.name, f.dataType) for f in S.CONSULTATION_SCHEMA.fields]
     IO.write_report(c.groupBy("nbe").count(), str(tmp_path / "rep"))
     assert spark.read.json(str(tmp_path / "rep")).count() == 3
+
+
+def test_export_datasets_round_trip(spark, tmp_path):
+    from consult.plans.prepare import build_datasets, export_datasets
+    ds = build_datasets(FX.consultations(spark, SF_SMALL))
+    paths = export_datasets(ds, str(tmp_path / "out"), "20250612T114112")
+    for name in ("baseline_train", "baseline_test", "enhanced_train", "enhanced_test"):
+        back = IO.read_stage(spark, paths[name])
+        assert back.count() == ds[name].count()
+        assert "anonymous_patient_id" not in back.columns
+    m = spark.read.parquet(paths["mapping"])
+    assert m.count() == ds["mapping"].count()
