@@ -73,8 +73,8 @@ def main() -> None:
 
     def prepare():
         ds = build_datasets(raw)
-        for k in ("baseline_train", "baseline_test", "enhanced_train", "enhanced_test"):
-            consume(ds[k])
+        outs = {k: ds[k] for k in ("baseline_train", "baseline_test", "enhanced_train", "enhanced_test")}
+        write_reports(outs, lambda name, df: consume(df), parallelism=4)
         return ds
 
     ds = timed("prepare_pipeline", prepare)
