@@ -1444,3 +1444,12 @@ def q_stream_prediction_monitor(spark, d):
     from consult.streaming.runner import run_stream
     return run_stream(spark, FX.prediction_log(spark, d), lambda s: R.prediction_monitor(s, "1 hour"),
                       delay="1 hour", name="stream-prediction-monitor")
+
+
+@register("stream_rate_limit_breaches")
+def q_stream_rate_limit_breaches(spark, d):
+    """R3 on a stream: per-client 1-minute counts with a 1-minute watermark,
+    joined to the static limits; closed windows over the limit."""
+    from consult.streaming.runner import run_stream
+    return run_stream(spark, FX.request_log(spark, d), lambda s: R.rate_limit_breaches(s),
+                      delay="1 minute", name="stream-rate-limits")

@@ -57,3 +57,14 @@ def test_prediction_monitor_stream_closed_windows(spark):
     s2 = st.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                    *[c for c in b.columns if c != "window_start"])
     assert s2.count() > 0 and s2.exceptAll(b).count() == 0
+
+
+def test_rate_limit_stream_equals_batch(spark):
+    from consult.streaming.runner import run_stream
+    log = FX.request_log(spark, SF_SMALL)
+    low = [(p, 0) for p, _ in __import__("consult.schema", fromlist=["x"]).RATE_LIMITS]
+    st = run_stream(spark, log, lambda s: R.rate_limit_breaches(s, limits=low), delay="1 minute", name="rl")
+    b = R.rate_limit_breaches(log, limits=low)
+    s2 = st.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                   *[c for c in b.columns if c != "window_start"])
+    assert s2.count() > 0 and s2.exceptAll(b).count() == 0
