@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from consult.llm import chat_format, exact_dedup, license_scan
+from consult.llm import bpe, chat_format, exact_dedup, language_id, license_scan, toxicity
 
 QUERIES = {
+    "op3_byte_bpe": bpe.op3_byte_bpe,
     "op4_chat_format": chat_format.op4_chat_format,
+    "op6_language_id": language_id.op6_language_id,
+    "op7_toxicity": toxicity.op7_toxicity,
     "op8_license_scan": license_scan.op8_license_scan,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
 }
