@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from consult.llm import bpe, chat_format, exact_dedup, language_id, license_scan, toxicity
+from consult.llm import bpe, chat_format, decontaminate, exact_dedup, language_id, license_scan, toxicity, warc
 
 QUERIES = {
+    "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_byte_bpe": bpe.op3_byte_bpe,
     "op4_chat_format": chat_format.op4_chat_format,
+    "op5_warc": warc.op5_warc,
     "op6_language_id": language_id.op6_language_id,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_license_scan": license_scan.op8_license_scan,
@@ -14,6 +16,8 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op2_decontaminate": decontaminate.ORACLE,
     "op4_chat_format": chat_format.ORACLE,
+    "op5_warc": warc.ORACLE,
     "op9_exact_dedup": exact_dedup.ORACLE,
 }

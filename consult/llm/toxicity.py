@@ -31,8 +31,8 @@ from consult.llm.words import Words, chunks, mix
 BITS = 20
 BUCKETS = 1 << BITS
 #: Labelled rows that are learned from, about; passes over them.
-MAX_ROWS, EPOCHS = 8_192, 4
-ALPHA, BETA, L1, L2 = 0.15, 1.0, 2.0, 1.0
+MAX_ROWS, EPOCHS = 8_192, 6
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 8.0, 0.0
 
 
 def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
