@@ -97,43 +97,24 @@ def choose_anchors(ts: list[Template], idf: dict[str, float], per_template: int
         t.anchors = [(w, t.words.index(w)) for w in rare if t.base or t.words.count(w) == 1]
 
 
-def _at(begin: Column, i: int) -> Column:
-    return F.get("words", begin + F.lit(i))
+def _begins(anchor: str, place: int) -> str:
+    """Where a template would begin, for each hit of its anchor (SQL text: one parse for all templates)."""
+    return f"transform(filter(hits, h -> h.w = '{anchor}'), h -> h.p - {place})"
 
 
-def _begins(anchor: str, place: int) -> Column:
-    """Where a template would begin, for each hit of its anchor."""
-    return F.transform(F.filter("hits", lambda h: h["w"] == anchor), lambda h: h["p"] - F.lit(place))
-
-
-def _verified(t: Template) -> Column:
+def _verified(t: Template) -> str:
     """The places (word numbers) where the template begins."""
     found = [_begins(a, p) for a, p in t.anchors]
-    if len(found) > 1:
-        pairs = [F.array_intersect(x, y) for i, x in enumerate(found) for y in found[:i]]
-        places = F.array_distinct(F.concat(*pairs))
-    else:
-        places = F.array_distinct(found[0])
-
-    def holds(o: Column) -> Column:
-        out = F.lit(True)
-        for lo, hi in t.phrases:
-            for i in range(lo, hi):
-                out = out & F.coalesce(_at(o, i) == t.words[i], F.lit(False))
-        return out
-    return F.filter(places, holds)
-
-
-def _share(t: Template, idf: dict[str, float], places: Column) -> Column:
-    """The largest IDF-weighted share of the template's words over its places; null without one."""
-    whole = sum(idf[w] for w in t.words)
+    pairs = [f"array_intersect({x}, {y})" for i, x in enumerate(found) for y in found[:i]]
+    places = f"array_distinct(concat({', '.join(pairs)}))" if pairs else f"array_distinct({found[0]})"
+    holds = " AND ".join(f"get(words, o + {i}) <=> '{t.words[i]}'" for lo, hi in t.phrases for i in range(lo, hi))
+    return f"filter({places}, o -> {holds})"
 
-    def share(o: Column) -> Column:
-        got = F.lit(0.0)
-        for i, w in enumerate(t.words):
-            got = got + F.when(_at(o, i) == w, F.lit(idf[w])).otherwise(F.lit(0.0))
-        return F.least(got / F.lit(whole), F.lit(1.0))
-    return F.array_max(F.transform(places, share))
+
+def _share(t: Template, idf: dict[str, float], places: str) -> str:
+    """The largest IDF-weighted share of the template's words over its places; null without one."""
+    got = " + ".join(f"if(get(words, o + {i}) <=> '{w}', {idf[w]!r}D, 0D)" for i, w in enumerate(t.words))
+    return f"array_max(transform({places}, o -> least(({got}) / {sum(idf[w] for w in t.words)!r}D, 1D)))"
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -145,12 +126,12 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     anchors = sorted({a for t in ts for a, _ in t.anchors})
     hits = F.filter(F.transform("words", lambda w, i: F.when(w.isin(anchors), F.struct(i.alias("p"), w.alias("w")))), lambda h: h.isNotNull())
     looked = words.select("id", "words", hits.alias("hits"))
-    placed = looked.select("id", "words", *[_verified(t).alias(f"t{i}") for i, t in enumerate(ts)])
-    match = F.filter(F.array(*[
-        F.struct(F.lit(t.label).alias("label"), F.lit(t.base).alias("base"), F.array_min(f"t{i}").alias("place"), _share(t, idf, F.col(f"t{i}")).alias("share"))
-        for i, t in enumerate(ts)]), lambda m: m["place"].isNotNull())
-    base = F.array_sort(F.concat(*[F.col(f"t{i}") for i, t in enumerate(ts) if t.base]))
-    return placed.select("id", F.size("words").cast("long").alias("n_words"), base.alias("base_places"), match.alias("matches"))
+    placed = looked.selectExpr("id", "words", *[f"{_verified(t)} AS t{i}" for i, t in enumerate(ts)])
+    match = ", ".join(f"named_struct('label', '{t.label}', 'base', {str(t.base).lower()}, 'place', array_min(t{i}), 'share', {_share(t, idf, f't{i}')})" for i, t in enumerate(ts))
+    base = ", ".join(f"t{i}" for i, t in enumerate(ts) if t.base)
+    return placed.selectExpr(
+        "id", "CAST(size(words) AS bigint) AS n_words", f"array_sort(concat({base})) AS base_places",
+        f"filter(array({match}), m -> m.place IS NOT NULL) AS matches")
 
 
 def op8_license_scan(spark, sf_dir: str) -> DataFrame:
