@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from consult.llm import bpe, chat_format, decontaminate, exact_dedup, language_id, license_scan, toxicity, warc
+from consult.llm import bpe, chat_format, decontaminate, exact_dedup, language_id, license_scan, ngram_join, substring_dedup, toxicity, warc
 
 QUERIES = {
+    "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_byte_bpe": bpe.op3_byte_bpe,
     "op4_chat_format": chat_format.op4_chat_format,
@@ -13,6 +14,7 @@ QUERIES = {
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_license_scan": license_scan.op8_license_scan,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
+    "op10_ngram_jaccard": ngram_join.op10_ngram_jaccard,
 }
 
 ORACLE = {
