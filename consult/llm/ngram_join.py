@@ -5,17 +5,20 @@ similarity of 0.8 or more. Equal texts are one node, so copies cost a row each.
 
 1. Every text gets ``HASHES`` MinHash values; 16 bands of four put nodes into
    buckets (a pair at 0.8 shares none with probability 0.0002).
-2. In each bucket the node with most copies is the pivot; all others are
-   compared with it, not with each other.
+2. In each bucket the pivot is the node whose buckets are largest in sum (of a
+   text and its variants, the text they stem from); all others are compared
+   with it, not with each other.
 3. A comparison looks at eight more MinHash values at a time. With a uniform
    prior, m agreements of n leave similarity Beta(m+1, n-m+1); a pair whose
    probability of reaching the threshold falls below ``TOLERANCE`` is dropped.
    The others are verified on their exact shingle sets.
 4. Members of a bucket that their pivot did not link are compared with all of
-   the bucket, in blocks of about ``BLOCK`` signatures on both sides: one row
-   per pair of blocks, the comparison (step 3) inside it. Pairs that links
-   already connect are left out; the rest are verified. So every pair that
-   shares a bucket is linked, connected, or refuted, and no bucket is capped.
+   the bucket, in blocks of about ``BLOCK`` on both sides: one row per pair of
+   blocks, the comparison (step 3) inside it, each pair in its first common
+   band only. Similarity is exact there too: a member is kept as its difference
+   from the pivot, which is short for near copies. Pairs that links already
+   connect are passed over. So every pair that shares a bucket is linked,
+   connected or refuted, no bucket is capped, and rows come out for links only.
 5. Connected components of the links are the classes; a class is named by its
    largest id.
 
@@ -39,7 +42,9 @@ from consult.llm.common import fresh, keep_rows, stage, text_or_empty
 from consult.llm.graph import components
 from consult.llm.words import Words, chunks, seeds
 
-THRESHOLD, HASHES, BAND, TOLERANCE, BLOCK, STEP = 0.8, 64, 4, 1e-4, 256, 8
+THRESHOLD, HASHES, BAND, TOLERANCE, STEP = 0.8, 64, 4, 1e-4, 8
+#: Members of a block, and bytes of their differences, about.
+BLOCK, BLOCK_BYTES = 256, 4 << 20
 
 
 def least_matches(threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> list[tuple[int, int]]:
@@ -89,66 +94,111 @@ def _sketch(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "node binary, sig binary")
 
 
-def _array(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, HASHES)
+def _array(values: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(values), np.uint32).reshape(-1, HASHES)
 
 
-def _prune(pairs: DataFrame, sketch: DataFrame) -> DataFrame:
-    """The pairs (a, b) that Bayesian pruning leaves."""
-    steps = least_matches()
-
+def _sets(rows: DataFrame) -> DataFrame:
+    """(node, sig, shingles): signatures and sorted distinct shingles of (node, t)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in batches:
-            keep = pa.array(survivors(_array(x.column("sa")), _array(x.column("sb")), steps)) if x.num_rows else pa.array([], pa.int64())
-            yield pa.RecordBatch.from_arrays([x.column("a").take(keep), x.column("b").take(keep)], ["a", "b"])
-    a, b = sketch.select(F.col("node").alias("a"), F.col("sig").alias("sa")), sketch.select(F.col("node").alias("b"), F.col("sig").alias("sb"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a binary, b binary")
-
-
-def jaccards(left: list[bytes], right: list[bytes]) -> np.ndarray:
-    """Exact shingle similarity of text pairs."""
-    (x, _, fx), (y, _, fy) = Words(left).shingles(), Words(right).shingles()
-    out = np.zeros(len(left))
-    for i in range(len(left)):
-        p, q = np.unique(x[fx[i]:fx[i + 1]]), np.unique(y[fy[i]:fy[i + 1]])
-        both = len(np.intersect1d(p, q, assume_unique=True))
-        out[i] = both / max(1, len(p) + len(q) - both)
-    return out
+        for b, texts in chunks(batches, "t"):
+            sig, _ = signatures(texts)
+            sh, _, first = Words(texts).shingles()
+            own = [np.unique(sh[first[i]:first[i + 1]]).tobytes() for i in range(len(texts))]
+            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array([x.tobytes() for x in sig], pa.binary()), pa.array(own, pa.binary())], ["node", "sig", "shingles"])
+    return rows.mapInArrow(run, "node binary, sig binary, shingles binary")
 
 
-def _verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose exact similarity reaches ``threshold``, with it."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x, left in chunks(batches, "ta", 1 << 19):
-            s = jaccards(left, [t or b"" for t in x.column("tb").cast(pa.binary()).to_pylist()])
-            keep = pa.array(np.flatnonzero(s >= threshold))
-            yield pa.RecordBatch.from_arrays([x.column("a").take(keep), x.column("b").take(keep), pa.array(s).take(keep)], ["a", "b", "similarity"])
-    a, b = texts.select(F.col("node").alias("a"), F.col("t").alias("ta")), texts.select(F.col("node").alias("b"), F.col("t").alias("tb"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary, similarity double")
+STAR = "node binary, pivot binary, similarity double, n_pivot long, less binary, more binary"
+
 
+def _compare_with_pivot(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, pivot) with exact similarity (null where pruned), the pivot's size, and how the node differs.
 
-def _block_pairs(open_: DataFrame, members: DataFrame) -> DataFrame:
-    """Pairs (a < b) of an unlinked node and any node of its bucket that pruning leaves; compared block by block."""
-    steps = least_matches()
+    ``less`` has the pivot's shingles that the node lacks, ``more`` those the pivot lacks.
+    """
+    steps, schema = least_matches(), pa.schema([("node", pa.binary()), ("pivot", pa.binary()), ("similarity", pa.float64()), ("n_pivot", pa.int64()), ("less", pa.binary()), ("more", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            for r in x.to_pylist():
-                got = set()
-                a, b = [np.frombuffer(b"".join(r[k]), np.uint32).reshape(-1, HASHES) for k in ("su", "sv")]
-                for i, node in enumerate(r["nu"]):
-                    for j in survivors(np.broadcast_to(a[i], b.shape), b, steps):
-                        if node != r["nv"][j]:
-                            got.add((min(node, r["nv"][j]), max(node, r["nv"][j])))
-                if got:
-                    yield pa.RecordBatch.from_pylist([{"a": p, "b": q} for p, q in got], pa.schema([("a", pa.binary()), ("b", pa.binary())]))
-
-    def blocks(rows: DataFrame, block: str, nodes: str, sigs: str) -> DataFrame:
-        part = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK)).alias(block)
-        g = rows.select("key", part, F.struct("node", "sig").alias("m")).groupBy("key", block).agg(F.collect_list("m").alias("m"))
-        return stage(g.select("key", F.col("m.node").alias(nodes), F.col("m.sig").alias(sigs)), "blocks")
-    pairs = blocks(open_, "bu", "nu", "su").join(blocks(members, "bv", "nv", "sv"), "key")
-    return pairs.mapInArrow(run, "a binary, b binary").distinct()
+            for lo in range(0, x.num_rows, 1000):
+                part = x.slice(lo, 1000).to_pydict()
+                alive = set(survivors(_array(part["sn"]), _array(part["sp"]), steps).tolist())
+                rows = []
+                for i, (n, p) in enumerate(zip(part["hn"], part["hp"], strict=True)):
+                    n, p = np.frombuffer(n, np.uint64), np.frombuffer(p, np.uint64)
+                    more, less = np.setdiff1d(n, p, True), np.setdiff1d(p, n, True)
+                    rows.append({"node": part["node"][i], "pivot": part["pivot"][i], "similarity": (len(n) - len(more)) / (len(p) + len(more)) if i in alive else None,
+                                 "n_pivot": len(p), "less": less.tobytes(), "more": more.tobytes()})
+                yield pa.RecordBatch.from_pylist(rows, schema)
+    n = sets.select("node", F.col("sig").alias("sn"), F.col("shingles").alias("hn"))
+    p = sets.select(F.col("node").alias("pivot"), F.col("sig").alias("sp"), F.col("shingles").alias("hp"))
+    return pairs.join(n, "node").join(p, "pivot").select("node", "pivot", "sn", "sp", "hn", "hp").mapInArrow(run, STAR)
+
+
+def _overlaps(a: list[np.ndarray], b: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of sets a[i] and b[j], pair by pair."""
+    ua, ub = np.unique(i), np.unique(j)
+    held = [a[k] for k in ua] + [b[k] for k in ub]
+    _, number = np.unique(np.concatenate(held), return_inverse=True)
+    width = int(number.max()) + 1 if len(number) else 0
+    if (len(ua) + len(ub)) * width > 1 << 24:
+        return np.array([len(np.intersect1d(a[x], b[y], assume_unique=True)) for x, y in zip(i, j, strict=True)], np.int64)
+    table = np.zeros((len(held), max(width, 1)), np.float32)
+    table[np.repeat(np.arange(len(held)), [len(x) for x in held]), number] = 1
+    both = table[:len(ua)] @ table[len(ua):].T
+    return both[np.searchsorted(ua, i), np.searchsorted(ub, j)].astype(np.int64)
+
+
+def _link_blocks(r: dict, steps: list[tuple[int, int]], threshold: float) -> list[dict]:
+    """Verified links between two blocks of one bucket: other root, first band in common, not pruned, exact."""
+    a, b = _array(r["su"]), _array(r["sv"])
+    bands = b.reshape(len(b), -1, BAND)
+    roots = np.array([hash(x) for x in r["rv"]], np.int64)
+    left, right = [], []
+    for i in range(len(a)):
+        j = np.flatnonzero(roots != hash(r["ru"][i]))
+        j = j[(bands[j] == a[i].reshape(1, -1, BAND)).all(2).argmax(1) == r["band"]] if len(j) else j
+        j = j[survivors(np.broadcast_to(a[i], (len(j), HASHES)), b[j], steps)]
+        left.append(np.full(len(j), i))
+        right.append(j)
+    i, j = np.concatenate(left), np.concatenate(right)
+    if not len(i):
+        return []
+    sets = {k: [np.frombuffer(x or b"", np.uint64) for x in r[k]] for k in ("lu", "lv", "mu", "mv")}
+    size = {k: np.array([len(x) for x in v]) for k, v in sets.items()}
+    lost = size["lu"][i] + size["lv"][j] - _overlaps(sets["lu"], sets["lv"], i, j)
+    both = r["n_pivot"] - lost + _overlaps(sets["mu"], sets["mv"], i, j)
+    whole = 2 * r["n_pivot"] - size["lu"][i] + size["mu"][i] - size["lv"][j] + size["mv"][j] - both
+    s = both / np.maximum(whole, 1)
+    return [{"a": min(p, q), "b": max(p, q), "similarity": float(s[k])} for k in np.flatnonzero(s >= threshold) if (p := r["nu"][i[k]]) != (q := r["nv"][j[k]])]
+
+
+def _link_unlinked(members: DataFrame, threshold: float) -> DataFrame:
+    """Links (a < b, similarity) of members whose pivot did not link them with members of another root.
+
+    ``members``: key, band, n, node, pivot, open, sig, root, n_pivot, less, more. Both sides are
+    cut into blocks by their number and bytes; a row is a pair of blocks, what it gives are links.
+    """
+    steps, schema = least_matches(), pa.schema([("a", pa.binary()), ("b", pa.binary()), ("similarity", pa.float64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            for k in range(x.num_rows):
+                if got := _link_blocks(x.slice(k, 1).to_pylist()[0], steps, threshold):
+                    yield pa.RecordBatch.from_pylist(got, schema)
+
+    size = F.coalesce(F.octet_length("less"), F.lit(0)) + F.coalesce(F.octet_length("more"), F.lit(0))
+    total = members.groupBy("key").agg(F.max(F.col("open").cast("int")).alias("any"), F.sum(size).alias("bytes")).where("any = 1")
+    around = stage(members.join(stage(total.select("key", "bytes"), "totals"), "key"), "around")
+
+    def blocks(rows: DataFrame, side: str, *more) -> DataFrame:
+        parts = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES))
+        names = [("node", "n"), ("sig", "s"), ("root", "r"), ("less", "l"), ("more", "m")]
+        g = rows.groupBy("key", F.pmod(F.xxhash64("node"), parts).alias("block")).agg(F.collect_list(F.struct(*[c for c, _ in names])).alias("x"), *more)
+        return stage(g.select("key", *[F.col(f"x.{c}").alias(f"{n}{side}") for c, n in names], *(["band", "n_pivot"] if more else [])), "blocks")
+    pairs = blocks(around.where("open"), "u", F.max("band").alias("band"), F.max("n_pivot").alias("n_pivot")).join(blocks(around, "v"), "key")
+    return pairs.drop("key").mapInArrow(run, "a binary, b binary, similarity double").distinct()
 
 
 def find_links(rows: DataFrame, nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -156,26 +206,22 @@ def find_links(rows: DataFrame, nodes: DataFrame, threshold: float = THRESHOLD)
     own = rows.join(nodes.select(F.col("node").alias("n_node"), "keep"), (F.col("node") == F.col("n_node")) & F.col("id").eqNullSafe(F.col("keep")))
     sketch = stage(_sketch(own.select("node", "t")).dropDuplicates(["node"]), "sketch")
     keys = F.transform(F.sequence(F.lit(0), F.lit(HASHES // BAND - 1)), lambda k: F.xxhash64(k, F.substring("sig", k * (4 * BAND) + 1, F.lit(4 * BAND))))
-    bands = stage(sketch.join(nodes.select("node", "copies"), "node").select("node", "copies", F.explode(keys).alias("key")), "bands")
-    buckets = bands.groupBy("key").agg(F.count("*").alias("n"), F.max(F.struct("copies", "node"))["node"].alias("pivot")).where("n > 1")
-    members = stage(bands.join(stage(buckets, "buckets"), "key").select("key", "node", "pivot", "n"), "members")
+    bands = stage(sketch.join(nodes.select("node", "copies"), "node").select("node", "copies", F.posexplode(keys).alias("band", "key")), "bands")
+    sizes = stage(bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
+    shared = stage(bands.join(sizes, "key"), "shared")
+    weight = stage(shared.groupBy("node").agg(F.sum("n").alias("weight")), "weights")
+    pivots = shared.join(weight, "node").groupBy("key").agg(F.max(F.struct("weight", "copies", "node"))["node"].alias("pivot"))
+    members = stage(shared.join(stage(pivots, "pivots"), "key").select("key", "band", "n", "node", "pivot"), "members")
     texts = own.select("node", "t").join(members.select("node").distinct(), "node").dropDuplicates(["node"])
-    texts = stage(texts, "texts")
-    a, b = F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")
-    star = stage(_prune(members.where("node <> pivot").select(a, b).distinct(), sketch), "pairs")
-    links = stage(_verify(star, texts, threshold), "verified")
-
-    left = members.where("node <> pivot").select("key", "node", "n", a, b).join(links.select("a", "b"), ["a", "b"], "left_anti")
-    left = stage(left.select("key", "node", "n"), "open")
-    if left.isEmpty():
-        return links
-    around = members.join(left.select("key").distinct(), "key", "left_semi").select("key", "node", "n")
-    more = stage(_block_pairs(left.join(sketch, "node"), around.join(sketch, "node")), "pairs")
-    roots = components(links)
-    ra, rb = roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-    apart = more.join(ra, "a", "left").join(rb, "b", "left").where(~F.coalesce(F.col("ra") == F.col("rb"), F.lit(False))).select("a", "b")
-    apart = stage(apart.join(links.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-    return stage(links.unionByName(_verify(apart, texts, threshold)), "verified")
+    sets = stage(_sets(texts), "sets")
+    star = stage(_compare_with_pivot(members.where("node <> pivot").select("node", "pivot").distinct(), sets), "star")
+    links = star.where(F.col("similarity") >= threshold).select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"), "similarity")
+    links = stage(links.dropDuplicates(["a", "b"]), "links")
+
+    told = members.join(star, ["node", "pivot"], "left").withColumn("open", (F.col("node") != F.col("pivot")) & ~F.coalesce(F.col("similarity") >= threshold, F.lit(False)))
+    signed = sets.select("node", "sig").join(components(links), "node", "left").select("node", "sig", F.coalesce("root", "node").alias("root"))
+    rest = _link_unlinked(stage(told.join(signed, "node"), "members"), threshold)
+    return stage(links.unionByName(rest), "links")
 
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
