@@ -174,11 +174,12 @@ def _link_blocks(r: dict, steps: list[tuple[int, int]], threshold: float) -> lis
     return [{"a": min(p, q), "b": max(p, q), "similarity": float(s[k])} for k in np.flatnonzero(s >= threshold) if (p := r["nu"][i[k]]) != (q := r["nv"][j[k]])]
 
 
-def _link_unlinked(members: DataFrame, threshold: float) -> DataFrame:
+def _link_unlinked(members: DataFrame, wide: DataFrame, threshold: float) -> DataFrame:
     """Links (a < b, similarity) of members whose pivot did not link them with members of another root.
 
-    ``members``: key, band, n, node, pivot, open, sig, root, n_pivot, less, more. Both sides are
-    cut into blocks by their number and bytes; a row is a pair of blocks, what it gives are links.
+    ``members``: key, band, n, node, pivot, root, open, size; ``wide``: node, pivot, sig, n_pivot,
+    less, more. Buckets without an unlinked member or of one root are done. Both sides are cut
+    into blocks by their number and bytes; a row is a pair of blocks, what it gives are links.
     """
     steps, schema = least_matches(), pa.schema([("a", pa.binary()), ("b", pa.binary()), ("similarity", pa.float64())])
 
@@ -188,9 +189,9 @@ def _link_unlinked(members: DataFrame, threshold: float) -> DataFrame:
                 if got := _link_blocks(x.slice(k, 1).to_pylist()[0], steps, threshold):
                     yield pa.RecordBatch.from_pylist(got, schema)
 
-    size = F.coalesce(F.octet_length("less"), F.lit(0)) + F.coalesce(F.octet_length("more"), F.lit(0))
-    total = members.groupBy("key").agg(F.max(F.col("open").cast("int")).alias("any"), F.sum(size).alias("bytes")).where("any = 1")
-    around = stage(members.join(stage(total.select("key", "bytes"), "totals"), "key"), "around")
+    total = members.groupBy("key").agg(F.max(F.col("open").cast("int")).alias("any"), F.min("root").alias("low"), F.max("root").alias("high"), F.sum("size").alias("bytes"))
+    total = stage(total.where("any = 1 AND low <> high").select("key", "bytes"), "totals")
+    around = members.join(total, "key").join(wide, ["node", "pivot"])
 
     def blocks(rows: DataFrame, side: str, *more) -> DataFrame:
         parts = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES))
@@ -203,8 +204,7 @@ def _link_unlinked(members: DataFrame, threshold: float) -> DataFrame:
 
 def find_links(rows: DataFrame, nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Verified links (a < b, similarity); ``rows`` has id, node, t, ``nodes`` has node, copies, keep."""
-    own = rows.join(nodes.select(F.col("node").alias("n_node"), "keep"), (F.col("node") == F.col("n_node")) & F.col("id").eqNullSafe(F.col("keep")))
-    sketch = stage(_sketch(own.select("node", "t")).dropDuplicates(["node"]), "sketch")
+    sketch = stage(_sketch(rows.select("node", "t")).dropDuplicates(["node"]), "sketch")
     keys = F.transform(F.sequence(F.lit(0), F.lit(HASHES // BAND - 1)), lambda k: F.xxhash64(k, F.substring("sig", k * (4 * BAND) + 1, F.lit(4 * BAND))))
     bands = stage(sketch.join(nodes.select("node", "copies"), "node").select("node", "copies", F.posexplode(keys).alias("band", "key")), "bands")
     sizes = stage(bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
@@ -212,15 +212,23 @@ def find_links(rows: DataFrame, nodes: DataFrame, threshold: float = THRESHOLD)
     weight = stage(shared.groupBy("node").agg(F.sum("n").alias("weight")), "weights")
     pivots = shared.join(weight, "node").groupBy("key").agg(F.max(F.struct("weight", "copies", "node"))["node"].alias("pivot"))
     members = stage(shared.join(stage(pivots, "pivots"), "key").select("key", "band", "n", "node", "pivot"), "members")
-    texts = own.select("node", "t").join(members.select("node").distinct(), "node").dropDuplicates(["node"])
-    sets = stage(_sets(texts), "sets")
+    wanted = members.select("node").distinct().join(nodes.select("node", "keep"), "node").select(F.col("node").alias("n_node"), "keep")
+    own = rows.join(wanted, (F.col("node") == F.col("n_node")) & F.col("id").eqNullSafe(F.col("keep")))
+    sets = stage(_sets(own.select("node", "t")).dropDuplicates(["node"]), "sets")
     star = stage(_compare_with_pivot(members.where("node <> pivot").select("node", "pivot").distinct(), sets), "star")
     links = star.where(F.col("similarity") >= threshold).select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"), "similarity")
     links = stage(links.dropDuplicates(["a", "b"]), "links")
 
-    told = members.join(star, ["node", "pivot"], "left").withColumn("open", (F.col("node") != F.col("pivot")) & ~F.coalesce(F.col("similarity") >= threshold, F.lit(False)))
-    signed = sets.select("node", "sig").join(components(links), "node", "left").select("node", "sig", F.coalesce("root", "node").alias("root"))
-    rest = _link_unlinked(stage(told.join(signed, "node"), "members"), threshold)
+    roots = stage(components(links), "roots")
+    named = sets.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+    near = star.select("node", "pivot", F.coalesce(F.col("similarity") >= threshold, F.lit(False)).alias("near"), (F.octet_length("less") + F.octet_length("more")).alias("size"))
+    told = members.join(near, ["node", "pivot"], "left").join(named, "node")
+    told = stage(told.select("key", "band", "n", "node", "pivot", "root", ((F.col("node") != F.col("pivot")) & ~F.col("near")).alias("open"), F.coalesce("size", F.lit(0)).alias("size")), "told")
+    differ = star.select("node", "pivot", "n_pivot", "less", "more").join(sets.select("node", "sig"), "node")
+    own_pivot = members.where("node = pivot").select("node", "pivot").distinct().join(sets.select("node", "sig"), "node")
+    nothing = [F.lit(None).cast(k).alias(c) for c, k in (("n_pivot", "long"), ("less", "binary"), ("more", "binary"))]
+    wide = stage(differ.unionByName(own_pivot.select("node", "pivot", *nothing, "sig")), "wide")
+    rest = _link_unlinked(told, wide, threshold)
     return stage(links.unionByName(rest), "links")
 
 
