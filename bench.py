@@ -30,7 +30,6 @@ def consume(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    fits = os.environ.get("BENCH_FITS", "1") != "0"
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE", "16")),
                           extra={"spark.driver.memory": "16g"})
     from consult.operators import metrics as X
@@ -86,7 +85,7 @@ def main() -> None:
     for d in te.values():
         d.count()
     models = {}
-    learners = M.LEARNERS if fits else ["logistic_regression"]
+    learners = M.LEARNERS
     for fs in ("baseline", "enhanced"):
         for lr in learners:
             models[(lr, fs)] = timed(f"fit_{lr}_{fs}", lambda: M.fit(tr[fs], lr, fs, n_train=n_tr[fs]))

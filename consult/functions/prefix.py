@@ -5,17 +5,18 @@ Dense ids (1..N), cumulative distributions and ROC / PR curves all need a
 running count over a *total* order, so they share this primitive:
 
 1. the caller reduces first (distinct ids, one row per distinct score);
-2. a reduced table at or below ``threshold`` rows uses the plain window;
-3. a larger one is range-partitioned on the order key and sorted inside each
-   partition, then written to the shared checkpoint folder (range bounds are
-   sampled, so a recomputation after a lost executor could move rows between
-   partitions; the checkpoint pins them). One total per partition is
+2. the reduced table is range-partitioned on the order key and sorted inside
+   each partition, then written to the shared checkpoint folder (range bounds
+   are sampled, so a recomputation after a lost executor could move rows
+   between partitions; the checkpoint pins them). One total per partition is
    aggregated (a table with exactly ``numPartitions`` rows, so its broadcast
    is bounded) and turned into exclusive offsets. A dense index then needs
    no window at all (position in the partition from
    ``monotonically_increasing_id``); general running sums add the offsets to
    a window partitioned by the captured partition id (one more exchange of
    the reduced table, never of the raw rows).
+
+There is one path, whatever the size.
 """
 
 from __future__ import annotations
@@ -23,7 +24,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_THRESHOLD = 1_000_000
 _PID = "_prefix_pid"
 
 
@@ -32,24 +32,15 @@ def _order_cols(order: list) -> list[Column]:
 
 
 def prefix_sums(df: DataFrame, order: list, sums: dict[str, Column | str],
-                threshold: int | None = DEFAULT_THRESHOLD, num_partitions: int | None = None,
-                method: str = "auto") -> DataFrame:
+                num_partitions: int | None = None) -> DataFrame:
     """Add inclusive running sums ``{out_name: value}`` over the total ``order``.
 
     ``order`` must be unique per row (a key of the reduced table), otherwise
     ties make the running value order-dependent.
-    ``method``: ``auto`` (count, then pick), ``window`` or ``range``.
     """
     spark = df.sparkSession
     ords = _order_cols(order)
     vals = {k: (F.col(v) if isinstance(v, str) else v) for k, v in sums.items()}
-    if method == "auto":
-        n = df.count()
-        method = "window" if threshold is not None and n <= threshold else "range"
-    if method == "window":
-        w = Window.orderBy(*ords).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.select("*", *[F.sum(v).over(w).alias(k) for k, v in vals.items()])
-
     from consult.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
     nparts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -71,23 +62,16 @@ def prefix_sums(df: DataFrame, order: list, sums: dict[str, Column | str],
 
 
 def dense_index(df: DataFrame, order: list, out: str = "idx", start: int = 1,
-                threshold: int | None = DEFAULT_THRESHOLD, method: str = "auto",
                 num_partitions: int | None = None) -> DataFrame:
     """``start``-based position of each row in the total ``order``.
 
-    Range path without any window: after the range shuffle and the sort
+    No window is needed: after the range shuffle and the sort
     inside each partition, ``monotonically_increasing_id`` is
     (partition index << 33) + position in the partition, so the position
     comes for free in the same narrow stage; the checkpoint pins it. One row
     per partition gives the offsets (bounded broadcast)."""
     spark = df.sparkSession
     ords = _order_cols(order)
-    if method == "auto":
-        n = df.count()
-        method = "window" if threshold is not None and n <= threshold else "range"
-    if method == "window":
-        w = Window.orderBy(*ords)
-        return df.select("*", (F.row_number().over(w) + F.lit(start - 1)).cast("bigint").alias(out))
     from consult.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
     nparts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))

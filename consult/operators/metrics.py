@@ -96,7 +96,9 @@ def running_counts(counts: DataFrame, groups: list[str] | None = None, **prefix_
         tot = tot.select(*groups, "P", "N",
                          F.coalesce(F.sum("P").over(wg), F.lit(0)).alias("__bp"),
                          F.coalesce(F.sum("N").over(wg), F.lit(0)).alias("__bn"))
-        c = c.join(F.broadcast(tot), groups, "inner")
+        named = tot.select(*[F.col(g).alias(f"__{g}") for g in groups], "P", "N", "__bp", "__bn")
+        same = [c[g].eqNullSafe(named[f"__{g}"]) for g in groups]
+        c = c.join(named, same, "inner")
         return c.select(*groups, "score", "pos", "neg",
                         (F.col("g_pos") - F.col("__bp")).alias("cum_pos"),
                         (F.col("g_neg") - F.col("__bn")).alias("cum_neg"), "P", "N")

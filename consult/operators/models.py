@@ -94,7 +94,8 @@ def cross_validate(df: DataFrame, learner: str, feature_set: str, folds_col: str
     """(fold, auc) for each held-out fold; ``df`` carries the fold column.
     Each fold's AUC is the exact distributed metric."""
     spark = df.sparkSession
-    data = df.cache()
+    held = df.storageLevel.useMemory or df.storageLevel.useDisk
+    data = df if held else df.cache()
 
     def one(f):
         tr = data.where(F.col(folds_col) != f)
@@ -109,7 +110,8 @@ def cross_validate(df: DataFrame, learner: str, feature_set: str, folds_col: str
             res = list(ex.map(one, range(k)))
     else:
         res = [one(f) for f in range(k)]
-    data.unpersist()
+    if not held:
+        data.unpersist()
     return spark.createDataFrame(res, "fold int, auc double")
 
 
@@ -157,7 +159,7 @@ def train_all(train_sets: dict[str, DataFrame], learners: list[str] = LEARNERS,
                 cvm, cvs = s["cv_mean"], s["cv_std"]
             return pair, m, (learner, fs, counts[fs], len(FEATURE_SETS[fs]), cvm, cvs, secs, None)
         except Exception as e:  # keep going with the other learners
-            return pair, None, (learner, fs, counts[fs], len(FEATURE_SETS[fs]), None, None, None, str(e)[:500])
+            return pair, None, (learner, fs, counts[fs], len(FEATURE_SETS[fs]), None, None, None, str(e))
 
     pairs = [(lr, fs) for fs in train_sets for lr in learners]
     if parallelism > 1:

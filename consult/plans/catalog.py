@@ -1181,12 +1181,12 @@ def q_client_request_peaks(spark, d):
 
 @register("permission_check", P.q(["request_log", "api_keys"], [], """
 SELECT r.request_id, r.client_id, r.path, r.api_key,
-       CASE WHEN r.path = '/api/v1/health' THEN NULL WHEN r.path LIKE '/api/v1/nbe/predict%' THEN 'predict'
-            WHEN r.path LIKE '%/models/%' THEN 'info' ELSE 'predict' END AS required_permission,
-       CASE WHEN r.path = '/api/v1/health' THEN 200
+       CASE WHEN r.path IN ('/api/v1/health', '/docs', '/redoc', '/openapi.json', '/') THEN NULL
+            WHEN r.path LIKE '/api/v1/nbe/predict%' THEN 'predict' ELSE 'key' END AS required_permission,
+       CASE WHEN r.path IN ('/api/v1/health', '/docs', '/redoc', '/openapi.json', '/') THEN 200
             WHEN r.api_key IS NULL OR k.api_key IS NULL THEN 401
-            WHEN NOT list_contains(k.perms, CASE WHEN r.path LIKE '/api/v1/nbe/predict%' THEN 'predict'
-                                                  WHEN r.path LIKE '%/models/%' THEN 'info' ELSE 'predict' END) THEN 403
+            WHEN r.path LIKE '/api/v1/nbe/predict%' AND NOT list_contains(k.perms, 'predict')
+                 AND NOT list_contains(k.perms, 'all') THEN 403
             ELSE 200 END AS auth_status
 FROM request_log r LEFT JOIN (SELECT api_key, list(permission) AS perms FROM api_keys GROUP BY api_key) k
   ON r.api_key = k.api_key"""))

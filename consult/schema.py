@@ -132,7 +132,7 @@ RATE_LIMITS = [
     ("/api/v1/models/info", 60),
     ("/api/v1/health", 120),
 ]
-PUBLIC_PATHS = ["/api/v1/health"]
+PUBLIC_PATHS = ["/api/v1/health", "/docs", "/redoc", "/openapi.json", "/"]
 PREDICT_PREFIX = "/api/v1/nbe/predict"
 
 LOG_LOSS_EPS = 2.220446049250313e-16

@@ -45,8 +45,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/S3/ABFS)
-    folder and is used as is. Only when it is unset (local tests) a scratch
-    folder is created and registered.
+    folder and is used as is. Where it is unset, a local master (tests) gets
+    a scratch folder; any other master is refused.
     """
     sc = spark.sparkContext
     cur = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
@@ -54,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if active and not cur:
         return active
     if not cur:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         cur = tempfile.mkdtemp(prefix="consult-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         try:
             spark.conf.set("spark.checkpoint.dir", cur)

@@ -136,7 +136,7 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Companion key table (key, permission).
-API_KEY_ROWS = [("key-0", "predict"), ("key-0", "info"), ("key-1", "predict"), ("key-2", "info")]
+API_KEY_ROWS = [("key-0", "all"), ("key-1", "predict"), ("key-1", "info"), ("key-2", "info")]
 
 
 def api_keys(spark: SparkSession) -> DataFrame:
@@ -228,7 +228,7 @@ request_log AS (
   FROM events)""",
     "api_keys": """
 api_keys AS (
-  SELECT * FROM (VALUES ('key-0', 'predict'), ('key-0', 'info'), ('key-1', 'predict'), ('key-2', 'info'))
+  SELECT * FROM (VALUES ('key-0', 'all'), ('key-1', 'predict'), ('key-1', 'info'), ('key-2', 'info'))
   AS t(api_key, permission))""",
 }
 

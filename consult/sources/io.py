@@ -40,9 +40,12 @@ def read_consultations(spark: SparkSession, path: str, fmt: str = "parquet",
 
 
 def write_stage(df: DataFrame, path: str, run_id: str, fmt: str = "parquet",
-                mode: str = "append") -> None:
-    """Write one run of a stage under ``run_id=<id>`` (typed Parquet by default)."""
+                mode: str = "overwrite") -> None:
+    """Write one run of a stage under ``run_id=<id>`` (typed Parquet by default).
+
+    Only that run's partition is replaced, so a retried run has its rows once."""
     w = df.withColumn("run_id", F.lit(run_id)).write.mode(mode).partitionBy("run_id")
+    w = w.option("partitionOverwriteMode", "dynamic")
     if fmt == "csv":
         w.option("header", "true").csv(path)
     else:
@@ -65,19 +68,20 @@ def read_stage(spark: SparkSession, path: str, run_id: str | None = None) -> Dat
 
 def latest_file_snapshot(spark: SparkSession, path_glob: str, fmt: str = "csv",
                          schema: T.StructType | None = None) -> DataFrame:
-    """For raw file drops: rows of the most recently modified file matching
-    the glob (file metadata column, no driver-side listing loop)."""
+    """For raw file drops: rows of the newest drop, that is of all files in the
+    folder of the most recently modified file matching the glob (file metadata
+    column, no driver-side listing loop)."""
     r = spark.read.schema(schema or S.RAW_SCHEMA)
     df = (r.option("header", "true").csv(path_glob) if fmt == "csv" else r.format(fmt).load(path_glob))
-    df = df.select("*", F.col("_metadata.file_path").alias("__f"),
+    df = df.select("*", F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("__f"),
                    F.col("_metadata.file_modification_time").alias("__t"))
     newest = df.agg(F.max_by("__f", "__t")).scalar()
     return df.where(F.col("__f") == newest).drop("__f", "__t")
 
 
 def write_report(report: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Tidy report rows as JSON lines (one small file)."""
-    report.coalesce(1).write.mode(mode).json(path)
+    """Tidy report rows as JSON lines."""
+    report.write.mode(mode).json(path)
 
 
 def write_mapping(mapping: DataFrame, path: str) -> None:

@@ -70,22 +70,23 @@ def client_request_peaks(log: DataFrame, limits=S.RATE_LIMITS, ts: str = "ts") -
 
 
 def required_permission(path) -> F.Column:
+    """``predict`` for predictions, ``key`` (any known key) for the rest, null for public paths."""
     return (F.when(path.isin(*S.PUBLIC_PATHS), F.lit(None))
             .when(path.startswith(S.PREDICT_PREFIX), F.lit("predict"))
-            .when(path.contains("/models/"), F.lit("info"))
-            .otherwise(F.lit("predict")))
+            .otherwise(F.lit("key")))
 
 
 def check_permissions(log: DataFrame, keys: DataFrame) -> DataFrame:
     """Per request: public paths pass (200); no or unknown key is 401; a key
-    without the path's permission is 403; else 200. Works as a stream-static
+    without the path's permission (its own name or ``all``) is 403; else 200. Works as a stream-static
     join (the key table is static)."""
     perms = keys.groupBy("api_key").agg(F.collect_set("permission").alias("__perms"))
     j = log.join(perms, "api_key", "left")
     need = required_permission(F.col("path"))
     decision = (F.when(need.isNull(), F.lit(200))
                 .when(F.col("api_key").isNull() | F.col("__perms").isNull(), F.lit(401))
-                .when(~F.array_contains(F.col("__perms"), need), F.lit(403))
+                .when((need != "key") & ~F.array_contains(F.col("__perms"), need)
+                      & ~F.array_contains(F.col("__perms"), "all"), F.lit(403))
                 .otherwise(F.lit(200)))
     return j.select("request_id", "client_id", "path", F.col("api_key"),
                     need.alias("required_permission"), decision.alias("auth_status"))

@@ -23,17 +23,23 @@ def _dir(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:10]}")
 
 
-def land_in_time_order(df: DataFrame, path: str, ts: str = "ts", slices: int = 4) -> None:
-    """Write ``df`` as ``slices`` consecutive event-time ranges, one write
-    each, so file modification order follows event time."""
+def land_in_time_order(df: DataFrame, path: str, ts: str = "ts", slice_rows: int = 500_000) -> None:
+    """Write ``df`` as consecutive event-time ranges of about ``slice_rows`` rows, one file and
+    write each, so file order follows event time and no row comes late. Rows without a time go
+    with the first. Two last files repeat one row at a time far beyond the rest: the time of the
+    one closes every window when the other is read, and their own window never closes."""
     t = F.col(ts).cast("timestamp")
-    lo_hi = df.agg(F.min(t).cast("long").alias("lo"), F.max(t).cast("long").alias("hi")).first()
-    lo, hi = int(lo_hi["lo"]), int(lo_hi["hi"]) + 1
+    span = df.agg(F.min(t).cast("long").alias("lo"), F.max(t).cast("long").alias("hi"), F.count("*").alias("n")).first()
+    lo, hi = int(span["lo"] or 0), int(span["hi"] or 0) + 1
+    slices = max(4, -(-span["n"] // slice_rows))
     step = max((hi - lo + slices - 1) // slices, 1)
-    secs = F.col(ts).cast("timestamp").cast("long")
+    nth = F.coalesce(F.floor((t.cast("long") - lo) / step), F.lit(0))
     for i in range(slices):
-        part = df.where((secs >= lo + i * step) & (secs < lo + (i + 1) * step))
-        part.write.mode("append").parquet(path)
+        df.where(nth == i).coalesce(1).write.mode("append").parquet(path)
+    end = F.timestamp_seconds(F.lit(hi + 400 * 86400)).cast(df.schema[ts].dataType)
+    one = df.where(F.col(ts).isNotNull()).limit(1).withColumn(ts, end)
+    for _ in range(2):
+        one.write.mode("append").parquet(path)
 
 
 def run_scoring_stream(spark: SparkSession, requests: DataFrame, model: PipelineModel, kind: str,

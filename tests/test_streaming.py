@@ -17,11 +17,7 @@ def test_stream_metrics_equal_batch_on_closed_windows(spark):
     s = st.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "path", *cols)
     b = batch.select(*key, *cols)
     assert s.count() > 0
-    # every emitted window matches batch exactly; only still-open windows may be missing
-    assert s.exceptAll(b).count() == 0
-    last = b.groupBy("path").agg(F.max("window_start").alias("m"))
-    missing = b.exceptAll(s).join(last, "path").where(F.col("window_start") < F.col("m"))
-    assert missing.count() == 0
+    assert s.exceptAll(b).count() == 0 and b.exceptAll(s).count() == 0
 
 
 def test_permission_decisions(spark):
@@ -37,7 +33,7 @@ def test_permission_decisions(spark):
         elif path.startswith("/api/v1/nbe/predict"):
             assert st == (200 if key in ("key-0", "key-1") else 403)
         elif path == "/api/v1/models/info":
-            assert st == (200 if key in ("key-0", "key-2") else 403)
+            assert st == 200
 
 
 def test_permission_stream_equals_batch(spark):
@@ -51,12 +47,12 @@ def test_permission_stream_equals_batch(spark):
 
 def test_prediction_monitor_stream_closed_windows(spark):
     from consult.streaming.runner import run_stream
-    preds = FX.prediction_log(spark, SF_SMALL)
+    preds = FX.prediction_log(spark, SF_SMALL).repartition(4)
     st = run_stream(spark, preds, lambda s: R.prediction_monitor(s, "1 hour"), delay="1 hour", name="pm")
     b = R.prediction_monitor(preds, "1 hour")
     s2 = st.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                    *[c for c in b.columns if c != "window_start"])
-    assert s2.count() > 0 and s2.exceptAll(b).count() == 0
+    assert s2.count() > 0 and s2.exceptAll(b).count() == 0 and b.exceptAll(s2).count() == 0
 
 
 def test_rate_limit_stream_equals_batch(spark):
@@ -67,4 +63,4 @@ def test_rate_limit_stream_equals_batch(spark):
     b = R.rate_limit_breaches(log, limits=low)
     s2 = st.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                    *[c for c in b.columns if c != "window_start"])
-    assert s2.count() > 0 and s2.exceptAll(b).count() == 0
+    assert s2.count() > 0 and s2.exceptAll(b).count() == 0 and b.exceptAll(s2).count() == 0
