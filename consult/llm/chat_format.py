@@ -2,8 +2,8 @@
 
 Nodes (tree, node, parent, role, text, score) form reply trees. Iterated
 self-joins double the reach of every node's pointer towards its root, adding
-up scores; after about log2(depth) joins each leaf knows the score of its
-root-to-leaf path. Branches are ranked within their tree by that score and the
+up scores; nodes that reach it leave the joins, and after about log2(depth)
+of them each leaf knows the score of its root-to-leaf path. Branches are ranked within their tree by that score and the
 best ``branches`` are chosen; the same pointers, from the longest to the
 shortest, list the nodes of each chosen path. One path becomes one text:
 
@@ -55,20 +55,22 @@ def root_to_leaf_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
     known = ids.select(F.col("tree").alias("tree"), F.col("node").alias("parent_node"))
     links = nodes.join(known, nodes["tree"].eqNullSafe(known["tree"]) & (nodes["parent"] == known["parent_node"]), "left")
     reach = stage(links.select(nodes["tree"], nodes["node"], F.col("parent_node").alias("up"), nodes["score"].cast("double").alias("gain")), "reach")
-    steps, n, span = [reach], reach.count(), 1
-    while span <= n and not steps[-1].where("up IS NOT NULL").isEmpty():
-        a = steps[-1]
-        b = a.select(F.col("tree").alias("b_tree"), F.col("node").alias("b_node"), F.col("up").alias("b_up"), F.col("gain").alias("b_gain"))
-        far = a.join(b, a["tree"].eqNullSafe(F.col("b_tree")) & (a["up"] == F.col("b_node")), "left")
-        steps.append(stage(far.select("tree", "node", F.col("b_up").alias("up"), (F.col("gain") + F.coalesce("b_gain", F.lit(0.0))).alias("gain")), "reach"))
+    opens, done, n, span = [reach.where("up IS NOT NULL")], reach.where("up IS NULL"), reach.count(), 1
+    while span <= n and not opens[-1].isEmpty():
+        a = opens[-1]
+        b = a.unionByName(done).select(F.col("tree").alias("b_tree"), F.col("node").alias("b_node"), F.col("up").alias("b_up"), F.col("gain").alias("b_gain"))
+        far = a.join(b, a["tree"].eqNullSafe(F.col("b_tree")) & (a["up"] == F.col("b_node")))
+        far = stage(far.select("tree", "node", F.col("b_up").alias("up"), (F.col("gain") + F.col("b_gain")).alias("gain")), "reach")
+        opens.append(far.where("up IS NOT NULL"))
+        done = done.unionByName(far.where("up IS NULL"))
         span *= 2
-    rooted, parents = steps[-1].where("up IS NULL"), reach.where("up IS NOT NULL").select("tree", F.col("up").alias("node")).distinct()
+    rooted, parents = done, reach.where("up IS NOT NULL").select("tree", F.col("up").alias("node")).distinct()
     leaves = rooted.join(parents, rooted["tree"].eqNullSafe(parents["tree"]) & (rooted["node"] == parents["node"]), "left_anti")
     rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("gain"), "node"))
     chosen = leaves.withColumn("rank", rank).where(F.col("rank") <= branches)
     path = chosen.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("back"), F.col("gain").alias("path_score"))
-    for r in range(len(steps) - 2, -1, -1):
-        s = steps[r].where("up IS NOT NULL").select(F.col("tree").alias("s_tree"), F.col("node").alias("s_node"), "up")
+    for r in range(len(opens) - 2, -1, -1):
+        s = opens[r].select(F.col("tree").alias("s_tree"), F.col("node").alias("s_node"), "up")
         path = stage(path, "path")
         more = path.join(s, path["tree"].eqNullSafe(F.col("s_tree")) & (path["node"] == F.col("s_node")))
         path = path.unionByName(more.select("tree", "leaf", F.col("up").alias("node"), (F.col("back") + F.lit(1 << r)).alias("back"), "path_score"))
