@@ -1,28 +1,28 @@
-"""Position inside a group, safe for hot groups.
+"""Position inside a group, whatever the size of the group.
 
 ``row_number() over (partition by key order by ...)`` puts each group in one
-task. When one patient (or one label stratum) holds a large share of the
-rows, that task sorts it alone. Here groups above ``hot_threshold`` rows are
-split into range buckets on the first (ascending) order column, using
-approximate quantiles of that column per hot group. The bucket is a
-monotone function of the first order column, so (bucket, order) is the same
-total order and each bucket can be ranked in its own task; per-bucket
-offsets (one row per hot group and bucket) are added afterwards.
-Groups below the threshold keep the plain window; one extra aggregate (rows
-per key, map-side combined, run eagerly) finds the hot groups, and when
-there are none the plain window is used as is.
+task, so one patient (or one label stratum) with a large share of the rows is
+sorted by one task alone. Here the rows are range-partitioned and sorted by the
+*full* order, keys first: a large group, the null key included, is cut wherever
+the range bounds fall, and rows tied on the first order column are cut by the
+next ones. Range bounds are sampled, so the sorted table is pinned in the shared
+checkpoint folder before it is read.
+
+Rows are then numbered per (partition, group), which is never more than one
+range partition. Only a group at the edge of two or more partitions needs an
+offset, and there are fewer of those than partitions: their pieces are counted
+into a table of at most two rows a partition, which is broadcast. Rows that are
+equal in every key and order column stay together in one range.
+
+There is one path at every size; positions and totals are BIGINT.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-DEFAULT_HOT = 2_000_000
-DEFAULT_BUCKETS = 64
-
-_SPLITTABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+_PID, _MID, _KEY = "__rank_pid", "__rank_mid", "__rank_key"
 
 
 def _c(o) -> Column:
@@ -30,50 +30,35 @@ def _c(o) -> Column:
 
 
 def rank_within(df: DataFrame, keys: list[str], order: list, out: str = "rank",
-                total_out: str | None = None, hot_threshold: int | None = DEFAULT_HOT,
-                buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                total_out: str | None = None, num_partitions: int | None = None) -> DataFrame:
     """Add ``out`` = 1-based position inside ``keys`` by ``order`` (ascending,
     nulls last; the order should be total), and optionally ``total_out`` =
-    rows in the group. ``hot_threshold=None`` uses the plain window, as does
-    an order whose first column is not numeric, date or timestamp (the
-    bucket split needs quantiles of that column)."""
-    ords = [_c(o).asc_nulls_last() for o in order]
-    first_name = order[0] if isinstance(order[0], str) else None
-    first_type = dict((f.name, f.dataType) for f in df.schema.fields).get(first_name)
-    plain = hot_threshold is None or first_type is None or not isinstance(first_type, _SPLITTABLE)
-    if plain:
-        w = Window.partitionBy(*keys).orderBy(*ords)
-        cols = [F.row_number().over(w).cast("int").alias(out)]
-        if total_out:
-            cols.append(F.count(F.lit(1)).over(Window.partitionBy(*keys)).cast("int").alias(total_out))
-        return df.select("*", *cols)
-
-    first = F.col(first_name)
-    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-           .where(F.col("__n") > hot_threshold).select(*keys))
-    if hot.isEmpty():
-        # No hot group: the plain window is exact and needs no extra joins.
-        return rank_within(df, keys, order, out, total_out, hot_threshold=None)
-    probs = [i / buckets for i in range(1, buckets)]
-    splits = (df.join(hot, keys, "left_semi").groupBy(*keys)
-              .agg(F.percentile_approx(first, probs, 10000).alias("__splits")))
-    tagged = df.join(splits, keys, "left").withColumn(
-        "__b",
-        F.when(F.col("__splits").isNull(), F.lit(0))
-         .when(first.isNull(), F.lit(buckets))
-         .otherwise(F.size(F.filter("__splits", lambda s: s < first)))).drop("__splits")
-    w = Window.partitionBy(*keys, "__b").orderBy(*ords)
-    ranked = tagged.select("*", F.row_number().over(w).alias("__r"),
-                           F.count(F.lit(1)).over(Window.partitionBy(*keys, "__b")).alias("__c"))
-    per_bucket = (tagged.join(hot, keys, "left_semi").groupBy(*keys, "__b")
-                  .agg(F.count(F.lit(1)).alias("__bn")))
-    wb = Window.partitionBy(*keys).orderBy("__b")
-    offsets = per_bucket.select(
-        *keys, "__b",
-        F.coalesce(F.sum("__bn").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__off"),
-        F.sum("__bn").over(Window.partitionBy(*keys)).alias("__tot"))
-    res = ranked.join(offsets, [*keys, "__b"], "left")
-    cols = [(F.col("__r") + F.coalesce(F.col("__off"), F.lit(0))).cast("int").alias(out)]
+    rows in the group. Null keys form a group of their own."""
+    from consult.session import ensure_checkpoint_dir
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    nparts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    full = [F.col(k).asc_nulls_first() for k in keys] + [_c(o).asc_nulls_last() for o in order]
+    staged = (df.repartitionByRange(nparts, *full).sortWithinPartitions(*full)
+              .select("*", F.spark_partition_id().alias(_PID),
+                      F.monotonically_increasing_id().alias(_MID))
+              .checkpoint(eager=True))
+    key = F.struct(*keys)
+    # Nulls are lowest in a struct's order too, so min / max are the keys at the two edges.
+    edges = staged.groupBy(_PID).agg(F.min(key).alias("__lo"), F.max(key).alias("__hi"))
+    cut = (edges.select(F.explode(F.array_distinct(F.array("__lo", "__hi"))).alias(_KEY))
+           .groupBy(_KEY).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select(_KEY))
+    pieces = (staged.select(_PID, key.alias(_KEY)).join(F.broadcast(cut), _KEY, "left_semi")
+              .groupBy(_PID, _KEY).agg(F.count(F.lit(1)).alias("__n")))
+    wk = Window.partitionBy(_KEY)
+    before = wk.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = pieces.select(_PID, _KEY, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"),
+                            F.sum("__n").over(wk).alias("__tot"))
+    w = Window.partitionBy(_PID, *keys)
+    ranked = staged.select("*", key.alias(_KEY), F.row_number().over(w.orderBy(_MID)).alias("__r"),
+                           F.count(F.lit(1)).over(w).alias("__c"))
+    res = ranked.join(F.broadcast(offsets), [_PID, _KEY], "left")
+    cols = [(F.col("__r") + F.coalesce(F.col("__off"), F.lit(0))).cast("bigint").alias(out)]
     if total_out:
-        cols.append(F.coalesce(F.col("__tot"), F.col("__c")).cast("int").alias(total_out))
+        cols.append(F.coalesce(F.col("__tot"), F.col("__c")).cast("bigint").alias(total_out))
     return res.select(*df.columns, *cols)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from consult import schema as S
 from consult.functions.exprs import clamp_negative, days_since, flag, r6
-from consult.functions.grouprank import DEFAULT_HOT, rank_within
+from consult.functions.grouprank import rank_within
 
 
 class FeatureSetError(ValueError):
@@ -47,15 +47,16 @@ def days_stats(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def add_consultation_sequence(df: DataFrame, key: str = S.PSEUDO_ID,
-                              hot_threshold: int | None = DEFAULT_HOT) -> DataFrame:
+                              num_partitions: int | None = None) -> DataFrame:
     """consultation_number (1-based by contact date, ties broken by every
     other column, nulls last), is_first_consultation, is_follow_up and
-    total_consultations_for_patient. One shuffle on the patient; hot patients
-    are split into range buckets (see ``grouprank``)."""
+    total_consultations_for_patient. Rows are range-partitioned by the full
+    order, so a patient of any size, or the null patient, is split (see
+    ``grouprank``); the numbers are BIGINT."""
     date = [S.CONTACT_DATE] if S.CONTACT_DATE in df.columns else []
     rest = [c for c in df.columns if c != key and c not in date]
     out = rank_within(df, [key], date + rest, out="consultation_number",
-                      total_out="total_consultations_for_patient", hot_threshold=hot_threshold)
+                      total_out="total_consultations_for_patient", num_partitions=num_partitions)
     n = F.col("consultation_number")
     return out.select(*df.columns, n.alias("consultation_number"),
                       (n == 1).cast("int").alias("is_first_consultation"),

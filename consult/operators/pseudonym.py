@@ -17,10 +17,6 @@ from consult.functions.exprs import r6
 from consult.functions.prefix import dense_index
 
 
-class UnmappedIdsError(ValueError):
-    pass
-
-
 def build_id_mapping(df: DataFrame, key: str = S.ID, unique: bool = False, **prefix_kw) -> DataFrame:
     """(original_id STRING, anonymous_id BIGINT) with ids 1..N in id order.
     Ids are compared as strings (fixes the numeric-id lookup defect).
@@ -33,21 +29,24 @@ def build_id_mapping(df: DataFrame, key: str = S.ID, unique: bool = False, **pre
 
 
 def apply_mapping(df: DataFrame, mapping: DataFrame, key: str = S.ID,
-                  out: str = S.PSEUDO_ID, strict: bool = False) -> DataFrame:
-    """Replace ``key`` with its pseudonym, pseudonym first. ``strict`` runs a
-    count of unmapped rows and raises when it is not 0."""
+                  out: str = S.PSEUDO_ID, strict: bool = True) -> DataFrame:
+    """Replace ``key`` with its pseudonym, pseudonym first.
+
+    A row whose id is null or not in the map fails the job that reads its
+    pseudonym; the check is part of the expression and costs no extra job.
+    ``strict=False`` leaves such pseudonyms null, ``unmapped_rows`` lists them."""
     j = (df.join(mapping.select(F.col("original_id").alias("__k"), F.col("anonymous_id").alias(out)),
                  F.col(key).cast("string") == F.col("__k"), "left"))
-    res = j.select(out, *[c for c in df.columns if c != key])
+    pid = F.col(out)
     if strict:
-        n = unmapped_count(df, mapping, key)
-        if n:
-            raise UnmappedIdsError(f"Anonymization failed for {n} records")
-    return res
+        pid = F.coalesce(pid, F.raise_error(F.lit("Anonymization failed: id missing or not in the map"))
+                         .cast("bigint"))
+    return j.select(pid.alias(out), *[c for c in df.columns if c != key])
 
 
-def unmapped_count(df: DataFrame, mapping: DataFrame, key: str = S.ID) -> int:
-    return (df.join(mapping, F.col(key).cast("string") == F.col("original_id"), "left_anti").count())
+def unmapped_rows(df: DataFrame, mapping: DataFrame, key: str = S.ID) -> DataFrame:
+    """Rows that ``apply_mapping`` refuses: id null or not in the map."""
+    return df.join(mapping, F.col(key).cast("string") == F.col("original_id"), "left_anti")
 
 
 def pseudonymize(df: DataFrame, key: str = S.ID, **prefix_kw) -> tuple[DataFrame, DataFrame]:

@@ -3,9 +3,8 @@
 A patient's position inside its label stratum is its rank by
 ``md5(concat_ws(':', id, seed))``. The test side is the first
 ``ceil(frac * n)`` patients of each stratum, so the split is exact, order
-free and reproducible in any engine. Strata are few and large, so the rank
-uses the hot-group splitting of ``grouprank`` (a 60-bit numeric prefix of the
-hash is the range key; the full hash and the id keep the order total).
+free and reproducible in any engine. Strata are few and large, and
+``grouprank`` cuts them by ranges of the hash.
 Every row follows its patient through a semi join.
 """
 
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 
 from consult import schema as S
 from consult.functions.exprs import r6
-from consult.functions.grouprank import DEFAULT_HOT, rank_within
+from consult.functions.grouprank import rank_within
 from consult.operators.features import patient_label
 
 
@@ -24,27 +23,22 @@ def hash_key(c: Column, seed: int) -> Column:
     return F.md5(F.concat_ws(":", c.cast("string"), F.lit(str(seed))))
 
 
-def _hash_prefix(h: Column) -> Column:
-    return F.conv(F.substring(h, 1, 15), 16, 10).cast("bigint")
-
-
 def stratified_rank(df: DataFrame, key: str, stratum: str, seed: int, out: str = "stratum_rank",
-                    size_out: str = "stratum_size", hot_threshold: int | None = DEFAULT_HOT) -> DataFrame:
+                    size_out: str = "stratum_size", num_partitions: int | None = None) -> DataFrame:
     """Rank rows of ``df`` (one per ``key``) inside ``stratum`` by the seeded hash."""
     h = df.select("*", hash_key(F.col(key), seed).alias("__h"))
-    h = h.select("*", _hash_prefix(F.col("__h")).alias("__hp"))
-    r = rank_within(h, [stratum], ["__hp", "__h", key], out=out, total_out=size_out,
-                    hot_threshold=hot_threshold)
-    return r.drop("__h", "__hp")
+    r = rank_within(h, [stratum], ["__h", key], out=out, total_out=size_out,
+                    num_partitions=num_partitions)
+    return r.drop("__h")
 
 
 def stratified_patient_split(df: DataFrame, key: str = S.PSEUDO_ID, label: str = S.LABEL,
                              test_fraction: float = S.TEST_FRACTION, seed: int = S.SEED,
-                             hot_threshold: int | None = DEFAULT_HOT) -> DataFrame:
+                             num_partitions: int | None = None) -> DataFrame:
     """(key, patient_label, split) with split in {'train', 'test'}; per label
     stratum exactly ceil(test_fraction * n) patients go to test."""
     pl = patient_label(df, key, label)
-    r = stratified_rank(pl, key, "patient_label", seed, hot_threshold=hot_threshold)
+    r = stratified_rank(pl, key, "patient_label", seed, num_partitions=num_partitions)
     is_test = F.col("stratum_rank") <= F.ceil(F.lit(test_fraction) * F.col("stratum_size"))
     return r.select(key, "patient_label",
                     F.when(is_test, F.lit("test")).otherwise(F.lit("train")).alias("split"))
@@ -72,7 +66,7 @@ def split_stats(df: DataFrame, split: DataFrame, key: str = S.PSEUDO_ID,
 def assign_folds(df: DataFrame, k: int = S.N_FOLDS, seed: int = S.SEED,
                  key: str = S.PSEUDO_ID, label: str = S.LABEL, grouped: bool = True,
                  row_key: list[str] | None = None,
-                 hot_threshold: int | None = DEFAULT_HOT) -> DataFrame:
+                 num_partitions: int | None = None) -> DataFrame:
     """Add ``fold`` in 0..k-1, stratified by label.
 
     ``grouped`` (default): patients are ranked inside their (mode) label
@@ -81,12 +75,12 @@ def assign_folds(df: DataFrame, k: int = S.N_FOLDS, seed: int = S.SEED,
     ``row_key`` (reference behaviour, one patient may span folds)."""
     if grouped:
         pl = patient_label(df, key, label)
-        r = stratified_rank(pl, key, "patient_label", seed, hot_threshold=hot_threshold)
+        r = stratified_rank(pl, key, "patient_label", seed, num_partitions=num_partitions)
         folds = r.select(key, ((F.col("stratum_rank") - 1) % k).cast("int").alias("fold"))
         return df.join(folds, key, "inner")
     rk = row_key or [key, "consultation_number"]
     tmp = df.select("*", F.concat_ws("|", *[F.col(c).cast("string") for c in rk]).alias("__rk"))
-    r = stratified_rank(tmp, "__rk", label, seed, hot_threshold=hot_threshold)
+    r = stratified_rank(tmp, "__rk", label, seed, num_partitions=num_partitions)
     return r.select(*df.columns, ((F.col("stratum_rank") - 1) % k).cast("int").alias("fold"))
 
 

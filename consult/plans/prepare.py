@@ -3,9 +3,8 @@
 clean -> pseudonymize -> days / sequence / interactions -> patient split ->
 baseline and enhanced train / test tables. One lazy plan; the feature table
 is cut from its lineage once, before the pseudonym join (reliable
-checkpoint in the cluster's shared checkpoint folder; the checkpoint keeps
-its hash partitioning on the id, so the join only shuffles the small map),
-because the id map, the split and the four outputs all read it.
+checkpoint in the cluster's shared checkpoint folder), because the id map,
+the split and the four outputs all read it.
 """
 
 from __future__ import annotations
@@ -15,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from consult import schema as S
-from consult.functions.grouprank import DEFAULT_HOT
 from consult.operators.cleaning import clean
 from consult.operators.features import (add_consultation_sequence, add_days_since_accident,
                                         add_interactions, select_baseline, select_enhanced)
@@ -24,26 +22,22 @@ from consult.operators.split import split_rows, stratified_patient_split
 from consult.session import ensure_checkpoint_dir
 
 
-def feature_table(cleaned: DataFrame, hot_threshold: int | None = DEFAULT_HOT,
-                  materialize: bool = False, **prefix_kw) -> tuple[DataFrame, DataFrame]:
+def feature_table(cleaned: DataFrame, materialize: bool = False,
+                  **prefix_kw) -> tuple[DataFrame, DataFrame]:
     """(features, id mapping) from a cleaned consultation table.
 
-    The sequence window runs on the original id and the pseudonym is joined
+    The sequence is numbered on the original id and the pseudonym is joined
     afterwards: the pseudonym is a bijection of the id, so the numbering is
-    the same, and the window's hash partitioning on the id already satisfies
-    the mapping join (one full shuffle fewer than numbering after the swap).
+    the same, and each patient's first row is the id list for the map. A row
+    without an id has no pseudonym and fails the job that reads it
+    (``apply_mapping``); it never falls out of the split unseen.
     """
-    if materialize:
-        # The hot-group check and the checkpoint both read the cleaned rows;
-        # keep them for the duration of this build (released right after).
-        cleaned = cleaned.persist(StorageLevel.MEMORY_AND_DISK)
     f = add_days_since_accident(cleaned)
-    f = add_consultation_sequence(f, key=S.ID, hot_threshold=hot_threshold)
+    f = add_consultation_sequence(f, key=S.ID)
     f = add_interactions(f)
     if materialize:
         ensure_checkpoint_dir(f.sparkSession)
         f = f.checkpoint(eager=True)
-        cleaned.unpersist()
     # Each patient's first consultation is its one row: the id list for the
     # map needs no distinct (and no second pass over the raw input).
     firsts = f.where(F.col("consultation_number") == 1)
@@ -52,15 +46,12 @@ def feature_table(cleaned: DataFrame, hot_threshold: int | None = DEFAULT_HOT,
 
 
 def build_datasets(raw: DataFrame, test_fraction: float = S.TEST_FRACTION, seed: int = S.SEED,
-                   is_clean: bool = False, materialize: bool = True,
-                   hot_threshold: int | None = DEFAULT_HOT, **prefix_kw) -> dict[str, DataFrame]:
+                   is_clean: bool = False, materialize: bool = True, **prefix_kw) -> dict[str, DataFrame]:
     """All prepare outputs. Train / test tables keep the pseudonym column
     (needed for grouped folds); ``export_sets`` drops it."""
     cleaned = raw if is_clean else clean(raw)
-    feats, mapping = feature_table(cleaned, hot_threshold=hot_threshold, materialize=materialize,
-                                   **prefix_kw)
-    split = stratified_patient_split(feats, test_fraction=test_fraction, seed=seed,
-                                     hot_threshold=hot_threshold)
+    feats, mapping = feature_table(cleaned, materialize=materialize, **prefix_kw)
+    split = stratified_patient_split(feats, test_fraction=test_fraction, seed=seed)
     if materialize:
         # One row per patient each; all four outputs read them.
         mapping = mapping.persist(StorageLevel.MEMORY_AND_DISK)

@@ -68,9 +68,9 @@ def feats(src: str = "anon", name: str = "feats") -> str:
     return f"""
 {name}_seq AS (
   SELECT *, CAST(CASE WHEN {days} < 0 THEN 0 ELSE {days} END AS INTEGER) AS days_since_accident,
-         CAST(row_number() OVER (PARTITION BY anonymous_patient_id ORDER BY {order}) AS INTEGER)
+         row_number() OVER (PARTITION BY anonymous_patient_id ORDER BY {order})
            AS consultation_number,
-         CAST(count(*) OVER (PARTITION BY anonymous_patient_id) AS INTEGER) AS total_consultations_for_patient
+         count(*) OVER (PARTITION BY anonymous_patient_id) AS total_consultations_for_patient
   FROM {src}),
 {name} AS (
   SELECT anonymous_patient_id, accident_date, contact_date, fl_score, fl_status, p_score, p_status, nbe,

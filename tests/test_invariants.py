@@ -1,5 +1,6 @@
 """Invariants and agreement between the scale paths and the simple paths."""
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -20,12 +21,32 @@ def test_prefix_range_path_equals_window(spark):
     assert b.agg(F.min("idx"), F.max("idx")).first() == (1, 20011)
 
 
-def test_rank_within_hot_path_equals_window(spark):
-    rows = spark.range(0, 5000).select((F.when(F.col("id") % 10 < 6, 0).otherwise(F.col("id") % 7)).alias("g"),
-                                       (F.col("id") * 31 % 997).alias("t"), F.col("id"))
-    plain = rank_within(rows, ["g"], ["t", "id"], out="r", total_out="n", hot_threshold=None)
-    hot = rank_within(rows, ["g"], ["t", "id"], out="r", total_out="n", hot_threshold=100, buckets=8)
-    assert plain.exceptAll(hot).count() == 0 and hot.exceptAll(plain).count() == 0
+def _plain_rank(df, keys, order, out, total):
+    w = Window.partitionBy(*keys)
+    o = [F.col(c).asc_nulls_last() for c in order]
+    return df.select("*", F.row_number().over(w.orderBy(*o)).cast("long").alias(out),
+                     F.count(F.lit(1)).over(w).alias(total))
+
+
+@pytest.mark.parametrize("hot_key", [0, None])
+@pytest.mark.parametrize("tied", [False, True])
+def test_rank_within_equals_window(spark, hot_key, tied):
+    # One key holds 60 % of the rows; the first order column has nulls or is one value throughout.
+    t = F.lit(5).cast("long") if tied else F.when(F.col("id") % 11 > 0, F.col("id") * 31 % 997)
+    rows = spark.range(0, 5000).select(
+        F.when(F.col("id") % 10 < 6, F.lit(hot_key).cast("long")).otherwise(F.col("id") % 7 + 1).alias("g"),
+        t.alias("t"), F.col("id"))
+    want = _plain_rank(rows, ["g"], ["t", "id"], "r", "n")
+    got = rank_within(rows, ["g"], ["t", "id"], out="r", total_out="n", num_partitions=6)
+    assert got.count() == 5000
+    assert want.exceptAll(got).count() == 0 and got.exceptAll(want).count() == 0
+
+
+def test_rank_within_one_group_and_no_rows(spark):
+    rows = spark.range(0, 1000).select(F.lit("a").alias("g"), F.lit(None).cast("int").alias("h"), "id")
+    got = rank_within(rows, ["g", "h"], ["id"], out="r", total_out="n", num_partitions=6)
+    assert got.where(F.col("r") != F.col("id") + 1).count() == 0 and got.where("n <> 1000").count() == 0
+    assert rank_within(rows.limit(0), ["g"], ["id"], out="r", total_out="n").count() == 0
 
 
 def test_mapping_is_bijection(spark):
@@ -45,11 +66,23 @@ def test_split_has_no_shared_patient(spark):
     assert tr.count() + te.count() == f.select("anonymous_patient_id").distinct().count()
 
 
-def test_split_hot_path_equals_plain(spark):
+def test_split_is_the_same_over_any_partitions(spark):
     f = CAT.feats(spark, SF_SMALL)
-    a = SP.stratified_patient_split(f, hot_threshold=None)
-    b = SP.stratified_patient_split(f, hot_threshold=10)
-    assert a.exceptAll(b).count() == 0
+    a = SP.stratified_patient_split(f, num_partitions=1)
+    b = SP.stratified_patient_split(f, num_partitions=6)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_missing_id_fails_instead_of_vanishing(spark):
+    c = CAT.cleaned(spark, SF_SMALL)
+    part = c.withColumn("accident_number", F.when(F.col("p_score") > 1, F.col("accident_number")))
+    m = A.build_id_mapping(part)
+    with pytest.raises(Exception, match="Anonymization failed"):
+        A.apply_mapping(part, m).select("anonymous_patient_id").collect()
+    kept = A.apply_mapping(part, m, strict=False)
+    missing = part.where("accident_number IS NULL").count()
+    assert missing > 0 and A.unmapped_rows(part, m).count() == missing
+    assert kept.count() == part.count() and kept.where("anonymous_patient_id IS NULL").count() == missing
 
 
 def test_metric_invariants(spark):
@@ -78,10 +111,11 @@ def test_grouped_folds_keep_patients_together(spark):
     assert sorted(r[0] for r in folds.select("fold").distinct().collect()) == [0, 1, 2, 3, 4]
 
 
-def test_consultation_number_hot_path_equals_plain(spark):
+def test_consultation_number_equals_window(spark):
     from consult.operators import features as FT
     f = FT.add_days_since_accident(CAT.cleaned(spark, SF_SMALL))
-    plain = FT.add_consultation_sequence(f, key="accident_number", hot_threshold=None)
-    hot = FT.add_consultation_sequence(f, key="accident_number", hot_threshold=5)
-    assert plain.count() == hot.count()
-    assert plain.exceptAll(hot).count() == 0 and hot.exceptAll(plain).count() == 0
+    order = ["contact_date", *[c for c in f.columns if c not in ("accident_number", "contact_date")]]
+    names = [*f.columns, "consultation_number", "total_consultations_for_patient"]
+    want = _plain_rank(f, ["accident_number"], order, *names[-2:])
+    got = FT.add_consultation_sequence(f, key="accident_number", num_partitions=6).select(*names)
+    assert want.exceptAll(got).count() == 0 and got.exceptAll(want).count() == 0
