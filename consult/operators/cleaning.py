@@ -31,36 +31,32 @@ def check_columns(df: DataFrame, required: list[str] = S.STEP2_REQUIRED) -> None
         raise MissingColumnsError(f"Required columns missing: {missing}")
 
 
-def _to_int(c: str) -> Column:
-    # Text to number; bad text becomes null (T14). Integral numbers become INT,
-    # anything else (fractions, out of INT range) is rejected to null.
-    d = F.expr(f"try_cast(trim(cast(`{c}` AS string)) AS double)")
-    ok = (d == F.floor(d)) & (F.abs(d) < F.lit(2147483648.0))
-    return F.when(ok, d.cast("long")).cast("int")
+def _to_number(c: str) -> Column:
+    # Text to number; bad text becomes null (T14). A fraction stays as it is.
+    return F.expr(f"try_cast(trim(cast(`{c}` AS string)) AS double)")
 
 
-def _to_date(c: str) -> Column:
+def _to_time(c: str) -> Column:
     # Per-value parse with reject to null (instead of all-or-nothing, T15).
-    return F.expr(f"try_cast(trim(cast(`{c}` AS string)) AS date)")
+    return F.expr(f"try_cast(trim(cast(`{c}` AS string)) AS timestamp)")
 
 
 def coerce_types(df: DataFrame) -> DataFrame:
-    """Text columns to DATE / INT; unparseable values become null.
-    Columns already of the target type pass through untouched."""
+    """Text columns to TIMESTAMP / DOUBLE; unparseable values become null.
+
+    The time of day and fractions are kept: day counts floor over 24 hours,
+    and a fractional score is a value to report, not a missing one. Columns
+    that are dates, timestamps or whole numbers already keep their kind."""
     types = {f.name: f.dataType for f in df.schema.fields}
     out = []
     for c in df.columns:
         t = types[c]
         if c in DATE_COLUMNS:
-            if isinstance(t, T.DateType):
-                out.append(F.col(c))
-            elif isinstance(t, (T.TimestampType, T.TimestampNTZType)):
-                out.append(F.col(c).cast("date").alias(c))
-            else:
-                out.append(_to_date(c).alias(c))
+            known = isinstance(t, (T.DateType, T.TimestampType, T.TimestampNTZType))
+            out.append(F.col(c) if known else _to_time(c).alias(c))
         elif c in NUMERIC_COLUMNS:
             out.append(F.col(c).cast("int").alias(c) if isinstance(t, T.IntegralType)
-                       else _to_int(c).alias(c))
+                       else _to_number(c).alias(c))
         elif c == S.ID:
             out.append(F.col(c).cast("string").alias(c))
         else:
@@ -73,7 +69,7 @@ def coerce_rejects(raw: DataFrame) -> DataFrame:
     cols = [c for c in DATE_COLUMNS + NUMERIC_COLUMNS if c in raw.columns]
     exprs = []
     for c in cols:
-        tc = (_to_date(c) if c in DATE_COLUMNS else _to_int(c))
+        tc = _to_time(c) if c in DATE_COLUMNS else _to_number(c)
         exprs += [F.count(F.col(c)).alias(f"{c}__n"),
                   F.count_if(F.col(c).isNotNull() & tc.isNull()).alias(f"{c}__rej")]
     one = raw.agg(*exprs)

@@ -23,13 +23,18 @@ def _zero_div(num: Column, den: Column) -> Column:
     return F.coalesce(F.try_divide(num.cast("double"), den.cast("double")), F.lit(0.0))
 
 
+def _scored(df: DataFrame, score: str) -> DataFrame:
+    # A row that could not be scored (a missing feature) has no part in a metric.
+    return df.where(F.col(score).isNotNull())
+
+
 def confusion_counts(df: DataFrame, groups: list[str] | None = None, label: str = "label",
                      score: str = "score", threshold: float = S.DECISION_THRESHOLD) -> DataFrame:
     """tn, fp, fn, tp with 'predicted yes' = score > threshold (strict)."""
     groups = groups or []
     pred = F.col(score) > threshold
     y = F.col(label) == 1
-    return df.groupBy(*groups).agg(
+    return _scored(df, score).groupBy(*groups).agg(
         F.count_if(~y & ~pred).alias("tn"), F.count_if(~y & pred).alias("fp"),
         F.count_if(y & ~pred).alias("fn"), F.count_if(y & pred).alias("tp"))
 
@@ -68,7 +73,7 @@ def log_loss(df: DataFrame, groups: list[str] | None = None, label: str = "label
     groups = groups or []
     p = F.least(F.greatest(F.col(score).cast("double"), F.lit(eps)), F.lit(1.0 - eps))
     ll = F.when(F.col(label) == 1, -F.log(p)).otherwise(-F.log(F.lit(1.0) - p))
-    return df.groupBy(*groups).agg(r6(F.avg(ll)).alias("log_loss"))
+    return _scored(df, score).groupBy(*groups).agg(r6(F.avg(ll)).alias("log_loss"))
 
 
 # ---------------------------------------------------------------------------
@@ -79,7 +84,7 @@ def score_counts(df: DataFrame, groups: list[str] | None = None, label: str = "l
                  score: str = "score") -> DataFrame:
     """One row per (group, distinct score): positives and negatives."""
     groups = groups or []
-    return df.groupBy(*groups, F.col(score).cast("double").alias("score")).agg(
+    return _scored(df, score).groupBy(*groups, F.col(score).cast("double").alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
 
 
@@ -158,13 +163,14 @@ def average_precision(df: DataFrame, groups: list[str] | None = None, **kw) -> D
 
 def evaluate_all(df: DataFrame, groups: list[str] = ("model", "feature_set"), label: str = "label",
                  score: str = "score") -> DataFrame:
-    """Every metric for every (model, feature set) from one long table."""
+    """Every metric for every (model, feature set) from one long table; rows
+    without a score are left out, so ``n_rows`` counts the scored ones."""
     groups = list(groups)
     y = F.col(label) == 1
     pred = F.col(score) > S.DECISION_THRESHOLD
     eps = S.LOG_LOSS_EPS
     p = F.least(F.greatest(F.col(score).cast("double"), F.lit(eps)), F.lit(1.0 - eps))
-    rowwise = df.groupBy(*groups).agg(
+    rowwise = _scored(df, score).groupBy(*groups).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(~y & ~pred).alias("tn"), F.count_if(~y & pred).alias("fp"),
         F.count_if(y & ~pred).alias("fn"), F.count_if(y & pred).alias("tp"),

@@ -32,10 +32,12 @@ class FeatureCountError(ValueError):
 
 
 def feature_count_guard(feature_set: str, cols: list[str]) -> None:
-    """Baseline must have 4 features, enhanced 10."""
-    want = len(FEATURE_SETS[feature_set])
-    if len(cols) != want:
-        raise FeatureCountError(f"{feature_set} expects {want} features, got {len(cols)}")
+    """The table's columns must hold every feature of the set (4 or 10)."""
+    want = FEATURE_SETS[feature_set]
+    missing = [c for c in want if c not in cols]
+    if missing:
+        raise FeatureCountError(f"{feature_set} expects {len(want)} features, "
+                                f"got {len(want) - len(missing)}; missing {missing}")
 
 
 def make_learner(name: str, n_train: int, seed: int = S.SEED):
@@ -73,7 +75,7 @@ def fit(df: DataFrame, learner: str, feature_set: str, label: str = S.LABEL,
     missing feature (e.g. an unparseable contact date gives no day count)
     are left out of the fit rather than failing it."""
     cols = FEATURE_SETS[feature_set]
-    feature_count_guard(feature_set, cols)
+    feature_count_guard(feature_set, df.columns)
     data = _prep(df, feature_set, label)
     n = n_train if n_train is not None else data.count()
     pipe = Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="skip"),
@@ -82,11 +84,19 @@ def fit(df: DataFrame, learner: str, feature_set: str, label: str = S.LABEL,
 
 
 def predict(model: PipelineModel, df: DataFrame, feature_set: str) -> DataFrame:
-    """Input rows (features as DOUBLE) plus ``score`` = P(label = 1)."""
+    """Every input row (features as DOUBLE) plus ``score`` = P(label = 1).
+
+    A row that misses a feature keeps its place with a null score."""
     cols = FEATURE_SETS[feature_set]
+    feature_count_guard(feature_set, df.columns)
     d = df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in df.columns])
-    out = model.transform(d)
-    return out.select(*df.columns, vector_to_array("probability")[1].alias("score"))
+    # The fitted assembler skips incomplete rows; scoring keeps them.
+    rows = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep").transform(d)
+    out = model.stages[-1].transform(rows)
+    complete = F.lit(True)
+    for c in cols:
+        complete = complete & F.col(c).isNotNull() & ~F.isnan(c)
+    return out.select(*df.columns, F.when(complete, vector_to_array("probability")[1]).alias("score"))
 
 
 def cross_validate(df: DataFrame, learner: str, feature_set: str, folds_col: str = "fold",

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from consult import schema as S
 from consult.functions.exprs import pct, pearson, r6, ratio, unpivot_long
 from consult.functions.prefix import prefix_sums
+from consult.functions.quantiles import exact_quantiles
 
 
 def _present(df: DataFrame, cols: list[str]) -> list[str]:
@@ -86,19 +87,23 @@ def range_violations(df: DataFrame, ranges: dict = S.FEATURE_RANGES) -> DataFram
     distinct invalid values. Null is not a violation (T1). Features without a
     violation are listed with 0."""
     cols = _present(df, list(ranges))
-    aggs = [F.count(F.lit(1)).alias("__n")]
+    # Counted per invalid value, the rest under null: one scan, and what is
+    # shuffled is the invalid values, with no row copied per DISTINCT.
+    bad = F.lit(False)
     for c in cols:
-        lo, hi = ranges[c]
-        bad = ~F.col(c).between(lo, hi)
-        aggs += [F.count_if(bad).alias(f"{c}__v"),
-                 F.count_distinct(F.when(bad, F.col(c))).alias(f"{c}__d")]
-    one = df.agg(*aggs)
-    parts = [F.struct(F.lit(c).alias("feature"),
-                      F.lit(f"{ranges[c][0]}-{ranges[c][1]}").alias("expected_range"),
-                      F.col(f"{c}__v").alias("n_violations"),
-                      r6(pct(F.col(f"{c}__v"), F.col("__n"))).alias("violation_pct"),
-                      F.col(f"{c}__d").alias("n_distinct_invalid")) for c in cols]
-    return one.select(F.explode(F.array(*parts)).alias("r")).select("r.*")
+        bad = bad | ((F.col("feature") == c) & ~F.col("value").between(*ranges[c]))
+    values = (_long(df, cols).groupBy("feature", F.when(bad, F.col("value")).alias("invalid"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    found = values.groupBy("feature").agg(
+        F.sum("n").alias("__n"), F.count("invalid").alias("__d"),
+        F.sum(F.when(F.col("invalid").isNotNull(), F.col("n"))).alias("__v"))
+    # One row a ranged column, so a feature of an empty table is listed too.
+    listed = df.sparkSession.createDataFrame(
+        [(c, f"{ranges[c][0]}-{ranges[c][1]}") for c in cols], "feature string, expected_range string")
+    v = F.coalesce(F.col("__v"), F.lit(0).cast("bigint"))
+    return listed.join(found, "feature", "left").select(
+        "feature", "expected_range", v.alias("n_violations"), r6(pct(v, F.col("__n"))).alias("violation_pct"),
+        F.coalesce(F.col("__d"), F.lit(0).cast("bigint")).alias("n_distinct_invalid"))
 
 
 def range_violation_values(df: DataFrame, ranges: dict = S.FEATURE_RANGES) -> DataFrame:
@@ -304,15 +309,17 @@ def label_correlation(df: DataFrame, label: str = S.LABEL,
 
 
 def _bounds(long: DataFrame, k: float, accuracy: int | None = None) -> DataFrame:
-    # Exact quartiles keep one count per distinct value (fine for scores and
-    # day counts); ``accuracy`` switches to percentile_approx for continuous
-    # columns, whose state is bounded by the accuracy instead.
-    q = (F.percentile("value", [0.25, 0.75]) if accuracy is None
-         else F.percentile_approx("value", [0.25, 0.75], accuracy).cast("array<double>"))
-    return (long.groupBy("feature")
-            .agg(q.alias("q"), F.count(F.lit(1)).alias("__rows"))
-            .select("feature", "__rows", F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
-            .where(F.col("q1").isNotNull())
+    # Exact quartiles come from counted values (``quantiles``), so no column's
+    # values meet in one buffer; ``accuracy`` takes percentile_approx instead.
+    if accuracy is None:
+        n = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+        q = exact_quantiles(n, ["feature"], {"q1": 0.25, "q3": 0.75}).join(
+            n.groupBy("feature").agg(F.sum("n").alias("__rows")), "feature")
+    else:
+        two = F.percentile_approx("value", [0.25, 0.75], accuracy).cast("array<double>")
+        q = (long.groupBy("feature").agg(two.alias("q"), F.count(F.lit(1)).alias("__rows"))
+             .select("feature", "__rows", F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3")))
+    return (q.where(F.col("q1").isNotNull())
             .select("feature", "__rows", "q1", "q3",
                     (F.col("q1") - k * (F.col("q3") - F.col("q1"))).alias("lower_bound"),
                     (F.col("q3") + k * (F.col("q3") - F.col("q1"))).alias("upper_bound")))

@@ -142,7 +142,7 @@ def q_coerce_types(spark, d):
 def _rejects_sql() -> str:
     rows = []
     for c in ["accident_date", "contact_date", "fl_score", "fl_status", "p_score", "p_status", "nbe"]:
-        conv = P._date(c) if c.endswith("_date") else P._int(c)
+        conv = P._time(c) if c.endswith("_date") else P._number(c)
         rows.append(f"SELECT '{c}' AS column_name, count({c}) AS n_values, "
                     f"count(*) FILTER (WHERE {c} IS NOT NULL AND {conv} IS NULL) AS n_rejected "
                     f"FROM consultations_raw")
@@ -639,11 +639,23 @@ def q_days_since_accident(spark, d):
     return FT.add_days_since_accident(anon(spark, d))
 
 
-@register("days_stats", fq("""
-SELECT count(*) FILTER (WHERE date_diff('day', accident_date, contact_date) < 0) AS n_negative,
-       min(days_since_accident) AS min_days, max(days_since_accident) AS max_days FROM feats"""))
+@register("days_stats", tq(f"""
+SELECT count(*) FILTER (WHERE {P.whole_days()} < 0) AS n_negative,
+       CAST(min(greatest({P.whole_days()}, 0)) AS INTEGER) AS min_days,
+       CAST(max(greatest({P.whole_days()}, 0)) AS INTEGER) AS max_days
+FROM typed_raw WHERE accident_date IS NOT NULL AND contact_date IS NOT NULL"""))
 def q_days_stats(spark, d):
-    return FT.days_stats(anon(spark, d))
+    """Day gaps of the raw table, times of day included."""
+    return FT.days_stats(typed(spark, d))
+
+
+@register("raw_whole_days", tq(f"""
+SELECT {P.whole_days()} AS whole_days, count(*) AS n_rows FROM typed_raw GROUP BY 1"""))
+def q_raw_whole_days(spark, d):
+    """F1 on times of day: rows per unclamped day count of the raw table."""
+    days = FT.add_days_since_accident(typed(spark, d), clamp=False)
+    return days.groupBy(F.col("days_since_accident").cast("bigint").alias("whole_days")).agg(
+        F.count(F.lit(1)).alias("n_rows"))
 
 
 @register("consultation_number", fq(
@@ -1219,7 +1231,7 @@ _CACHE: dict = {}
 def model_data(spark, d):
     """Prepared train / test tables of the clean fixture, materialized once
     per session and input folder."""
-    key = ("data", id(spark), d)
+    key = ("data", spark.sparkContext.applicationId, d)
     if key not in _CACHE:
         from consult.plans.prepare import build_datasets
         ds = build_datasets(FX.consultations(spark, d))
@@ -1229,7 +1241,7 @@ def model_data(spark, d):
 
 
 def fitted(spark, d, learner, fs):
-    key = ("model", id(spark), d, learner, fs)
+    key = ("model", spark.sparkContext.applicationId, d, learner, fs)
     if key not in _CACHE:
         _CACHE[key] = M.fit(model_data(spark, d)[f"{fs}_train"], learner, fs)
     return _CACHE[key]
@@ -1252,7 +1264,7 @@ for _short, _learner in (("lr", "logistic_regression"), ("rf", "random_forest"),
 
 def cv_pair(spark, d, learner, fs):
     """Fold AUCs of one learner on one feature set (computed once per session)."""
-    key = ("cv", id(spark), d, learner, fs)
+    key = ("cv", spark.sparkContext.applicationId, d, learner, fs)
     if key not in _CACHE:
         folded = SP.assign_folds(model_data(spark, d)[f"{fs}_train"])
         _CACHE[key] = M.cross_validate(folded, learner, fs, parallelism=S.N_FOLDS).select(

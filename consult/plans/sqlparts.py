@@ -13,24 +13,27 @@ RAW_COLS = ["accident_number", "accident_date", "contact_date", "fl_score", "fl_
             "p_score", "p_status", "nbe"]
 
 
-def _int(c: str) -> str:
-    d = f"try_cast(trim({c}) AS DOUBLE)"
-    return (f"CAST(CASE WHEN {d} = floor({d}) AND abs({d}) < 2147483648.0 "
-            f"THEN CAST({d} AS BIGINT) END AS INTEGER)")
+def _number(c: str) -> str:
+    return f"try_cast(trim({c}) AS DOUBLE)"
 
 
-def _date(c: str) -> str:
-    return f"try_cast(trim({c}) AS DATE)"
+def _time(c: str) -> str:
+    return f"try_cast(trim({c}) AS TIMESTAMP)"
+
+
+def whole_days(start: str = "accident_date", end: str = "contact_date") -> str:
+    us = f"(epoch_us(CAST({end} AS TIMESTAMP)) - epoch_us(CAST({start} AS TIMESTAMP)))"
+    return f"CAST(floor({us} / 86400000000.0) AS BIGINT)"
 
 
 PARTS = {
     "typed_raw": f"""
 typed_raw AS (
   SELECT CAST(accident_number AS VARCHAR) AS accident_number,
-         {_date('accident_date')} AS accident_date,
-         {_date('contact_date')} AS contact_date,
-         {_int('fl_score')} AS fl_score, {_int('fl_status')} AS fl_status,
-         {_int('p_score')} AS p_score, {_int('p_status')} AS p_status, {_int('nbe')} AS nbe
+         {_time('accident_date')} AS accident_date,
+         {_time('contact_date')} AS contact_date,
+         {_number('fl_score')} AS fl_score, {_number('fl_status')} AS fl_status,
+         {_number('p_score')} AS p_score, {_number('p_status')} AS p_status, {_number('nbe')} AS nbe
   FROM consultations_raw)""",
     "cleaned_raw": """
 cleaned_raw AS (
@@ -62,7 +65,7 @@ def anon(src: str, mapname: str = "id_map", name: str = "anon") -> str:
 
 
 def feats(src: str = "anon", name: str = "feats") -> str:
-    days = "date_diff('day', accident_date, contact_date)"
+    days = whole_days()
     order = ("contact_date ASC NULLS LAST, accident_date ASC NULLS LAST, fl_score ASC NULLS LAST, "
              "fl_status ASC NULLS LAST, p_score ASC NULLS LAST, p_status ASC NULLS LAST, nbe ASC NULLS LAST")
     return f"""

@@ -62,16 +62,19 @@ def consultations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def consultations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dirty all-string variant: bad dates, nulls, out-of-range, duplicates."""
+    """Dirty all-string variant: bad dates, times of day, fractions, nulls,
+    out-of-range values, duplicates."""
     j = _joined(spark, sf_dir)
     pk = F.col("l_partkey")
     date_txt = lambda c: F.substring(c.cast("date").cast("string"), 1, 10)
     b = j.select(
         _pid(F.col("o_custkey")).alias("accident_number"),
-        date_txt(F.col("o_orderdate")).alias("accident_date"),
+        F.when(pk % 13 == 0, F.concat(date_txt(F.col("o_orderdate")), F.lit(" 23:00:00")))
+         .otherwise(date_txt(F.col("o_orderdate"))).alias("accident_date"),
         F.when(pk % 89 == 0, F.lit("unknown"))
+         .when(pk % 13 < 4, F.concat(date_txt(F.col("l_shipdate")), F.lit(" 01:00:00")))
          .otherwise(date_txt(F.col("l_shipdate"))).alias("contact_date"),
-        F.when(pk % 97 == 0, F.lit(None).cast("string"))
+        F.when(pk % 97 == 0, F.lit(None).cast("string")).when(pk % 109 == 0, F.lit("2.5"))
          .otherwise(_fl_score(F.col("l_quantity")).cast("string")).alias("fl_score"),
         _status(F.col("l_returnflag"), {"A": "0", "N": "1"}, "2").alias("fl_status"),
         F.when(pk % 101 == 0, F.lit("n/a")).when(pk % 103 == 0, F.lit("9"))
@@ -176,10 +179,13 @@ consultations AS (
     "consultations_raw": """
 raw_b AS (
   SELECT concat('P', lpad(cast(o.o_custkey AS varchar), 8, '0')) AS accident_number,
-         substr(cast(cast(o.o_orderdate AS date) AS varchar), 1, 10) AS accident_date,
+         substr(cast(cast(o.o_orderdate AS date) AS varchar), 1, 10)
+           || CASE WHEN l.l_partkey % 13 = 0 THEN ' 23:00:00' ELSE '' END AS accident_date,
          CASE WHEN l.l_partkey % 89 = 0 THEN 'unknown'
+              WHEN l.l_partkey % 13 < 4 THEN substr(cast(cast(l.l_shipdate AS date) AS varchar), 1, 10) || ' 01:00:00'
               ELSE substr(cast(cast(l.l_shipdate AS date) AS varchar), 1, 10) END AS contact_date,
          CASE WHEN l.l_partkey % 97 = 0 THEN NULL
+              WHEN l.l_partkey % 109 = 0 THEN '2.5'
               ELSE cast(cast(floor((l.l_quantity - 1) / 10) AS int) AS varchar) END AS fl_score,
          CASE l.l_returnflag WHEN 'A' THEN '0' WHEN 'N' THEN '1' ELSE '2' END AS fl_status,
          CASE WHEN l.l_partkey % 101 = 0 THEN 'n/a'

@@ -53,10 +53,15 @@ def start_scoring_stream(requests: DataFrame, model: PipelineModel, kind: str, m
     """Run R1: valid rows scored to ``out_path``, rejects to ``rejected_path``."""
     def each(batch: DataFrame, batch_id: int) -> None:
         # A retried batch rewrites only its own partition: idempotent sinks.
-        scored, bad = score_batch(batch, model, kind, model_used)
-        for d, path in ((scored, out_path), (bad, rejected_path)):
-            (d.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+        # Both sinks read the batch, so it is kept until both are written.
+        batch = batch.persist()
+        try:
+            scored, bad = score_batch(batch, model, kind, model_used)
+            for d, path in ((scored, out_path), (bad, rejected_path)):
+                (d.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+                 .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+        finally:
+            batch.unpersist()
 
     w = requests.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")

@@ -56,3 +56,22 @@ def test_scoring_defaults_and_bands(spark, ds):
     assert r["request_id"] == "a" and r["days_since_accident"] == 21 and r["consultation_number"] == 2
     assert abs(r["nbe_yes_probability"] + r["nbe_no_probability"] - 1) < 1e-9
     assert [x["request_id"] for x in bad.collect()] == ["b"]
+
+
+def test_predict_keeps_rows_with_a_missing_feature(ds):
+    m = M.fit(ds["enhanced_train"], "logistic_regression", "enhanced")
+    test = ds["enhanced_test"].withColumn(
+        "days_since_accident", F.when(F.col("p_score") > 0, F.col("days_since_accident")))
+    sc = M.predict(m, test, "enhanced")
+    missing = test.where("days_since_accident IS NULL").count()
+    assert missing > 0 and sc.count() == test.count() and sc.where("score IS NULL").count() == missing
+    ev = X.evaluate_all(sc.select(F.lit("m").alias("model"), F.lit("e").alias("feature_set"),
+                                  F.col("nbe").alias("label"), "score")).first()
+    assert ev["n_rows"] == test.count() - missing == ev["tn"] + ev["fp"] + ev["fn"] + ev["tp"]
+
+
+def test_one_failing_learner_does_not_stop_the_rest(ds):
+    models, summary = M.train_all({"baseline": ds["baseline_train"]}, ["logistic_regression", "absent"], with_cv=False)
+    rows = {r["learner"]: r for r in summary.collect()}
+    assert list(models) == [("logistic_regression", "baseline")]
+    assert rows["logistic_regression"]["error"] is None and "absent" in rows["absent"]["error"]

@@ -63,7 +63,28 @@ def test_t14_coercion_rejects_bad_text(spark):
                                "p_score string, contact_date string")
     r = C.coerce_types(df).collect()
     assert [x["p_score"] for x in r] == [3, None, 2]
-    assert r[0]["contact_date"] == dt.date(2024, 1, 5) and r[1]["contact_date"] is None
+    assert r[0]["contact_date"] == dt.datetime(2024, 1, 5) and r[1]["contact_date"] is None
+    assert r[2]["contact_date"] is None
+
+
+def test_fractions_and_times_of_day_survive_clean(spark):
+    row = ("a", "2024-01-01 23:00:00", "2024-01-02 01:00:00", "2.5", "1", "3", "1", "1")
+    df = spark.createDataFrame([row], "accident_number string, accident_date string, contact_date string, fl_score string, "
+                               "fl_status string, p_score string, p_status string, nbe string")
+    r = FT.add_days_since_accident(C.clean(df)).first()
+    assert r["fl_score"] == 2.5 and r["days_since_accident"] == 0
+
+
+def test_exact_quantiles_equal_percentile(spark):
+    from consult.functions.quantiles import exact_quantiles
+    rows = spark.range(0, 4000).select(
+        F.when(F.col("id") % 3 > 0, F.lit("a")).when(F.col("id") % 7 > 0, F.lit(None)).otherwise(F.lit("b")).alias("g"),
+        F.when(F.col("id") % 5 > 0, (F.col("id") * 37 % 1009).cast("double") / 8).alias("v"))
+    n = rows.groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"))
+    got = exact_quantiles(n, ["g"], {"q1": 0.25, "p99": 0.99}, value="v")
+    want = rows.groupBy("g").agg(F.percentile("v", 0.25).alias("q1"), F.percentile("v", 0.99).alias("p99"))
+    r = lambda d: {x["g"]: (round(x["q1"], 9), round(x["p99"], 9)) for x in d.collect()}
+    assert r(got) == r(want) and len(r(got)) == 3
 
 
 def test_t16_tied_dates_total_order(spark):
