@@ -417,15 +417,10 @@ def target_quality(df: DataFrame, label: str = S.LABEL) -> DataFrame:
 # Q17 verdict, Q19 rule hook
 # ---------------------------------------------------------------------------
 
-def quality_verdict(df: DataFrame, required: list[str] = S.STEP1_REQUIRED,
-                    ranges: dict = S.FEATURE_RANGES, features: list[str] = S.BASELINE_FEATURES,
-                    label: str = S.LABEL) -> DataFrame:
-    """One-row verdict: compliance, range validity and violation rates (both
-    denominators), integrity score, readiness score, four flags and overall.
-
-    The readiness score is 100 - 30 (too few rows) - 40 (unsuitable label)
-    - 0.3 * (100 - mean feature completeness), floored at 0. The critical
-    issue list excludes integrity, as in the reference."""
+def _verdict(df: DataFrame, required: list[str], ranges: dict, features: list[str], label: str,
+             extra: dict[str, Column]) -> DataFrame:
+    """The columns of ``quality_verdict``, the two parts of readiness and
+    ``extra`` aggregates, all from the same pass over the table."""
     missing_cols = [c for c in required if c not in df.columns]
     rcols = _present(df, list(ranges))
     feats = _present(df, features)
@@ -435,7 +430,7 @@ def quality_verdict(df: DataFrame, required: list[str] = S.STEP1_REQUIRED,
     aggs += [F.count(F.col(c)).alias(f"{c}__nn") for c in feats]
     if has_label:
         aggs += [F.count(F.col(label)).alias("__lab_nn"), F.count_distinct(F.col(label)).alias("__lab_k")]
-    one = df.agg(*aggs)
+    one = df.agg(*aggs, *[c.alias(k) for k, c in extra.items()])
     dups = _dup_groups(df).agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0))).scalar()
 
     n = F.col("n")
@@ -479,9 +474,22 @@ def quality_verdict(df: DataFrame, required: list[str] = S.STEP1_REQUIRED,
         is_valid.alias("is_valid"), is_intact.alias("is_intact"), is_ready.alias("is_ready"),
         (is_compliant & is_valid & is_intact & is_ready).alias("overall_valid"),
         issues.alias("critical_issues"),
+        adequate.alias("__adequate"), suitable.alias("__suitable"), *extra,
     )
 
 
+def quality_verdict(df: DataFrame, required: list[str] = S.STEP1_REQUIRED,
+                    ranges: dict = S.FEATURE_RANGES, features: list[str] = S.BASELINE_FEATURES,
+                    label: str = S.LABEL) -> DataFrame:
+    """One-row verdict: compliance, range validity and violation rates (both
+    denominators), integrity score, readiness score, four flags and overall.
+
+    The readiness score is 100 - 30 (too few rows) - 40 (unsuitable label)
+    - 0.3 * (100 - mean feature completeness), floored at 0. The critical
+    issue list excludes integrity, as in the reference."""
+    return _verdict(df, required, ranges, features, label, {}).drop("__adequate", "__suitable")
+
+
 def rule_hook(df: DataFrame, rules: list[tuple[str, str]] | None = None) -> DataFrame:
     """User rules as (name, boolean SQL expression); counts rows where the
     rule is false (null is not a violation). Default: no rules, empty result."""
@@ -503,48 +511,78 @@ def rule_hook(df: DataFrame, rules: list[tuple[str, str]] | None = None) -> Data
 # ---------------------------------------------------------------------------
 
 def exploration_summary(df: DataFrame, key: str = S.ID, label: str = S.LABEL,
-                        ranges: dict = S.FEATURE_RANGES) -> DataFrame:
+                        ranges: dict = S.FEATURE_RANGES, required: list[str] = S.STEP1_REQUIRED,
+                        features: list[str] = S.BASELINE_FEATURES) -> DataFrame:
     """Tidy report (section, metric, value, text): overview, quality,
-    validation numbers, findings and recommendations. Recommendations fire
+    validation flags, readiness and its parts, findings, recommendations, next
+    steps, and one row per label value. Flags are 1 / 0. Recommendations fire
     only on evidence (missing values are recommended only when some exist).
     One aggregate over the table plus two grouped aggregates (duplicates,
-    class counts) as scalar subqueries."""
+    label counts)."""
     cols = df.columns
-    rcols = _present(df, list(ranges))
     cells = sum((F.col(c).isNull().cast("int") for c in cols), F.lit(0))
-    one = df.agg(F.count(F.lit(1)).alias("n"), F.sum(cells).cast("bigint").alias("miss"),
-                 F.count_distinct(F.col(key)).alias("pats"),
-                 sum((F.count_if(~F.col(c).between(*ranges[c])) for c in rcols), F.lit(0)).alias("viol"))
-    dups = _dup_groups(df).agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("bigint")).scalar()
     lab = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("k"))
-    min_class = lab.agg(F.min("k")).scalar()
-    n, miss, pats, viol = F.col("n"), F.col("miss"), F.col("pats"), F.col("viol")
+    balance = lab.agg(F.try_divide(F.min("k").cast("double"), F.sum("k").cast("double"))).scalar()
+    one = _verdict(df, required, ranges, features, label, {
+        "__miss": F.sum(cells).cast("bigint"), "__pats": F.count_distinct(F.col(key)),
+        "__labelled": F.count(F.col(label)), "__classes": F.count_distinct(F.col(label))})
+    n, miss, pats, viol, dups = (F.col(c) for c in ("n_rows", "__miss", "__pats", "total_violations", "duplicate_rows"))
     avg_visits = F.try_divide(n.cast("double"), pats.cast("double"))
     completeness = F.lit(100.0) - F.coalesce(pct(miss, n * len(cols)), F.lit(0.0))
-    min_share = F.try_divide(min_class.cast("double"), n.cast("double"))
+    unbalanced = F.coalesce(balance < S.BALANCE_THRESHOLD_VALIDATOR, F.lit(False))
+    n_issues = sum((F.when(F.col(c), 0).otherwise(1) for c in ("is_compliant", "is_valid", "is_ready")), F.lit(0))
+    valid = F.col("overall_valid")
 
     def row(section, metric, value=None, text=None):
         return F.struct(F.lit(section).alias("section"), F.lit(metric).alias("metric"),
                         (r6(value) if value is not None else F.lit(None).cast("double")).alias("value"),
-                        (text if text is not None else F.lit(None).cast("string")).alias("text"))
+                        (F.lit(text) if isinstance(text, str) else F.lit(None).cast("string") if text is None
+                         else text).alias("text"))
+
+    def flag_row(section, metric, cond):
+        return row(section, metric, cond.cast("int"))
 
+    low_label = F.coalesce(pct(F.col("__labelled"), n), F.lit(0.0)) < S.TARGET_MIN_COMPLETENESS
     rec = [
-        ("missing_values", miss > 0, F.lit("Address missing values before model training")),
-        ("duplicates", F.lit(dups) > 0,
-         F.format_string("Investigate and handle %s duplicate records", F.lit(dups).cast("string"))),
-        ("range_violations", viol > 0, F.lit("Clean data range violations before modeling")),
-        ("class_balance", min_share < S.BALANCE_THRESHOLD_VALIDATOR, F.lit("Consider class balancing techniques")),
+        ("sample_size", ~F.col("__adequate"), S.REC_SAMPLES),
+        ("target_missing", low_label, S.REC_TARGET_MISSING),
+        ("target_classes", F.col("__classes") < 2, S.REC_TARGET_CLASSES),
+        ("class_balance", unbalanced, S.REC_BALANCE),
+        ("range_violations", viol > 0, S.REC_RANGES),
+        ("duplicates_overall", dups > 0, S.REC_DUPLICATES),
+        ("missing_values", miss > 0, S.REC_MISSING),
+        ("duplicates", dups > 0,
+         F.format_string("Investigate and handle %s duplicate records", dups.cast("string"))),
     ]
     rows = [
         row("overview", "n_rows", n), row("overview", "n_columns", F.lit(len(cols))),
         row("overview", "unique_patients", pats), row("overview", "mean_rows_per_patient", avg_visits),
         row("quality", "missing_cells", miss), row("quality", "completeness_pct", completeness),
-        row("quality", "duplicate_rows", F.lit(dups)),
+        row("quality", "duplicate_rows", dups),
         row("validation", "range_violations", viol),
+        flag_row("validation", "schema_compliant", F.col("is_compliant")),
+        flag_row("validation", "business_rules_valid", F.col("is_valid")),
+        flag_row("validation", "data_integrity_intact", F.col("is_intact")),
+        flag_row("validation", "ml_ready", F.col("is_ready")),
+        flag_row("validation", "overall_valid", valid),
+        row("validation", "critical_issues_count", n_issues),
+        row("readiness", "readiness_score", F.col("readiness_score")),
+        flag_row("readiness", "sample_size_adequate", F.col("__adequate")),
+        flag_row("readiness", "target_suitable", F.col("__suitable")),
+        flag_row("readiness", "class_balance_ok", ~unbalanced),
         row("findings", "records", None, F.concat(F.lit("Dataset contains "), F.format_number(n, 0),
                                                   F.lit(f" records with {len(cols)} features"))),
         row("findings", "patients", None, F.concat(
             F.lit("Data covers "), F.format_number(pats, 0), F.lit(" unique patients with average "),
             F.regexp_replace(F.format_number(avg_visits, 1), ",", ""), F.lit(" consultations per patient"))),
-    ] + [F.when(cond, row("recommendations", name, None, txt)) for name, cond, txt in rec]
-    return one.select(F.explode(F.array_compact(F.array(*rows))).alias("r")).select("r.*")
+        row("findings", "validation", None, F.when(valid, F.lit(S.FINDING_VALID)).otherwise(
+            F.format_string("Data has %d critical issues that need attention", n_issues))),
+    ]
+    rows += [F.when(cond, row("recommendations", name, None, txt)) for name, cond, txt in rec]
+    rows += [F.when(valid, row("next_steps", f"step_{i}", None, t)) for i, t in enumerate(S.NEXT_STEPS_VALID, 1)]
+    rows += [F.when(~valid, row("next_steps", f"step_{i}", None, t)) for i, t in enumerate(S.NEXT_STEPS_ISSUES, 1)]
+    rows.append(row("next_steps", "documentation", None, S.NEXT_STEP_ALWAYS))
+    report = one.select(F.explode(F.array_compact(F.array(*rows))).alias("r")).select("r.*")
+    return report.unionByName(lab.select(
+        F.lit("label_distribution").alias("section"), F.col(label).cast("string").alias("metric"),
+        r6(F.col("k")).alias("value"), F.lit(None).cast("string").alias("text")))

@@ -783,14 +783,35 @@ def q_feature_pipeline(spark, d):
 
 
 def _pipeline_summary_sql() -> str:
-    sides = []
+    sides, null_cells = [], []
     for name in ("baseline_train", "baseline_test", "enhanced_train", "enhanced_test"):
         side = name.split("_")[1]
-        src = (f"(SELECT anonymous_patient_id FROM feats WHERE anonymous_patient_id IN "
+        cols = ((S.BASELINE_FEATURES if name.startswith("base") else S.ENHANCED_FEATURES)
+                + [S.LABEL, "anonymous_patient_id"])
+        nulls = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in cols)
+        null_cells.append(f"(SELECT {nulls} FROM feats WHERE anonymous_patient_id IN "
+                          f"(SELECT anonymous_patient_id FROM psplit WHERE split = '{side}'))")
+        src = (f"(SELECT anonymous_patient_id, nbe FROM feats WHERE anonymous_patient_id IN "
                f"(SELECT anonymous_patient_id FROM psplit WHERE split = '{side}'))")
         sides += [f"SELECT 'features', '{name}_rows', CAST(count(*) AS DOUBLE) FROM {src} x",
                   f"SELECT 'features', '{name}_patients', CAST(count(DISTINCT anonymous_patient_id) AS DOUBLE) "
-                  f"FROM {src} y"]
+                  f"FROM {src} y",
+                  f"SELECT 'features', '{name}_label_1', CAST(count(*) FILTER (WHERE nbe = 1) AS DOUBLE) FROM {src} z",
+                  f"SELECT 'features', '{name}_features', {len(cols) - 2}.0",
+                  f"SELECT 'features', '{name}_null_cells', CAST({null_cells[-1]} AS DOUBLE)"]
+    sides += ["SELECT 'anonymize', 'mapping_valid', CAST((SELECT count(*) = count(DISTINCT anonymous_id) "
+              "AND min(anonymous_id) = 1 AND max(anonymous_id) = count(*) FROM id_map) "
+              "AND (SELECT count(*) FROM anon WHERE anonymous_patient_id IS NULL) = 0 AS DOUBLE)",
+              "SELECT 'quality_assurance', 'anonymization_validation_passed', "
+              "CAST((SELECT count(*) FROM anon WHERE anonymous_patient_id IS NULL) = 0 AS DOUBLE)",
+              f"SELECT 'quality_assurance', 'feature_set_validation_passed', CAST({' + '.join(null_cells)} = 0 AS DOUBLE)",
+              "SELECT 'quality_assurance', 'patient_level_split_verified', CAST((SELECT count(*) = count(DISTINCT "
+              "anonymous_patient_id) FROM psplit) AS DOUBLE)",
+              "SELECT 'quality_assurance', 'target_distribution_preserved', CAST((SELECT count(*) FROM feats) = (SELECT "
+              "count(*) FROM feats WHERE anonymous_patient_id IN (SELECT anonymous_patient_id FROM psplit)) AS DOUBLE)",
+              f"SELECT 'quality_assurance', 'data_cleaning_passed', "
+              f"CAST((SELECT CAST(sum({NULLS}) AS BIGINT) FROM cleaned_raw) = 0 AS DOUBLE)",
+              f"SELECT 'clean', 'final_missing_values', CAST((SELECT sum({NULLS}) FROM cleaned_raw) AS DOUBLE)"]
     body = f"""
 SELECT stage, metric, round(value, 6) AS value FROM (
   SELECT 'clean' AS stage, 'original_records' AS metric, CAST(count(*) AS DOUBLE) AS value FROM typed_raw
@@ -1416,8 +1437,13 @@ def _explore_sql() -> str:
 b AS (SELECT count(*) AS n, CAST(sum({nulls}) AS BIGINT) AS miss, count(DISTINCT accident_number) AS pats,
              {viol} AS viol FROM typed_raw)""", f"""
 d AS (SELECT CAST(COALESCE(sum(k - 1), 0) AS BIGINT) AS dups FROM (SELECT count(*) AS k FROM typed_raw GROUP BY {ALL_COLS}) g)""", """
-m AS (SELECT min(k) AS mn FROM (SELECT count(*) AS k FROM typed_raw WHERE nbe IS NOT NULL GROUP BY nbe) g)""", """
-t AS (SELECT * FROM b, d, m)"""], """
+m AS (SELECT min(k) AS mn, count(*) AS classes, sum(k) AS labelled
+      FROM (SELECT count(*) AS k FROM typed_raw WHERE nbe IS NOT NULL GROUP BY nbe) g)""", f"""
+f AS (SELECT {' + '.join(f'100.0 * count({c}) / count(*)' for c in S.BASELINE_FEATURES)} AS comp FROM typed_raw)""", f"""
+t0 AS (SELECT *, n >= {S.MIN_SAMPLES} AS adequate,
+              100.0 * labelled / n >= {S.TARGET_MIN_COMPLETENESS} AND classes >= 2 AS suitable FROM b, d, m, f)""", """
+t AS (SELECT *, CAST(viol > 0 AS INTEGER) + CAST(NOT (adequate AND suitable) AS INTEGER) AS issues,
+             viol = 0 AND dups = 0 AND adequate AND suitable AS ok FROM t0)"""], """
 SELECT 'overview' AS section, 'n_rows' AS metric, round(CAST(n AS DOUBLE), 6) AS value, CAST(NULL AS VARCHAR) AS text FROM t
 UNION ALL SELECT 'overview', 'n_columns', 8.0, NULL FROM t
 UNION ALL SELECT 'overview', 'unique_patients', CAST(pats AS DOUBLE), NULL FROM t
@@ -1426,13 +1452,43 @@ UNION ALL SELECT 'quality', 'missing_cells', CAST(miss AS DOUBLE), NULL FROM t
 UNION ALL SELECT 'quality', 'completeness_pct', round(100.0 - 100.0 * miss / (n * 8), 6), NULL FROM t
 UNION ALL SELECT 'quality', 'duplicate_rows', CAST(dups AS DOUBLE), NULL FROM t
 UNION ALL SELECT 'validation', 'range_violations', CAST(viol AS DOUBLE), NULL FROM t
+UNION ALL SELECT 'validation', 'schema_compliant', 1.0, NULL FROM t
+UNION ALL SELECT 'validation', 'business_rules_valid', CAST(viol = 0 AS DOUBLE), NULL FROM t
+UNION ALL SELECT 'validation', 'data_integrity_intact', CAST(dups = 0 AS DOUBLE), NULL FROM t
+UNION ALL SELECT 'validation', 'ml_ready', CAST(adequate AND suitable AS DOUBLE), NULL FROM t
+UNION ALL SELECT 'validation', 'overall_valid', CAST(ok AS DOUBLE), NULL FROM t
+UNION ALL SELECT 'validation', 'critical_issues_count', CAST(issues AS DOUBLE), NULL FROM t
+UNION ALL SELECT 'readiness', 'readiness_score', round(greatest(0.0, 100.0 - CASE WHEN adequate THEN 0 ELSE 30 END
+                 - CASE WHEN suitable THEN 0 ELSE 40 END - 0.3 * (100.0 - comp / 4)), 6), NULL FROM t
+UNION ALL SELECT 'readiness', 'sample_size_adequate', CAST(adequate AS DOUBLE), NULL FROM t
+UNION ALL SELECT 'readiness', 'target_suitable', CAST(suitable AS DOUBLE), NULL FROM t
+UNION ALL SELECT 'readiness', 'class_balance_ok', CAST(CAST(mn AS DOUBLE) / labelled >= 0.1 AS DOUBLE), NULL FROM t
+UNION ALL SELECT 'label_distribution', CAST(nbe AS VARCHAR), CAST(count(*) AS DOUBLE), NULL FROM typed_raw
+          WHERE nbe IS NOT NULL GROUP BY nbe
+UNION ALL SELECT 'findings', 'validation', NULL, CASE WHEN ok
+                 THEN 'Data passes all validation checks and is ready for preprocessing'
+                 ELSE 'Data has ' || CAST(issues AS VARCHAR) || ' critical issues that need attention' END FROM t
+UNION ALL SELECT 'recommendations', 'sample_size', NULL, 'Increase sample size for better model performance' FROM t WHERE NOT adequate
+UNION ALL SELECT 'recommendations', 'target_missing', NULL, 'Target variable has too many missing values' FROM t WHERE 100.0 * labelled / n < 95
+UNION ALL SELECT 'recommendations', 'target_classes', NULL, 'Target variable needs at least 2 classes' FROM t WHERE classes < 2
+UNION ALL SELECT 'recommendations', 'duplicates_overall', NULL, 'Remove or investigate duplicate records' FROM t WHERE dups > 0
+UNION ALL SELECT 'next_steps', x.metric, NULL, x.step FROM t, (VALUES
+          (true, 'step_1', 'Proceed to Step 2: Data Preprocessing & Anonymization'),
+          (true, 'step_2', 'Implement data cleaning strategies if needed'),
+          (true, 'step_3', 'Create anonymized patient identifiers'),
+          (true, 'step_4', 'Prepare data for feature engineering'),
+          (false, 'step_1', 'Address critical data issues identified in validation'),
+          (false, 'step_2', 'Re-run data exploration after fixing issues'),
+          (false, 'step_3', 'Consult with domain experts for business rule clarification')) AS x(good, metric, step)
+          WHERE x.good = ok
+UNION ALL SELECT 'next_steps', 'documentation', NULL, 'Document findings and share with stakeholders' FROM t
 UNION ALL SELECT 'findings', 'records', NULL, 'Dataset contains ' || format('{:,}', n) || ' records with 8 features' FROM t
 UNION ALL SELECT 'findings', 'patients', NULL, 'Data covers ' || format('{:,}', pats) || ' unique patients with average '
                  || printf('%.1f', CAST(n AS DOUBLE) / pats) || ' consultations per patient' FROM t
 UNION ALL SELECT 'recommendations', 'missing_values', NULL, 'Address missing values before model training' FROM t WHERE miss > 0
 UNION ALL SELECT 'recommendations', 'duplicates', NULL, 'Investigate and handle ' || CAST(dups AS VARCHAR) || ' duplicate records' FROM t WHERE dups > 0
 UNION ALL SELECT 'recommendations', 'range_violations', NULL, 'Clean data range violations before modeling' FROM t WHERE viol > 0
-UNION ALL SELECT 'recommendations', 'class_balance', NULL, 'Consider class balancing techniques' FROM t WHERE CAST(mn AS DOUBLE) / n < 0.1""")
+UNION ALL SELECT 'recommendations', 'class_balance', NULL, 'Consider class balancing techniques' FROM t WHERE CAST(mn AS DOUBLE) / labelled < 0.1""")
 
 
 @register("exploration_summary", _explore_sql())

@@ -72,24 +72,51 @@ def export_sets(ds: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def pipeline_summary(raw: DataFrame, ds: dict[str, DataFrame]) -> DataFrame:
-    """Tidy (stage, metric, value) record flow over clean, pseudonymize and
-    feature steps, plus readiness flags."""
+    """Tidy (stage, metric, value) record flow: the clean stages, the mapping
+    verdict, rows, patients, features and labels of the four model tables, and
+    the five quality-assurance flags (1 / 0)."""
     from consult.operators.cleaning import cleaning_summary
-    cs = cleaning_summary(raw)
-    flow = cs.select(F.explode(F.array(*[
-        F.struct(F.lit("clean").alias("stage"), F.lit(c).alias("metric"), F.col(c).cast("double").alias("value"))
-        for c in ("original_records", "after_label_filter", "after_missing_removal", "final_records",
-                  "retention_pct", "unique_patients")])).alias("r")).select("r.*")
-    parts = [flow]
-    for name in ("baseline_train", "baseline_test", "enhanced_train", "enhanced_test"):
-        d = ds[name]
-        parts.append(d.agg(F.count(F.lit(1)).cast("double").alias("value")).select(
-            F.lit("features").alias("stage"), F.lit(f"{name}_rows").alias("metric"), "value"))
-        parts.append(d.agg(F.count_distinct(S.PSEUDO_ID).cast("double").alias("value")).select(
-            F.lit("features").alias("stage"), F.lit(f"{name}_patients").alias("metric"), "value"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    from consult.operators.pseudonym import validate_mapping
+    from consult.operators.split import validate_feature_sets
+
+    def row(stage, metric, value):
+        return F.struct(F.lit(stage).alias("stage"), metric.alias("metric"), value.cast("double").alias("value"))
+
+    cleaned, names = ds["cleaned"], ("baseline_train", "baseline_test", "enhanced_train", "enhanced_test")
+    swapped = ds["features"].select(S.PSEUDO_ID, *[c for c in cleaned.columns if c != S.ID])
+    mapped = validate_mapping(cleaned, swapped, ds["mapping"]).agg(F.bool_and("passed")).scalar()
+    # At most 22 checks, so one row holds them all.
+    checks = validate_feature_sets(*[ds[n] for n in names], key=S.PSEUDO_ID).agg(
+        F.collect_list(F.struct("feature_set", "check_name", "value", "passed"))).scalar()
+    one = cleaning_summary(raw).select("*", mapped.alias("mapped"), checks.alias("checks"))
+
+    def passed(*check):
+        hit = F.filter("checks", lambda c: c.check_name.isin(*check)) if check else F.col("checks")
+        return F.forall(hit, lambda c: c.passed).cast("int")
+
+    metric = {"n_rows": "rows", "n_positive": "label_1", "n_features": "features", "null_cells": "null_cells"}
+    per_table = F.transform(
+        F.filter("checks", lambda c: c.check_name.isin(*metric)),
+        lambda c: row("features", F.concat_ws("_", c.feature_set, F.element_at(
+            F.create_map(*[F.lit(x) for kv in metric.items() for x in kv]), c.check_name)), c.value))
+    flow = [row("clean", F.lit(c), F.col(c)) for c in (
+        "original_records", "after_label_filter", "after_missing_removal", "final_records",
+        "retention_pct", "unique_patients", "final_missing_values")]
+    flags = [row("anonymize", F.lit("mapping_valid"), F.col("mapped").cast("int"))]
+    flags += [row("quality_assurance", F.lit(n), v) for n, v in (
+        ("data_cleaning_passed", (F.col("final_missing_values") == 0).cast("int")),
+        ("anonymization_validation_passed", F.col("mapped").cast("int")),
+        ("feature_set_validation_passed", passed()),
+        ("patient_level_split_verified", passed("row_count_match", "shared_patients")),
+        ("target_distribution_preserved", passed("label_count_match")))]
+    report = one.select(F.explode(F.concat(F.array(*flow, *flags), per_table)).alias("r")).select("r.*")
+    tables = [ds[n].select(F.lit(n).alias("name"), S.PSEUDO_ID) for n in names]
+    patients = tables[0]
+    for t in tables[1:]:
+        patients = patients.unionByName(t)
+    patients = patients.groupBy("name").agg(F.count_distinct(S.PSEUDO_ID).cast("double").alias("value"))
+    out = report.unionByName(patients.select(F.lit("features").alias("stage"),
+                                             F.concat("name", F.lit("_patients")).alias("metric"), "value"))
     return out.select("stage", "metric", F.round("value", 6).alias("value"))
 
 

@@ -137,3 +137,25 @@ PREDICT_PREFIX = "/api/v1/nbe/predict"
 
 LOG_LOSS_EPS = 2.220446049250313e-16
 DECISION_THRESHOLD = 0.5
+
+# Texts of the exploration report.
+REC_SAMPLES = "Increase sample size for better model performance"
+REC_TARGET_MISSING = "Target variable has too many missing values"
+REC_TARGET_CLASSES = "Target variable needs at least 2 classes"
+REC_BALANCE = "Consider class balancing techniques"
+REC_RANGES = "Clean data range violations before modeling"
+REC_DUPLICATES = "Remove or investigate duplicate records"
+REC_MISSING = "Address missing values before model training"
+FINDING_VALID = "Data passes all validation checks and is ready for preprocessing"
+NEXT_STEPS_VALID = [
+    "Proceed to Step 2: Data Preprocessing & Anonymization",
+    "Implement data cleaning strategies if needed",
+    "Create anonymized patient identifiers",
+    "Prepare data for feature engineering",
+]
+NEXT_STEPS_ISSUES = [
+    "Address critical data issues identified in validation",
+    "Re-run data exploration after fixing issues",
+    "Consult with domain experts for business rule clarification",
+]
+NEXT_STEP_ALWAYS = "Document findings and share with stakeholders"
