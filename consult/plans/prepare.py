@@ -84,11 +84,13 @@ def pipeline_summary(raw: DataFrame, ds: dict[str, DataFrame]) -> DataFrame:
 
     cleaned, names = ds["cleaned"], ("baseline_train", "baseline_test", "enhanced_train", "enhanced_test")
     swapped = ds["features"].select(S.PSEUDO_ID, *[c for c in cleaned.columns if c != S.ID])
-    mapped = validate_mapping(cleaned, swapped, ds["mapping"]).agg(F.bool_and("passed")).scalar()
+    mapped = validate_mapping(cleaned, swapped, ds["mapping"]).agg(F.bool_and("passed").alias("mapped"))
     # At most 22 checks, so one row holds them all.
     checks = validate_feature_sets(*[ds[n] for n in names], key=S.PSEUDO_ID).agg(
-        F.collect_list(F.struct("feature_set", "check_name", "value", "passed"))).scalar()
-    one = cleaning_summary(raw).select("*", mapped.alias("mapped"), checks.alias("checks"))
+        F.collect_list(F.struct("feature_set", "check_name", "value", "passed")).alias("checks"))
+    one = (cleaning_summary(raw).unionByName(mapped, allowMissingColumns=True)
+           .unionByName(checks, allowMissingColumns=True))
+    one = one.agg(*[F.max(c).alias(c) for c in one.columns])
 
     def passed(*check):
         hit = F.filter("checks", lambda c: c.check_name.isin(*check)) if check else F.col("checks")
