@@ -47,40 +47,47 @@ def make_learner(name: str, n_train: int, seed: int = S.SEED):
     Spark does not penalize the intercept (liblinear does). Forest: 100 trees,
     depth 10, at least 2 rows per leaf, sqrt features. Boosted: 100 rounds,
     depth 6, step 0.1, log loss; node ids are not cached (shallow trees: the
-    cache costs more than it saves), and the per-round prediction lineage is
-    checkpointed every 10 rounds."""
+    cache costs more than it saves; the deep forest does cache them), and the
+    per-round lineage is checkpointed every 10 rounds. Logistic and boosted learners take weights."""
     if name == "logistic_regression":
-        return LogisticRegression(featuresCol="features", labelCol="label", regParam=1.0 / max(n_train, 1),
-                                  elasticNetParam=0.0, standardization=False, maxIter=1000)
+        return LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight",
+                                  regParam=1.0 / max(n_train, 1), elasticNetParam=0.0,
+                                  standardization=False, maxIter=1000)
     if name == "random_forest":
         return RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=100, maxDepth=10,
-                                      minInstancesPerNode=2, featureSubsetStrategy="sqrt", seed=seed)
+                                      minInstancesPerNode=2, featureSubsetStrategy="sqrt", seed=seed,
+                                      cacheNodeIds=True, checkpointInterval=10)
     if name == "gbt":
-        return GBTClassifier(featuresCol="features", labelCol="label", maxIter=100, maxDepth=6,
-                             stepSize=0.1, seed=seed, lossType="logistic", cacheNodeIds=False,
+        return GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=100,
+                             maxDepth=6, stepSize=0.1, seed=seed, lossType="logistic", cacheNodeIds=False,
                              checkpointInterval=10)
     raise ValueError(f"unknown learner {name}")
 
 
-def _prep(df: DataFrame, feature_set: str, label: str = S.LABEL) -> DataFrame:
-    cols = FEATURE_SETS[feature_set]
-    return df.select(*[F.col(c).cast("double").alias(c) for c in cols],
-                     F.col(label).cast("double").alias("label"),
-                     *[c for c in df.columns if c not in cols and c != label])
-
-
 def fit(df: DataFrame, learner: str, feature_set: str, label: str = S.LABEL,
         n_train: int | None = None) -> PipelineModel:
     """Assembler + learner pipeline fitted on ``df`` (label 0/1). Rows with a
     missing feature (e.g. an unparseable contact date gives no day count)
-    are left out of the fit rather than failing it."""
+    are left out of the fit rather than failing it.
+
+    Scores and states are small integers, so rows repeat: logistic and boosted
+    fits read each distinct (features, label) row once, weighted by its count,
+    which leaves their sums as they are. The forest bags single rows, so it
+    reads all of them. ``n_train`` sets the logistic penalty (default: the
+    number of complete rows)."""
     cols = FEATURE_SETS[feature_set]
     feature_count_guard(feature_set, df.columns)
-    data = _prep(df, feature_set, label)
-    n = n_train if n_train is not None else data.count()
-    pipe = Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="skip"),
-                            make_learner(learner, n)])
-    return pipe.fit(data)
+    rows = df.select(*[F.col(c).cast("double").alias(c) for c in cols],
+                     F.col(label).cast("double").alias("label")).na.drop()
+    assembler = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="skip")
+    if learner == "random_forest":
+        return Pipeline(stages=[assembler, make_learner(learner, n_train or 0)]).fit(rows)
+    rows = rows.groupBy(*cols, "label").agg(F.count(F.lit(1)).cast("double").alias("weight")).persist()
+    try:
+        n = n_train if n_train is not None else int(rows.agg(F.sum("weight")).first()[0] or 0)
+        return Pipeline(stages=[assembler, make_learner(learner, n)]).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def predict(model: PipelineModel, df: DataFrame, feature_set: str) -> DataFrame:
@@ -131,45 +138,60 @@ def cv_summary(cv: DataFrame) -> DataFrame:
                   F.count(F.lit(1)).alias("n_folds"))
 
 
+def importances(model: PipelineModel, feature_set: str) -> dict[str, float]:
+    """Tree importance or |coefficient| of each feature of a fitted pipeline."""
+    est = model.stages[-1]
+    vals = est.featureImportances if hasattr(est, "featureImportances") else est.coefficients
+    return {c: abs(float(v)) for c, v in zip(FEATURE_SETS[feature_set], vals.toArray())}
+
+
 def feature_importance(model: PipelineModel, feature_set: str, top: int = 10) -> DataFrame:
     """Tree importances or |coefficient|, ranked, top ``top`` (a top-k report)."""
     spark = SparkSession.getActiveSession()
-    cols = FEATURE_SETS[feature_set]
-    est = model.stages[-1]
-    if hasattr(est, "featureImportances"):
-        vals = est.featureImportances.toArray().tolist()
-    else:
-        vals = [abs(v) for v in est.coefficients.toArray().tolist()]
-    ranked = sorted(zip(cols, vals), key=lambda t: -t[1])[:top]
-    return spark.createDataFrame([(i + 1, c, float(v)) for i, (c, v) in enumerate(ranked)],
+    ranked = sorted(importances(model, feature_set).items(), key=lambda t: -t[1])[:top]
+    return spark.createDataFrame([(i + 1, c, v) for i, (c, v) in enumerate(ranked)],
                                  "rank int, feature string, importance double")
 
 
+#: One row per trained model (M9): what the registry keeps of it.
+METADATA = ("learner string, feature_set string, n_train bigint, n_features int, features array<string>, "
+            "cv_scores array<double>, cv_mean double, cv_std double, fit_seconds double, "
+            "importances map<string,double>, trained_at string, error string")
+
+
 def train_all(train_sets: dict[str, DataFrame], learners: list[str] = LEARNERS, k: int = S.N_FOLDS,
-              with_cv: bool = True, parallelism: int = 1, fold_seed: int = S.SEED):
+              with_cv: bool = True, parallelism: int = 1, fold_seed: int = S.SEED,
+              fit_one=None, cv_one=None):
     """Fit every learner on every feature set; one failure does not stop the
-    rest. Returns ({(learner, set): PipelineModel}, summary DataFrame)."""
+    rest. Returns ({(learner, set): PipelineModel}, METADATA rows); a failed
+    pair has its error text and no model.
+
+    ``fit_one(rows, learner, set)`` and ``cv_one(folded, learner, set)`` may
+    stand in for ``fit`` and ``cross_validate``, e.g. to reuse saved results."""
     from consult.operators.split import assign_folds
     spark = next(iter(train_sets.values())).sparkSession
-    models, rows = {}, []
-    folded = {}
-    for fs, d in train_sets.items():
-        folded[fs] = assign_folds(d, k=k, seed=fold_seed).cache() if with_cv else d.cache()
-    counts = {fs: d.count() for fs, d in folded.items()}
+    fit_one = fit_one or fit
+    cv_one = cv_one or (lambda folded, learner, fs: cross_validate(folded, learner, fs, k=k))
+    held = {fs: (assign_folds(d, k=k, seed=fold_seed) if with_cv else d).persist() for fs, d in train_sets.items()}
+    counts = {fs: d.count() for fs, d in held.items()}
 
     def job(pair):
         learner, fs = pair
+        row = dict.fromkeys(("cv_scores", "cv_mean", "cv_std", "fit_seconds", "importances", "error"))
+        row.update(learner=learner, feature_set=fs, n_train=counts[fs], n_features=len(FEATURE_SETS[fs]),
+                   features=FEATURE_SETS[fs], trained_at=time.strftime("%Y-%m-%dT%H:%M:%S", time.gmtime()))
         try:
             t0 = time.time()
-            m = fit(folded[fs], learner, fs, n_train=counts[fs])
-            secs = time.time() - t0
-            cvm = cvs = None
+            m = fit_one(held[fs], learner, fs)
+            row.update(fit_seconds=time.time() - t0, importances=importances(m, fs))
             if with_cv:
-                s = cv_summary(cross_validate(folded[fs], learner, fs, k=k)).first()
-                cvm, cvs = s["cv_mean"], s["cv_std"]
-            return pair, m, (learner, fs, counts[fs], len(FEATURE_SETS[fs]), cvm, cvs, secs, None)
+                cv = cv_one(held[fs], learner, fs).persist()
+                row.update(cv_scores=[r["auc"] for r in cv.orderBy("fold").collect()],
+                           **cv_summary(cv).drop("n_folds").first().asDict())
+                cv.unpersist()
+            return pair, m, row
         except Exception as e:  # keep going with the other learners
-            return pair, None, (learner, fs, counts[fs], len(FEATURE_SETS[fs]), None, None, None, str(e))
+            return pair, None, {**row, "error": str(e)}
 
     pairs = [(lr, fs) for fs in train_sets for lr in learners]
     if parallelism > 1:
@@ -177,15 +199,11 @@ def train_all(train_sets: dict[str, DataFrame], learners: list[str] = LEARNERS,
             out = list(ex.map(job, pairs))
     else:
         out = [job(p) for p in pairs]
-    for pair, m, row in out:
-        if m is not None:
-            models[pair] = m
-        rows.append(row)
-    for d in folded.values():
+    for d in held.values():
         d.unpersist()
-    summary = spark.createDataFrame(rows, "learner string, feature_set string, n_train bigint, n_features int, "
-                                          "cv_mean double, cv_std double, fit_seconds double, error string")
-    return models, summary
+    names = [f.split()[0] for f in METADATA.split(", ")]
+    summary = spark.createDataFrame([tuple(row[c] for c in names) for _, _, row in out], METADATA)
+    return {pair: m for pair, m, _ in out if m is not None}, summary
 
 
 def best_models(summary: DataFrame, metric: str = "cv_mean") -> DataFrame:
@@ -199,34 +217,47 @@ def best_models(summary: DataFrame, metric: str = "cv_mean") -> DataFrame:
 # S6 registry, V8 scoring, V10 model info
 # ---------------------------------------------------------------------------
 
+class ModelNotFound(LookupError):
+    pass
+
+
 def save_model(model: PipelineModel, root: str, learner: str, feature_set: str, run_id: str,
                summary_row: dict | None = None) -> str:
-    """Pipeline under <root>/<run_id>/<learner>_<set>; metadata as a row
-    appended to <root>/_registry (partitioned by run_id)."""
-    spark = SparkSession.getActiveSession()
+    """Pipeline under <root>/<run_id>/<learner>_<set>, with its registry row."""
     path = f"{root.rstrip('/')}/{run_id}/{learner}_{feature_set}"
     model.write().overwrite().save(path)
-    meta = dict(learner=learner, feature_set=feature_set, path=path, run_id=run_id,
-                n_features=len(FEATURE_SETS[feature_set]), cv_mean=None, cv_std=None, n_train=None,
-                trained_at=time.strftime("%Y-%m-%dT%H:%M:%S", time.gmtime()))
-    if summary_row:
-        meta.update({k: summary_row.get(k) for k in ("cv_mean", "cv_std", "n_train")})
-    spark.createDataFrame([meta], "learner string, feature_set string, path string, run_id string, "
-                                  "n_features int, cv_mean double, cv_std double, n_train bigint, "
-                                  "trained_at string").write.mode("append").partitionBy("run_id").parquet(
-        f"{root.rstrip('/')}/_registry")
+    row = {"importances": importances(model, feature_set), **(summary_row or {})}
+    register_model(SparkSession.getActiveSession(), root, learner, feature_set, run_id, row)
     return path
 
 
+def register_model(spark: SparkSession, root: str, learner: str, feature_set: str, run_id: str, row: dict) -> None:
+    """METADATA row (as far as ``row`` has it) of a saved model in <root>/_registry,
+    in a partition of its run and model: registering again replaces it."""
+    names = [f.split()[0] for f in METADATA.split(", ")]
+    full = {"n_features": len(FEATURE_SETS[feature_set]), "features": FEATURE_SETS[feature_set],
+            "trained_at": time.strftime("%Y-%m-%dT%H:%M:%S", time.gmtime()),
+            **{k: v for k, v in row.items() if v is not None}, "learner": learner, "feature_set": feature_set}
+    name = f"{learner}_{feature_set}"
+    (spark.createDataFrame([(*[full.get(c) for c in names], f"{root.rstrip('/')}/{run_id}/{name}", run_id, name)],
+                           METADATA + ", path string, run_id string, model string")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_id", "model").parquet(f"{root.rstrip('/')}/_registry"))
+
+
 def registry(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root.rstrip('/')}/_registry")
+    """Metadata rows of all saved models; run ids are text."""
+    reg = spark.read.parquet(f"{root.rstrip('/')}/_registry")
+    return reg.withColumn("run_id", F.col("run_id").cast("string"))
 
 
 def load_latest(spark: SparkSession, root: str, learner: str, feature_set: str) -> PipelineModel:
     """Newest model of a kind (max run_id, partition-pruned)."""
     reg = registry(spark, root).where((F.col("learner") == learner) & (F.col("feature_set") == feature_set))
-    path = reg.orderBy(F.col("run_id").desc()).select("path").first()["path"]
-    return PipelineModel.load(path)
+    newest = reg.orderBy(F.col("run_id").desc()).select("path").first()
+    if newest is None:
+        raise ModelNotFound(f"no {learner} for {feature_set} in {root}")
+    return PipelineModel.load(newest["path"])
 
 
 def score_requests(requests: DataFrame, model: PipelineModel, feature_set: str, model_used: str,
@@ -254,9 +285,9 @@ def score_requests(requests: DataFrame, model: PipelineModel, feature_set: str,
 
 
 def model_info(summary: DataFrame) -> DataFrame:
-    """Algorithm, feature count, CV AUC, training rows, feature list per set."""
+    """Algorithm, feature count and list, CV AUC, training rows and time per set,
+    from METADATA rows (a registry or a training summary)."""
     return summary.select(
         "feature_set", F.col("learner").alias("algorithm"), F.col("n_features").alias("features"),
         F.col("cv_mean").alias("cv_auc"), F.col("n_train").alias("training_samples"),
-        F.when(F.col("feature_set") == "baseline", F.lit(",".join(S.BASELINE_FEATURES)))
-         .otherwise(F.lit(",".join(S.ENHANCED_FEATURES))).alias("feature_list"))
+        F.array_join("features", ",").alias("feature_list"), "trained_at", "fit_seconds")

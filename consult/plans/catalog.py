@@ -1246,26 +1246,79 @@ def q_prediction_monitor(spark, d):
 
 from consult.operators import models as M  # noqa: E402
 
-_CACHE: dict = {}
+def reused(spark, d, name, build):
+    """The table ``build()`` gives, written below the shared folder the first time
+    this application asks for it and read back from there each time."""
+    from pyspark.errors import AnalysisException
+    path = f"{training_root(spark, d)}/{name}"
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:  # not written yet
+        build().write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+
+def training_root(spark, d):
+    """Folder of this application's models and tables for one input folder."""
+    from hashlib import md5
+
+    from consult.session import scratch_path
+    return scratch_path(spark, f"training/{spark.sparkContext.applicationId}-{md5(d.encode()).hexdigest()[:12]}")
 
 
 def model_data(spark, d):
-    """Prepared train / test tables of the clean fixture, materialized once
-    per session and input folder."""
-    key = ("data", spark.sparkContext.applicationId, d)
-    if key not in _CACHE:
-        from consult.plans.prepare import build_datasets
-        ds = build_datasets(FX.consultations(spark, d))
-        _CACHE[key] = {k: ds[k].cache() for k in ("baseline_train", "baseline_test",
-                                                  "enhanced_train", "enhanced_test")}
-    return _CACHE[key]
+    """Prepared train / test tables of the clean fixture."""
+    from consult.plans.prepare import build_datasets
+    held = {}
+
+    def part(k):
+        if not held:
+            held.update(build_datasets(FX.consultations(spark, d)))
+        return held[k]
+    names = ("baseline_train", "baseline_test", "enhanced_train", "enhanced_test")
+    return {k: reused(spark, d, k, lambda k=k: part(k)) for k in names}
+
+
+RUN_ID = "run-1"
 
 
 def fitted(spark, d, learner, fs):
-    key = ("model", spark.sparkContext.applicationId, d, learner, fs)
-    if key not in _CACHE:
-        _CACHE[key] = M.fit(model_data(spark, d)[f"{fs}_train"], learner, fs)
-    return _CACHE[key]
+    """The model of one pair: from the registry, or fitted and saved there."""
+    import time
+
+    from pyspark.errors import AnalysisException
+    root = training_root(spark, d)
+    try:
+        return M.load_latest(spark, root, learner, fs)
+    except (AnalysisException, M.ModelNotFound):  # no registry yet, or no such model in it
+        rows = model_data(spark, d)[f"{fs}_train"]
+        t0 = time.time()
+        model = M.fit(rows, learner, fs)
+        M.save_model(model, root, learner, fs, RUN_ID, {"fit_seconds": time.time() - t0})
+        return model
+
+
+def trained(spark, d, learners, sets):
+    """METADATA rows of the pairs, by ``train_all`` over models and fold scores that
+    are computed once an application. Rows of trained pairs go to the registry;
+    fit time and date are those of the fit itself."""
+    data = model_data(spark, d)
+    _, rows = M.train_all({fs: data[f"{fs}_train"] for fs in sets}, learners,
+                          fit_one=lambda _, learner, fs: fitted(spark, d, learner, fs),
+                          cv_one=lambda _, learner, fs: cv_pair(spark, d, learner, fs))
+    root = training_root(spark, d)
+    out = [r.asDict() for r in rows.collect()]  # one row a pair
+    try:
+        known = {(r["learner"], r["feature_set"]): r for r in M.registry(spark, root).collect()}
+    except Exception:  # noqa: BLE001 - nothing was trained
+        known = {}
+    for r in out:
+        if r["error"] is None:
+            at = known[r["learner"], r["feature_set"]]
+            r.update(fit_seconds=at["fit_seconds"], trained_at=at["trained_at"])
+            M.register_model(spark, root, r["learner"], r["feature_set"], RUN_ID, r)
+    names = [f.split()[0] for f in M.METADATA.split(", ")]
+    return spark.createDataFrame([tuple(r[c] for c in names) for r in out], M.METADATA)
 
 
 def _test_predictions(learner, fs):
@@ -1284,13 +1337,12 @@ for _short, _learner in (("lr", "logistic_regression"), ("rf", "random_forest"),
 
 
 def cv_pair(spark, d, learner, fs):
-    """Fold AUCs of one learner on one feature set (computed once per session)."""
-    key = ("cv", spark.sparkContext.applicationId, d, learner, fs)
-    if key not in _CACHE:
+    """Fold AUCs of one learner on one feature set (computed once an application)."""
+    def build():
         folded = SP.assign_folds(model_data(spark, d)[f"{fs}_train"])
-        _CACHE[key] = M.cross_validate(folded, learner, fs, parallelism=S.N_FOLDS).select(
-            F.lit(learner).alias("learner"), F.lit(fs).alias("feature_set"), "fold", "auc").cache()
-    return _CACHE[key]
+        return M.cross_validate(folded, learner, fs, parallelism=S.N_FOLDS).select(
+            F.lit(learner).alias("learner"), F.lit(fs).alias("feature_set"), "fold", "auc")
+    return reused(spark, d, f"cv-{learner}-{fs}", build)
 
 
 def cv_results(spark, d, learner):
@@ -1336,25 +1388,23 @@ def q_feature_importance(spark, d):
 
 @register("training_summary")
 def q_training_summary(spark, d):
-    """Fit all six models: test metrics, CV mean / population std, best per
-    set by CV mean (one failing learner would not stop the others)."""
+    """All six models by ``train_all``: metadata (features, fold scores, CV mean /
+    population std, fit time), test metrics, best per set by CV mean. A learner
+    that fails keeps its row, with the error text and no metrics."""
     from consult.operators.metrics import evaluate_all
-    data = model_data(spark, d)
+    meta = trained(spark, d, M.LEARNERS, ["baseline", "enhanced"])
     parts = None
-    for learner in M.LEARNERS:
-        for fs in ("baseline", "enhanced"):
-            sc = _test_predictions(learner, fs)(spark, d)
-            parts = sc if parts is None else parts.unionByName(sc)
-    ev = evaluate_all(parts.withColumnRenamed("learner", "model"))
-    n = {fs: data[f"{fs}_train"].count() for fs in ("baseline", "enhanced")}
-    cv = q_cv_scores(spark, d).groupBy("learner", "feature_set").agg(
-        F.round(F.avg("auc"), 6).alias("cv_mean"), F.round(F.stddev_pop("auc"), 6).alias("cv_std"))
-    out = ev.select(F.col("model").alias("learner"), "feature_set",
-                    F.when(F.col("feature_set") == "baseline", F.lit(n["baseline"]))
-                     .otherwise(F.lit(n["enhanced"])).alias("n_train"),
-                    "n_rows", "auc_roc", "average_precision", "log_loss", "precision", "recall", "f1")
-    out = out.join(cv, ["learner", "feature_set"], "left")
-    best = M.best_models(out.select("learner", "feature_set", "cv_mean")).select(
+    for r in meta.where("error IS NULL").select("learner", "feature_set").collect():
+        sc = _test_predictions(r["learner"], r["feature_set"])(spark, d)
+        parts = sc if parts is None else parts.unionByName(sc)
+    out = meta.select("learner", "feature_set", "n_train", "features", "cv_scores", F.round("cv_mean", 6).alias("cv_mean"),
+                      F.round("cv_std", 6).alias("cv_std"), "fit_seconds", "error")
+    if parts is not None:
+        ev = evaluate_all(parts.withColumnRenamed("learner", "model")).select(
+            F.col("model").alias("learner"), "feature_set", "n_rows", "auc_roc", "average_precision", "log_loss",
+            "precision", "recall", "f1")
+        out = out.join(ev, ["learner", "feature_set"], "left")
+    best = M.best_models(out.where("error IS NULL").select("learner", "feature_set", "cv_mean")).select(
         "learner", "feature_set", F.lit(True).alias("best_by_cv"))
     return out.join(best, ["learner", "feature_set"], "left").fillna(False, ["best_by_cv"])
 
@@ -1374,23 +1424,18 @@ register("score_enhanced")(_score("gbt", "enhanced", "gbt"))
 
 @register("model_info")
 def q_model_info(spark, d):
-    """Algorithm, feature count and list, CV AUC (mean of folds) and test AUC
-    as separate columns, training rows of the two served models."""
+    """The registry rows of the two served models (algorithm, feature count and
+    list, CV AUC, training rows and time) with their test AUC."""
     from consult.operators.metrics import evaluate_all
-    data = model_data(spark, d)
     pairs = (("logistic_regression", "baseline"), ("gbt", "enhanced"))
+    served = None
+    for learner, fs in pairs:
+        row = trained(spark, d, [learner], [fs]).select("learner", "feature_set")
+        served = row if served is None else served.unionByName(row)
     preds = _test_predictions(*pairs[0])(spark, d).unionByName(_test_predictions(*pairs[1])(spark, d))
-    ev = evaluate_all(preds.withColumnRenamed("learner", "model"))
-    cv = cv_pair(spark, d, *pairs[0]).unionByName(cv_pair(spark, d, *pairs[1])).groupBy(
-        "learner", "feature_set").agg(F.round(F.avg("auc"), 6).alias("cv_mean"))
-    n = {fs: data[f"{fs}_train"].count() for _, fs in pairs}
-    served = ev.select(F.col("model").alias("learner"), "feature_set", "auc_roc",
-                       F.when(F.col("feature_set") == "baseline", F.lit(n["baseline"]))
-                        .otherwise(F.lit(n["enhanced"])).alias("n_train")).join(cv, ["learner", "feature_set"])
-    return M.model_info(served.select("learner", "feature_set", "cv_mean", "n_train",
-                                      F.when(F.col("feature_set") == "baseline", 4).otherwise(10)
-                                      .alias("n_features"))).join(
-        served.select("feature_set", F.col("auc_roc").alias("test_auc")), "feature_set")
+    ev = evaluate_all(preds.withColumnRenamed("learner", "model")).select("feature_set", F.col("auc_roc").alias("test_auc"))
+    reg = M.registry(spark, training_root(spark, d)).join(served, ["learner", "feature_set"], "left_semi")
+    return M.model_info(reg).join(ev, "feature_set")
 
 
 @register("model_registry")

@@ -75,3 +75,40 @@ def test_one_failing_learner_does_not_stop_the_rest(ds):
     rows = {r["learner"]: r for r in summary.collect()}
     assert list(models) == [("logistic_regression", "baseline")]
     assert rows["logistic_regression"]["error"] is None and "absent" in rows["absent"]["error"]
+
+
+def test_metadata_reaches_the_registry(spark, ds, tmp_path):
+    models, meta = M.train_all({"baseline": ds["baseline_train"]}, ["logistic_regression"])
+    row = meta.first().asDict()
+    assert len(row["cv_scores"]) == 5 and abs(sum(row["cv_scores"]) / 5 - row["cv_mean"]) < 1e-6
+    for _ in range(2):  # saving again replaces the row
+        M.save_model(models["logistic_regression", "baseline"], str(tmp_path), "logistic_regression", "baseline",
+                     run_id="20250612", summary_row=row)
+    kept = M.registry(spark, str(tmp_path)).collect()
+    assert len(kept) == 1 and kept[0]["run_id"] == "20250612"
+    assert set(kept[0]["importances"]) == set(kept[0]["features"]) == set(M.FEATURE_SETS["baseline"])
+    info = M.model_info(M.registry(spark, str(tmp_path))).first()
+    assert info["training_samples"] == ds["baseline_train"].count() and info["trained_at"] == row["trained_at"]
+
+
+def test_counted_rows_fit_like_single_rows(ds):
+    """Weighted distinct rows give the model that the rows themselves give."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    cols = M.FEATURE_SETS["baseline"]
+    rows = ds["baseline_train"].select(*[F.col(c).cast("double").alias(c) for c in cols],
+                                       F.col("nbe").cast("double").alias("label"), F.lit(1.0).alias("weight"))
+    for learner, near in (("logistic_regression", 1e-5), ("gbt", 1e-2)):
+        plain = Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="features"),
+                                 M.make_learner(learner, rows.count())]).fit(rows)
+        a = M.predict(plain, ds["baseline_test"], "baseline").select(*cols, "score").distinct()
+        b = M.predict(M.fit(ds["baseline_train"], learner, "baseline"), ds["baseline_test"], "baseline")
+        b = b.select(*cols, F.col("score").alias("other")).distinct()
+        assert a.join(b, cols).agg(F.max(F.abs(F.col("score") - F.col("other")))).first()[0] < near
+
+
+def test_cross_validation_leaves_the_callers_cache(ds):
+    from consult.operators.split import assign_folds
+    folded = assign_folds(ds["baseline_train"]).cache()
+    M.cross_validate(folded, "logistic_regression", "baseline")
+    assert folded.storageLevel.useMemory
