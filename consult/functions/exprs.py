@@ -69,11 +69,11 @@ def r6(c: Column) -> Column:
 
 
 def confidence_level(p: Column) -> Column:
-    """Band of |p - 0.5| * 2: high >= 0.7, medium >= 0.4, else low."""
+    """Band of |p - 0.5| * 2: high >= 0.7, medium >= 0.4, else low; null without a score."""
     score = F.abs(p - F.lit(0.5)) * F.lit(2.0)
     return (F.when(score >= S.CONFIDENCE_HIGH, F.lit("high"))
             .when(score >= S.CONFIDENCE_MEDIUM, F.lit("medium"))
-            .otherwise(F.lit("low")))
+            .when(score.isNotNull(), F.lit("low")))
 
 
 def unpivot_long(df: DataFrame, cols: list[str], ids: list[str] | None = None,

@@ -83,17 +83,55 @@ def q_src_consultations(spark, d):
 
 
 @register("latest_snapshot", P.q(["consultations"], [], """
-SELECT * FROM (
+SELECT accident_number, accident_date, contact_date, fl_score, fl_status, p_score, p_status, nbe, run_id FROM (
   SELECT *, '20250101' AS run_id FROM consultations
   UNION ALL SELECT *, '20250612' AS run_id FROM consultations WHERE nbe IN (0, 1)) u
 WHERE run_id = (SELECT max(run_id) FROM (
   SELECT '20250101' AS run_id FROM consultations
   UNION ALL SELECT '20250612' AS run_id FROM consultations WHERE nbe IN (0, 1)) r)"""))
 def q_latest_snapshot(spark, d):
+    """Two runs of a stage written as partitions; the newest is read back."""
+    import uuid
+
+    from consult.session import scratch_path
     c = FX.consultations(spark, d)
-    runs = c.withColumn("run_id", F.lit("20250101")).unionByName(
-        C.binary_label_filter(c).withColumn("run_id", F.lit("20250612")))
-    return IO.latest_run(runs)
+    path = scratch_path(spark, f"stage-{uuid.uuid4().hex}")
+    IO.write_stage(c, path, "20250101")
+    IO.write_stage(C.binary_label_filter(c), path, "20250612")
+    return IO.read_stage(spark, path)
+
+
+@register("stage_reread", P.q(["consultations"], [], """
+SELECT f.fmt, c.* FROM consultations c, (VALUES ('csv'), ('json')) AS f(fmt)"""))
+def q_stage_reread(spark, d):
+    """A stage written as CSV and as JSON, each read back with its types."""
+    import uuid
+
+    from consult.session import scratch_path
+    c, out = FX.consultations(spark, d), None
+    for fmt in ("csv", "json"):
+        path = scratch_path(spark, f"stage-{fmt}-{uuid.uuid4().hex}")
+        IO.write_stage(c, path, "20250612", fmt=fmt)
+        back = IO.read_stage(spark, path, fmt=fmt).drop("run_id").select(F.lit(fmt).alias("fmt"), *c.columns)
+        out = back if out is None else out.unionByName(back)
+    return out
+
+
+@register("csv_rejects", P.q(["consultations_raw"], [], f"""
+SELECT 'row' AS kind, nbe, count(*) AS n_lines FROM consultations_raw WHERE p_score IS DISTINCT FROM '9' GROUP BY nbe
+UNION ALL SELECT 'reject', NULL, count(*) FROM consultations_raw WHERE p_score = '9'"""))
+def q_csv_rejects(spark, d):
+    """A raw CSV drop read with its schema: rows by label, and the lines that do not fit it, counted."""
+    import uuid
+
+    from consult.session import scratch_path
+    path = scratch_path(spark, f"drop-{uuid.uuid4().hex}")
+    FX.csv_lines(spark, d).write.text(path)
+    rows, rejects = IO.read_with_rejects(spark, path, "csv", header="false")
+    n = F.count(F.lit(1)).alias("n_lines")
+    bad = rejects.groupBy("file_path").agg(F.count("line").alias("n")).agg(F.sum("n").alias("n_lines"))
+    return rows.groupBy(F.lit("row").alias("kind"), "nbe").agg(n).unionByName(
+        bad.select(F.lit("reject").alias("kind"), F.lit(None).cast("string").alias("nbe"), "n_lines"))
 
 
 # =============================================================================
@@ -569,14 +607,14 @@ def q_pseudonymize(spark, d):
 
 @register("reverse_lookup", fq("""
 SELECT s.anonymous_patient_id, s.split, m.original_id FROM psplit s
-JOIN id_map m ON s.anonymous_patient_id = m.anonymous_id WHERE s.split = 'test'""",
+JOIN id_map m ON s.anonymous_patient_id = m.anonymous_id""",
                                 [P.patient_label("feats"), P.split("plabel")]))
 def q_reverse_lookup(spark, d):
-    """Test-side patients of the split traced back to their original ids."""
+    """Patients of both sides of the split traced back to their original ids."""
     c = cleaned(spark, d)
     an, m = A.pseudonymize(c)
     f = FT.add_interactions(FT.add_consultation_sequence(FT.add_days_since_accident(an)))
-    sp = SP.stratified_patient_split(f).where(F.col("split") == "test").select(S.PSEUDO_ID, "split")
+    sp = SP.stratified_patient_split(f).select(S.PSEUDO_ID, "split")
     return A.reverse_lookup(sp, m)
 
 
@@ -1144,21 +1182,20 @@ SHAPE_SCORE = ("CAST(16 + p_status + fl_status + p_status * fl_status - 2 * p_sc
 @register("shape_response", rq(f"""
 SELECT request_id, response_type, s AS nbe_yes_probability, 1.0 - s AS nbe_no_probability,
        CASE WHEN response_type = 'detailed' THEN
-         CASE WHEN abs(s - 0.5) * 2.0 >= 0.7 THEN 'high' WHEN abs(s - 0.5) * 2.0 >= 0.4 THEN 'medium' ELSE 'low' END
+         CASE WHEN abs(s - 0.5) * 2.0 >= 0.7 THEN 'high' WHEN abs(s - 0.5) * 2.0 >= 0.4 THEN 'medium'
+              WHEN s IS NOT NULL THEN 'low' END
        END AS confidence_level,
        CASE WHEN response_type = 'detailed' THEN 'dyadic_rule' END AS model_used,
        CASE WHEN response_type = 'detailed' THEN 'enhanced' END AS model_type,
        CASE WHEN response_type = 'detailed' THEN TIMESTAMP '{FIXED_TS}' END AS prediction_timestamp,
        CASE WHEN response_type = 'detailed' THEN true END AS feature_engineering_applied,
        CASE WHEN response_type = 'detailed' THEN true END AS input_validation_passed
-FROM (SELECT *, {SHAPE_SCORE} AS s FROM req
-      WHERE p_score IS NOT NULL AND p_status IS NOT NULL AND fl_score IS NOT NULL AND fl_status IS NOT NULL) t"""))
+FROM (SELECT *, {SHAPE_SCORE} AS s FROM req) t"""))
 def q_shape_response(spark, d):
     """Minimal / detailed responses over stand-in scores (a fixed dyadic rule
-    of the request features) with a fixed timestamp, so both engines agree."""
-    r = V.validate_schema(requests_df(spark, d), "enhanced").where(
-        F.col("p_score").isNotNull() & F.col("p_status").isNotNull() & F.col("fl_score").isNotNull()
-        & F.col("fl_status").isNotNull())
+    of the request features; null where one is missing) with a fixed timestamp,
+    so both engines agree."""
+    r = V.validate_schema(requests_df(spark, d), "enhanced")
     s = F.expr(SHAPE_SCORE)
     sc = r.select("request_id", "response_type", s.alias("nbe_yes_probability"),
                   (F.lit(1.0) - s).alias("nbe_no_probability"))
@@ -1192,15 +1229,21 @@ def q_request_metrics(spark, d):
 
 LIMITS_SQL = "\nlimits AS (SELECT * FROM (VALUES " + ", ".join(
     f"('{p}', {n})" for p, n in S.RATE_LIMITS) + ") AS t(path, limit_per_minute))"
+LOW_LIMITS_SQL = "\nlimits AS (SELECT * FROM (VALUES " + ", ".join(
+    f"('{p}', {n})" for p, n in FX.LIMIT_ROWS) + ") AS t(path, limit_per_minute))"
 PER_MIN = ("\nper_min AS (SELECT date_trunc('minute', ts) AS window_start, client_id, path, count(*) AS n "
            "FROM request_log GROUP BY 1, 2, 3)")
 
 
-@register("rate_limit_breaches", P.q(["request_log"], [LIMITS_SQL, PER_MIN], """
+BREACHES_SQL = P.q(["request_log"], [LOW_LIMITS_SQL, PER_MIN], """
 SELECT m.window_start, m.client_id, m.path, m.n AS n_requests, l.limit_per_minute
-FROM per_min m JOIN limits l ON m.path = l.path WHERE m.n > l.limit_per_minute"""))
+FROM per_min m JOIN limits l ON m.path = l.path WHERE m.n > l.limit_per_minute""")
+
+
+@register("rate_limit_breaches", BREACHES_SQL)
 def q_rate_limit_breaches(spark, d):
-    return R.rate_limit_breaches(FX.request_log(spark, d))
+    """Clients above the limits of a small service (``LIMIT_ROWS``), per minute."""
+    return R.rate_limit_breaches(FX.request_log(spark, d), limits=FX.LIMIT_ROWS)
 
 
 @register("client_request_peaks", P.q(["request_log"], [LIMITS_SQL, PER_MIN], """
@@ -1452,16 +1495,32 @@ def q_model_registry(spark, d):
     return sc.select(S.PSEUDO_ID, F.col(S.LABEL).alias("label"), "score")
 
 
-@register("stream_scoring")
-def q_stream_scoring(spark, d):
-    """The request table written as files, read as a stream, validated and
-    scored per micro-batch (availableNow) into valid / rejected sinks."""
+def _stream_scored(spark, d):
     from consult.streaming.runner import run_scoring_stream
     return run_scoring_stream(spark, FX.scoring_requests(spark, d),
                               fitted(spark, d, "logistic_regression", "baseline"), "baseline",
                               "logistic_regression")
 
 
+@register("stream_scoring")
+def q_stream_scoring(spark, d):
+    """The request table written as files, read as a stream, validated and scored
+    per micro-batch (availableNow); the rows of the valid and the rejected sink."""
+    return _stream_scored(spark, d)
+
+
+_ACCEPTED = " AND ".join(f"{n} BETWEEN {lo} AND {hi}" for n, lo, hi, _ in S.REQUEST_RANGES if n in S.BASELINE_FEATURES)
+
+
+@register("stream_scoring_outcome", P.q(["scoring_requests"], [], f"""
+SELECT request_id, ok AS accepted, ok AS has_score FROM (
+  SELECT request_id, COALESCE({_ACCEPTED} AND {STATUS_OK}, false) AS ok FROM scoring_requests) t"""))
+def q_stream_scoring_outcome(spark, d):
+    """R1, accounted for: every request of the stream is scored or rejected, once."""
+    return _stream_scored(spark, d).select("request_id", "accepted",
+                                           F.col("nbe_yes_probability").isNotNull().alias("has_score"))
+
+
 @register("stream_request_metrics")
 def q_stream_request_metrics(spark, d):
     """R2 on a stream: request log files in time order, 1-hour windows with a
@@ -1541,7 +1600,7 @@ def q_exploration_summary(spark, d):
     return Q.exploration_summary(typed(spark, d))
 
 
-@register("stream_permission_check")
+@register("stream_permission_check", ORACLE["permission_check"])
 def q_stream_permission_check(spark, d):
     """R4 on a stream: request-log files read with readStream, joined to the
     static key table per micro-batch."""
@@ -1551,18 +1610,40 @@ def q_stream_permission_check(spark, d):
                       ts=None, name="stream-permissions")
 
 
-@register("stream_prediction_monitor")
+@register("stream_prediction_monitor", ORACLE["prediction_monitor"])
 def q_stream_prediction_monitor(spark, d):
     """R5 on a stream: 1-hour windows with a 1-hour watermark, closed windows."""
     from consult.streaming.runner import run_stream
-    return run_stream(spark, FX.prediction_log(spark, d), lambda s: R.prediction_monitor(s, "1 hour"),
-                      delay="1 hour", name="stream-prediction-monitor")
+    out = run_stream(spark, FX.prediction_log(spark, d), lambda s: R.prediction_monitor(s, "1 hour"),
+                     delay="1 hour", name="stream-prediction-monitor")
+    return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
-@register("stream_rate_limit_breaches")
+@register("stream_rate_limit_breaches", ORACLE["rate_limit_breaches"])
 def q_stream_rate_limit_breaches(spark, d):
     """R3 on a stream: per-client 1-minute counts with a 1-minute watermark,
     joined to the static limits; closed windows over the limit."""
     from consult.streaming.runner import run_stream
-    return run_stream(spark, FX.request_log(spark, d), lambda s: R.rate_limit_breaches(s),
-                      delay="1 minute", name="stream-rate-limits")
+    out = run_stream(spark, FX.request_log(spark, d), lambda s: R.rate_limit_breaches(s, limits=FX.LIMIT_ROWS),
+                     delay="1 minute", name="stream-rate-limits")
+    return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+@register("row_accounting", P.q(["consultations_gaps"], [
+    P.PARTS["typed_raw"].replace("FROM consultations_raw", "FROM consultations_gaps"),
+    """
+lab AS (SELECT * FROM typed_raw WHERE nbe IN (0, 1))""", """
+com AS (SELECT * FROM lab WHERE p_score IS NOT NULL AND p_status IS NOT NULL
+        AND fl_score IS NOT NULL AND fl_status IS NOT NULL)""", """
+uni AS (SELECT DISTINCT * FROM com)""", """
+c AS (SELECT (SELECT count(*) FROM typed_raw) AS raw, (SELECT count(*) FROM lab) AS lab, (SELECT count(*) FROM com) AS com,
+             (SELECT count(*) FROM uni) AS uni, (SELECT count(*) FROM uni WHERE accident_number IS NOT NULL) AS ids)"""], """
+SELECT 'label_filter' AS step, raw AS n_in, lab AS n_out, raw - lab AS n_rejected, true AS balanced FROM c
+UNION ALL SELECT 'missing_removal', lab, com, lab - com, true FROM c
+UNION ALL SELECT 'deduplication', com, uni, com - uni, true FROM c
+UNION ALL SELECT 'pseudonymize', uni, ids, uni - ids, true FROM c
+UNION ALL SELECT 'split', ids, ids, 0, true FROM c"""))
+def q_row_accounting(spark, d):
+    """Rows in, out and rejected of every prepare step, over input with rows that have no id."""
+    from consult.plans.prepare import row_accounting
+    return row_accounting(FX.consultations_gaps(spark, d))

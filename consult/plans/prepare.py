@@ -122,6 +122,46 @@ def pipeline_summary(raw: DataFrame, ds: dict[str, DataFrame]) -> DataFrame:
     return out.select("stage", "metric", F.round("value", 6).alias("value"))
 
 
+def row_accounting(raw: DataFrame) -> DataFrame:
+    """(step, n_in, n_out, n_rejected, balanced) of the prepare steps, each side counted by itself.
+
+    Rows without an id cannot be pseudonymized: they leave at ``pseudonymize``
+    as rejects (``unmapped_rows``) and the other rows go on to the split."""
+    from consult.operators import cleaning as C
+    from consult.operators.pseudonym import unmapped_rows
+    key = F.col(S.LABEL).isin(0, 1)
+    typed = C.coerce_types(raw)
+    labelled = C.binary_label_filter(typed)
+    complete = C.drop_missing_critical(labelled)
+    cleaned = clean(raw).persist(StorageLevel.MEMORY_AND_DISK)
+    ds = build_datasets(cleaned.where(F.col(S.ID).isNotNull()), is_clean=True)
+    lacking = F.lit(False)
+    for c in S.CRITICAL_COLUMNS:
+        lacking = lacking | F.col(c).isNull()
+    copies = complete.groupBy(*complete.columns).agg((F.count(F.lit(1)) - 1).alias("n"))
+    sides = ds["enhanced_train"].select(F.lit(1)).unionAll(ds["enhanced_test"].select(F.lit(1)))
+    nothing = raw.sparkSession.range(0)
+
+    def n(df, step, what, value=None):
+        total = F.count(F.lit(1)) if value is None else F.coalesce(F.sum(value), F.lit(0))
+        return df.agg(total.cast("bigint").alias("n")).select(F.lit(step).alias("step"), F.lit(what).alias("what"), "n")
+
+    parts = [n(raw, "label_filter", "n_in"), n(labelled, "label_filter", "n_out"),
+             n(typed.where(~F.coalesce(key, F.lit(False))), "label_filter", "n_rejected"),
+             n(labelled, "missing_removal", "n_in"), n(complete, "missing_removal", "n_out"),
+             n(labelled.where(lacking), "missing_removal", "n_rejected"),
+             n(complete, "deduplication", "n_in"), n(cleaned, "deduplication", "n_out"),
+             n(copies, "deduplication", "n_rejected", F.col("n")),
+             n(cleaned, "pseudonymize", "n_in"), n(ds["features"], "pseudonymize", "n_out"),
+             n(unmapped_rows(cleaned, ds["mapping"]), "pseudonymize", "n_rejected"),
+             n(ds["features"], "split", "n_in"), n(sides, "split", "n_out"), n(nothing, "split", "n_rejected")]
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionAll(x)
+    out = out.groupBy("step").pivot("what", ["n_in", "n_out", "n_rejected"]).agg(F.max("n"))
+    return out.withColumn("balanced", F.col("n_in") == F.col("n_out") + F.col("n_rejected"))
+
+
 def export_datasets(ds: dict[str, DataFrame], root: str, run_id: str, parallelism: int = 4) -> dict[str, str]:
     """Write the four model tables (pseudonym dropped) as ``run_id``
     partitions under ``root/<table>``, and the id map to its own location

@@ -135,7 +135,7 @@ ENH_COLS = ("p_score, p_status, fl_score, fl_status, days_since_accident, consul
 def q(fixtures: list[str], parts: list[str], body: str) -> str:
     """Assemble WITH <fixtures>, <parts> <body>. ``parts`` are names in PARTS
     or ready CTE text."""
-    deps = {"scored": ["consultations"], "prediction_log": ["request_log"]}
+    deps = {"scored": ["consultations"], "prediction_log": ["request_log"], "consultations_gaps": ["consultations_raw"]}
     order: list[str] = []
 
     def add(n):

@@ -123,6 +123,8 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     et = F.col("event_type")
     path = (F.when(et == "click", "/api/v1/nbe/predict/baseline")
+            .when((et == "view") & (F.col("user_id") % 11 == 0), "/docs")
+            .when((et == "view") & (F.col("user_id") % 11 == 1), "/api/v1/validation/rules")
             .when(et == "purchase", "/api/v1/nbe/predict/enhanced")
             .when(et == "view", "/api/v1/models/info")
             .when(et == "signup", "/api/v1/health")
@@ -146,6 +148,25 @@ def api_keys(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(API_KEY_ROWS, "api_key string, permission string")
 
 
+# Companion limits of a small service (path, requests a minute).
+LIMIT_ROWS = [("/api/v1/nbe/predict/baseline", 1), ("/api/v1/nbe/predict/enhanced", 0), ("/api/v1/health", 1)]
+
+
+def consultations_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dirty variant with rows that carry no patient id."""
+    gap = (F.col("p_score") == "0") & (F.col("fl_score") == "4")
+    raw = consultations_raw(spark, sf_dir)
+    return raw.withColumn("accident_number", F.when(F.coalesce(gap, F.lit(False)), F.lit(None))
+                          .otherwise(F.col("accident_number")))
+
+
+def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dirty variant as CSV lines without a header; rows whose pain score is 9 have one field too many."""
+    raw = consultations_raw(spark, sf_dir)
+    line = F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in raw.columns])
+    return raw.select(F.when(F.col("p_score") == "9", F.concat(line, F.lit(",more"))).otherwise(line).alias("value"))
+
+
 BUILDERS = {
     "consultations": consultations,
     "consultations_raw": consultations_raw,
@@ -202,6 +223,10 @@ consultations_raw AS (
   UNION ALL
   SELECT accident_number, accident_date, contact_date, fl_score, fl_status, p_score, p_status, nbe FROM raw_b
   WHERE l_orderkey % 50 = 0)""",
+    "consultations_gaps": """
+consultations_gaps AS (
+  SELECT * REPLACE (CASE WHEN p_score = '0' AND fl_score = '4' THEN NULL ELSE accident_number END AS accident_number)
+  FROM consultations_raw)""",
     "scored": """
 scored AS (
   SELECT accident_number, nbe AS label,
@@ -223,11 +248,13 @@ scoring_requests AS (
     "request_log": """
 request_log AS (
   SELECT event_id AS request_id, ts, concat('c', cast(user_id AS varchar)) AS client_id,
-         CASE event_type WHEN 'click' THEN '/api/v1/nbe/predict/baseline'
-                         WHEN 'purchase' THEN '/api/v1/nbe/predict/enhanced'
-                         WHEN 'view' THEN '/api/v1/models/info'
-                         WHEN 'signup' THEN '/api/v1/health'
-                         ELSE '/api/v1/nbe/predict/enhanced' END AS path,
+         CASE WHEN event_type = 'click' THEN '/api/v1/nbe/predict/baseline'
+              WHEN event_type = 'purchase' THEN '/api/v1/nbe/predict/enhanced'
+              WHEN event_type = 'view' AND user_id % 11 = 0 THEN '/docs'
+              WHEN event_type = 'view' AND user_id % 11 = 1 THEN '/api/v1/validation/rules'
+              WHEN event_type = 'view' THEN '/api/v1/models/info'
+              WHEN event_type = 'signup' THEN '/api/v1/health'
+              ELSE '/api/v1/nbe/predict/enhanced' END AS path,
          CASE WHEN event_type = 'error' THEN 500 WHEN value > 100 THEN 422 ELSE 200 END AS status,
          value AS latency_ms,
          CASE WHEN user_id % 5 = 0 THEN NULL ELSE concat('key-', cast(user_id % 4 AS varchar)) END AS api_key
@@ -238,7 +265,7 @@ api_keys AS (
   AS t(api_key, permission))""",
 }
 
-_DEPS = {"scored": ["consultations"]}
+_DEPS = {"scored": ["consultations"], "consultations_gaps": ["consultations_raw"]}
 
 
 def with_fixtures(names: list[str], body: str, extra_ctes: str = "") -> str:

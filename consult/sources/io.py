@@ -39,6 +39,32 @@ def read_consultations(spark: SparkSession, path: str, fmt: str = "parquet",
     raise ValueError(f"unsupported format {fmt}; land workbooks as Parquet or CSV first")
 
 
+#: Column that holds a malformed line of a text read.
+BAD_LINE = "_corrupt_record"
+
+
+def read_with_rejects(spark: SparkSession, path: str, fmt: str, schema: T.StructType = S.RAW_SCHEMA,
+                      **options) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of CSV or JSON lines read with ``schema``.
+
+    A line that does not fit (fields too many or too few, a value of another
+    type, broken JSON) is a reject, with its text and its file; every other
+    line is a row, so no line becomes nulls unseen."""
+    if fmt not in ("csv", "json"):
+        raise ValueError(f"unsupported text format {fmt}")
+    full = T.StructType([*schema.fields, T.StructField(BAD_LINE, T.StringType())])
+    r = spark.read.schema(full).options(mode="PERMISSIVE", columnNameOfCorruptRecord=BAD_LINE)
+    r = r.options(**({"header": "true", **options} if fmt == "csv" else options)).format(fmt)
+    df = r.load(path).select("*", F.col("_metadata.file_path").alias("file_path"))
+    # Text sources refuse to read the bad-line column alone (a count, say), so
+    # the condition reads the fields too; their joined length is never negative.
+    names = [F.col(f.name).cast("string") for f in schema.fields]
+    parsed = F.length(F.concat_ws("", *names)) >= 0
+    fits = F.col(BAD_LINE).isNull()
+    return (df.where(fits & parsed).select(*[f.name for f in schema.fields]),
+            df.where(~fits & parsed).select(F.col(BAD_LINE).alias("line"), "file_path"))
+
+
 def write_stage(df: DataFrame, path: str, run_id: str, fmt: str = "parquet",
                 mode: str = "overwrite") -> None:
     """Write one run of a stage under ``run_id=<id>`` (typed Parquet by default).
@@ -48,6 +74,8 @@ def write_stage(df: DataFrame, path: str, run_id: str, fmt: str = "parquet",
     w = w.option("partitionOverwriteMode", "dynamic")
     if fmt == "csv":
         w.option("header", "true").csv(path)
+    elif fmt == "json":
+        w.json(path)
     else:
         w.parquet(path)
 
@@ -58,9 +86,16 @@ def latest_run(df: DataFrame, col: str = "run_id") -> DataFrame:
     return df.where(F.col(col) == newest)
 
 
-def read_stage(spark: SparkSession, path: str, run_id: str | None = None) -> DataFrame:
-    """Typed re-read of a stage: a given run, or the newest one."""
-    df = spark.read.parquet(path)
+def read_stage(spark: SparkSession, path: str, run_id: str | None = None, fmt: str = "parquet",
+               schema: T.StructType = S.CONSULTATION_SCHEMA) -> DataFrame:
+    """Typed re-read of a stage: a given run, or the newest one. A CSV or JSON
+    stage is read with ``schema``; a line that does not fit it fails the read,
+    as ``write_stage`` wrote the file (``read_with_rejects`` sorts such lines out)."""
+    if fmt == "parquet":
+        df = spark.read.parquet(path)
+    else:
+        full = T.StructType([*schema.fields, T.StructField("run_id", T.StringType())])
+        df = spark.read.schema(full).options(mode="FAILFAST", header="true").format(fmt).load(path)
     # Partition discovery may type "20250612" as a number; run ids are text.
     df = df.withColumn("run_id", F.col("run_id").cast("string"))
     return df.where(F.col("run_id") == run_id) if run_id else latest_run(df)

@@ -44,6 +44,7 @@ def land_in_time_order(df: DataFrame, path: str, ts: str = "ts", slice_rows: int
 
 def run_scoring_stream(spark: SparkSession, requests: DataFrame, model: PipelineModel, kind: str,
                        model_used: str, files: int = 4) -> DataFrame:
+    """Every request once: scored, or rejected (``accepted`` false) with its messages."""
     base = _dir(spark, "stream-scoring")
     src, out, rej, ckpt = (f"{base}/{p}" for p in ("source", "scored", "rejected", "_checkpoint"))
     requests.select(*[F.col(f.name).cast(f.dataType) for f in REQUEST_SCHEMA.fields]) \
@@ -51,7 +52,9 @@ def run_scoring_stream(spark: SparkSession, requests: DataFrame, model: Pipeline
     q = start_scoring_stream(read_request_stream(spark, src, max_files=1), model, kind, model_used,
                              out, rej, ckpt, available_now=True)
     q.awaitTermination()
-    return spark.read.parquet(out)
+    scored, bad = spark.read.parquet(out), spark.read.parquet(rej)
+    return (scored.withColumn("accepted", F.lit(True))
+            .unionByName(bad.withColumn("accepted", F.lit(False)), allowMissingColumns=True))
 
 
 def run_metrics_stream(spark: SparkSession, log: DataFrame, window: str = "1 hour",

@@ -59,3 +59,30 @@ def test_export_datasets_round_trip(spark, tmp_path):
         assert "anonymous_patient_id" not in back.columns
     m = spark.read.parquet(paths["mapping"])
     assert m.count() == ds["mapping"].count()
+
+
+def test_rejects_of_text_reads(spark, tmp_path):
+    csv, js = tmp_path / "in.csv", tmp_path / "in.json"
+    csv.write_text("accident_number,accident_date,contact_date,fl_score,fl_status,p_score,p_status,nbe\n"
+                   "P1,2024-01-01,2024-01-05,1,1,2,0,1\nP2,2024-01-01\nP3,2024-01-01,2024-01-05,1,1,2,0,1,9\n")
+    js.write_text('{"accident_number": "P1", "nbe": "1"}\n{"accident_number": \n')
+    for path, fmt, n in ((csv, "csv", 2), (js, "json", 1)):
+        rows, rejects = IO.read_with_rejects(spark, str(path), fmt)
+        assert [r.accident_number for r in rows.collect()] == ["P1"] and rows.count() == 1
+        assert rejects.count() == n and all(r.line and r.file_path.endswith(fmt) for r in rejects.collect())
+
+
+def test_text_stage_round_trip(spark, tmp_path):
+    c = FX.consultations(spark, SF_SMALL)
+    for fmt in ("csv", "json"):
+        for _ in range(2):  # a retried run has its rows once
+            IO.write_stage(c, str(tmp_path / fmt), "20250612", fmt=fmt)
+        back = IO.read_stage(spark, str(tmp_path / fmt), fmt=fmt)
+        assert back.drop("run_id").exceptAll(c).count() == 0 and back.count() == c.count()
+
+
+def test_newest_drop_is_whole(spark, tmp_path):
+    raw = FX.consultations_raw(spark, SF_SMALL)
+    raw.repartition(4).write.option("header", "true").csv(str(tmp_path / "drop" / "a"))
+    got = IO.latest_file_snapshot(spark, str(tmp_path / "drop" / "*" / "*.csv"))
+    assert got.count() == raw.count()

@@ -25,14 +25,15 @@ def test_permission_decisions(spark):
     d = R.check_permissions(log, FX.api_keys(spark))
     got = {(r["path"], r["api_key"]): r["auth_status"] for r in d.collect()}
     assert got.get(("/api/v1/health", None), 200) == 200
+    assert {"/docs", "/api/v1/validation/rules"} <= {p for p, _ in got}
     for (path, key), st in got.items():
-        if path == "/api/v1/health":
+        if path in ("/api/v1/health", "/docs"):
             assert st == 200
         elif key is None or key == "key-3":
             assert st == 401
         elif path.startswith("/api/v1/nbe/predict"):
             assert st == (200 if key in ("key-0", "key-1") else 403)
-        elif path == "/api/v1/models/info":
+        elif path in ("/api/v1/models/info", "/api/v1/validation/rules"):
             assert st == 200
 
 
