@@ -176,7 +176,9 @@ def evaluate_all(df: DataFrame, groups: list[str] = ("model", "feature_set"), la
         F.count_if(y & ~pred).alias("fn"), F.count_if(y & pred).alias("tp"),
         r6(F.avg(F.when(y, -F.log(p)).otherwise(-F.log(F.lit(1.0) - p)))).alias("log_loss"))
     curves = _curve_aggs(running_counts(score_counts(df, groups, label, score), groups), groups)
-    j = rowwise.join(curves, groups, "inner")
+    # Null-safe: rows without a model or set name are a group like the others.
+    named = curves.select(*[F.col(g).alias(f"__{g}") for g in groups], "auc_roc", "average_precision")
+    j = rowwise.join(named, [rowwise[g].eqNullSafe(named[f"__{g}"]) for g in groups], "inner")
     return j.select(*groups, "n_rows", "tn", "fp", "fn", "tp", *_threshold_cols(),
                     "auc_roc", "average_precision", "log_loss")
 

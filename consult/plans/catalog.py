@@ -1465,6 +1465,47 @@ register("score_baseline")(_score("logistic_regression", "baseline", "logistic_r
 register("score_enhanced")(_score("gbt", "enhanced", "gbt"))
 
 
+_CORE_OK = " AND ".join(f"{n} BETWEEN {lo} AND {hi}" for n, lo, hi, _ in S.REQUEST_RANGES if n in S.BASELINE_FEATURES)
+_ALL_OK = " AND ".join(f"{n} BETWEEN {lo} AND {hi}" for n, lo, hi, _ in S.REQUEST_RANGES)
+
+
+@register("score_outcome", rq(f"""
+SELECT kind, request_id, ok AS accepted, ok AS has_score FROM (
+  SELECT 'baseline' AS kind, request_id, COALESCE({_CORE_OK} AND {STATUS_OK}, false) AS ok FROM req
+  UNION ALL SELECT 'enhanced', request_id, COALESCE({_ALL_OK} AND {STATUS_OK}, false) FROM req) t"""))
+def q_score_outcome(spark, d):
+    """V8 accounted for: each request is scored or rejected, once, by both models."""
+    from consult.streaming.scoring import score_batch
+    out = None
+    for learner, fs in (("logistic_regression", "baseline"), ("logistic_regression", "enhanced")):
+        ok, bad = score_batch(FX.scoring_requests(spark, d), fitted(spark, d, learner, fs), fs, learner)
+        both = ok.select("request_id", F.lit(True).alias("accepted"), F.col("nbe_yes_probability").isNotNull().alias("has_score"))
+        both = both.unionByName(bad.select("request_id", F.lit(False).alias("accepted"), F.lit(False).alias("has_score")))
+        both = both.select(F.lit(fs).alias("kind"), "request_id", "accepted", "has_score")
+        out = both if out is None else out.unionByName(both)
+    return out
+
+
+@register("training_rows", fq("""
+SELECT s.feature_set, k.fold, f.nbe, count(*) AS n_rows, count(DISTINCT f.anonymous_patient_id) AS n_patients
+FROM feats f JOIN pfold k ON f.anonymous_patient_id = k.anonymous_patient_id,
+     (VALUES ('baseline'), ('enhanced')) AS s(feature_set)
+WHERE f.anonymous_patient_id IN (SELECT anonymous_patient_id FROM psplit WHERE split = 'train')
+GROUP BY s.feature_set, k.fold, f.nbe""",
+    SPLIT_CTES + [P.patient_label(
+        "(SELECT * FROM feats WHERE anonymous_patient_id IN (SELECT anonymous_patient_id FROM psplit WHERE split = 'train'))",
+        name="tlabel"), P.folds("tlabel")]))
+def q_training_rows(spark, d):
+    """Rows, patients and labels of every fold that the cross-validations train and test on."""
+    out = None
+    for fs in ("baseline", "enhanced"):
+        x = SP.assign_folds(model_data(spark, d)[f"{fs}_train"]).groupBy("fold", S.LABEL).agg(
+            F.count(F.lit(1)).alias("n_rows"), F.count_distinct(S.PSEUDO_ID).alias("n_patients"))
+        x = x.select(F.lit(fs).alias("feature_set"), "fold", S.LABEL, "n_rows", "n_patients")
+        out = x if out is None else out.unionByName(x)
+    return out
+
+
 @register("model_info")
 def q_model_info(spark, d):
     """The registry rows of the two served models (algorithm, feature count and
@@ -1509,12 +1550,9 @@ def q_stream_scoring(spark, d):
     return _stream_scored(spark, d)
 
 
-_ACCEPTED = " AND ".join(f"{n} BETWEEN {lo} AND {hi}" for n, lo, hi, _ in S.REQUEST_RANGES if n in S.BASELINE_FEATURES)
-
-
 @register("stream_scoring_outcome", P.q(["scoring_requests"], [], f"""
 SELECT request_id, ok AS accepted, ok AS has_score FROM (
-  SELECT request_id, COALESCE({_ACCEPTED} AND {STATUS_OK}, false) AS ok FROM scoring_requests) t"""))
+  SELECT request_id, COALESCE({_CORE_OK} AND {STATUS_OK}, false) AS ok FROM scoring_requests) t"""))
 def q_stream_scoring_outcome(spark, d):
     """R1, accounted for: every request of the stream is scored or rejected, once."""
     return _stream_scored(spark, d).select("request_id", "accepted",

@@ -112,3 +112,10 @@ def test_cross_validation_leaves_the_callers_cache(ds):
     folded = assign_folds(ds["baseline_train"]).cache()
     M.cross_validate(folded, "logistic_regression", "baseline")
     assert folded.storageLevel.useMemory
+
+
+def test_metrics_keep_the_group_without_a_name(spark):
+    rows = spark.createDataFrame([(m, y, s) for m in ("a", None) for y, s in ((0, 0.25), (1, 0.75), (1, 0.25))],
+                                 "model string, label int, score double")
+    got = X.evaluate_all(rows.withColumn("feature_set", F.lit(None).cast("string"))).collect()
+    assert sorted(str(r["model"]) for r in got) == ["None", "a"] and len({r["auc_roc"] for r in got}) == 1
