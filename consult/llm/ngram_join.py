@@ -12,20 +12,21 @@ similarity of 0.8 or more. Equal texts are one node, so copies cost a row each.
    prior, m agreements of n leave similarity Beta(m+1, n-m+1); a pair whose
    probability of reaching the threshold falls below ``TOLERANCE`` is dropped.
    The others are verified on their exact shingle sets.
-4. Members of a bucket that their pivot did not link are compared with all of
-   the bucket, in blocks of about ``BLOCK`` on both sides: one row per pair of
-   blocks, the comparison (step 3) inside it, each pair in its first common
-   band only. Similarity is exact there too: a member is kept as its difference
-   from the pivot, which is short for near copies. Pairs that links already
-   connect are passed over. So every pair that shares a bucket is linked,
-   connected or refuted, no bucket is capped, and rows come out for links only.
+4. The other members of a bucket are compared with each other, in blocks of
+   about ``BLOCK`` on both sides: one row per pair of blocks, the comparison
+   (step 3) inside it, each pair in its first common band only and pairs of
+   step 2 left out. Similarity is exact there too: a member is kept as its
+   difference from the pivot, which is short for near copies. So every pair
+   that shares a bucket is linked or refuted once and no bucket is capped; what
+   comes out is a number of links per node and block pair, and rows for the
+   links between nodes that the pivots do not connect.
 5. Connected components of the links are the classes; a class is named by its
    largest id.
 
 Defined results: a null text counts as empty; texts without a word are linked
 to no other text; a text of one to four words has one shingle, all of it; rows
 that repeat are copies; null ids are smaller than all others. ``links`` counts
-a text's verified links to other texts. An empty table gives no rows.
+all other texts that a text is linked to. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -139,7 +140,9 @@ def _compare_with_pivot(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _overlaps(a: list[np.ndarray], b: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Sizes of the intersections of sets a[i] and b[j], pair by pair."""
     ua, ub = np.unique(i), np.unique(j)
-    held = [a[k] for k in ua] + [b[k] for k in ub]
+    one, two = np.concatenate([a[k] for k in ua]), np.concatenate([b[k] for k in ub])
+    common = np.intersect1d(one, two)
+    held = [x[np.isin(x, common)] for x in [a[k] for k in ua] + [b[k] for k in ub]]
     _, number = np.unique(np.concatenate(held), return_inverse=True)
     width = int(number.max()) + 1 if len(number) else 0
     if (len(ua) + len(ub)) * width > 1 << 24:
@@ -151,13 +154,23 @@ def _overlaps(a: list[np.ndarray], b: list[np.ndarray], i: np.ndarray, j: np.nda
 
 
 def _link_blocks(r: dict, steps: list[tuple[int, int]], threshold: float) -> list[dict]:
-    """Verified links between two blocks of one bucket: other root, first band in common, not pruned, exact."""
-    a, b = _array(r["su"]), _array(r["sv"])
+    """Verified links between two blocks of one bucket: first band in common, no pair of step 2, not pruned, exact.
+
+    A row (a, n) per node and its number of links here, a row (a, b, similarity) per link of two roots.
+    """
+    u, v = ({k: [x[k] for x in r[side]] for k in ("node", "sig", "root", "less", "more", "pivots")} for side in ("u", "v"))
+    a, b = _array(u["sig"]), _array(v["sig"])
     bands = b.reshape(len(b), -1, BAND)
-    roots = np.array([hash(x) for x in r["rv"]], np.int64)
+    told = np.zeros((len(a), len(b)), bool)
+    at_u, at_v = ({x: k for k, x in enumerate(side["node"])} for side in (u, v))
+    for i, pivots in enumerate(u["pivots"]):
+        told[i, [at_v[x] for x in pivots if x in at_v]] = True
+    for j, pivots in enumerate(v["pivots"]):
+        told[[at_u[x] for x in pivots if x in at_u], j] = True
     left, right = [], []
     for i in range(len(a)):
-        j = np.flatnonzero(roots != hash(r["ru"][i]))
+        j = np.flatnonzero(~told[i])
+        j = j[j > i] if r["same"] else j
         j = j[(bands[j] == a[i].reshape(1, -1, BAND)).all(2).argmax(1) == r["band"]] if len(j) else j
         j = j[survivors(np.broadcast_to(a[i], (len(j), HASHES)), b[j], steps)]
         left.append(np.full(len(j), i))
@@ -165,23 +178,28 @@ def _link_blocks(r: dict, steps: list[tuple[int, int]], threshold: float) -> lis
     i, j = np.concatenate(left), np.concatenate(right)
     if not len(i):
         return []
-    sets = {k: [np.frombuffer(x or b"", np.uint64) for x in r[k]] for k in ("lu", "lv", "mu", "mv")}
-    size = {k: np.array([len(x) for x in v]) for k, v in sets.items()}
-    lost = size["lu"][i] + size["lv"][j] - _overlaps(sets["lu"], sets["lv"], i, j)
-    both = r["n_pivot"] - lost + _overlaps(sets["mu"], sets["mv"], i, j)
-    whole = 2 * r["n_pivot"] - size["lu"][i] + size["mu"][i] - size["lv"][j] + size["mv"][j] - both
+    sets = {k + x: [np.frombuffer(y, np.uint64) for y in side[x]] for k, side in (("u", u), ("v", v)) for x in ("less", "more")}
+    size = {k: np.array([len(x) for x in y]) for k, y in sets.items()}
+    lost = size["uless"][i] + size["vless"][j] - _overlaps(sets["uless"], sets["vless"], i, j)
+    both = r["n_pivot"] - lost + _overlaps(sets["umore"], sets["vmore"], i, j)
+    whole = 2 * r["n_pivot"] - size["uless"][i] + size["umore"][i] - size["vless"][j] + size["vmore"][j] - both
     s = both / np.maximum(whole, 1)
-    return [{"a": min(p, q), "b": max(p, q), "similarity": float(s[k])} for k in np.flatnonzero(s >= threshold) if (p := r["nu"][i[k]]) != (q := r["nv"][j[k]])]
+    i, j, s = i[s >= threshold], j[s >= threshold], s[s >= threshold]
+    out = [{"a": side["node"][k], "n": int(n)} for side, at in ((u, i), (v, j)) for k, n in zip(*np.unique(at, return_counts=True), strict=True)]
+    for x, y, z in zip(i.tolist(), j.tolist(), s.tolist(), strict=True):
+        if u["root"][x] != v["root"][y]:
+            p, q = u["node"][x], v["node"][y]
+            out.append({"a": min(p, q), "b": max(p, q), "similarity": z})
+    return out
 
 
-def _link_unlinked(members: DataFrame, wide: DataFrame, threshold: float) -> DataFrame:
-    """Links (a < b, similarity) of members whose pivot did not link them with members of another root.
+def _link_members(members: DataFrame, wide: DataFrame, threshold: float) -> DataFrame:
+    """Links among the members of a bucket that are not its pivot: (a, n) counts and (a < b, similarity) between roots.
 
-    ``members``: key, band, n, node, pivot, root, open, size; ``wide``: node, pivot, sig, n_pivot,
-    less, more. Buckets without an unlinked member or of one root are done. Both sides are cut
-    into blocks by their number and bytes; a row is a pair of blocks, what it gives are links.
+    ``members``: key, band, n, node, pivot, root, size; ``wide``: node, pivot, sig, n_pivot, less,
+    more, pivots. Buckets are cut into blocks by their number and bytes; a row is a pair of blocks.
     """
-    steps, schema = least_matches(), pa.schema([("a", pa.binary()), ("b", pa.binary()), ("similarity", pa.float64())])
+    steps, schema = least_matches(), pa.schema([("a", pa.binary()), ("b", pa.binary()), ("similarity", pa.float64()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
@@ -189,21 +207,24 @@ def _link_unlinked(members: DataFrame, wide: DataFrame, threshold: float) -> Dat
                 if got := _link_blocks(x.slice(k, 1).to_pylist()[0], steps, threshold):
                     yield pa.RecordBatch.from_pylist(got, schema)
 
-    total = members.groupBy("key").agg(F.max(F.col("open").cast("int")).alias("any"), F.min("root").alias("low"), F.max("root").alias("high"), F.sum("size").alias("bytes"))
-    total = stage(total.where("any = 1 AND low <> high").select("key", "bytes"), "totals")
-    around = members.join(total, "key").join(wide, ["node", "pivot"])
+    total = stage(members.groupBy("key").agg(F.sum("size").alias("bytes")), "totals")
+    parts = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES))
+    around = members.join(total, "key").join(wide, ["node", "pivot"]).withColumn("parts", parts)
+    held = F.collect_list(F.struct("node", "sig", "root", "less", "more", "pivots")).alias("x")
+    blocks = stage(around.groupBy("key", F.pmod(F.xxhash64("node"), F.col("parts")).alias("block"), "parts").agg(held, F.max("band").alias("band"), F.max("n_pivot").alias("n_pivot")), "blocks")
+    # Left blocks are dealt over shares of a bucket, so that a hot bucket is many tasks' work.
+    shares = F.ceil(F.col("parts") / 4)
+    u = blocks.select("key", F.pmod("block", shares).alias("share"), F.col("block").alias("i"), F.col("x").alias("u"), "band", "n_pivot")
+    v = blocks.select("key", F.explode(F.sequence(F.lit(0).cast("long"), shares - 1)).alias("share"), F.col("block").alias("j"), F.col("x").alias("v"))
+    pairs = u.join(v, ["key", "share"]).where("i <= j").select((F.col("i") == F.col("j")).alias("same"), "u", "v", "band", "n_pivot")
+    return pairs.mapInArrow(run, "a binary, b binary, similarity double, n long")
 
-    def blocks(rows: DataFrame, side: str, *more) -> DataFrame:
-        parts = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES))
-        names = [("node", "n"), ("sig", "s"), ("root", "r"), ("less", "l"), ("more", "m")]
-        g = rows.groupBy("key", F.pmod(F.xxhash64("node"), parts).alias("block")).agg(F.collect_list(F.struct(*[c for c, _ in names])).alias("x"), *more)
-        return stage(g.select("key", *[F.col(f"x.{c}").alias(f"{n}{side}") for c, n in names], *(["band", "n_pivot"] if more else [])), "blocks")
-    pairs = blocks(around.where("open"), "u", F.max("band").alias("band"), F.max("n_pivot").alias("n_pivot")).join(blocks(around, "v"), "key")
-    return pairs.drop("key").mapInArrow(run, "a binary, b binary, similarity double").distinct()
 
+def find_links(rows: DataFrame, nodes: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """Verified links (a < b, similarity) that connect all classes, and (node, links) with all links counted.
 
-def find_links(rows: DataFrame, nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Verified links (a < b, similarity); ``rows`` has id, node, t, ``nodes`` has node, copies, keep."""
+    ``rows`` has id, node, t, ``nodes`` has node, copies, keep.
+    """
     sketch = stage(_sketch(rows.select("node", "t")).dropDuplicates(["node"]), "sketch")
     keys = F.transform(F.sequence(F.lit(0), F.lit(HASHES // BAND - 1)), lambda k: F.xxhash64(k, F.substring("sig", k * (4 * BAND) + 1, F.lit(4 * BAND))))
     bands = stage(sketch.join(nodes.select("node", "copies"), "node").select("node", "copies", F.posexplode(keys).alias("band", "key")), "bands")
@@ -221,15 +242,14 @@ def find_links(rows: DataFrame, nodes: DataFrame, threshold: float = THRESHOLD)
 
     roots = stage(components(links), "roots")
     named = sets.select("node").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
-    near = star.select("node", "pivot", F.coalesce(F.col("similarity") >= threshold, F.lit(False)).alias("near"), (F.octet_length("less") + F.octet_length("more")).alias("size"))
-    told = members.join(near, ["node", "pivot"], "left").join(named, "node")
-    told = stage(told.select("key", "band", "n", "node", "pivot", "root", ((F.col("node") != F.col("pivot")) & ~F.col("near")).alias("open"), F.coalesce("size", F.lit(0)).alias("size")), "told")
-    differ = star.select("node", "pivot", "n_pivot", "less", "more").join(sets.select("node", "sig"), "node")
-    own_pivot = members.where("node = pivot").select("node", "pivot").distinct().join(sets.select("node", "sig"), "node")
-    nothing = [F.lit(None).cast(k).alias(c) for c, k in (("n_pivot", "long"), ("less", "binary"), ("more", "binary"))]
-    wide = stage(differ.unionByName(own_pivot.select("node", "pivot", *nothing, "sig")), "wide")
-    rest = _link_unlinked(told, wide, threshold)
-    return stage(links.unionByName(rest), "links")
+    near = star.select("node", "pivot", (F.octet_length("less") + F.octet_length("more")).alias("size"))
+    told = stage(members.where("n > 2").join(near, ["node", "pivot"]).join(named, "node").select("key", "band", "n", "node", "pivot", "root", "size"), "told")
+    aimed = star.groupBy("node").agg(F.collect_list("pivot").alias("pivots"))
+    wide = star.join(told.select("node", "pivot").distinct(), ["node", "pivot"]).select("node", "pivot", "n_pivot", "less", "more")
+    rest = stage(_link_members(told, stage(wide.join(sets.select("node", "sig"), "node").join(aimed, "node"), "wide"), threshold), "rest")
+    ends = links.select(F.col("a").alias("node"), F.lit(1).cast("long").alias("n")).unionAll(links.select("b", F.lit(1).cast("long")))
+    degree = ends.unionAll(rest.where("b IS NULL").select("a", "n")).groupBy("node").agg(F.sum("n").alias("links"))
+    return stage(links.unionByName(rest.where("b IS NOT NULL").select("a", "b", "similarity").distinct()), "links"), degree
 
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -238,8 +258,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = rows.select("id", "t", F.unhex(F.md5("t")).alias("node"))
     member = stage(rows.groupBy("id", "node").agg(F.count("*").alias("copies")), "membership")
     nodes = stage(member.groupBy("node").agg(F.sum("copies").alias("copies"), F.max("id").alias("keep")), "nodes")
-    links = find_links(rows, nodes, threshold)
-    degree = links.select("a").unionAll(links.select(F.col("b").alias("a"))).groupBy(F.col("a").alias("node")).agg(F.count("*").alias("links"))
+    links, degree = find_links(rows, nodes, threshold)
     placed = nodes.join(components(links), "node", "left").join(degree, "node", "left")
     placed = placed.select("node", F.col("copies").alias("text_copies"), "keep", F.coalesce("root", "node").alias("root"), F.coalesce("links", F.lit(0).cast("long")).alias("links"))
     placed = stage(placed, "placed")

@@ -59,6 +59,23 @@ def test_unlinked_members_find_each_other(spark):
     assert {r.id: r.class_id for r in got} == brute_classes(texts)
 
 
+def test_every_link_of_a_hot_bucket_counts(spark, monkeypatch):
+    """Variants that are all alike are credited with all partners, over many blocks, as brute force says."""
+    random.seed(5)
+    monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    base, texts = [f"t{i}" for i in range(200)], {}
+    for i in range(150):
+        w = list(base)
+        for _ in range(random.choice([0, 1, 1, 2, 5])):
+            w[random.randrange(200)] = f"e{random.randrange(10**6)}"
+        texts[i] = " ".join(w)
+    from tests.llm.test_queries import brute_classes, brute_degrees
+    got = ngram_join.jaccard_classes(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    want = brute_degrees(texts)
+    assert max(want.values()) > 80 and {r.id: r.links for r in got} == want
+    assert {r.id: r.class_id for r in got} == brute_classes(texts)
+
+
 def test_pruning_keeps_true_pairs():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 1 << 32, (4000, ngram_join.HASHES), dtype=np.uint32)

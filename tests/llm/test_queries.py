@@ -88,6 +88,23 @@ def test_op10_classes(spark, texts):
     assert {r.doc_id: r.class_id for r in rows} == brute_classes(texts)
 
 
+def brute_degrees(texts):
+    """Other texts linked to each text, by all shared shingles; copies count once."""
+    sets, having, degree = {t: shingle_set(t) for t in set(texts.values()) if t}, defaultdict(list), Counter()
+    for t, own in sets.items():
+        for s in own:
+            having[s].append(t)
+    for t, own in sets.items():
+        for other, m in Counter(x for s in own for x in having[s] if x != t).items():
+            degree[t] += m >= 0.8 * (len(own) + len(sets[other]) - m)
+    return {i: degree[t] for i, t in texts.items()}
+
+
+def test_op10_links(spark, texts):
+    rows = QUERIES["op10_ngram_jaccard"](spark, SF_SMALL).collect()
+    assert {r.doc_id: r.n_links for r in rows} == brute_degrees(texts)
+
+
 def test_op1_passages(spark, texts):
     rows = QUERIES["op1_substring_dedup"](spark, SF_SMALL).collect()
     words, runs = {i: word_list(t) for i, t in texts.items()}, defaultdict(set)
