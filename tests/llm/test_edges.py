@@ -90,6 +90,27 @@ def test_passages(edge, empty):
     assert substring_dedup.shared_passages(empty).count() == 0
 
 
+def test_passages_with_edits_are_found(spark):
+    """Recall on passages of 60 to 90 words with a word put in, left out or changed in the middle."""
+    random.seed(7)
+
+    def words(n):
+        return [f"v{random.randrange(10**7)}" for _ in range(n)]
+    rows, kind = [], {}
+    for k in range(300):
+        p = words(60 + k % 31)
+        q, at = list(p), len(p) // 2
+        q[at:at + (k % 3 > 0)] = [] if k % 3 == 1 else ["edit"]
+        kind[1000 + k] = ("insertion", "deletion", "substitution")[k % 3]
+        rows += [(k, " ".join(words(80) + p + words(70))), (1000 + k, " ".join(words(33) + q + words(120)))]
+    got = substring_dedup.shared_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r.source_id == r.id - 1000 and r.similarity >= 0.8 and r.n_words >= 50 for r in got)
+    found = {r.id for r in got if abs(r.start_word - 33) <= 1}
+    for name in ("insertion", "deletion", "substitution"):
+        own = {i for i, x in kind.items() if x == name}
+        assert len(own & found) >= 0.9 * len(own), name
+
+
 def test_compact_windows_by_brute_force():
     rng = np.random.default_rng(0)
     v, first = rng.integers(0, 1 << 60, 700).astype(np.uint64), np.array([0, 300, 300, 320, 700])
