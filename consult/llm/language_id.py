@@ -165,8 +165,13 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def drop_undetermined(docs: DataFrame) -> DataFrame:
-    """``docs`` without the documents whose language cannot be told; columns as they were."""
+    """``docs`` without the documents whose language cannot be told; columns as they were.
+
+    Those are the texts without a letter; if nothing was learned, no other text is dropped.
+    """
     langs, table = learn(docs, ~held_out())
+    if not langs:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     names = fresh(docs.columns, "lang_pred", "score", "mixture")
     return predict(docs, langs, table, names=tuple(names)).where(F.col(names[0]) != "und").select(*docs.columns)
 

@@ -149,6 +149,13 @@ def test_language(edge, empty):
     assert language_id.drop_undetermined(empty).count() == 0
 
 
+def test_unlabelled_corpus_keeps_texts_with_a_letter(edge):
+    bare = edge.withColumn("lang", F.lit(None).cast("string"))
+    left = language_id.drop_undetermined(bare)
+    assert left.columns == bare.columns
+    assert sorted(map(str, left.collect())) == sorted(str(r) for r in bare.collect() if r.text and any(c.isalpha() for c in r.text))
+
+
 def test_mixture_of_two_languages():
     count = np.zeros((language_id.BUCKETS, 2))
     texts = [b"the cat and the dog were in the house with their friends " * 30, "der Hund und die Katze waren im Haus mit ihren Freunden ".encode() * 30]
