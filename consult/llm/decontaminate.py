@@ -15,6 +15,8 @@ shingles, which turns the containment threshold c into a Jaccard threshold of
 ``c / (4 + 1 - c)``, about 0.19; one of ``HASHES`` = 48 minima agrees with
 probability 0.99996 or more. Windows with an agreeing minimum name (document,
 item) candidates, verified by exact shingle containment in the whole document.
+Items for which that bound does not hold, those of fewer than 8 shingles or of
+many repeated ones, are looked up by each of their shingles instead.
 
 The items are the stated query set. They are taken in blocks of at most
 ``BLOCK`` items (and their shingles), so what is broadcast is bounded however
@@ -45,7 +47,7 @@ BLOCK, BLOCK_SHINGLES = 20_000, 4_000_000
 
 
 class Items:
-    """A block of items: shingles, and per size class and hash the minima with their items."""
+    """A block of items: shingles, per size class and hash the minima with their items, and short items' shingles."""
 
     def __init__(self, ids: list, texts: list[bytes]):
         self.ids = ids
@@ -54,10 +56,18 @@ class Items:
         self.seeds = seeds(HASHES, 2)
         self.classes: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
         by: dict[int, list[int]] = {}
+        direct = []
         for i, s in enumerate(self.sets):
             if len(s):
                 n = max(int(first[i + 1] - first[i]), SMALLEST)
-                by.setdefault(1 << (n - 1).bit_length(), []).append(i)
+                size = 1 << (n - 1).bit_length()
+                if 2 * size <= 4 * len(s):
+                    by.setdefault(size, []).append(i)
+                else:
+                    direct.append(i)
+        held = np.concatenate([np.zeros(0, np.uint64), *[self.sets[i] for i in direct]])
+        order = np.argsort(held, kind="stable")
+        self.direct = held[order], np.repeat(np.array(direct, np.int64), [len(self.sets[i]) for i in direct])[order]
         for size, own in sorted(by.items()):
             per = []
             for seed in self.seeds:
@@ -67,12 +77,23 @@ class Items:
             self.classes[size] = per
 
     def candidates(self, sh: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Distinct (text, item) pairs, as rows, some window of which shares a minimum."""
+        """Distinct (text, item) pairs, as rows, some window of which shares a minimum or, for short items, a shingle."""
         n = np.diff(first)
         found = [np.zeros(0, np.int64)]
         top = max(self.classes, default=0)
-        if not top or not len(sh):
-            return np.zeros((0, 2), np.int64)
+
+        def look_up(own: np.ndarray, item: np.ndarray, values: np.ndarray, cut: np.ndarray) -> None:
+            spread = np.searchsorted(own, values, "left")
+            stop = np.searchsorted(own, values, "right")
+            hit = np.flatnonzero(stop > spread)
+            if len(hit):
+                text = np.searchsorted(cut, hit, "right") - 1
+                many = stop[hit] - spread[hit]
+                pos = np.repeat(spread[hit] - np.cumsum(many) + many, many) + np.arange(many.sum())
+                found.append(np.unique(np.repeat(text, many) * len(self.ids) + item[pos]))
+
+        if len(self.direct[0]):
+            look_up(*self.direct, sh, first)
         blocks = -(-n // SMALLEST)
         at = np.zeros(len(n) + 1, np.int64)
         np.cumsum(blocks, out=at[1:])
@@ -84,7 +105,7 @@ class Items:
             up = np.zeros(len(n) + 1, np.int64)
             np.cumsum(halves, out=up[1:])
             layout.append((size * 2, up))
-        for h, seed in enumerate(self.seeds):
+        for h, seed in enumerate(self.seeds if top and len(sh) else ()):
             low = np.minimum.reduceat(mix(sh ^ seed), begin)
             for k, (size, cut) in enumerate(layout):
                 if k:
@@ -93,15 +114,7 @@ class Items:
                     last = np.repeat(below[1:], np.diff(cut)) - 1
                     low = np.minimum(low[left], low[np.minimum(left + 1, last)])
                 if size in self.classes:
-                    own, item = self.classes[size][h]
-                    spread = np.searchsorted(own, low, "left")
-                    stop = np.searchsorted(own, low, "right")
-                    hit = np.flatnonzero(stop > spread)
-                    if len(hit):
-                        text = np.searchsorted(cut, hit, "right") - 1
-                        many = stop[hit] - spread[hit]
-                        pos = np.repeat(spread[hit] - np.cumsum(many) + many, many) + np.arange(many.sum())
-                        found.append(np.repeat(text, many) * len(self.ids) + item[pos])
+                    look_up(*self.classes[size][h], low, cut)
         pairs = np.unique(np.concatenate(found))
         return np.stack([pairs // len(self.ids), pairs % len(self.ids)], 1)
 

@@ -138,6 +138,22 @@ def test_decontaminate(spark, edge, empty):
     assert decontaminate.find_contaminated(empty, items).count() == 0 and decontaminate.drop_contaminated(edge, items.limit(0)).count() == edge.count()
 
 
+def test_short_items_are_found_in_long_documents(spark):
+    """Every item of 5 to 11 words, and one of few distinct shingles, in a document of 600 words."""
+    random.seed(11)
+    docs, items = [], []
+    for k in range(400):
+        w = [f"d{random.randrange(10**7)}" for _ in range(600)]
+        at, n = random.randrange(580), 5 + k % 7
+        docs.append((k, " ".join(w)))
+        items.append((k, " ".join(w[at:at + n])))
+    docs.append((400, "lead in " + "ab cd " * 30 + "and out"))
+    items.append((400, "ab cd " * 30))
+    got = decontaminate.find_contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.id, r.item_id) for r in got} == {(k, k) for k in range(401)}
+    assert decontaminate.Items([1], [b""]).candidates(np.zeros(0, np.uint64), np.zeros(2, np.int64)).shape == (0, 2)
+
+
 def test_language(edge, empty):
     langs, table = language_id.learn(edge, F.lit(True))
     assert langs == ["en"]
