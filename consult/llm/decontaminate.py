@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from consult.llm.common import fresh, stage
+from consult.llm.common import fresh, stage, text_or_empty
 from consult.llm.words import Words, chunks, mix, seeds
 
 CONTAINMENT = 0.8
@@ -167,10 +167,11 @@ def find_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold an item; columns as they were."""
-    (bad,) = fresh(docs.columns, "held_id")
-    held = stage(find_contaminated(docs, items).select(F.col("id").alias(bad)).distinct(), "contaminated")
-    return docs.join(held, docs["doc_id"].eqNullSafe(held[bad]), "left_anti")
+    """``docs`` without the documents that hold an item, by their texts, as ids may be null or repeat; columns as they were."""
+    own, bad = fresh(docs.columns, "own_text", "held_text")
+    marked = docs.withColumn(own, F.unhex(F.md5(text_or_empty("text"))))
+    held = stage(find_contaminated(marked, items, id_col=own).select(F.col("id").alias(bad)).distinct(), "contaminated")
+    return marked.join(held, F.col(own) == F.col(bad), "left_anti").select(*docs.columns)
 
 
 def op2_decontaminate(spark, sf_dir: str) -> DataFrame:

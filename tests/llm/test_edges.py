@@ -138,6 +138,15 @@ def test_decontaminate(spark, edge, empty):
     assert decontaminate.find_contaminated(empty, items).count() == 0 and decontaminate.drop_contaminated(edge, items.limit(0)).count() == edge.count()
 
 
+def test_clean_rows_that_share_an_id_stay(spark):
+    """A contaminated row takes no clean row of its id along, null ids included."""
+    item = " ".join(f"leak{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, "clean one"), (1, f"x {item} y"), (None, "clean null"), (None, item), (2, None), (3, f"x {item} y"), (None, "clean null")], "doc_id long, text string")
+    left = decontaminate.drop_contaminated(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert left.columns == docs.columns
+    assert sorted(map(str, left.collect())) == sorted(str(r) for r in docs.collect() if "leak" not in (r.text or ""))
+
+
 def test_short_items_are_found_in_long_documents(spark):
     """Every item of 5 to 11 words, and one of few distinct shingles, in a document of 600 words."""
     random.seed(11)
