@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from consult.llm import bpe, chat_format, decontaminate, exact_dedup, language_id, license_scan, ngram_join, substring_dedup, toxicity, warc
+from consult.llm import bpe, chat_format, decontaminate, exact_dedup, language_id, license_scan, ngram_join, substring_dedup, topk_search, toxicity, warc
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_license_scan": license_scan.op8_license_scan,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_ngram_jaccard": ngram_join.op10_ngram_jaccard,
+    "op11_topk_search": topk_search.op11_topk_search,
 }
 
 ORACLE = {
@@ -22,4 +23,5 @@ ORACLE = {
     "op4_chat_format": chat_format.ORACLE,
     "op5_warc": warc.ORACLE,
     "op9_exact_dedup": exact_dedup.ORACLE,
+    "op11_topk_search": topk_search.ORACLE,
 }
