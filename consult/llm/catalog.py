@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from consult.llm import bpe, chat_format, decontaminate, exact_dedup, language_id, license_scan, ngram_join, substring_dedup, topk_search, toxicity, warc
+from consult.llm import bpe, chat_format, decontaminate, exact_dedup, language_id, license_scan, ngram_join, spelling, substring_dedup, topk_search, toxicity, warc
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_ngram_jaccard": ngram_join.op10_ngram_jaccard,
     "op11_topk_search": topk_search.op11_topk_search,
+    "op12_spelling_variants": spelling.op12_spelling_variants,
 }
 
 ORACLE = {
