@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from consult.llm import bpe, chat_format, decontaminate, exact_dedup, language_id, license_scan, ngram_join, spelling, substring_dedup, topk_search, toxicity, warc
+from consult.llm import bpe, chat_format, decontaminate, exact_dedup, language_id, license_scan, ngram_join, repair, spelling, substring_dedup, topk_search, toxicity, warc
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_ngram_jaccard": ngram_join.op10_ngram_jaccard,
     "op11_topk_search": topk_search.op11_topk_search,
     "op12_spelling_variants": spelling.op12_spelling_variants,
+    "op13_conversation_repair": repair.op13_conversation_repair,
 }
 
 ORACLE = {
