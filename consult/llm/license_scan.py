@@ -1,26 +1,36 @@
 """Licence notices by a positional rare-token index (operator 8, DataFrame functions only).
 
-One pass counts in how many documents each licence word occurs. The rarest
-words of each template are its anchors: the index holds their positions in the
-template. A second pass looks up the anchors in each file, turns every hit into
-the place where the template would begin, intersects those places over the
-template's anchors (two must agree; a template with one anchor needs that one)
-and verifies the template's mandatory phrases there, word by word. The score is
-the IDF-weighted share of a template's words found at a verified place.
-
-Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after A-Z became a-z. A base
-phrase is a template all of whose words are mandatory and whose rarest word is
-its one anchor, so every place of it is found. Defined results: a null or empty
-text has no words, labels ``''``, score 0; every row gives one row, repeated
-ids too; with no documents all IDFs are equal. Nothing is shuffled but one
-count per licence word.
+The index holds the positions of every word of every template. One pass counts
+in how many documents each of these words occurs. A second pass looks up, in
+each file, the licence words of highest IDF that this file has (``LOOKED_UP`` of
+them), and always the rarest word of every mandatory phrase. A hit of a word is
+turned into the place where a template would begin by its position there. Places
+of the words of a template are intersected; as a notice must hold its phrases,
+only places that a phrase's rarest word names can remain, and they remain also
+if no other word of the notice is there. At each of them the mandatory phrases
+are verified word by word, and ``support`` counts the looked-up words that stand
+at their relative positions. The score is the IDF-weighted share of a template's
+words found at a verified place.
+
+Templates are a table (label, text, phrases); ``NOTICES`` is the default one, and
+base phrases are templates whose whole text is mandatory, so every place of them
+is found. The templates, not the documents, are collected to the driver.
+
+Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after A-Z became a-z. Defined
+results: a null or empty text has no words, labels ``''``, score 0; every row
+gives one row, repeated ids too; with no documents all IDFs are equal; a template
+without phrases is mandatory as a whole, one without words is left out, and a
+phrase that its template lacks is an error. Nothing is shuffled but one count per
+licence word.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +39,8 @@ from consult.llm.common import text_or_empty
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Licence words of highest IDF that are looked up in each file.
+LOOKED_UP = 8
 
 # Phrases and labels of the base, then notices (label, text, mandatory phrases).
 BASE = [("mit", "mit license"), ("apache", "apache license"), ("gpl", "general public license")]
@@ -58,22 +70,25 @@ class Template:
     words: list[str]
     phrases: list[tuple[int, int]]
     base: bool = False
-    anchors: list[tuple[str, int]] = field(default_factory=list)
 
 
-def split_words(text: str) -> list[str]:
+def split_words(text: str | None) -> list[str]:
     """The words of a text, by the rule of this module."""
-    return re.findall(WORD, text.translate(str.maketrans(UPPER, LOWER)))
+    return re.findall(WORD, (text or "").translate(str.maketrans(UPPER, LOWER)))
 
 
-def templates() -> list[Template]:
+def templates(notices: list[tuple[str, str, list[str]]] = NOTICES) -> list[Template]:
+    """The base phrases and the notices, in order."""
     out = [Template(label, w := split_words(text), [(0, len(w))], True) for label, text in BASE]
-    for label, text, phrases in NOTICES:
+    for label, text, phrases in notices:
         words, spans = split_words(text), []
-        for p in map(split_words, phrases):
-            at = next(i for i in range(len(words)) if words[i:i + len(p)] == p)
+        for p in filter(None, map(split_words, phrases or [])):
+            at = next((i for i in range(len(words)) if words[i:i + len(p)] == p), None)
+            if at is None:
+                raise ValueError(f"the notice of {label} does not hold its phrase {' '.join(p)!r}")
             spans.append((at, at + len(p)))
-        out.append(Template(label, words, spans))
+        if words:
+            out.append(Template(label, words, spans or [(0, len(words))]))
     return out
 
 
@@ -90,48 +105,51 @@ def inverse_document_frequency(words: DataFrame, vocabulary: list[str]) -> dict[
     return {w: math.log((n + 1) / (df.get(w, 0) + 1)) + 1.0 for w in vocabulary}
 
 
-def choose_anchors(ts: list[Template], idf: dict[str, float], per_template: int = 3) -> None:
-    """Gives each template its rarest words with their positions; a base phrase gets one."""
-    for t in ts:
-        rare = sorted(set(t.words), key=lambda w: (-idf[w], w))[: 1 if t.base else per_template]
-        t.anchors = [(w, t.words.index(w)) for w in rare if t.base or t.words.count(w) == 1]
+def index_of(ts: list[Template], idf: dict[str, float]) -> Column:
+    """The templates as an array literal: words with IDF, phrases, and the rarest word of all phrases with its position."""
+    def one(t: Template) -> Column:
+        inside = {i for lo, hi in t.phrases for i in range(lo, hi)}
+        key = min(inside, key=lambda i: (-idf[t.words[i]], t.words[i], i))
+        return F.struct(
+            F.lit(t.label).alias("label"), F.lit(t.base).alias("base"), F.lit(t.words[key]).alias("key"), F.lit(key).alias("at"),
+            F.array(*[F.struct(F.lit(w).alias("w"), F.lit(idf[w]).alias("idf")) for w in t.words]).alias("words"),
+            F.lit(reduce(add, (idf[w] for w in t.words))).alias("total"),
+            F.array(*[F.struct(F.lit(lo).alias("at"), F.array(*map(F.lit, t.words[lo:hi])).alias("words")) for lo, hi in t.phrases]).alias("phrases"))
+    return F.array(*map(one, ts))
 
 
-def _begins(anchor: str, place: int) -> str:
-    """Where a template would begin, for each hit of its anchor (SQL text: one parse for all templates)."""
-    return f"transform(filter(hits, h -> h.w = '{anchor}'), h -> h.p - {place})"
+def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", notices: DataFrame | None = None, looked_up: int = LOOKED_UP) -> DataFrame:
+    """id, n_words, base_places (sorted starts), matches (label, base, place, share, support; one per template and place).
 
-
-def _verified(t: Template) -> str:
-    """The places (word numbers) where the template begins."""
-    found = [_begins(a, p) for a, p in t.anchors]
-    pairs = [f"array_intersect({x}, {y})" for i, x in enumerate(found) for y in found[:i]]
-    places = f"array_distinct(concat({', '.join(pairs)}))" if pairs else f"array_distinct({found[0]})"
-    holds = " AND ".join(f"get(words, o + {i}) <=> '{t.words[i]}'" for lo, hi in t.phrases for i in range(lo, hi))
-    return f"filter({places}, o -> {holds})"
-
-
-def _share(t: Template, idf: dict[str, float], places: str) -> str:
-    """The largest IDF-weighted share of the template's words over its places; null without one."""
-    got = " + ".join(f"if(get(words, o + {i}) <=> '{w}', {idf[w]!r}D, 0D)" for i, w in enumerate(t.words))
-    return f"array_max(transform({places}, o -> least(({got}) / {sum(idf[w] for w in t.words)!r}D, 1D)))"
-
-
-def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_words, base_places (sorted starts), matches (label, base, place, share per template found)."""
-    ts = templates()
+    ``notices`` is a table (label string, text string, phrases array<string>); by default ``NOTICES``.
+    """
+    ts = templates(NOTICES if notices is None else [(r["label"], r["text"], r["phrases"]) for r in notices.select("label", "text", "phrases").collect()])
     words = docs.select(F.col(id_col).alias("id"), words_of(text_or_empty(text_col)).alias("words"))
     idf = inverse_document_frequency(words, sorted({w for t in ts for w in t.words}))
-    choose_anchors(ts, idf)
-    anchors = sorted({a for t in ts for a, _ in t.anchors})
-    hits = F.filter(F.transform("words", lambda w, i: F.when(w.isin(anchors), F.struct(i.alias("p"), w.alias("w")))), lambda h: h.isNotNull())
-    looked = words.select("id", "words", hits.alias("hits"))
-    placed = looked.selectExpr("id", "words", *[f"{_verified(t)} AS t{i}" for i, t in enumerate(ts)])
-    match = ", ".join(f"named_struct('label', '{t.label}', 'base', {str(t.base).lower()}, 'place', array_min(t{i}), 'share', {_share(t, idf, f't{i}')})" for i, t in enumerate(ts))
-    base = ", ".join(f"t{i}" for i, t in enumerate(ts) if t.base)
-    return placed.selectExpr(
-        "id", "CAST(size(words) AS bigint) AS n_words", f"array_sort(concat({base})) AS base_places",
-        f"filter(array({match}), m -> m.place IS NOT NULL) AS matches")
+    by_idf = F.array(*map(F.lit, sorted(idf, key=lambda w: (-idf[w], w))))
+    rarest = sorted({min(t.words[lo:hi], key=lambda w: (-idf[w], w)) for t in ts for lo, hi in t.phrases})
+    keys = sorted({min((t.words[i] for lo, hi in t.phrases for i in range(lo, hi)), key=lambda w: (-idf[w], w)) for t in ts})
+    index = index_of(ts, idf)
+
+    hits = F.filter(F.transform("words", lambda w, i: F.when(w.isin(keys), F.struct(i.alias("p"), w.alias("w")))), lambda h: h.isNotNull())
+    # array_intersect keeps the order of its first side: the file's own licence words, rarest first.
+    looked = words.select("id", "words", hits.alias("hits"), F.array_union(F.slice(F.array_intersect(by_idf, F.col("words")), 1, looked_up), F.array(*map(F.lit, rarest))).alias("looked"))
+
+    def begins(h: Column) -> Column:
+        return F.transform(F.filter(index, lambda t: t["key"] == h["w"]), lambda t: F.struct(t.alias("t"), (h["p"] - t["at"]).alias("o")))
+
+    def holds(c: Column) -> Column:
+        return F.forall(c["t"]["phrases"], lambda f: (c["o"] + f["at"] >= 0) & (F.slice("words", F.greatest(c["o"] + f["at"], F.lit(0)) + 1, F.size(f["words"])) == f["words"]))
+
+    def match(c: Column) -> Column:
+        there = F.filter(c["t"]["words"], lambda x, i: F.get(F.col("words"), c["o"] + i).eqNullSafe(x["w"]))
+        share = F.aggregate(there, F.lit(0.0), lambda s, x: s + x["idf"]) / c["t"]["total"]
+        support = F.size(F.array_distinct(F.transform(F.filter(there, lambda x: F.array_contains("looked", x["w"])), lambda x: x["w"])))
+        return F.struct(c["t"]["label"].alias("label"), c["t"]["base"].alias("base"), c["o"].alias("place"), F.least(share, F.lit(1.0)).alias("share"), support.alias("support"))
+
+    found = looked.select("id", "words", "looked", F.filter(F.flatten(F.transform("hits", begins)), holds).alias("found"))
+    base = F.array_sort(F.transform(F.filter("matches", lambda m: m["base"]), lambda m: m["place"]))
+    return found.select("id", F.size("words").cast("long").alias("n_words"), F.transform("found", match).alias("matches")).select("id", "n_words", base.alias("base_places"), "matches")
 
 
 def op8_license_scan(spark, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from consult.llm import bpe, chat_format, decontaminate, exact_dedup, language_id, license_scan, ngram_join, substring_dedup, toxicity, warc
@@ -212,9 +213,37 @@ def test_bpe(edge, empty):
         assert bpe.merge(piece, ranks) == bpe._merge_long(piece, ranks) or ranks.get(piece) is not None
 
 
-def test_license(edge, empty):
-    rows = {r.id: r for r in license_scan.scan_licenses(edge).collect()}
-    assert len(rows[11].base_places) == 3 and rows[1].n_words == 0 and license_scan.scan_licenses(empty).count() == 0
+def test_license(spark, edge, empty):
+    """Null, empty and very long texts; repeated rows; clashing columns; no rows."""
+    out = license_scan.scan_licenses(edge).collect()
+    rows = {r.id: r for r in out}
+    assert len(out) == edge.count() and len(rows[11].base_places) == 3 and {m.label for m in rows[11].matches} == {"mit", "apache", "gpl"}
+    assert rows[1].n_words == rows[2].n_words == 0 and rows[1].matches == [] and rows[8].n_words == 30_000
+    assert license_scan.scan_licenses(empty).count() == 0
+    long = "word " * 200_000 + "mit license " * 50 + "redistribution in source and binary forms"
+    got = license_scan.scan_licenses(spark.createDataFrame([(1, long)], "id long, text string"), id_col="id").first()
+    assert got.base_places == list(range(200_000, 200_100, 2)) and {m.label for m in got.matches} == {"mit", "bsd"}
+
+
+def test_a_mandatory_phrase_alone_is_found(spark):
+    """Whatever the corpus makes rare: each phrase, word for word, with nothing else of its notice."""
+    phrases = [(label, p) for label, _, own in license_scan.NOTICES for p in own]
+    docs = [(k, f"see {p} for more") for k, (_, p) in enumerate(phrases)] + [(1000 + k, "gnu licensed 3 mozilla the of under software free") for k in range(40)]
+    rows = {r.id: {m.label for m in r.matches} for r in license_scan.scan_licenses(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert all(label in rows[k] for k, (label, _) in enumerate(phrases)) and all(rows[1000 + k] == set() for k in range(40))
+
+
+def test_templates_of_the_caller(spark):
+    """A table of 300 notices with two phrases each; one without phrases; one without words; a wrong phrase."""
+    notices = [(f"own-{k}", f"grant{k} use and share clause{k} with keep{k} this note{k}", [f"grant{k} use", f"keep{k} this"]) for k in range(300)]
+    notices += [("whole", "only as a whole", None), ("none", " ", [])]
+    table = spark.createDataFrame(notices, "label string, text string, phrases array<string>")
+    docs = [(1, notices[7][1]), (2, "grant7 use and share clause7 with keep8 this"), (3, "x grant9 use a b c d e keep9 this"), (4, "only as a"), (5, "so only as a whole thing")]
+    rows = {r.id: {m.label: m for m in r.matches} for r in license_scan.scan_licenses(spark.createDataFrame(docs, "doc_id long, text string"), notices=table).collect()}
+    assert set(rows[1]) == {"own-7"} and rows[1]["own-7"].share == 1.0 and rows[1]["own-7"].support >= 3
+    assert not rows[2] and not rows[3] and not rows[4] and rows[5]["whole"].place == 1
+    with pytest.raises(ValueError):
+        license_scan.templates([("bad", "some words", ["other words"])])
 
 
 def test_chat(spark):
