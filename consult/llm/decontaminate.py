@@ -18,13 +18,18 @@ item) candidates, verified by exact shingle containment in the whole document.
 Items for which that bound does not hold, those of fewer than 8 shingles or of
 many repeated ones, are looked up by each of their shingles instead.
 
+An item of one to four words has one shingle, of all its words, and stands in a
+document that has these words in a row; runs of that many words of a document
+are looked up where there is such an item.
+
 The items are the stated query set. They are taken in blocks of at most
 ``BLOCK`` items (and their shingles), so what is broadcast is bounded however
-many there are; nothing is shuffled.
+many there are; with more than one block, each block's result is written and its
+broadcast given up before the next. Nothing is shuffled.
 
-Defined results: null and empty texts, and items of fewer than five words, have
-no shingles and match nothing; equal items each match; repeated documents give
-repeated rows; further columns are not read.
+Defined results: null and empty texts, and items without words, have no shingles
+and match nothing; equal items each match; repeated documents give repeated
+rows; further columns are not read.
 """
 
 from __future__ import annotations
@@ -37,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from consult.llm.common import fresh, stage, text_or_empty
-from consult.llm.words import Words, chunks, mix, seeds
+from consult.llm.words import SHINGLE, Words, chunks, mix, seeds
 
 CONTAINMENT = 0.8
 HASHES = 48
@@ -47,12 +52,21 @@ BLOCK, BLOCK_SHINGLES = 20_000, 4_000_000
 
 
 class Items:
-    """A block of items: shingles, per size class and hash the minima with their items, and short items' shingles."""
+    """A block of items: shingles, per size class and hash the minima with their items, short items' shingles, and items of under five words."""
 
     def __init__(self, ids: list, texts: list[bytes]):
         self.ids = ids
-        sh, _, first = Words(texts).shingles(short=False)
+        words = Words(texts)
+        sh, _, first = words.shingles(short=False)
         self.sets = [np.unique(sh[first[i]:first[i + 1]]) for i in range(len(texts))]
+        self.few: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for n in range(1, SHINGLE):
+            own = np.flatnonzero(np.diff(words.first) == n)
+            if len(own):
+                runs, _, cut = words.shingles(n, short=False)
+                held = runs[cut[own]]
+                order = np.argsort(held, kind="stable")
+                self.few[n] = held[order], own[order]
         self.seeds = seeds(HASHES, 2)
         self.classes: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
         by: dict[int, list[int]] = {}
@@ -83,14 +97,7 @@ class Items:
         top = max(self.classes, default=0)
 
         def look_up(own: np.ndarray, item: np.ndarray, values: np.ndarray, cut: np.ndarray) -> None:
-            spread = np.searchsorted(own, values, "left")
-            stop = np.searchsorted(own, values, "right")
-            hit = np.flatnonzero(stop > spread)
-            if len(hit):
-                text = np.searchsorted(cut, hit, "right") - 1
-                many = stop[hit] - spread[hit]
-                pos = np.repeat(spread[hit] - np.cumsum(many) + many, many) + np.arange(many.sum())
-                found.append(np.unique(np.repeat(text, many) * len(self.ids) + item[pos]))
+            found.append(self._pairs(own, item, values, cut))
 
         if len(self.direct[0]):
             look_up(*self.direct, sh, first)
@@ -118,6 +125,23 @@ class Items:
         pairs = np.unique(np.concatenate(found))
         return np.stack([pairs // len(self.ids), pairs % len(self.ids)], 1)
 
+    def _pairs(self, own: np.ndarray, item: np.ndarray, values: np.ndarray, cut: np.ndarray) -> np.ndarray:
+        """Distinct text * items + item where one of the text's ``values`` is among the items' ``own`` (sorted)."""
+        spread, stop = np.searchsorted(own, values, "left"), np.searchsorted(own, values, "right")
+        hit = np.flatnonzero(stop > spread)
+        many = stop[hit] - spread[hit]
+        pos = np.repeat(spread[hit] - np.cumsum(many) + many, many) + np.arange(many.sum())
+        return np.unique(np.repeat(np.searchsorted(cut, hit, "right") - 1, many) * len(self.ids) + item[pos])
+
+    def whole(self, words: Words) -> np.ndarray:
+        """Distinct (text, item) pairs, as rows, of items of under five words that stand in the text."""
+        found = [np.zeros(0, np.int64)]
+        for n, (held, item) in self.few.items():
+            runs, _, cut = words.shingles(n, short=False)
+            found.append(self._pairs(held, item, runs, cut))
+        pairs = np.concatenate(found)
+        return np.stack([pairs // len(self.ids), pairs % len(self.ids)], 1)
+
 
 def _blocks(rows: list) -> Iterator[list]:
     block, size = [], 0
@@ -139,16 +163,19 @@ def find_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     item_kind = asked.schema["item"].dataType
     arrow_kind = {"bigint": pa.int64(), "int": pa.int32()}.get(item_kind.simpleString(), pa.string())
     schema = f"id {rows.schema['id'].dataType.simpleString()}, item_id {'string' if arrow_kind == pa.string() else item_kind.simpleString()}, shared long, item_shingles long, containment double"
-    out = None
-    for block in _blocks(asked.toLocalIterator()):
+    out, blocks = None, _blocks(asked.toLocalIterator())
+    block = next(blocks, None)
+    alone = block is not None and (later := next(blocks, None)) is None
+    while block is not None:
         ids = [r["item"] if arrow_kind != pa.string() or r["item"] is None else str(r["item"]) for r in block]
         sent = spark.sparkContext.broadcast((ids, [(r["t"] or "").encode() for r in block]))
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             known = Items(*sent.value)
             for b, texts in chunks(batches, "t"):
-                sh, _, first = Words(texts).shingles(short=False)
-                got = []
+                words = Words(texts)
+                sh, _, first = words.shingles(short=False)
+                got = [(text, item, 1, 1) for text, item in known.whole(words)]
                 for text, item in known.candidates(sh, first):
                     want = known.sets[item]
                     shared = int(np.isin(want, sh[first[text]:first[text + 1]]).sum())
@@ -162,7 +189,11 @@ def find_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
                         ["id", "item_id", "shared", "item_shingles", "containment"])
 
         part = rows.mapInArrow(run, schema)
+        if not alone:
+            part = stage(part, "contaminated-block")
+            sent.unpersist()
         out = part if out is None else out.unionByName(part)
+        block, later = later, next(blocks, None)
     return out if out is not None else spark.createDataFrame([], schema)
 
 
@@ -180,14 +211,15 @@ def op2_decontaminate(spark, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "item_id", "shared", "item_shingles", "containment")
 
 
-def _sql_shingles(table: str, key: str) -> str:
-    return f"""SELECT DISTINCT {key}, w[i] || ' ' || w[i+1] || ' ' || w[i+2] || ' ' || w[i+3] || ' ' || w[i+4] AS s
-      FROM (SELECT {key}, w, unnest(range(1, len(w) - 3)) AS i
-            FROM (SELECT {key}, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM {table}))"""
+def _sql_words(table: str, key: str) -> str:
+    return f"""SELECT {key}, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM {table}"""
 
 
 ORACLE = f"""
-WITH i AS ({_sql_shingles('benchmark', 'item_id')}), d AS ({_sql_shingles('documents', 'doc_id')}),
+WITH iw AS ({_sql_words('benchmark', 'item_id')}), dw AS ({_sql_words('documents', 'doc_id')}),
+sizes AS (SELECT DISTINCT least(len(w), 5) AS k FROM iw WHERE len(w) > 0),
+i AS (SELECT DISTINCT item_id, array_to_string(w[p:p + least(len(w), 5) - 1], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 5) + 2)) AS p FROM iw)),
+d AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + k - 1], ' ') AS s FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM dw, sizes)),
 n AS (SELECT item_id, count(*) AS item_shingles FROM i GROUP BY item_id)
 SELECT doc_id, item_id, count(*) AS shared, any_value(item_shingles) AS item_shingles, count(*) / any_value(item_shingles) AS containment
 FROM d JOIN i USING (s) JOIN n USING (item_id) GROUP BY doc_id, item_id HAVING count(*) >= 0.8 * any_value(item_shingles)

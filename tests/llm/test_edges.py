@@ -129,11 +129,18 @@ def test_compact_windows_by_brute_force():
     assert got == want
 
 
-def test_decontaminate(spark, edge, empty):
+def test_decontaminate(spark, edge, empty, monkeypatch):
     item = " ".join(f"word{i} of passage" for i in range(20, 33))
     items = spark.createDataFrame([(1, item), (2, None), (3, "too short"), (4, item)], "item_id long, text string")
     rows = decontaminate.find_contaminated(edge, items).collect()
     assert {(r.id, r.item_id) for r in rows} >= {(6, 1), (6, 4), (12, 1)} and {r.item_id for r in rows} == {1, 4}
+    few = spark.createDataFrame([(1, "Text here"), (2, "TWO"), (3, "text same"), (4, "word0 of passage word1"), (5, "here"), (6, "!")], "item_id long, text string")
+    got = {(r.id, r.item_id, r.containment) for r in decontaminate.find_contaminated(edge, few).collect()}
+    assert got == {(i, k, 1.0) for k in (1, 5) for i in (3, 4, 5, None)} | {(9, 2, 1.0), (6, 4, 1.0), (7, 4, 1.0)}
+    both = decontaminate.find_contaminated(edge, items.unionByName(few))
+    for block in (1, 2):
+        monkeypatch.setattr(decontaminate, "BLOCK", block)
+        assert sorted(map(str, decontaminate.find_contaminated(edge, items.unionByName(few)).collect())) == sorted(map(str, both.collect()))
     left = decontaminate.drop_contaminated(edge, items)
     assert left.columns == edge.columns and {6, 12}.isdisjoint({r.doc_id for r in left.collect()})
     assert decontaminate.find_contaminated(empty, items).count() == 0 and decontaminate.drop_contaminated(edge, items.limit(0)).count() == edge.count()
@@ -149,18 +156,18 @@ def test_clean_rows_that_share_an_id_stay(spark):
 
 
 def test_short_items_are_found_in_long_documents(spark):
-    """Every item of 5 to 11 words, and one of few distinct shingles, in a document of 600 words."""
+    """Every item of 1 to 11 words, and one of few distinct shingles, in a document of 600 words."""
     random.seed(11)
     docs, items = [], []
-    for k in range(400):
-        w = [f"d{random.randrange(10**7)}" for _ in range(600)]
-        at, n = random.randrange(580), 5 + k % 7
+    for k in range(440):
+        w = [f"d{random.randrange(10**12)}" for _ in range(600)]
+        at, n = random.randrange(580), 1 + k % 11
         docs.append((k, " ".join(w)))
         items.append((k, " ".join(w[at:at + n])))
-    docs.append((400, "lead in " + "ab cd " * 30 + "and out"))
-    items.append((400, "ab cd " * 30))
+    docs.append((440, "lead in " + "ab cd " * 30 + "and out"))
+    items.append((440, "ab cd " * 30))
     got = decontaminate.find_contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
-    assert {(r.id, r.item_id) for r in got} == {(k, k) for k in range(401)}
+    assert {(r.id, r.item_id) for r in got} == {(k, k) for k in range(441)}
     assert decontaminate.Items([1], [b""]).candidates(np.zeros(0, np.uint64), np.zeros(2, np.int64)).shape == (0, 2)
 
 

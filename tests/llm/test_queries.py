@@ -169,6 +169,7 @@ def test_pipeline(spark, texts):
     near = brute_classes(keep)
     keep = {i: t for i, t in keep.items() if near[i] == i}
     items = [shingle_set(r.text) for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect()]
+    assert all(len(g) == 5 for s in items for g in s)
     keep = {i: t for i, t in keep.items() if not any(len(s & shingle_set(t)) >= 0.8 * len(s) for s in items)}
     rows = corpus_pipeline.run(spark, SF_SMALL).collect()
     assert {r.doc_id for r in rows} == set(keep) and len(rows) == len(keep)
