@@ -91,6 +91,18 @@ def test_passages(edge, empty):
     assert substring_dedup.shared_passages(empty).count() == 0
 
 
+def test_passages_of_documents_that_share_an_id_or_have_none(spark):
+    p = " ".join(f"pass{i}" for i in range(120))
+    docs = [(1, p), (2, "aaa " * 30), (2, "zzz " + p), (None, "left " + p), (None, p + " right"), (None, "clean text of no one"), (3, "other " + p), (3, "other " + p), (4, None), (4, "")]
+    rows = substring_dedup.shared_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert all(r.n_words == r.source_n_words == 120 and r.similarity == 1.0 for r in rows)
+    # Every copy but the first is reported, rows without an id too; equal rows count once.
+    assert sorted((r.id is None, r.id or 0, r.start_word) for r in rows if r.source_id == 1) == [(False, 2, 1), (False, 3, 1), (True, 0, 0), (True, 0, 1)]
+    p = " ".join(f"none{i}" for i in range(60))
+    rows = substring_dedup.shared_passages(spark.createDataFrame([(None, "a " + p), (None, "b " + p), (7, "c")], "doc_id long, text string")).collect()
+    assert [(r.id, r.source_id, r.n_words) for r in rows] == [(None, None, 60)]
+
+
 def test_passages_with_edits_are_found(spark):
     """Recall on passages of 60 to 90 words with a word put in, left out or changed in the middle."""
     random.seed(7)
