@@ -27,6 +27,13 @@ from pyspark.sql import functions as F
 _PID = "_prefix_pid"
 
 
+def _before() -> "Window":
+    """All partitions before a partition, over the table of one total per partition.
+
+    That table is as long as there are partitions, so it is one named group."""
+    return Window.partitionBy(F.col(_PID) < 0).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+
+
 def _order_cols(order: list) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
@@ -50,7 +57,7 @@ def prefix_sums(df: DataFrame, order: list, sums: dict[str, Column | str],
               .withColumn(_PID, F.spark_partition_id()))
     staged = staged.checkpoint(eager=True)
     totals = staged.groupBy(_PID).agg(*[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in vals])
-    wt = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    wt = _before()
     offsets = totals.select(_PID, *[F.coalesce(F.sum(f"_t_{k}").over(wt), F.lit(0)).alias(f"_o_{k}")
                                     for k in vals])
     w = Window.partitionBy(_PID).orderBy(*ords).rowsBetween(Window.unboundedPreceding,
@@ -80,7 +87,7 @@ def dense_index(df: DataFrame, order: list, out: str = "idx", start: int = 1,
                       F.monotonically_increasing_id().alias("__mid")))
     staged = staged.checkpoint(eager=True)
     counts = staged.groupBy(_PID).agg(F.count(F.lit(1)).alias("__n"))
-    wt = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    wt = _before()
     offsets = counts.select(_PID, F.coalesce(F.sum("__n").over(wt), F.lit(0)).alias("__off"))
     local = F.col("__mid") - F.shiftleft(F.col(_PID).cast("long"), 33)
     return (staged.join(F.broadcast(offsets), _PID, "left")

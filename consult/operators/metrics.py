@@ -81,29 +81,31 @@ def log_loss(df: DataFrame, groups: list[str] | None = None, label: str = "label
 # ---------------------------------------------------------------------------
 
 def score_counts(df: DataFrame, groups: list[str] | None = None, label: str = "label",
-                 score: str = "score") -> DataFrame:
-    """One row per (group, distinct score): positives and negatives."""
+                 score: str = "score", weight: str | None = None) -> DataFrame:
+    """One row per (group, distinct score): positives and negatives. ``weight``
+    names a column that says for how many rows a row stands."""
     groups = groups or []
+    n = F.lit(1) if weight is None else F.col(weight)
+    y = F.col(label) == 1
     return _scored(df, score).groupBy(*groups, F.col(score).cast("double").alias("score")).agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
+        F.sum(F.when(y, n).otherwise(0)).cast("bigint").alias("pos"),
+        F.sum(F.when(F.col(label) != 1, n).otherwise(0)).cast("bigint").alias("neg"))
 
 
 def running_counts(counts: DataFrame, groups: list[str] | None = None, **prefix_kw) -> DataFrame:
-    """Add cum_pos / cum_neg (inclusive, falling score) and P / N per group."""
+    """Add cum_pos / cum_neg (inclusive, falling score) and P / N per group.
+
+    Running sums run across groups in group order, so a group's base is what
+    stands before its first score: the least of running sum minus own count."""
     groups = groups or []
     order = [*[F.col(g).asc() for g in groups], F.col("score").desc()]
     c = prefix_sums(counts, order, {"g_pos": F.col("pos"), "g_neg": F.col("neg")}, **prefix_kw)
-    tot = counts.groupBy(*groups).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    tot = c.groupBy(*groups).agg(
+        F.sum("pos").alias("P"), F.sum("neg").alias("N"),
+        F.min(F.col("g_pos") - F.col("pos")).alias("__bp"), F.min(F.col("g_neg") - F.col("neg")).alias("__bn"))
     if groups:
-        # Running sums run across groups in group order; the base of a group is
-        # the total of all groups before it (one row per group: bounded).
-        wg = Window.orderBy(*groups).rowsBetween(Window.unboundedPreceding, -1)
-        tot = tot.select(*groups, "P", "N",
-                         F.coalesce(F.sum("P").over(wg), F.lit(0)).alias("__bp"),
-                         F.coalesce(F.sum("N").over(wg), F.lit(0)).alias("__bn"))
         named = tot.select(*[F.col(g).alias(f"__{g}") for g in groups], "P", "N", "__bp", "__bn")
-        same = [c[g].eqNullSafe(named[f"__{g}"]) for g in groups]
-        c = c.join(named, same, "inner")
+        c = c.join(named, [c[g].eqNullSafe(named[f"__{g}"]) for g in groups], "inner")
         return c.select(*groups, "score", "pos", "neg",
                         (F.col("g_pos") - F.col("__bp")).alias("cum_pos"),
                         (F.col("g_neg") - F.col("__bn")).alias("cum_neg"), "P", "N")

@@ -40,54 +40,86 @@ def feature_count_guard(feature_set: str, cols: list[str]) -> None:
                                 f"got {len(want) - len(missing)}; missing {missing}")
 
 
-def make_learner(name: str, n_train: int, seed: int = S.SEED):
-    """Reference hyperparameters in Spark terms.
-
-    Logistic: L2 with C = 1 equals regParam = 1 / (C * n) on the mean loss;
-    Spark does not penalize the intercept (liblinear does). Forest: 100 trees,
-    depth 10, at least 2 rows per leaf, sqrt features. Boosted: 100 rounds,
-    depth 6, step 0.1, log loss; node ids are not cached (shallow trees: the
-    cache costs more than it saves; the deep forest does cache them), and the
-    per-round lineage is checkpointed every 10 rounds. Logistic and boosted learners take weights."""
+#: The constant feature whose weight is the logistic intercept.
+BIAS = "__bias"
+#: Distinct rows of a counted table that one partition holds.
+COUNTED_ROWS = 100_000
+
+
+def make_learner(name: str, n_train: int, seed: int = S.SEED, **params):
+    """Reference hyperparameters in Spark terms; ``params`` override them.
+
+    Logistic: the sum of log losses plus half the squared weights (C = 1), the
+    intercept's included: a constant feature instead of an intercept, and
+    regParam = 1 / n on the mean loss. Forest: 100 trees, depth 10, at least 2
+    rows per leaf, sqrt features. Boosted: 100 rounds, depth 6, step 0.1, log
+    loss; node ids are not cached (shallow trees: the cache costs more than it
+    saves; the deep forest does cache them), and the per-round lineage is
+    checkpointed every 10 rounds. Trees aggregate a level's nodes in up to 1 GB
+    at once. Logistic and boosted learners take weights."""
     if name == "logistic_regression":
-        return LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight",
-                                  regParam=1.0 / max(n_train, 1), elasticNetParam=0.0,
-                                  standardization=False, maxIter=1000)
+        return LogisticRegression(**{**dict(
+            featuresCol="features", labelCol="label", weightCol="weight", regParam=1.0 / max(n_train, 1), elasticNetParam=0.0,
+            standardization=False, fitIntercept=False, maxIter=1000, tol=1e-9), **params})
     if name == "random_forest":
-        return RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=100, maxDepth=10,
-                                      minInstancesPerNode=2, featureSubsetStrategy="sqrt", seed=seed,
-                                      cacheNodeIds=True, checkpointInterval=10)
+        return RandomForestClassifier(**{**dict(
+            featuresCol="features", labelCol="label", numTrees=100, maxDepth=10, minInstancesPerNode=2, featureSubsetStrategy="sqrt",
+            seed=seed, cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=1024), **params})
     if name == "gbt":
-        return GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=100,
-                             maxDepth=6, stepSize=0.1, seed=seed, lossType="logistic", cacheNodeIds=False,
-                             checkpointInterval=10)
+        return GBTClassifier(**{**dict(
+            featuresCol="features", labelCol="label", weightCol="weight", maxIter=100, maxDepth=6, stepSize=0.1, seed=seed,
+            lossType="logistic", cacheNodeIds=False, checkpointInterval=10, maxMemoryInMB=1024), **params})
     raise ValueError(f"unknown learner {name}")
 
 
+def complete_rows(df: DataFrame, feature_set: str, label: str = S.LABEL, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Features and ``label`` as DOUBLE, the constant feature and ``keep``; rows that miss a feature or label are left out."""
+    cols = FEATURE_SETS[feature_set]
+    feature_count_guard(feature_set, df.columns)
+    rows = df.select(*[F.col(c).cast("double").alias(c) for c in cols], F.col(label).cast("double").alias("label"), *keep)
+    return rows.na.drop(subset=[*cols, "label"]).withColumn(BIAS, F.lit(1.0))
+
+
+def count_rows(rows: DataFrame, feature_set: str, keep: tuple[str, ...] = ()) -> tuple[DataFrame, int, DataFrame]:
+    """Distinct ``complete_rows`` with their count as ``weight``, the number of all rows, and what is persisted.
+
+    Scores and states are small integers, so rows repeat. The table gets one
+    partition per ``COUNTED_ROWS`` distinct rows, as a boosted fit runs some
+    hundred short jobs over it; unpersist the last after use."""
+    counted = rows.groupBy(*FEATURE_SETS[feature_set], "label", BIAS, *keep).agg(F.count(F.lit(1)).cast("double").alias("weight")).persist()
+    distinct, n = counted.agg(F.count(F.lit(1)), F.sum("weight")).first()
+    return counted.coalesce(max(1, -(-distinct // COUNTED_ROWS))), int(n or 0), counted
+
+
+def _assembler(feature_set: str, learner: str, invalid: str = "skip") -> VectorAssembler:
+    cols = FEATURE_SETS[feature_set] + ([BIAS] if learner == "logistic_regression" else [])
+    return VectorAssembler(inputCols=cols, outputCol="features", handleInvalid=invalid)
+
+
+def _vectors(df: DataFrame, cols: list[str], model: PipelineModel) -> DataFrame:
+    """``df`` with the feature vector of ``cols`` that the fitted model reads; incomplete rows stay."""
+    own = cols + ([BIAS] if model.stages[-1].numFeatures > len(cols) else [])
+    return VectorAssembler(inputCols=own, outputCol="features", handleInvalid="keep").transform(df.withColumn(BIAS, F.lit(1.0)))
+
+
 def fit(df: DataFrame, learner: str, feature_set: str, label: str = S.LABEL,
-        n_train: int | None = None) -> PipelineModel:
+        n_train: int | None = None, **params) -> PipelineModel:
     """Assembler + learner pipeline fitted on ``df`` (label 0/1). Rows with a
     missing feature (e.g. an unparseable contact date gives no day count)
     are left out of the fit rather than failing it.
 
-    Scores and states are small integers, so rows repeat: logistic and boosted
-    fits read each distinct (features, label) row once, weighted by its count,
-    which leaves their sums as they are. The forest bags single rows, so it
-    reads all of them. ``n_train`` sets the logistic penalty (default: the
-    number of complete rows)."""
-    cols = FEATURE_SETS[feature_set]
-    feature_count_guard(feature_set, df.columns)
-    rows = df.select(*[F.col(c).cast("double").alias(c) for c in cols],
-                     F.col(label).cast("double").alias("label")).na.drop()
-    assembler = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="skip")
+    Logistic and boosted fits read each distinct (features, label) row once,
+    weighted by its count, which leaves their sums as they are. The forest bags
+    single rows, so it reads all of them. ``n_train`` sets the logistic penalty
+    (default: the number of complete rows)."""
+    rows = complete_rows(df, feature_set, label)
     if learner == "random_forest":
-        return Pipeline(stages=[assembler, make_learner(learner, n_train or 0)]).fit(rows)
-    rows = rows.groupBy(*cols, "label").agg(F.count(F.lit(1)).cast("double").alias("weight")).persist()
+        return Pipeline(stages=[_assembler(feature_set, learner), make_learner(learner, 0, **params)]).fit(rows)
+    counted, n, held = count_rows(rows, feature_set)
     try:
-        n = n_train if n_train is not None else int(rows.agg(F.sum("weight")).first()[0] or 0)
-        return Pipeline(stages=[assembler, make_learner(learner, n)]).fit(rows)
+        return Pipeline(stages=[_assembler(feature_set, learner), make_learner(learner, n_train or n, **params)]).fit(counted)
     finally:
-        rows.unpersist()
+        held.unpersist()
 
 
 def predict(model: PipelineModel, df: DataFrame, feature_set: str) -> DataFrame:
@@ -97,9 +129,7 @@ def predict(model: PipelineModel, df: DataFrame, feature_set: str) -> DataFrame:
     cols = FEATURE_SETS[feature_set]
     feature_count_guard(feature_set, df.columns)
     d = df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in df.columns])
-    # The fitted assembler skips incomplete rows; scoring keeps them.
-    rows = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep").transform(d)
-    out = model.stages[-1].transform(rows)
+    out = model.stages[-1].transform(_vectors(d, cols, model))
     complete = F.lit(True)
     for c in cols:
         complete = complete & F.col(c).isNotNull() & ~F.isnan(c)
@@ -109,27 +139,37 @@ def predict(model: PipelineModel, df: DataFrame, feature_set: str) -> DataFrame:
 def cross_validate(df: DataFrame, learner: str, feature_set: str, folds_col: str = "fold",
                    k: int = S.N_FOLDS, label: str = S.LABEL, parallelism: int = 1) -> DataFrame:
     """(fold, auc) for each held-out fold; ``df`` carries the fold column.
-    Each fold's AUC is the exact distributed metric."""
+
+    Rows are counted once by (features, label, fold). That table is filtered per
+    fold for logistic and boosted fits, and every learner's held-out rows are
+    scored from it with their counts. The AUCs are exact, of all folds in one go."""
     spark = df.sparkSession
-    held = df.storageLevel.useMemory or df.storageLevel.useDisk
-    data = df if held else df.cache()
+    rows = complete_rows(df, feature_set, label, (folds_col,))
+    forest = learner == "random_forest"
+    if forest:
+        rows = rows.persist()
+    counted, _, cached = count_rows(rows, feature_set, (folds_col,))
 
     def one(f):
-        tr = data.where(F.col(folds_col) != f)
-        te = data.where(F.col(folds_col) == f)
-        m = fit(tr, learner, feature_set, label)
-        sc = predict(m, te, feature_set)
-        a = auc_roc(sc.select(F.col(label).alias("label"), "score")).first()["auc_roc"]
-        return (int(f), float(a) if a is not None else None)
+        held = F.col(folds_col) == f
+        part = rows.where(~held) if forest else counted.where(~held)
+        n = 0 if forest else int(part.agg(F.sum("weight")).first()[0] or 0)
+        m = Pipeline(stages=[_assembler(feature_set, learner), make_learner(learner, n)]).fit(part)
+        return predict(m, counted.where(held), feature_set).select(F.col(folds_col).cast("int").alias("fold"), "label", "weight", "score")
 
     if parallelism > 1:
         with ThreadPoolExecutor(parallelism) as ex:
-            res = list(ex.map(one, range(k)))
+            scored = list(ex.map(one, range(k)))
     else:
-        res = [one(f) for f in range(k)]
-    if not held:
-        data.unpersist()
-    return spark.createDataFrame(res, "fold int, auc double")
+        scored = [one(f) for f in range(k)]
+    whole = scored[0]
+    for s in scored[1:]:
+        whole = whole.unionByName(s)
+    found = {r["fold"]: r["auc_roc"] for r in auc_roc(whole, ["fold"], weight="weight").collect()}  # one row a fold
+    cached.unpersist()
+    if forest:
+        rows.unpersist()
+    return spark.createDataFrame([(f, found.get(f)) for f in range(k)], "fold int, auc double")
 
 
 def cv_summary(cv: DataFrame) -> DataFrame:
@@ -269,9 +309,7 @@ def score_requests(requests: DataFrame, model: PipelineModel, feature_set: str,
         d = add_interactions(fill_defaults(d, defaults), SCORING_INTERACTIONS)
     cols = FEATURE_SETS[feature_set]
     d2 = d.select("*", *[F.col(c).cast("double").alias(f"__f_{c}") for c in cols])
-    feat = VectorAssembler(inputCols=[f"__f_{c}" for c in cols], outputCol="features", handleInvalid="keep")
-    est = model.stages[-1]
-    out = est.transform(feat.transform(d2))
+    out = model.stages[-1].transform(_vectors(d2, [f"__f_{c}" for c in cols], model))
     prob = vector_to_array("probability")
     return out.select(
         *requests.columns,

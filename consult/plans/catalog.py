@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -1292,7 +1293,6 @@ from consult.operators import models as M  # noqa: E402
 def reused(spark, d, name, build):
     """The table ``build()`` gives, written below the shared folder the first time
     this application asks for it and read back from there each time."""
-    from pyspark.errors import AnalysisException
     path = f"{training_root(spark, d)}/{name}"
     try:
         return spark.read.parquet(path)
@@ -1302,11 +1302,17 @@ def reused(spark, d, name, build):
 
 
 def training_root(spark, d):
-    """Folder of this application's models and tables for one input folder."""
-    from hashlib import md5
+    """Folder of this application's models and tables for one state of an input folder.
 
+    Its name holds a fingerprint of the input files (path, size, time of change),
+    so that changed tables under the same path are trained anew."""
     from consult.session import scratch_path
-    return scratch_path(spark, f"training/{spark.sparkContext.applicationId}-{md5(d.encode()).hexdigest()[:12]}")
+    seen = None
+    for t in FX.CONSULTATION_TABLES:
+        f = spark.read.parquet(f"{d}/{t}.parquet").select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+        seen = f if seen is None else seen.unionByName(f)
+    mark = seen.agg(F.hex(F.bit_xor(F.xxhash64(*seen.columns))).alias("mark")).first()["mark"]
+    return scratch_path(spark, f"training/{spark.sparkContext.applicationId}-{mark}")
 
 
 def model_data(spark, d):
@@ -1328,8 +1334,6 @@ RUN_ID = "run-1"
 def fitted(spark, d, learner, fs):
     """The model of one pair: from the registry, or fitted and saved there."""
     import time
-
-    from pyspark.errors import AnalysisException
     root = training_root(spark, d)
     try:
         return M.load_latest(spark, root, learner, fs)
@@ -1346,7 +1350,8 @@ def trained(spark, d, learners, sets):
     are computed once an application. Rows of trained pairs go to the registry;
     fit time and date are those of the fit itself."""
     data = model_data(spark, d)
-    _, rows = M.train_all({fs: data[f"{fs}_train"] for fs in sets}, learners,
+    # Boosted fits are some hundred short jobs each: pairs and folds overlap on the executors.
+    _, rows = M.train_all({fs: data[f"{fs}_train"] for fs in sets}, learners, parallelism=len(learners) * len(sets),
                           fit_one=lambda _, learner, fs: fitted(spark, d, learner, fs),
                           cv_one=lambda _, learner, fs: cv_pair(spark, d, learner, fs))
     root = training_root(spark, d)
@@ -1388,17 +1393,19 @@ def cv_pair(spark, d, learner, fs):
     return reused(spark, d, f"cv-{learner}-{fs}", build)
 
 
-def cv_results(spark, d, learner):
-    """Fold AUCs of ``learner`` on both sets (the two sets run concurrently)."""
+def cv_results(spark, d, learners):
+    """Fold AUCs of ``learners`` on both sets (all pairs run concurrently)."""
     from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(2) as ex:
-        a, b = ex.map(lambda fs: cv_pair(spark, d, learner, fs), ("baseline", "enhanced"))
-    return a.unionByName(b)
+    from functools import reduce
+    model_data(spark, d)
+    pairs = [(learner, fs) for learner in learners for fs in ("baseline", "enhanced")]
+    with ThreadPoolExecutor(len(pairs)) as ex:
+        return reduce(DataFrame.unionByName, ex.map(lambda p: cv_pair(spark, d, *p), pairs))
 
 
 def _cv(learner):
     def run(spark, d):
-        return cv_results(spark, d, learner)
+        return cv_results(spark, d, [learner])
     run.__doc__ = f"Patient-grouped stratified 5-fold CV of {learner} on both feature sets (exact AUC)."
     return run
 
@@ -1410,11 +1417,7 @@ for _learner in M.LEARNERS:
 @register("cv_scores")
 def q_cv_scores(spark, d):
     """Fold AUCs of all three learners on both feature sets."""
-    out = None
-    for learner in M.LEARNERS:
-        r = cv_results(spark, d, learner)
-        out = r if out is None else out.unionByName(r)
-    return out
+    return cv_results(spark, d, M.LEARNERS)
 
 
 @register("feature_importance")
@@ -1512,13 +1515,18 @@ def q_model_info(spark, d):
     list, CV AUC, training rows and time) with their test AUC."""
     from consult.operators.metrics import evaluate_all
     pairs = (("logistic_regression", "baseline"), ("gbt", "enhanced"))
-    served = None
+    root = training_root(spark, d)
+    try:
+        known = {(r["learner"], r["feature_set"]) for r in M.registry(spark, root).where("cv_mean IS NOT NULL").collect()}
+    except AnalysisException:  # nothing is registered yet
+        known = set()
     for learner, fs in pairs:
-        row = trained(spark, d, [learner], [fs]).select("learner", "feature_set")
-        served = row if served is None else served.unionByName(row)
+        if (learner, fs) not in known:
+            trained(spark, d, [learner], [fs])
+    served = spark.createDataFrame(list(pairs), "learner string, feature_set string")
     preds = _test_predictions(*pairs[0])(spark, d).unionByName(_test_predictions(*pairs[1])(spark, d))
     ev = evaluate_all(preds.withColumnRenamed("learner", "model")).select("feature_set", F.col("auc_roc").alias("test_auc"))
-    reg = M.registry(spark, training_root(spark, d)).join(served, ["learner", "feature_set"], "left_semi")
+    reg = M.registry(spark, root).join(served, ["learner", "feature_set"], "left_semi")
     return M.model_info(reg).join(ev, "feature_set")
 
 
@@ -1685,3 +1693,7 @@ def q_row_accounting(spark, d):
     """Rows in, out and rejected of every prepare step, over input with rows that have no id."""
     from consult.plans.prepare import row_accounting
     return row_accounting(FX.consultations_gaps(spark, d))
+
+
+# Queries over a patient's row order, model quality and drift register themselves.
+from consult.plans import longitudinal as _longitudinal  # noqa: E402, F401
