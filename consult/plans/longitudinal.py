@@ -1,10 +1,14 @@
-"""Registered queries over the order of a patient's consultations, with their DuckDB text."""
+"""Registered queries over the order of a patient's consultations and over streams of them, with their DuckDB text."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from consult.operators import longitudinal as L
 from consult.plans import sqlparts as P
-from consult.plans.catalog import ANON_CTES, anon, register, typed
+from consult.plans.catalog import ANON_CTES, FEAT_CTES, anon, register, typed
+from consult.sources import fixtures as FX
+from consult.streaming import monitor as R
 
 _ORDER = ", ".join(f"{c} ASC NULLS LAST" for c in ("contact_date", "accident_date", "fl_score", "fl_status", "p_score", "p_status", "nbe"))
 _PATIENT = f"w AS (PARTITION BY anonymous_patient_id ORDER BY {_ORDER})"
@@ -108,3 +112,53 @@ numbered AS (SELECT *, row_number() OVER w AS consultation_number FROM anon WIND
 def q_patient_averages(spark, d):
     """One row per patient: means, mean interval, change from first to last consultation, slope."""
     return L.patient_averages(anon(spark, d))
+
+
+_NUMBERED = """
+SELECT anonymous_patient_id, accident_date, contact_date, fl_score, fl_status, p_score, p_status, nbe,
+       consultation_number, false AS late FROM feats"""
+
+
+@register("stream_consultation_number", P.q(["consultations"], FEAT_CTES, _NUMBERED))
+def q_stream_consultation_number(spark, d):
+    """F2 on a stream: consultations in time order through one counter per patient."""
+    from consult.streaming.runner import run_numbering_stream
+    return run_numbering_stream(spark, anon(spark, d), "anonymous_patient_id", "contact_date")
+
+
+def _monitored(spark, d):
+    """The hourly sketches of the request log, kept by a stream."""
+    from consult.streaming.runner import run_stream
+    return run_stream(spark, FX.request_log(spark, d), R.latency_sketches, delay="1 hour", name="stream-sketches")
+
+
+@register("stream_request_rates", P.q(["request_log"], [], """
+SELECT date_trunc('hour', ts) AS window_start, path, count(*) AS n_requests,
+       count(*) FILTER (status >= 400 AND status < 500) AS n_4xx, count(*) FILTER (status >= 500) AS n_5xx,
+       round(CAST(count(*) FILTER (status >= 400 AND status < 500) AS DOUBLE) / count(*), 6) AS rate_4xx,
+       round(CAST(count(*) FILTER (status >= 500) AS DOUBLE) / count(*), 6) AS rate_5xx
+FROM request_log GROUP BY 1, 2"""))
+def q_stream_request_rates(spark, d):
+    """R2 on a stream: counts and rates of every closed window."""
+    m = R.with_percentiles(_monitored(spark, d))
+    return m.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "path", "n_requests", "n_4xx", "n_5xx", "rate_4xx", "rate_5xx")
+
+
+_WITHIN = [("1 hour", "hour"), ("1 day", "day")]
+
+
+@register("stream_latency_ranks", P.q(["request_log"], [], " UNION ALL ".join(f"""
+SELECT '{w}' AS window_size, date_trunc('{part}', ts)::TIMESTAMP AS window_start, path, x.percentile, count(*) AS n_requests, true AS within_bound
+FROM request_log, (VALUES ('p50'), ('p95'), ('p99')) AS x(percentile) WHERE latency_ms IS NOT NULL GROUP BY 2, 3, 4""" for w, part in _WITHIN)))
+def q_stream_latency_ranks(spark, d):
+    """Percentiles of the stream's hourly sketches, and of those merged to days: their
+    ranks among the requests are within the stated bound."""
+    hourly, log = _monitored(spark, d), FX.request_log(spark, d)
+    out = None
+    for window, _ in _WITHIN:
+        kept = hourly if window == "1 hour" else R.merge_sketches(hourly, window)
+        e = R.rank_errors(log, R.with_percentiles(kept).withColumn("window_start", F.col("window_start").cast("timestamp_ntz")), window)
+        e = e.select(F.lit(window).alias("window_size"), F.col("window_start").cast("timestamp_ntz").alias("window_start"), "path", "percentile", "n_requests",
+                     (F.col("rank_error") <= R.RANK_ERROR).alias("within_bound"))
+        out = e if out is None else out.unionByName(e)
+    return out

@@ -4,8 +4,10 @@ Every function takes a DataFrame that may be static or streaming and
 returns the same query; on a stream the caller adds a watermark (event time
 must be TIMESTAMP, not TIMESTAMP_NTZ) and runs it in append mode, so only
 closed windows are emitted. Batch runs give exact percentiles from counted
-values; streams use ``percentile_approx`` at accuracy 10,000, whose state is
-bounded, so their percentiles are within one part in 10,000 of the rank.
+values; streams keep a KLL sketch per window and path, whose state is bounded
+and which merges: hourly sketches give the percentiles of a day or of all paths
+without the requests. With ``SKETCH_K`` = 800 the rank of a returned value is
+within ``RANK_ERROR`` of the asked one with 99 % confidence.
 """
 
 from __future__ import annotations
@@ -24,32 +26,74 @@ def with_event_time(df: DataFrame, ts: str = "ts", delay: str | None = None) ->
     return out.withWatermark(ts, delay) if delay else out
 
 
+#: Size parameter of a latency sketch, and the rank error it is good for.
+SKETCH_K, RANK_ERROR = 800, 0.01
+PERCENTILES = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+
+
+def _request_counts() -> list:
+    st = F.col("status")
+    return [F.count(F.lit(1)).alias("n_requests"),
+            F.count_if((st >= 400) & (st < 500)).alias("n_4xx"),
+            F.count_if(st >= 500).alias("n_5xx")]
+
+
+def latency_sketches(log: DataFrame, window: str = "1 hour", ts: str = "ts", k: int = SKETCH_K) -> DataFrame:
+    """(window_start, window_end, path, n_requests, n_4xx, n_5xx, sketch): what an hour keeps of its requests."""
+    g = log.groupBy(F.window(ts, window).alias("w"), "path").agg(
+        *_request_counts(), F.kll_sketch_agg_double(F.col("latency_ms").cast("double"), F.lit(k)).alias("sketch"))
+    return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "path", "n_requests", "n_4xx", "n_5xx", "sketch")
+
+
+def merge_sketches(sketches: DataFrame, window: str = "1 day", keys: tuple[str, ...] = ("path",)) -> DataFrame:
+    """Sketch rows merged to longer windows (or fewer ``keys``): counts add up, sketches merge."""
+    g = sketches.groupBy(F.window("window_start", window).alias("w"), *keys).agg(
+        *[F.sum(c).alias(c) for c in ("n_requests", "n_4xx", "n_5xx")], F.kll_merge_agg_double("sketch").alias("sketch"))
+    return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys, "n_requests", "n_4xx", "n_5xx", "sketch")
+
+
+def with_percentiles(sketches: DataFrame) -> DataFrame:
+    """Rates and p50 / p95 / p99 of sketch rows; null where no request has a latency."""
+    some = F.kll_sketch_get_n_double("sketch") > 0
+    return sketches.select(
+        *[c for c in sketches.columns if c != "sketch"],
+        r6(F.col("n_4xx") / F.col("n_requests")).alias("rate_4xx"), r6(F.col("n_5xx") / F.col("n_requests")).alias("rate_5xx"),
+        *[r6(F.when(some, F.kll_sketch_get_quantile_double("sketch", F.lit(p)))).alias(f"{name}_latency_ms") for name, p in PERCENTILES.items()])
+
+
 def request_metrics(log: DataFrame, window: str = "1 hour", ts: str = "ts", exact: bool | None = None) -> DataFrame:
     """Per path and tumbling window: requests, 4xx / 5xx counts and rates,
     p50 / p95 / p99 latency."""
     exact = (not log.isStreaming) if exact is None else exact
-    probs = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
-    st = F.col("status")
-    counts = [F.count(F.lit(1)).alias("n_requests"),
-              F.count_if((st >= 400) & (st < 500)).alias("n_4xx"),
-              F.count_if(st >= 500).alias("n_5xx")]
+    if not exact:
+        return with_percentiles(latency_sketches(log, window, ts))
     w = F.window(ts, window).alias("w")
-    if exact:
-        n = log.groupBy(w, "path", "latency_ms").agg(F.count(F.lit(1)).alias("n"))
-        q = exact_quantiles(n, ["w", "path"], probs, value="latency_ms")
-        q = q.select(F.struct("w", "path").alias("__k"), *probs)
-        g = log.groupBy(w, "path").agg(*counts).withColumn("__k", F.struct("w", "path"))
-        g = g.join(q, "__k", "left")
-    else:
-        three = F.percentile_approx("latency_ms", list(probs.values()), 10000).alias("q")
-        g = log.groupBy(w, "path").agg(*counts, three)
-        g = g.select("*", *[F.col("q")[i].cast("double").alias(p) for i, p in enumerate(probs)])
+    n = log.groupBy(w, "path", "latency_ms").agg(F.count(F.lit(1)).alias("n"))
+    q = exact_quantiles(n, ["w", "path"], PERCENTILES, value="latency_ms")
+    q = q.select(F.struct("w", "path").alias("__k"), *PERCENTILES)
+    g = log.groupBy(w, "path").agg(*_request_counts()).withColumn("__k", F.struct("w", "path"))
+    g = g.join(q, "__k", "left")
     return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "path",
                     "n_requests", "n_4xx", "n_5xx",
                     r6(F.col("n_4xx") / F.col("n_requests")).alias("rate_4xx"),
                     r6(F.col("n_5xx") / F.col("n_requests")).alias("rate_5xx"),
-                    r6(F.col("p50")).alias("p50_latency_ms"), r6(F.col("p95")).alias("p95_latency_ms"),
-                    r6(F.col("p99")).alias("p99_latency_ms"))
+                    *[r6(F.col(p)).alias(f"{p}_latency_ms") for p in PERCENTILES])
+
+
+def rank_errors(log: DataFrame, estimates: DataFrame, window: str, ts: str = "ts") -> DataFrame:
+    """(window_start, path, percentile, n_requests, rank_error): how far the rank of each
+    estimated latency is from the asked one, by the requests themselves.
+
+    A value that stands for several ranks is off by its nearest one."""
+    asked = F.array(*[F.struct(F.lit(name).alias("percentile"), F.lit(p).alias("p"), F.col(f"{name}_latency_ms").alias("v")) for name, p in PERCENTILES.items()])
+    e = estimates.select(F.col("window_start").alias("e_start"), F.col("path").alias("e_path"), F.inline(asked))
+    at = log.where(F.col("latency_ms").isNotNull()).groupBy(F.window(ts, window)["start"].alias("window_start"), "path", "latency_ms").agg(F.count(F.lit(1)).alias("n"))
+    j = at.join(e, (F.col("window_start") == F.col("e_start")) & F.col("path").eqNullSafe(F.col("e_path")))
+    g = j.groupBy("window_start", "path", "percentile", "p").agg(
+        F.sum("n").alias("n_requests"), F.sum(F.when(F.col("latency_ms") < F.col("v"), F.col("n")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("latency_ms") <= F.col("v"), F.col("n")).otherwise(0)).alias("upto"))
+    low, high = F.col("below") / F.col("n_requests"), F.col("upto") / F.col("n_requests")
+    return g.select("window_start", "path", "percentile", "n_requests", F.greatest(low - F.col("p"), F.col("p") - high, F.lit(0.0)).alias("rank_error"))
 
 
 def _limits(spark, limits=S.RATE_LIMITS) -> DataFrame:

@@ -1,54 +1,78 @@
-"""Drive the streaming jobs to completion on file sources.
+"""Replay finished tables as streams, one micro-batch per range of event time.
 
-Input rows are landed as Parquet files in the shared checkpoint folder (in
-event-time order when the job has a watermark, so no row arrives behind it),
-read back with ``readStream`` one file per trigger, and processed with
-``trigger(availableNow=True)``. The sinks are read back as tables.
+A table is range-partitioned by its event time once, into ranges of about
+``SLICE_ROWS`` rows (a busy hour is many ranges), and written below the shared
+checkpoint folder. Each range is then landed in the stream's source folder and
+the query is run on it with ``trigger(availableNow=True)``, from the checkpoint
+of the run before: no row arrives behind the watermark, and every range is also
+a restart. The sinks are read back as tables.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from consult.session import scratch_path
 from consult.streaming.monitor import request_metrics, with_event_time
 from consult.streaming.scoring import REQUEST_SCHEMA, read_request_stream, start_scoring_stream
 
+#: Rows of one range, and the least number of ranges of a replay.
+SLICE_ROWS, LEAST_SLICES = 500_000, 4
+
 
 def _dir(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:10]}")
 
 
-def land_in_time_order(df: DataFrame, path: str, ts: str = "ts", slice_rows: int = 500_000) -> None:
-    """Write ``df`` as consecutive event-time ranges of about ``slice_rows`` rows, one file and
-    write each, so file order follows event time and no row comes late. Rows without a time go
-    with the first. Two last files repeat one row at a time far beyond the rest: the time of the
-    one closes every window when the other is read, and their own window never closes."""
+def slice_count(df: DataFrame) -> int:
+    return max(LEAST_SLICES, -(-df.count() // SLICE_ROWS))
+
+
+def time_slices(df: DataFrame, path: str, ts: str = "ts") -> list[DataFrame]:
+    """``df`` in consecutive ranges of ``ts`` (rows without a time first), one task and one folder each.
+
+    Equal times are never in two ranges."""
+    n, schema = slice_count(df), StructType([*df.schema.fields, StructField("__slice", IntegerType())])
     t = F.col(ts).cast("timestamp")
-    span = df.agg(F.min(t).cast("long").alias("lo"), F.max(t).cast("long").alias("hi"), F.count("*").alias("n")).first()
-    lo, hi = int(span["lo"] or 0), int(span["hi"] or 0) + 1
-    slices = max(4, -(-span["n"] // slice_rows))
-    step = max((hi - lo + slices - 1) // slices, 1)
-    nth = F.coalesce(F.floor((t.cast("long") - lo) / step), F.lit(0))
-    for i in range(slices):
-        df.where(nth == i).coalesce(1).write.mode("append").parquet(path)
-    end = F.timestamp_seconds(F.lit(hi + 400 * 86400)).cast(df.schema[ts].dataType)
-    one = df.where(F.col(ts).isNotNull()).limit(1).withColumn(ts, end)
-    for _ in range(2):
-        one.write.mode("append").parquet(path)
+    df.repartitionByRange(n, t.asc_nulls_first()).withColumn("__slice", F.spark_partition_id()).write.partitionBy("__slice").parquet(path)
+    kept = df.sparkSession.read.schema(schema).parquet(path)
+    return [kept.where(F.col("__slice") == i).drop("__slice") for i in range(n)]
+
+
+def _closing(df: DataFrame, ts: str) -> list[DataFrame]:
+    """Twice a row with a time far beyond the rest: the time of the one closes every
+    window when the other is read, and their own window never closes."""
+    end = df.agg(F.timestamp_seconds(F.max(F.col(ts).cast("timestamp")).cast("long") + 400 * 86400)).first()[0]
+    one = df.where(F.col(ts).isNotNull()).limit(1).withColumn(ts, F.lit(end).cast(df.schema[ts].dataType))
+    return [one, one]
+
+
+def replay(spark: SparkSession, slices: list[DataFrame], source: str, start: Callable[[], StreamingQuery]) -> None:
+    """Land the slices in ``source`` one after the other, and run the query on each to its end."""
+    for s in slices:
+        s.write.mode("append").parquet(source)
+        start().awaitTermination()
+
+
+def _to_parquet(df: DataFrame, out: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
+    return (df.writeStream.outputMode(mode).format("parquet").option("path", out)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
 def run_scoring_stream(spark: SparkSession, requests: DataFrame, model: PipelineModel, kind: str,
-                       model_used: str, files: int = 4) -> DataFrame:
+                       model_used: str) -> DataFrame:
     """Every request once: scored, or rejected (``accepted`` false) with its messages."""
     base = _dir(spark, "stream-scoring")
     src, out, rej, ckpt = (f"{base}/{p}" for p in ("source", "scored", "rejected", "_checkpoint"))
     requests.select(*[F.col(f.name).cast(f.dataType) for f in REQUEST_SCHEMA.fields]) \
-        .repartition(files).write.parquet(src)
+        .repartition(slice_count(requests)).write.parquet(src)
     q = start_scoring_stream(read_request_stream(spark, src, max_files=1), model, kind, model_used,
                              out, rej, ckpt, available_now=True)
     q.awaitTermination()
@@ -59,33 +83,36 @@ def run_scoring_stream(spark: SparkSession, requests: DataFrame, model: Pipeline
 
 def run_metrics_stream(spark: SparkSession, log: DataFrame, window: str = "1 hour",
                        delay: str = "1 hour") -> DataFrame:
-    base = _dir(spark, "stream-metrics")
-    src, out, ckpt = (f"{base}/{p}" for p in ("source", "metrics", "_checkpoint"))
-    land_in_time_order(log, src)
-    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    agg = request_metrics(with_event_time(stream, "ts", delay), window, exact=False)
-    q = (agg.writeStream.outputMode("append").format("parquet").option("path", out)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(out)
+    return run_stream(spark, log, lambda s: request_metrics(s, window, exact=False), delay=delay, name="stream-metrics")
 
 
 def run_stream(spark: SparkSession, df: DataFrame, fn, ts: str | None = "ts", delay: str | None = None,
                name: str = "stream", mode: str = "append") -> DataFrame:
-    """Land ``df`` (in event-time order when ``ts`` is given), read it back as
-    a stream, apply ``fn`` (a batch/stream-agnostic operator), write the
-    result to a Parquet sink with availableNow, and return the sink table.
-    With ``delay`` the event time gets a watermark, as stateful windows need."""
+    """Replay ``df`` (in event-time order when ``ts`` is given), apply ``fn`` (a
+    batch/stream-agnostic operator), write the result to a Parquet sink, and
+    return the sink table. With ``delay`` the event time gets a watermark, as
+    stateful windows need, and every window is closed at the end."""
     base = _dir(spark, name)
     src, out, ckpt = (f"{base}/{p}" for p in ("source", "out", "_checkpoint"))
-    if ts:
-        land_in_time_order(df, src, ts)
-    else:
-        df.write.parquet(src)
-    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    if ts:
-        stream = with_event_time(stream, ts, delay)
-    q = (fn(stream).writeStream.outputMode(mode).format("parquet").option("path", out)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
+    slices = [df] if ts is None else time_slices(df, f"{base}/slices", ts)
+    if delay:
+        slices += _closing(df, ts)
+
+    def start() -> StreamingQuery:
+        stream = spark.readStream.schema(df.schema).parquet(src)
+        if ts:
+            stream = with_event_time(stream, ts, delay)
+        return _to_parquet(fn(stream), out, ckpt, mode)
+    replay(spark, slices, src, start)
+    return spark.read.parquet(out)
+
+
+def run_numbering_stream(spark: SparkSession, df: DataFrame, key: str, date: str) -> DataFrame:
+    """F2 on a stream: ``df`` replayed in the order of ``date``, with its consultation numbers."""
+    from consult.streaming.numbering import number_consultations, state_store
+    base = _dir(spark, "stream-numbers")
+    src, out, ckpt = (f"{base}/{p}" for p in ("source", "out", "_checkpoint"))
+    with state_store(spark):
+        replay(spark, time_slices(df, f"{base}/slices", date), src,
+               lambda: _to_parquet(number_consultations(spark.readStream.schema(df.schema).parquet(src), key, date), out, ckpt))
     return spark.read.parquet(out)
