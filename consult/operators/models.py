@@ -8,13 +8,16 @@ metric of ``metrics.auc_roc``, not a binned one.
 
 from __future__ import annotations
 
+import itertools
 import time
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,8 +53,8 @@ def make_learner(name: str, n_train: int, seed: int = S.SEED, **params):
     """Reference hyperparameters in Spark terms; ``params`` override them.
 
     Logistic: the sum of log losses plus half the squared weights (C = 1), the
-    intercept's included: a constant feature instead of an intercept, and
-    regParam = 1 / n on the mean loss. Forest: 100 trees, depth 10, at least 2
+    intercept's included: a constant feature instead of an intercept (fitted on
+    ``mirrored`` rows), and regParam = 1 / n on the mean loss. Forest: 100 trees, depth 10, at least 2
     rows per leaf, sqrt features. Boosted: 100 rounds, depth 6, step 0.1, log
     loss; node ids are not cached (shallow trees: the cache costs more than it
     saves; the deep forest does cache them), and the per-round lineage is
@@ -60,7 +63,7 @@ def make_learner(name: str, n_train: int, seed: int = S.SEED, **params):
     if name == "logistic_regression":
         return LogisticRegression(**{**dict(
             featuresCol="features", labelCol="label", weightCol="weight", regParam=1.0 / max(n_train, 1), elasticNetParam=0.0,
-            standardization=False, fitIntercept=False, maxIter=1000, tol=1e-9), **params})
+            standardization=False, fitIntercept=False, maxIter=1000, tol=1e-8), **params})
     if name == "random_forest":
         return RandomForestClassifier(**{**dict(
             featuresCol="features", labelCol="label", numTrees=100, maxDepth=10, minInstancesPerNode=2, featureSubsetStrategy="sqrt",
@@ -91,6 +94,21 @@ def count_rows(rows: DataFrame, feature_set: str, keep: tuple[str, ...] = ()) ->
     return counted.coalesce(max(1, -(-distinct // COUNTED_ROWS))), int(n or 0), counted
 
 
+def mirrored(counted: DataFrame, feature_set: str) -> DataFrame:
+    """Every row twice: as it is, and with all features negated and the other label.
+
+    Both have the same logistic loss, so the mean loss stays as it is, and the
+    constant feature varies: Spark gives a feature without variance no weight."""
+    s = F.col("__sign")
+    both = counted.select("*", F.explode(F.array(F.lit(1.0), F.lit(-1.0))).alias("__sign"))
+    changed = {c: F.col(c) * s for c in [*FEATURE_SETS[feature_set], BIAS]} | {"label": F.when(s < 0, 1.0 - F.col("label")).otherwise(F.col("label"))}
+    return both.select(*[changed.get(c, F.col(c)).alias(c) for c in counted.columns])
+
+
+def _training_rows(counted: DataFrame, learner: str, feature_set: str) -> DataFrame:
+    return mirrored(counted, feature_set) if learner == "logistic_regression" else counted
+
+
 def _assembler(feature_set: str, learner: str, invalid: str = "skip") -> VectorAssembler:
     cols = FEATURE_SETS[feature_set] + ([BIAS] if learner == "logistic_regression" else [])
     return VectorAssembler(inputCols=cols, outputCol="features", handleInvalid=invalid)
@@ -117,7 +135,7 @@ def fit(df: DataFrame, learner: str, feature_set: str, label: str = S.LABEL,
         return Pipeline(stages=[_assembler(feature_set, learner), make_learner(learner, 0, **params)]).fit(rows)
     counted, n, held = count_rows(rows, feature_set)
     try:
-        return Pipeline(stages=[_assembler(feature_set, learner), make_learner(learner, n_train or n, **params)]).fit(counted)
+        return Pipeline(stages=[_assembler(feature_set, learner), make_learner(learner, n_train or n, **params)]).fit(_training_rows(counted, learner, feature_set))
     finally:
         held.unpersist()
 
@@ -154,7 +172,7 @@ def cross_validate(df: DataFrame, learner: str, feature_set: str, folds_col: str
         held = F.col(folds_col) == f
         part = rows.where(~held) if forest else counted.where(~held)
         n = 0 if forest else int(part.agg(F.sum("weight")).first()[0] or 0)
-        m = Pipeline(stages=[_assembler(feature_set, learner), make_learner(learner, n)]).fit(part)
+        m = Pipeline(stages=[_assembler(feature_set, learner), make_learner(learner, n)]).fit(part if forest else _training_rows(part, learner, feature_set))
         return predict(m, counted.where(held), feature_set).select(F.col(folds_col).cast("int").alias("fold"), "label", "weight", "score")
 
     if parallelism > 1:
@@ -172,6 +190,69 @@ def cross_validate(df: DataFrame, learner: str, feature_set: str, folds_col: str
     return spark.createDataFrame([(f, found.get(f)) for f in range(k)], "fold int, auc double")
 
 
+class ExactAUC(Evaluator):
+    """Area under the ROC curve by the exact distributed metric, over weighted rows."""
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        # Mirrored rows have a negative constant; they take part in fits only.
+        scored = dataset.where(F.col(BIAS) > 0).select("label", "weight", vector_to_array("probability")[1].alias("score"))
+        auc = auc_roc(scored, weight="weight").first()["auc_roc"]
+        return float("nan") if auc is None else float(auc)
+
+    def isLargerBetter(self) -> bool:  # noqa: N802 - the interface's name
+        return True
+
+
+def grid_candidates(grid: dict[str, list]) -> list[dict]:
+    """Every combination of the grid's values, the last name varying fastest."""
+    return [dict(zip(grid, values, strict=True)) for values in itertools.product(*grid.values())]
+
+
+def grid_search(df: DataFrame, learner: str, feature_set: str, grid: dict[str, list], folds_col: str = "fold",
+                k: int = S.N_FOLDS, label: str = S.LABEL, parallelism: int = 8, **params) -> tuple[PipelineModel, DataFrame]:
+    """Best model, and (candidate, params, mean_auc, std_auc, best) of every candidate.
+
+    ``grid`` maps the learner's parameters to values, ``params`` fixes others. All candidates are fitted
+    on one table of rows counted by (features, label, fold) and compared by their
+    exact AUC on the held-out folds of ``folds_col``; the best (ties: the first)
+    is fitted on all rows. The forest bags single rows, so it reads them."""
+    spark = df.sparkSession
+    rows = complete_rows(df, feature_set, label, (folds_col,))
+    if learner == "random_forest":
+        table, n, held = rows.withColumn("weight", F.lit(1.0)).persist(), 0, None
+    else:
+        table, n, held = count_rows(rows, feature_set, (folds_col,))
+    estimator = make_learner(learner, n, **params)
+    candidates = grid_candidates(grid)
+    maps = [{estimator.getParam(p): v for p, v in c.items()} for c in candidates]
+    search = CrossValidator(estimator=Pipeline(stages=[_assembler(feature_set, learner), estimator]), estimatorParamMaps=maps, evaluator=ExactAUC(),
+                            numFolds=k, foldCol=folds_col, parallelism=parallelism, seed=S.SEED)
+    try:
+        found = search.fit(_training_rows(table, learner, feature_set))
+    finally:
+        (held if held is not None else table).unpersist()
+    top = max(range(len(maps)), key=lambda i: found.avgMetrics[i])
+    out = [(i, {p: str(v) for p, v in c.items()}, float(found.avgMetrics[i]), float(found.stdMetrics[i]), i == top) for i, c in enumerate(candidates)]
+    return found.bestModel, spark.createDataFrame(out, "candidate int, params map<string,string>, mean_auc double, std_auc double, best boolean")
+
+
+def logistic_gradient(model: PipelineModel, df: DataFrame, feature_set: str, label: str = S.LABEL, c: float = 1.0) -> DataFrame:
+    """(coordinate, n_rows, gradient, scale): the gradient of C * sum of log losses + half
+    the squared weights at the fitted weights, summed over all complete rows; ``scale`` is the
+    sum of |x| of the coordinate. At the optimum every gradient is 0."""
+    cols = [*FEATURE_SETS[feature_set], BIAS]
+    beta = [float(b) for b in model.stages[-1].coefficients.toArray()]
+    rows = complete_rows(df, feature_set, label).groupBy(*cols, "label").agg(F.count(F.lit(1)).alias("n"))
+    margin = sum((F.col(x) * b for x, b in zip(cols, beta, strict=True)), F.lit(0.0))
+    off = F.col("n") * (F.lit(1.0) / (F.lit(1.0) + F.exp(-margin)) - F.col("label"))
+    one = rows.agg(F.sum("n").alias("n_rows"), *[F.sum(off * F.col(x)).alias(f"g_{i}") for i, x in enumerate(cols)],
+                   *[F.sum(F.col("n") * F.abs(F.col(x))).alias(f"s_{i}") for i, x in enumerate(cols)])
+    named = ["intercept" if x == BIAS else x for x in cols]
+    parts = [F.struct(F.lit(x).alias("coordinate"), (F.lit(c) * F.col(f"g_{i}") + b).alias("gradient"), F.col(f"s_{i}").alias("scale"))
+             for i, (x, b) in enumerate(zip(named, beta, strict=True))]
+    return one.select("n_rows", F.inline(F.array(*parts))).select("coordinate", "n_rows", "gradient", "scale")
+
+
 def cv_summary(cv: DataFrame) -> DataFrame:
     """Mean and population std of the fold AUCs."""
     return cv.agg(r6(F.avg("auc")).alias("cv_mean"), r6(F.stddev_pop("auc")).alias("cv_std"),
@@ -262,12 +343,14 @@ class ModelNotFound(LookupError):
 
 
 def save_model(model: PipelineModel, root: str, learner: str, feature_set: str, run_id: str,
-               summary_row: dict | None = None) -> str:
-    """Pipeline under <root>/<run_id>/<learner>_<set>, with its registry row."""
+               summary_row: dict | None = None, spark: SparkSession | None = None) -> str:
+    """Pipeline under <root>/<run_id>/<learner>_<set>, with its registry row.
+
+    A caller in a thread of its own passes its session."""
     path = f"{root.rstrip('/')}/{run_id}/{learner}_{feature_set}"
     model.write().overwrite().save(path)
     row = {"importances": importances(model, feature_set), **(summary_row or {})}
-    register_model(SparkSession.getActiveSession(), root, learner, feature_set, run_id, row)
+    register_model(spark or SparkSession.active(), root, learner, feature_set, run_id, row)
     return path
 
 

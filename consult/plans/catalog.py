@@ -1341,7 +1341,7 @@ def fitted(spark, d, learner, fs):
         rows = model_data(spark, d)[f"{fs}_train"]
         t0 = time.time()
         model = M.fit(rows, learner, fs)
-        M.save_model(model, root, learner, fs, RUN_ID, {"fit_seconds": time.time() - t0})
+        M.save_model(model, root, learner, fs, RUN_ID, {"fit_seconds": time.time() - t0}, spark)
         return model
 
 
@@ -1697,3 +1697,4 @@ def q_row_accounting(spark, d):
 
 # Queries over a patient's row order, model quality and drift register themselves.
 from consult.plans import longitudinal as _longitudinal  # noqa: E402, F401
+from consult.plans import quality_of_models as _quality_of_models  # noqa: E402, F401

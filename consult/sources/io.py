@@ -23,20 +23,24 @@ def conform(df: DataFrame, schema: T.StructType = S.CONSULTATION_SCHEMA) -> Data
 
 
 def read_consultations(spark: SparkSession, path: str, fmt: str = "parquet",
-                       schema: T.StructType | None = None, **options) -> DataFrame:
-    """Load the raw table with an explicit schema (no inference). CSV and
-    JSON read PERMISSIVE: a malformed line becomes nulls, not a failure.
+                       schema: T.StructType | None = None, rejects: str | None = None, **options) -> DataFrame:
+    """Load the raw table with an explicit schema (no inference).
+
+    No malformed CSV or JSON line becomes nulls unseen: the read fails at the
+    first one, or, with ``rejects``, such lines are written there (JSON lines of
+    text and file, see ``read_with_rejects``) and the others are returned.
     Parquet input is conformed to the schema after the read."""
     if fmt == "parquet":
         df = spark.read.options(**options).parquet(path)
         return conform(df, schema) if schema is not None else df
-    sch = schema or S.RAW_SCHEMA
-    r = spark.read.schema(sch).options(mode="PERMISSIVE", **options)
-    if fmt == "csv":
-        return r.option("header", options.get("header", "true")).csv(path)
-    if fmt == "json":
-        return r.json(path)
-    raise ValueError(f"unsupported format {fmt}; land workbooks as Parquet or CSV first")
+    if fmt not in ("csv", "json"):
+        raise ValueError(f"unsupported format {fmt}; land workbooks as Parquet or CSV first")
+    if rejects is not None:
+        rows, bad = read_with_rejects(spark, path, fmt, schema or S.RAW_SCHEMA, **options)
+        bad.write.mode("append").json(rejects)
+        return rows
+    r = spark.read.schema(schema or S.RAW_SCHEMA).options(**{"header": "true", **options, "mode": "FAILFAST"})
+    return r.format(fmt).load(path)
 
 
 #: Column that holds a malformed line of a text read.
@@ -80,10 +84,15 @@ def write_stage(df: DataFrame, path: str, run_id: str, fmt: str = "parquet",
         w.parquet(path)
 
 
-def latest_run(df: DataFrame, col: str = "run_id") -> DataFrame:
-    """Rows of the newest run (scalar subquery on the partition column)."""
-    newest = df.agg(F.max(col)).scalar()
-    return df.where(F.col(col) == newest)
+def _listing(spark: SparkSession, path: str) -> DataFrame:
+    """Path and time of the files at ``path``, from the listing alone: no content is read."""
+    return spark.read.format("binaryFile").load(path).select("path", "modificationTime")
+
+
+def newest_run(spark: SparkSession, path: str) -> str | None:
+    """The greatest run id of a stage, by its folders."""
+    runs = _listing(spark, path).select(F.regexp_extract("path", "/run_id=([^/]*)/", 1).alias("r")).where("r <> ''")
+    return runs.agg(F.max("r")).first()[0]
 
 
 def read_stage(spark: SparkSession, path: str, run_id: str | None = None, fmt: str = "parquet",
@@ -98,20 +107,19 @@ def read_stage(spark: SparkSession, path: str, run_id: str | None = None, fmt: s
         df = spark.read.schema(full).options(mode="FAILFAST", header="true").format(fmt).load(path)
     # Partition discovery may type "20250612" as a number; run ids are text.
     df = df.withColumn("run_id", F.col("run_id").cast("string"))
-    return df.where(F.col("run_id") == run_id) if run_id else latest_run(df)
+    return df.where(F.col("run_id") == (run_id or newest_run(spark, path)))
 
 
 def latest_file_snapshot(spark: SparkSession, path_glob: str, fmt: str = "csv",
                          schema: T.StructType | None = None) -> DataFrame:
-    """For raw file drops: rows of the newest drop, that is of all files in the
-    folder of the most recently modified file matching the glob (file metadata
-    column, no driver-side listing loop)."""
-    r = spark.read.schema(schema or S.RAW_SCHEMA)
-    df = (r.option("header", "true").csv(path_glob) if fmt == "csv" else r.format(fmt).load(path_glob))
-    df = df.select("*", F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("__f"),
-                   F.col("_metadata.file_modification_time").alias("__t"))
-    newest = df.agg(F.max_by("__f", "__t")).scalar()
-    return df.where(F.col("__f") == newest).drop("__f", "__t")
+    """For raw file drops: rows of the newest drop, that is of all files matching
+    the glob in the folder of the most recently modified one. The folder comes
+    from the file listing, and no other folder is read."""
+    newest = _listing(spark, path_glob).agg(F.max_by(F.regexp_replace("path", "/[^/]*$", ""), "modificationTime")).first()[0]
+    r = spark.read.schema(schema or S.RAW_SCHEMA).options(**({"header": "true"} if fmt == "csv" else {}))
+    if newest is None:
+        return r.format(fmt).load(path_glob)
+    return r.format(fmt).load(f"{newest}/{path_glob.rsplit('/', 1)[1]}")
 
 
 def write_report(report: DataFrame, path: str, mode: str = "overwrite") -> None:

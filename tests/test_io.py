@@ -86,3 +86,22 @@ def test_newest_drop_is_whole(spark, tmp_path):
     raw.repartition(4).write.option("header", "true").csv(str(tmp_path / "drop" / "a"))
     got = IO.latest_file_snapshot(spark, str(tmp_path / "drop" / "*" / "*.csv"))
     assert got.count() == raw.count()
+
+
+def test_malformed_lines_are_never_rows_of_nulls(spark, tmp_path):
+    import pytest
+    p = tmp_path / "in.json"
+    p.write_text('{"accident_number": "P1", "nbe": "1"}\n{"accident_number": "P2", nbe\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        IO.read_consultations(spark, str(p), fmt="json").collect()
+    rows = IO.read_consultations(spark, str(p), fmt="json", rejects=str(tmp_path / "bad"))
+    assert [r.accident_number for r in rows.collect()] == ["P1"]
+    assert "P2" in spark.read.json(str(tmp_path / "bad")).first()["line"]
+
+
+def test_newest_run_by_its_folder(spark, tmp_path):
+    c = IO.conform(FX.consultations(spark, SF_SMALL))
+    for run, n in (("20250101", 5), ("20250612", 7)):
+        IO.write_stage(c.limit(n), str(tmp_path / "s"), run)
+    assert IO.newest_run(spark, str(tmp_path / "s")) == "20250612" and IO.read_stage(spark, str(tmp_path / "s")).count() == 7
+    assert IO.read_stage(spark, str(tmp_path / "s"), "20250101").count() == 5
