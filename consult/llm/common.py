@@ -58,6 +58,14 @@ def text_or_empty(col: str | Column) -> Column:
     return F.coalesce((F.col(col) if isinstance(col, str) else col).cast("string"), F.lit(""))
 
 
+def numbered_copies(df: DataFrame, copies: str, nth: str) -> DataFrame:
+    """Each row ``copies`` times, numbered from 1 in ``nth``; in two steps, so that no array grows with the copies."""
+    block, part = 1 << 16, f"{nth}_part"
+    parts = df.withColumn(part, F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(copies) - 1) / block))))
+    rest = F.least(F.lit(block).cast("long"), F.col(copies) - F.col(part) * block)
+    return parts.withColumn(nth, F.explode(F.sequence(F.lit(1).cast("long"), rest))).withColumn(nth, F.col(part) * block + F.col(nth)).drop(part)
+
+
 def keep_rows(docs: DataFrame, kept: DataFrame, on: dict[str, str], copies: str) -> DataFrame:
     """The rows of ``docs`` that ``kept`` names, one of each set of repeated rows.
 

@@ -1,16 +1,18 @@
 """Exact duplicates through an extendible-hash index on shared files (operator 9, DataFrame functions only).
 
-1. Every row becomes an index entry (64-bit key, length, SHA-256, id), written
-   to shared files; repeated rows collapse before the shuffle.
-2. The directory starts at the depth that the number of keys calls for. While
-   a bucket holds more than ``bucket_keys`` distinct keys the directory
+1. Rows collapse to one entry per distinct text: 64-bit key, length, SHA-256,
+   the largest id and the number of rows. Texts are compared whole, byte by
+   byte, by grouping on them; copies collapse before the shuffle, so a popular
+   text costs one row a task.
+2. The directory starts one level short of what the number of keys calls for.
+   While a bucket holds more than ``bucket_keys`` distinct keys the directory
    doubles, and only the overfull buckets are split by the next bit. Copies of
    one text share a key and never force a split.
-3. Entries find their bucket through the directory. Owners take contiguous
-   ranges of buckets and chain the entries of a key.
-4. Keys with more than one row have their texts compared byte by byte: the
-   texts are grouped as whole values, copies collapsing before the shuffle;
-   the lookup of the texts is salted, so one hot key is spread over tasks.
+3. Entries find their bucket through the directory. Owner tasks take contiguous
+   ranges of (bucket, key) and chain the entries of a key: entries of one chain
+   have the same hash and different texts. The index is written to shared files.
+4. Rows look up the chains that stand for more than one row, by key and digest;
+   the lookup is salted, so the rows of one hot text are spread over tasks.
 
 Defined results: a null text counts as empty; of equal texts the row with the
 largest id stays (a null id is smaller than any other); among rows that repeat
@@ -25,11 +27,11 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from consult.llm.common import fresh, keep_rows, stage, text_or_empty
+from consult.llm.common import fresh, keep_rows, numbered_copies, stage, text_or_empty
 
 #: Distinct keys that a bucket of the directory may hold.
-BUCKET_KEYS = 100_000
-#: Parts into which the text lookup of each key is spread.
+BUCKET_KEYS = 16_384
+#: Parts into which the lookup of each key is spread.
 SALTS = 16
 
 
@@ -43,7 +45,7 @@ def grow_directory(keys: DataFrame, bucket_keys: int = BUCKET_KEYS) -> tuple[Dat
 
     ``depth`` is a bucket's local depth; all slots that share its prefix point to it.
     """
-    depth = max(0, math.ceil(math.log2(max(1, keys.count() / bucket_keys))))
+    depth = max(0, math.floor(math.log2(max(1, keys.count() / bucket_keys))))
     left, leaves = keys, []
     while True:
         sizes = stage(left.groupBy(_prefix(depth).alias("prefix")).agg(F.count("*").alias("n_keys")), "directory")
@@ -63,28 +65,30 @@ def grow_directory(keys: DataFrame, bucket_keys: int = BUCKET_KEYS) -> tuple[Dat
     return stage(out, "directory"), depth
 
 
+def build_index(rows: DataFrame, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
+    """The index of ``rows`` (id, t, key): (bucket, key, chain), a chain entry for each distinct text of the key."""
+    equal = rows.groupBy("key", "t").agg(F.max("id").alias("keep"), F.count("*").alias("n"))
+    entries = stage(equal.select("key", F.octet_length("t").alias("bytes"), F.sha2("t", 256).alias("sha"), "keep", "n"), "entries")
+    directory, depth = grow_directory(stage(entries.select("key").distinct(), "keys"), bucket_keys)
+    placed = entries.join(directory.select("slot", "bucket"), _prefix(depth) == F.col("slot")).select("bucket", "key", "bytes", "sha", "keep", "n")
+    # A range of (bucket, key) is an owner task; grouping by both needs no other exchange.
+    owned = placed.repartitionByRange(F.col("bucket"), F.col("key"))
+    return stage(owned.groupBy("bucket", "key").agg(F.array_sort(F.collect_list(F.struct("bytes", "sha", "keep", "n"))).alias("chain")), "index")
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_keys: int = BUCKET_KEYS) -> DataFrame:
     """One row per input row: id, keep_id, group_size, kept, text_sha256, bucket, copies.
 
-    ``copies`` counts the rows that share id and text.
+    ``copies`` counts the rows that share id and text; ``bucket`` is null for a text that is there once.
     """
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("t"))
     rows = rows.select("id", "t", F.xxhash64("t").alias("key"))
-    entries = rows.groupBy("key", F.octet_length("t").alias("bytes"), F.sha2("t", 256).alias("sha"), "id").agg(F.count("*").alias("copies"))
-    entries = stage(entries, "entries")
-    keys = stage(entries.groupBy("key").agg(F.sum("copies").alias("rows")), "keys")
-    directory, depth = grow_directory(keys.select("key"), bucket_keys)
-    index = keys.join(directory.select("slot", "bucket"), _prefix(depth) == F.col("slot")).select("bucket", "key", "rows")
-    owned = stage(index.repartitionByRange(F.col("bucket"), F.col("key")).sortWithinPartitions("bucket", "key"), "index")
-
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    chained = owned.where("rows > 1").select("key", "bucket", salts)
-    looked = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(chained, ["key", "salt"])
-    equal = looked.groupBy("key", "bucket", "t").agg(F.max("id").alias("keep"), F.count("*").alias("n"))
-    groups = equal.where("n > 1").select("key", "bucket", F.sha2("t", 256).alias("sha"), "keep", "n")
-
-    found = entries.join(groups, ["key", "sha"], "left")
-    found = found.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    index = build_index(rows, bucket_keys)
+    groups = index.select("bucket", "key", F.inline("chain")).where("n > 1")
+    groups = groups.select("bucket", "key", "sha", "keep", "n", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    own = rows.select("id", "key", F.sha2("t", 256).alias("sha"), F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("salt"))
+    own = own.groupBy("key", "sha", "id", "salt").agg(F.count("*").alias("copies"))
+    found = numbered_copies(own.join(groups, ["key", "sha", "salt"], "left"), "copies", "nth")
     keep = F.when(F.col("n").isNull(), F.col("id")).otherwise(F.col("keep"))
     return found.select(
         F.col("id"), keep.alias("keep_id"), F.coalesce("n", F.lit(1).cast("long")).alias("group_size"),

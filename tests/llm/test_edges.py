@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from consult.llm import bpe, chat_format, decontaminate, exact_dedup, language_id, license_scan, ngram_join, substring_dedup, toxicity, warc
-from consult.llm.common import scratch
+from consult.llm.common import numbered_copies, scratch
 
 
 def test_exact(edge, empty):
@@ -22,6 +22,30 @@ def test_exact(edge, empty):
     assert exact_dedup.exact_dedup(empty).count() == 0 and exact_dedup.drop_copies(empty).count() == 0
 
 
+def test_many_copies_and_splits(spark):
+    """A text in a third of 30,000 rows, repeated ids among them, null ids; buckets that must split."""
+    docs = spark.range(30_000).select(
+        F.when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 20_000).alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("the popular text")).otherwise(F.concat(F.lit("text "), (F.col("id") % 9000).cast("string"))).alias("text"))
+    got = exact_dedup.exact_dedup(docs, bucket_keys=64)
+    want = docs.groupBy("text").agg(F.max("doc_id").alias("keep"), F.count("*").alias("n"))
+    assert got.count() == 30_000 and got.where("kept").count() == want.count()
+    pairs = got.select("text_sha256", "keep_id", "group_size").distinct()
+    assert pairs.exceptAll(want.select(F.sha2("text", 256), "keep", "n")).isEmpty() and pairs.count() == want.count()
+    assert exact_dedup.drop_copies(docs).count() == want.count()
+
+
+def test_two_texts_of_one_key_stay_apart(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a"), (4, "c")], "id long, t string").withColumn("key", F.when(F.col("t") == "c", 1).otherwise(7).cast("long"))
+    index = {r.key: [(c.keep, c.n) for c in r.chain] for r in exact_dedup.build_index(rows).collect()}
+    assert sorted(index[7]) == [(2, 1), (3, 2)] and index[1] == [(4, 1)]
+
+
+def test_copies_beyond_one_array(spark):
+    got = numbered_copies(spark.createDataFrame([(1, 150_000), (2, 1), (3, 65_536)], "a long, n long"), "n", "nth").groupBy("a").agg(F.count("*").alias("c"), F.min("nth").alias("lo"), F.max("nth").alias("hi"), F.count_distinct("nth").alias("d"))
+    assert {tuple(r) for r in got.collect()} == {(1, 150_000, 1, 150_000, 150_000), (2, 1, 1, 1, 1), (3, 65_536, 1, 65_536, 65_536)}
+
+
 def test_directory_doubles(spark):
     keys = spark.range(5000).select(F.xxhash64("id").alias("key"))
     directory, depth = exact_dedup.grow_directory(keys, 40)
