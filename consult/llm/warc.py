@@ -12,10 +12,14 @@ records by their Content-Length, checks the digest of every payload that is
 there, and emits the index entries of that archive sorted by URL key and
 timestamp: a run.
 
-Merging: range partitions over (URL key, timestamp, id) split the key space, a
-hot URL included, about ``SLICE`` entries each. Each task takes the slices of
-the runs in its range and merges them with a tournament of losers, so the
-index is in order across partitions; captures of a URL are numbered.
+Merging: an entry carries its run and its place there. Runs are merged in rounds
+of at most ``FAN_IN`` runs to one. In a round, range partitions over (group of
+runs, URL key, timestamp, id) split the key space, a hot URL included, about
+``SLICE`` entries each; a task gets the slices of its runs in their own order,
+merges them with a tournament of losers, and gives the entries their places in
+the longer run. The last round has one group, so the history is in order across
+partitions, and nothing is joined after it: sizes that revisits take from their
+responses are looked up before.
 
 Defined results: a null payload is empty; a null URL has an empty key; rows
 that share the largest id of equal payloads are all responses; of two equal
@@ -26,29 +30,40 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from consult.functions.prefix import dense_index
 from consult.llm.common import scratch, stage, text_or_empty
 
 REVISIT_BYTES = 1_000
-#: Records of one archive, index entries of one merge task, about.
-RECORDS, SLICE = 2_000, 100_000
+#: Records of one archive, index entries of one merge task, about; runs that are merged to one in a round.
+RECORDS, SLICE, FAN_IN = 2_000, 100_000, 64
+#: Tasks over which the copies of one payload are spread.
+SALTS = 16
 END = "\r\n"
 
 
 def decide(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
-    """``pages`` (id, url, ts, payload) with bytes, digest, record_type and refers_to."""
-    rows = pages.withColumn("payload", text_or_empty("payload"))
+    """``pages`` (id, url, ts, payload) with bytes, digest, record_type and refers_to.
+
+    Only large payloads can be revisits: the others do not take part in the lookup,
+    which is salted, as one payload may be that of many pages."""
+    rows = pages.select("id", "url", "ts", text_or_empty("payload").alias("payload"))
     rows = rows.withColumn("bytes", F.octet_length("payload").cast("long")).withColumn("digest", F.sha1("payload"))
-    large = rows.where(F.col("bytes") >= revisit_bytes).select("id", "bytes", "digest")
+    none = F.lit(None).cast(rows.schema["id"].dataType)
+    small = rows.where(F.col("bytes") < revisit_bytes).select("*", F.lit("response").alias("record_type"), none.alias("refers_to"))
+    large = rows.where(F.col("bytes") >= revisit_bytes).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
     groups = large.groupBy(F.col("digest").alias("g_digest"), F.col("bytes").alias("g_bytes")).agg(F.max("id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    joined = rows.join(groups, (rows["digest"] == groups["g_digest"]) & (rows["bytes"] == groups["g_bytes"]), "left")
+    groups = groups.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("g_salt"))
+    joined = large.join(groups, (large["digest"] == groups["g_digest"]) & (large["bytes"] == groups["g_bytes"]) & (large["salt"] == groups["g_salt"]), "left")
     again = F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
-    return joined.select("id", "url", "ts", "payload", "bytes", "digest", F.when(again, "revisit").otherwise("response").alias("record_type"), F.when(again, F.col("first")).alias("refers_to"))
+    large = joined.select("id", "url", "ts", "payload", "bytes", "digest", F.when(again, "revisit").otherwise("response").alias("record_type"), F.when(again, F.col("first")).alias("refers_to"))
+    return large.unionByName(small)
 
 
 def _urn(c: Column) -> Column:
@@ -92,7 +107,7 @@ def parse(raw: bytes) -> Iterator[dict]:
         at = end + len(sep)
 
 
-FIELDS = "url_key string, ts string, id string, file string, offset long, length long, url string, record_type string, refers_to string, digest string, payload_bytes long"
+FIELDS = "url_key string, ts string, id string, file string, offset long, length long, url string, record_type string, refers_to string, digest string, payload_bytes long, place long"
 _ARROW = pa.schema([(f.split()[0], pa.int64() if f.endswith("long") else pa.string()) for f in FIELDS.split(", ")])
 
 
@@ -113,7 +128,7 @@ def _order(e: dict) -> tuple:
 
 
 def index_runs(spark, path: str) -> DataFrame:
-    """Index entries of the archives below ``path``; those of one file are a sorted run."""
+    """Index entries of the archives below ``path``; those of one file are a sorted run, in the order of ``place``."""
     files = spark.read.format("binaryFile").load(path).select("path", "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,7 +136,7 @@ def index_runs(spark, path: str) -> DataFrame:
             for file, raw in zip(b.column("path").to_pylist(), b.column("content"), strict=True):
                 raw = raw.as_py()
                 got = [_entry(file, r) for r in parse(gzip.decompress(raw) if file.endswith(".gz") else raw)]
-                yield pa.RecordBatch.from_pylist(sorted(got, key=_order), _ARROW)
+                yield pa.RecordBatch.from_pylist([{**e, "place": i} for i, e in enumerate(sorted(got, key=_order))], _ARROW)
 
     return files.mapInArrow(run, FIELDS)
 
@@ -161,35 +176,44 @@ class LoserTree:
             self.winner = i
 
 
-def merge_runs(runs: DataFrame) -> DataFrame:
-    """All entries in the order of (url_key, ts, id), partition after partition."""
-    runs = stage(runs, "runs")
-    parts = max(1, -(-runs.count() // SLICE))
-    spread = runs.repartitionByRange(parts, "url_key", "ts", F.length("id"), "id")
+def _merge_round(runs: DataFrame, groups: int, parts: int) -> DataFrame:
+    """Runs (numbered in ``run``) of every group of neighbours merged to one; ``place`` is an entry's place there."""
+    schema = pa.schema([pa.field("run", pa.int64()), *_ARROW])
+    key = ["url_key", "ts", F.length("id"), "id"]
+    grouped = runs.withColumn("grp", F.floor(F.col("run") / groups))
+    spread = grouped.repartitionByRange(parts, "grp", *key).sortWithinPartitions("grp", "run", "place")
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slices: dict[str, list] = {}
-        for b in batches:
-            for e in b.to_pylist():
-                slices.setdefault(e["file"], []).append(e)
-        held = []
-        for e in LoserTree([sorted(s, key=_order) for s in slices.values()], _order) if slices else ():
-            held.append(e)
-            if len(held) == 4096:
-                yield pa.RecordBatch.from_pylist(held, _ARROW)
-                held = []
-        if held:
-            yield pa.RecordBatch.from_pylist(held, _ARROW)
+        entries = (e for b in batches for e in b.to_pylist())
+        for group, own in itertools.groupby(entries, key=lambda e: e["grp"]):
+            slices = [list(s) for _, s in itertools.groupby(own, key=lambda e: e["run"])]
+            merged = iter(LoserTree(slices, _order))
+            while held := [{**e, "run": group} for e in itertools.islice(merged, 4096)]:
+                yield pa.RecordBatch.from_pylist(held, schema)
 
-    return spread.mapInArrow(merge, FIELDS)
+    # Partitions are ranges of (group, key), so partition and place in it are the order of the merged run.
+    return spread.mapInArrow(merge, f"run long, {FIELDS}").withColumn("place", F.monotonically_increasing_id())
+
+
+def merge_runs(runs: DataFrame) -> DataFrame:
+    """All entries in the order of (url_key, ts, id), partition after partition."""
+    files = stage(dense_index(runs.select("file").distinct(), ["file"], out="run", start=0), "files")
+    runs = stage(runs.join(files.withColumnRenamed("file", "of"), F.col("file") == F.col("of")).drop("of"), "runs")
+    left, parts = files.count(), max(1, -(-runs.count() // SLICE))
+    while left > FAN_IN:
+        runs, left = stage(_merge_round(runs, FAN_IN, parts), "runs"), -(-left // FAN_IN)
+    return _merge_round(runs, FAN_IN, parts).drop("run", "place")
 
 
 def capture_history(spark, path: str) -> DataFrame:
     """The merged index of the archives below ``path``; a revisit takes its payload's size from the response it names."""
-    merged = stage(merge_runs(index_runs(spark, path)), "index")
-    sizes = merged.where("record_type = 'response'").groupBy(F.col("id").alias("r_id"), F.col("digest").alias("r_digest")).agg(F.max("payload_bytes").alias("r_bytes"))
-    looked = merged.join(sizes, (F.col("refers_to") == F.col("r_id")) & (F.col("digest") == F.col("r_digest")), "left")
-    return looked.select("url_key", "ts", "id", "file", "offset", "length", "url", "record_type", "refers_to", "digest", F.coalesce("payload_bytes", "r_bytes").alias("payload_bytes"))
+    entries = stage(index_runs(spark, path), "entries")
+    sizes = entries.where("record_type = 'response'").groupBy(F.col("id").alias("r_id"), F.col("digest").alias("r_digest")).agg(F.max("payload_bytes").alias("r_bytes"))
+    salted = sizes.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("r_salt"))
+    again = entries.where("record_type = 'revisit'").withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    looked = again.join(salted, (F.col("refers_to") == F.col("r_id")) & (F.col("digest") == F.col("r_digest")) & (F.col("salt") == F.col("r_salt")), "left")
+    looked = looked.withColumn("payload_bytes", F.coalesce("payload_bytes", "r_bytes")).select(*entries.columns)
+    return merge_runs(entries.where("record_type <> 'revisit'").unionByName(looked))
 
 
 def op5_warc(spark, sf_dir: str) -> DataFrame:

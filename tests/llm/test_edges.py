@@ -301,17 +301,42 @@ def test_chat(spark):
 
 def test_warc(spark):
     big = "é\r\n\r\n" * 400
-    pages = spark.createDataFrame([(1, "http://B.example/x", big), (2, None, big), (2, None, big), (3, "http://a.example/a b", None), (4, "http://b.example/x", "small"), (5, "http://b.example/x", "small")], "id long, url string, payload string")
+    rows = [(1, "http://B.example/x", big), (2, None, big), (2, None, big), (3, "http://a.example/a b", None), (4, "http://b.example/x", "small"), (5, "http://b.example/x", "small"), (6, "http://c.example/", "long " * 300_000)]
+    pages = spark.createDataFrame([(*r, "f", 7, "g", 0) for r in rows], "id long, url string, payload string, first string, n int, digest string, salt int")
     path = scratch(spark, "warc-test")
     warc.write_archives(pages.withColumn("ts", F.timestamp_seconds("id")), path)
     rows = warc.capture_history(spark, path).collect()
-    assert sorted((r.id, r.record_type, r.refers_to, r.payload_bytes) for r in rows if r.id != "2") == [("1", "revisit", "2", 2400), ("3", "response", None, 0), ("4", "response", None, 5), ("5", "response", None, 5)]
+    assert sorted((r.id, r.record_type, r.refers_to, r.payload_bytes) for r in rows if r.id != "2") == [("1", "revisit", "2", 2400), ("3", "response", None, 0), ("4", "response", None, 5), ("5", "response", None, 5), ("6", "response", None, 1_500_000)]
     merged = [(r.url_key, r.ts) for r in warc.merge_runs(warc.index_runs(spark, path)).collect()]
-    assert merged == sorted(merged) and len(merged) == 6
+    assert merged == sorted(merged) and len(merged) == 7
     warc.write_archives(pages.limit(0).withColumn("ts", F.timestamp_seconds("id")), path + "-none")
     assert warc.capture_history(spark, path + "-none").count() == 0
 
 
+def test_history_is_in_order(spark, monkeypatch):
+    """Many runs in rounds of three, small slices, a hot URL, empty pages in half the rows, one payload in a third; no adaptive joins."""
+    monkeypatch.setattr(warc, "FAN_IN", 3)
+    monkeypatch.setattr(warc, "SLICE", 90)
+    pages = spark.range(600).select(
+        F.col("id"), F.when(F.col("id") % 3 == 0, "http://hot.example/").otherwise(F.concat(F.lit("http://h"), (F.col("id") * 37 % 23).cast("string"), F.lit(".example/p"), (F.col("id") % 7).cast("string"))).alias("url"),
+        F.timestamp_seconds(F.col("id") * 7919 % 1000).alias("ts"), F.when(F.col("id") % 2 == 0, "").when(F.col("id") % 3 == 1, F.repeat(F.lit("same page "), 200)).otherwise(F.concat(F.lit("page "), "id")).alias("payload")).repartition(20)
+    path = scratch(spark, "warc-order")
+    warc.write_archives(pages, path)
+    held = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        got = warc.capture_history(spark, path).collect()
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    order = [(r.url_key, r.ts, len(r.id), r.id) for r in got]
+    assert order == sorted(order) and {int(r.id) for r in got} == set(range(600)) and len(got) == 600
+    same = [i for i in range(600) if i % 2 and i % 3 == 1]
+    assert {int(r.id) for r in got if r.record_type == "revisit"} == set(same) - {max(same)}
+    assert all(r.payload_bytes == 2000 and r.refers_to == str(max(same)) for r in got if r.record_type == "revisit")
+
+
 def test_loser_tree():
     random.seed(2)
     for k in (1, 2, 3, 7, 16):
