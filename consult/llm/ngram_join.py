@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from consult.llm.common import fresh, keep_rows, stage, text_or_empty
+from consult.llm.common import fresh, keep_rows, numbered_copies, stage, text_or_empty
 from consult.llm.graph import components
 from consult.llm.words import Words, chunks, seeds
 
@@ -264,7 +264,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = stage(placed, "placed")
     named = placed.groupBy("root").agg(F.max(F.struct("keep", "node")).alias("best"))
     known = stage(placed.join(stage(named, "named"), "root").select("node", "text_copies", "links", F.col("best.keep").alias("class_id"), F.col("best.node").alias("class_node")), "classes")
-    out = member.join(known, "node").withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    out = numbered_copies(member.join(known, "node"), "copies", "nth")
     kept = F.col("id").eqNullSafe(F.col("class_id")) & (F.col("node") == F.col("class_node")) & (F.col("nth") == 1)
     return out.select("id", "node", "class_id", "links", "text_copies", kept.alias("kept"), "copies")
 
