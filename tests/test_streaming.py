@@ -100,3 +100,19 @@ def test_busy_hour_is_many_slices(spark, tmp_path, monkeypatch):
     assert len(slices) == 20 and sum(s.n for s in slices) == 2000 and max(s.n for s in slices) < 400
     ends = [(s.lo, s.hi) for s in slices if s.lo]
     assert all(a[1] < b[0] for a, b in zip(ends, ends[1:], strict=False))
+
+
+def test_sketches_merge_within_their_bound(spark):
+    """Hourly sketches of 60,000 latencies merged to days and over paths: ranks within the bound, counts exact."""
+    log = spark.range(60_000).select(
+        F.timestamp_seconds(F.col("id") * 3).alias("ts"), F.when(F.col("id") % 3 == 0, "/a").otherwise("/b").alias("path"),
+        F.when(F.col("id") % 50 == 0, 500).when(F.col("id") % 20 == 0, 404).otherwise(200).alias("status"),
+        F.when(F.col("id") % 17 != 0, F.exp(F.randn(3) * 1.5)).alias("latency_ms"))
+    hourly = R.latency_sketches(log, "1 hour")
+    for keys, window in ((("path",), "1 hour"), (("path",), "1 day")):
+        kept = hourly if window == "1 hour" else R.merge_sketches(hourly, window, keys)
+        errors = R.rank_errors(log, R.with_percentiles(kept), window).collect()
+        assert errors and max(r.rank_error for r in errors) <= R.RANK_ERROR
+    whole = R.with_percentiles(R.merge_sketches(hourly, "10 days", ())).first()
+    assert whole.n_requests == 60_000 and whole.n_5xx == 1200 and abs(whole.p50_latency_ms - 1.0) < 0.1
+    assert R.with_percentiles(R.latency_sketches(log.where("latency_ms IS NULL"), "10 days")).first().p50_latency_ms is None
