@@ -94,13 +94,11 @@ def test_metadata_reaches_the_registry(spark, ds, tmp_path):
 def test_counted_rows_fit_like_single_rows(ds):
     """Weighted distinct rows give the model that the rows themselves give."""
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import VectorAssembler
     cols = M.FEATURE_SETS["baseline"]
-    rows = ds["baseline_train"].select(*[F.col(c).cast("double").alias(c) for c in cols],
-                                       F.col("nbe").cast("double").alias("label"), F.lit(1.0).alias("weight"))
+    rows = M.complete_rows(ds["baseline_train"], "baseline").withColumn("weight", F.lit(1.0))
     for learner, near in (("logistic_regression", 1e-5), ("gbt", 1e-2)):
-        plain = Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="features"),
-                                 M.make_learner(learner, rows.count())]).fit(rows)
+        single = M.mirrored(rows, "baseline") if learner == "logistic_regression" else rows
+        plain = Pipeline(stages=[M._assembler("baseline", learner), M.make_learner(learner, rows.count())]).fit(single)
         a = M.predict(plain, ds["baseline_test"], "baseline").select(*cols, "score").distinct()
         b = M.predict(M.fit(ds["baseline_train"], learner, "baseline"), ds["baseline_test"], "baseline")
         b = b.select(*cols, F.col("score").alias("other")).distinct()
