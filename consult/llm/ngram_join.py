@@ -5,6 +5,8 @@ similarity of 0.8 or more. Equal texts are one node, so copies cost a row each.
 
 1. Every text gets ``HASHES`` MinHash values; 16 bands of four put nodes into
    buckets (a pair at 0.8 shares none with probability 0.0002).
+   Buckets of one and the same set of members, which near copies make in most
+   bands, count as one bucket, that of the lowest band.
 2. In each bucket the pivot is the node whose buckets are largest in sum (of a
    text and its variants, the text they stem from); all others are compared
    with it, not with each other.
@@ -44,8 +46,8 @@ from consult.llm.graph import components
 from consult.llm.words import Words, chunks, seeds
 
 THRESHOLD, HASHES, BAND, TOLERANCE, STEP = 0.8, 64, 4, 1e-4, 8
-#: Members of a block, and bytes of their differences, about.
-BLOCK, BLOCK_BYTES = 256, 4 << 20
+#: Members of a block, and bytes of their differences, about; left blocks of a share.
+BLOCK, BLOCK_BYTES, SHARE = 256, 4 << 20, 8
 
 
 def least_matches(threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> list[tuple[int, int]]:
@@ -212,11 +214,17 @@ def _link_members(members: DataFrame, wide: DataFrame, threshold: float) -> Data
     around = members.join(total, "key").join(wide, ["node", "pivot"]).withColumn("parts", parts)
     held = F.collect_list(F.struct("node", "sig", "root", "less", "more", "pivots")).alias("x")
     blocks = stage(around.groupBy("key", F.pmod(F.xxhash64("node"), F.col("parts")).alias("block"), "parts").agg(held, F.max("band").alias("band"), F.max("n_pivot").alias("n_pivot")), "blocks")
-    # Left blocks are dealt over shares of a bucket, so that a hot bucket is many tasks' work.
-    shares = F.ceil(F.col("parts") / 4)
-    u = blocks.select("key", F.pmod("block", shares).alias("share"), F.col("block").alias("i"), F.col("x").alias("u"), "band", "n_pivot")
-    v = blocks.select("key", F.explode(F.sequence(F.lit(0).cast("long"), shares - 1)).alias("share"), F.col("block").alias("j"), F.col("x").alias("v"))
-    pairs = u.join(v, ["key", "share"]).where("i <= j").select((F.col("i") == F.col("j")).alias("same"), "u", "v", "band", "n_pivot")
+    # Blocks stand in a circle: each meets itself and the half of the circle before it, so a bucket's
+    # shares (runs of SHARE left blocks) have equal work, and a block is sent to the shares of that half.
+    u = blocks.select("key", F.floor(F.col("block") / SHARE).alias("share"), F.col("block").alias("i"), "parts", F.col("x").alias("u"), "band", "n_pivot")
+    back = F.col("block") - F.floor(F.col("parts") / 2)
+    span = lambda lo, hi: F.sequence(F.floor(lo / SHARE), F.floor(hi / SHARE))
+    around_end = F.when(back < 0, span(back + F.col("parts"), F.col("parts") - 1)).otherwise(F.array().cast("array<bigint>"))
+    meets = F.array_distinct(F.concat(span(F.greatest(back, F.lit(0)), F.col("block")), around_end))
+    v = blocks.select("key", F.explode(meets).alias("share"), F.col("block").alias("j"), F.col("x").alias("v"))
+    ahead = F.pmod(F.col("j") - F.col("i"), F.col("parts")) * 2
+    once = (ahead < F.col("parts")) | ((ahead == F.col("parts")) & (F.col("i") < F.col("j")))
+    pairs = u.join(v, ["key", "share"]).where(once).select((F.col("i") == F.col("j")).alias("same"), "u", "v", "band", "n_pivot")
     return pairs.mapInArrow(run, "a binary, b binary, similarity double, n long")
 
 
@@ -228,9 +236,12 @@ def find_links(rows: DataFrame, nodes: DataFrame, threshold: float = THRESHOLD)
     sketch = stage(_sketch(rows.select("node", "t")).dropDuplicates(["node"]), "sketch")
     keys = F.transform(F.sequence(F.lit(0), F.lit(HASHES // BAND - 1)), lambda k: F.xxhash64(k, F.substring("sig", k * (4 * BAND) + 1, F.lit(4 * BAND))))
     bands = stage(sketch.join(nodes.select("node", "copies"), "node").select("node", "copies", F.posexplode(keys).alias("band", "key")), "bands")
-    sizes = stage(bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
-    shared = stage(bands.join(sizes, "key"), "shared")
-    weight = stage(shared.groupBy("node").agg(F.sum("n").alias("weight")), "weights")
+    prints = [F.bit_xor(F.xxhash64(F.lit(k), "node")).alias(f"print_{k}") for k in (1, 2)]
+    sizes = bands.groupBy("key").agg(F.count("*").alias("n"), F.min("band").alias("band"), *prints).where("n > 1")
+    # Buckets of the same members are one: each pair of theirs has its first common band in the lowest.
+    alike = sizes.groupBy("n", "print_1", "print_2").agg(F.min(F.struct("band", "key"))["key"].alias("key"), F.count("*").alias("times"))
+    shared = stage(bands.join(stage(alike.select("key", "n", "times"), "sizes"), "key"), "shared")
+    weight = stage(shared.groupBy("node").agg(F.sum(F.col("n") * F.col("times")).alias("weight")), "weights")
     pivots = shared.join(weight, "node").groupBy("key").agg(F.max(F.struct("weight", "copies", "node"))["node"].alias("pivot"))
     members = stage(shared.join(stage(pivots, "pivots"), "key").select("key", "band", "n", "node", "pivot"), "members")
     wanted = members.select("node").distinct().join(nodes.select("node", "keep"), "node").select(F.col("node").alias("n_node"), "keep")

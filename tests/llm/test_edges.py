@@ -88,6 +88,7 @@ def test_every_link_of_a_hot_bucket_counts(spark, monkeypatch):
     """Variants that are all alike are credited with all partners, over many blocks, as brute force says."""
     random.seed(5)
     monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    monkeypatch.setattr(ngram_join, "SHARE", 2)
     base, texts = [f"t{i}" for i in range(200)], {}
     for i in range(150):
         w = list(base)
