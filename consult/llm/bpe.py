@@ -11,7 +11,8 @@ The broadcast holds the rank file, whose size does not depend on the data. The
 memo of distinct matches is emptied when it reaches ``MEMO`` entries.
 
 Defined results: a null text counts as empty and has no tokens; repeated rows
-are encoded each; an empty table gives no rows; further columns are not read.
+are encoded each; an empty table gives no rows; further columns are not read;
+bytes that are not UTF-8 are encoded as U+FFFD, as Python decodes them.
 Higher-order functions over the JVM's maps were not taken for the hot path
 (see README).
 """
@@ -140,7 +141,7 @@ def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             _STATE.update(key=key, codec=Codec(table.value, pattern))
         codec = _STATE["codec"]
         for b, texts in chunks(batches, "t"):
-            ids = [codec.encode(t.decode()) for t in texts]
+            ids = [codec.encode(t.decode(errors="replace")) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()), pa.array([codec.decode(x) for x in ids], pa.binary())],
                 ["id", "n_tokens", "ids", "decoded"])

@@ -16,7 +16,8 @@ Arrow batch are estimated together, by segment sums.
 
 Defined results: a null text or one without a letter is ``und`` with score 0,
 as is every text if nothing was learned; ties go to the language that sorts
-first; each input row gives one row; further columns are not read.
+first; each input row gives one row; further columns are not read; bytes that
+are not UTF-8 are no letters, and count in trigrams as they stand.
 """
 
 from __future__ import annotations
@@ -148,7 +149,7 @@ def predict(docs: DataFrame, langs: list[str], table: np.ndarray, text_col: str
         langs, table = model.value
         letter = regex.compile(r"\p{L}").search
         for b, texts in chunks(batches, text_col):
-            known = np.array([letter(t.decode()) is not None for t in texts]) & bool(langs)
+            known = np.array([letter(t.decode(errors="replace")) is not None for t in texts]) & bool(langs)
             pi = mixtures(*trigram_counts(texts), len(texts), table)
             top = pi.argmax(1) if langs else np.zeros(len(texts), int)
             pred = [langs[k] if ok else "und" for k, ok in zip(top, known, strict=True)]
