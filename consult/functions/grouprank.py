@@ -5,7 +5,7 @@ task, so one patient (or one label stratum) with a large share of the rows is
 sorted by one task alone. Here the rows are range-partitioned and sorted by the
 *full* order, keys first: a large group, the null key included, is cut wherever
 the range bounds fall, and rows tied on the first order column are cut by the
-next ones. Range bounds are sampled, so the sorted table is pinned in the shared
+next ones. Range bounds are sampled, so the sorted table is written to the shared
 checkpoint folder before it is read.
 
 Rows are then numbered per (partition, group), which is never more than one
@@ -34,15 +34,13 @@ def rank_within(df: DataFrame, keys: list[str], order: list, out: str = "rank",
     """Add ``out`` = 1-based position inside ``keys`` by ``order`` (ascending,
     nulls last; the order should be total), and optionally ``total_out`` =
     rows in the group. Null keys form a group of their own."""
-    from consult.session import ensure_checkpoint_dir
+    from consult.session import stage
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     nparts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     full = [F.col(k).asc_nulls_first() for k in keys] + [_c(o).asc_nulls_last() for o in order]
-    staged = (df.repartitionByRange(nparts, *full).sortWithinPartitions(*full)
-              .select("*", F.spark_partition_id().alias(_PID),
-                      F.monotonically_increasing_id().alias(_MID))
-              .checkpoint(eager=True))
+    staged = stage(df.repartitionByRange(nparts, *full).sortWithinPartitions(*full)
+                   .select("*", F.spark_partition_id().alias(_PID),
+                           F.monotonically_increasing_id().alias(_MID)), "ranked")
     key = F.struct(*keys)
     # Nulls are lowest in a struct's order too, so min / max are the keys at the two edges.
     edges = staged.groupBy(_PID).agg(F.min(key).alias("__lo"), F.max(key).alias("__hi"))

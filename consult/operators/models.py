@@ -25,6 +25,7 @@ from consult import schema as S
 from consult.functions.exprs import confidence_level, r6
 from consult.operators.features import SCORING_INTERACTIONS, add_interactions, fill_defaults
 from consult.operators.metrics import auc_roc
+from consult.session import stage
 
 LEARNERS = ["logistic_regression", "random_forest", "gbt"]
 FEATURE_SETS = {"baseline": S.BASELINE_FEATURES, "enhanced": S.ENHANCED_FEATURES}
@@ -86,12 +87,14 @@ def complete_rows(df: DataFrame, feature_set: str, label: str = S.LABEL, keep: t
 def count_rows(rows: DataFrame, feature_set: str, keep: tuple[str, ...] = ()) -> tuple[DataFrame, int, DataFrame]:
     """Distinct ``complete_rows`` with their count as ``weight``, the number of all rows, and what is persisted.
 
-    Scores and states are small integers, so rows repeat. The table gets one
+    Scores and states are small integers, so rows repeat. The table is written
+    once, so that nothing counts it again after the unpersist, and gets one
     partition per ``COUNTED_ROWS`` distinct rows, as a boosted fit runs some
     hundred short jobs over it; unpersist the last after use."""
-    counted = rows.groupBy(*FEATURE_SETS[feature_set], "label", BIAS, *keep).agg(F.count(F.lit(1)).cast("double").alias("weight")).persist()
+    counted = stage(rows.groupBy(*FEATURE_SETS[feature_set], "label", BIAS, *keep).agg(F.count(F.lit(1)).cast("double").alias("weight")), "counted")
     distinct, n = counted.agg(F.count(F.lit(1)), F.sum("weight")).first()
-    return counted.coalesce(max(1, -(-distinct // COUNTED_ROWS))), int(n or 0), counted
+    table = counted.coalesce(max(1, -(-distinct // COUNTED_ROWS))).persist()
+    return table, int(n or 0), table
 
 
 def mirrored(counted: DataFrame, feature_set: str) -> DataFrame:
@@ -288,12 +291,15 @@ def train_all(train_sets: dict[str, DataFrame], learners: list[str] = LEARNERS,
     pair has its error text and no model.
 
     ``fit_one(rows, learner, set)`` and ``cv_one(folded, learner, set)`` may
-    stand in for ``fit`` and ``cross_validate``, e.g. to reuse saved results."""
+    stand in for ``fit`` and ``cross_validate``, e.g. to reuse saved results.
+    Rows that have a ``fold`` keep it."""
     from consult.operators.split import assign_folds
     spark = next(iter(train_sets.values())).sparkSession
     fit_one = fit_one or fit
     cv_one = cv_one or (lambda folded, learner, fs: cross_validate(folded, learner, fs, k=k))
-    held = {fs: (assign_folds(d, k=k, seed=fold_seed) if with_cv else d).persist() for fs, d in train_sets.items()}
+    held = {fs: (assign_folds(d, k=k, seed=fold_seed) if with_cv and "fold" not in d.columns else d) for fs, d in train_sets.items()}
+    # Rows that are only counted here are not kept.
+    held = {fs: d if "fold" in train_sets[fs].columns else d.persist() for fs, d in held.items()}
     counts = {fs: d.count() for fs, d in held.items()}
 
     def job(pair):

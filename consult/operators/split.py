@@ -34,10 +34,11 @@ def stratified_rank(df: DataFrame, key: str, stratum: str, seed: int, out: str =
 
 def stratified_patient_split(df: DataFrame, key: str = S.PSEUDO_ID, label: str = S.LABEL,
                              test_fraction: float = S.TEST_FRACTION, seed: int = S.SEED,
-                             num_partitions: int | None = None) -> DataFrame:
+                             num_partitions: int | None = None, labels: DataFrame | None = None) -> DataFrame:
     """(key, patient_label, split) with split in {'train', 'test'}; per label
-    stratum exactly ceil(test_fraction * n) patients go to test."""
-    pl = patient_label(df, key, label)
+    stratum exactly ceil(test_fraction * n) patients go to test. ``labels``:
+    the ``patient_label`` table, if it is known already."""
+    pl = patient_label(df, key, label) if labels is None else labels
     r = stratified_rank(pl, key, "patient_label", seed, num_partitions=num_partitions)
     is_test = F.col("stratum_rank") <= F.ceil(F.lit(test_fraction) * F.col("stratum_size"))
     return r.select(key, "patient_label",
@@ -63,6 +64,13 @@ def split_stats(df: DataFrame, split: DataFrame, key: str = S.PSEUDO_ID,
     return rows.select("split", "n_patients", "n_rows", "n_label_0", "n_label_1")
 
 
+def patient_folds(labels: DataFrame, k: int = S.N_FOLDS, seed: int = S.SEED, key: str = S.PSEUDO_ID,
+                  num_partitions: int | None = None) -> DataFrame:
+    """(key, fold) of the patients of a ``patient_label`` table, stratified by it."""
+    r = stratified_rank(labels, key, "patient_label", seed, num_partitions=num_partitions)
+    return r.select(key, ((F.col("stratum_rank") - 1) % k).cast("int").alias("fold"))
+
+
 def assign_folds(df: DataFrame, k: int = S.N_FOLDS, seed: int = S.SEED,
                  key: str = S.PSEUDO_ID, label: str = S.LABEL, grouped: bool = True,
                  row_key: list[str] | None = None,
@@ -74,10 +82,7 @@ def assign_folds(df: DataFrame, k: int = S.N_FOLDS, seed: int = S.SEED,
     Otherwise rows are ranked inside their own label by a hash of
     ``row_key`` (reference behaviour, one patient may span folds)."""
     if grouped:
-        pl = patient_label(df, key, label)
-        r = stratified_rank(pl, key, "patient_label", seed, num_partitions=num_partitions)
-        folds = r.select(key, ((F.col("stratum_rank") - 1) % k).cast("int").alias("fold"))
-        return df.join(folds, key, "inner")
+        return df.join(patient_folds(patient_label(df, key, label), k, seed, key, num_partitions), key, "inner")
     rk = row_key or [key, "consultation_number"]
     tmp = df.select("*", F.concat_ws("|", *[F.col(c).cast("string") for c in rk]).alias("__rk"))
     r = stratified_rank(tmp, "__rk", label, seed, num_partitions=num_partitions)

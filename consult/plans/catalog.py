@@ -1317,15 +1317,20 @@ def training_root(spark, d):
 
 def model_data(spark, d):
     """Prepared train / test tables of the clean fixture."""
-    from consult.plans.prepare import build_datasets
-    held = {}
+    from consult.plans.prepare import model_tables
+    return model_tables(model_rows(spark, d))
+
+
+def model_rows(spark, d):
+    """The clean fixture's features with the split and the folds, written once an application."""
+    from consult.plans.prepare import tagged_rows
+    return reused(spark, d, "model-rows", lambda: tagged_rows(cleaned(spark, d))[0])
+
 
-    def part(k):
-        if not held:
-            held.update(build_datasets(FX.consultations(spark, d)))
-        return held[k]
-    names = ("baseline_train", "baseline_test", "enhanced_train", "enhanced_test")
-    return {k: reused(spark, d, k, lambda k=k: part(k)) for k in names}
+def folded(spark, d, fs):
+    """Training rows of a feature set with the fold of their patient, as ``assign_folds`` gives it."""
+    from consult.plans.prepare import model_tables
+    return model_tables(model_rows(spark, d), ("fold",))[f"{fs}_train"]
 
 
 RUN_ID = "run-1"
@@ -1349,9 +1354,9 @@ def trained(spark, d, learners, sets):
     """METADATA rows of the pairs, by ``train_all`` over models and fold scores that
     are computed once an application. Rows of trained pairs go to the registry;
     fit time and date are those of the fit itself."""
-    data = model_data(spark, d)
+    data = {fs: folded(spark, d, fs) for fs in sets}
     # Boosted fits are some hundred short jobs each: pairs and folds overlap on the executors.
-    _, rows = M.train_all({fs: data[f"{fs}_train"] for fs in sets}, learners, parallelism=len(learners) * len(sets),
+    _, rows = M.train_all(data, learners, parallelism=len(learners) * len(sets),
                           fit_one=lambda _, learner, fs: fitted(spark, d, learner, fs),
                           cv_one=lambda _, learner, fs: cv_pair(spark, d, learner, fs))
     root = training_root(spark, d)
@@ -1387,8 +1392,7 @@ for _short, _learner in (("lr", "logistic_regression"), ("rf", "random_forest"),
 def cv_pair(spark, d, learner, fs):
     """Fold AUCs of one learner on one feature set (computed once an application)."""
     def build():
-        folded = SP.assign_folds(model_data(spark, d)[f"{fs}_train"])
-        return M.cross_validate(folded, learner, fs, parallelism=S.N_FOLDS).select(
+        return M.cross_validate(folded(spark, d, fs), learner, fs, parallelism=S.N_FOLDS).select(
             F.lit(learner).alias("learner"), F.lit(fs).alias("feature_set"), "fold", "auc")
     return reused(spark, d, f"cv-{learner}-{fs}", build)
 
@@ -1502,7 +1506,7 @@ def q_training_rows(spark, d):
     """Rows, patients and labels of every fold that the cross-validations train and test on."""
     out = None
     for fs in ("baseline", "enhanced"):
-        x = SP.assign_folds(model_data(spark, d)[f"{fs}_train"]).groupBy("fold", S.LABEL).agg(
+        x = folded(spark, d, fs).groupBy("fold", S.LABEL).agg(
             F.count(F.lit(1)).alias("n_rows"), F.count_distinct(S.PSEUDO_ID).alias("n_patients"))
         x = x.select(F.lit(fs).alias("feature_set"), "fold", S.LABEL, "n_rows", "n_patients")
         out = x if out is None else out.unionByName(x)

@@ -9,9 +9,8 @@ from consult.operators import calibration as K
 from consult.operators import cleaning as C
 from consult.operators import drift as D
 from consult.operators import models as M
-from consult.operators import split as SP
 from consult.plans import sqlparts as P
-from consult.plans.catalog import SPLIT_CTES, fitted, fq, model_data, register
+from consult.plans.catalog import SPLIT_CTES, fitted, folded, fq, model_data, register
 from consult.sources import fixtures as FX
 from consult.sources import io as IO
 
@@ -87,14 +86,10 @@ def q_feature_drift(spark, d):
 GRID = {"regParam": [1e-3, 1.0], "elasticNetParam": [0.0, 0.5]}
 
 
-def _folded(spark, d, fs):
-    return SP.assign_folds(model_data(spark, d)[f"{fs}_train"])
-
-
 @register("grid_search")
 def q_grid_search(spark, d):
     """Logistic penalties by cross-validated exact AUC, all candidates on one counted table."""
-    _, out = M.grid_search(_folded(spark, d, "baseline"), "logistic_regression", "baseline", GRID, tol=1e-6)
+    _, out = M.grid_search(folded(spark, d, "baseline"), "logistic_regression", "baseline", GRID, tol=1e-6)
     return out
 
 
@@ -110,7 +105,7 @@ WHERE f.p_score IS NOT NULL AND f.p_status IS NOT NULL AND f.fl_score IS NOT NUL
 GROUP BY g.candidate, k.fold""", _FOLDS))
 def q_grid_search_rows(spark, d):
     """Rows and labels on which each candidate of the grid is tested, fold by fold, from the counted table."""
-    counted, _, held = M.count_rows(M.complete_rows(_folded(spark, d, "baseline"), "baseline", keep=("fold",)), "baseline", ("fold",))
+    counted, _, held = M.count_rows(M.complete_rows(folded(spark, d, "baseline"), "baseline", keep=("fold",)), "baseline", ("fold",))
     held.unpersist()
     cells = F.explode(F.array(*map(F.lit, range(len(M.grid_candidates(GRID))))))
     per = counted.groupBy("fold").agg(F.sum("weight").cast("long").alias("n_rows"), F.sum(F.col("weight") * F.col("label")).cast("long").alias("n_positive"))
@@ -145,7 +140,7 @@ def q_cv_rows(spark, d):
     """Rows and labels of every held-out fold of the cross-validations, by the counted tables they score."""
     out = None
     for fs in ("baseline", "enhanced"):
-        counted, _, held = M.count_rows(M.complete_rows(_folded(spark, d, fs), fs, keep=("fold",)), fs, ("fold",))
+        counted, _, held = M.count_rows(M.complete_rows(folded(spark, d, fs), fs, keep=("fold",)), fs, ("fold",))
         held.unpersist()
         per = counted.groupBy("fold").agg(F.sum("weight").cast("long").alias("n_rows"), F.sum(F.col("weight") * F.col("label")).cast("long").alias("n_positive"))
         per = per.select(F.lit(fs).alias("feature_set"), F.explode(F.array(*map(F.lit, M.LEARNERS))).alias("learner"), "fold", "n_rows", "n_positive")

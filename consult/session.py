@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -66,6 +67,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return cur
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet below the shared folder and read it back: compressed, and lineage ends there."""
+    path = scratch_path(df.sparkSession, f"stage/{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for materialized tables."""
     base = ensure_checkpoint_dir(spark)

@@ -1,8 +1,10 @@
 """Replay finished tables as streams, one micro-batch per range of event time.
 
-A table is range-partitioned by its event time once, into ranges of about
-``SLICE_ROWS`` rows (a busy hour is many ranges), and written below the shared
-checkpoint folder. Each range is then landed in the stream's source folder and
+A table is range-partitioned by its event time once, into pieces of about
+``SLICE_ROWS`` rows (a busy hour is many pieces), and written below the shared
+checkpoint folder. A range is as many consecutive pieces as keep the number of
+ranges at ``MOST_SLICES``, so that a larger table gives wider batches, which run
+on more tasks, not more batches one after the other. Each range is then landed in the stream's source folder and
 the query is run on it with ``trigger(availableNow=True)``, from the checkpoint
 of the run before: no row arrives behind the watermark, and every range is also
 a restart. The sinks are read back as tables.
@@ -23,25 +25,29 @@ from consult.session import scratch_path
 from consult.streaming.monitor import request_metrics, with_event_time
 from consult.streaming.scoring import REQUEST_SCHEMA, read_request_stream, start_scoring_stream
 
-#: Rows of one range, and the least number of ranges of a replay.
-SLICE_ROWS, LEAST_SLICES = 500_000, 4
+#: Rows of one piece, and the least and the largest number of ranges of a replay.
+SLICE_ROWS, LEAST_SLICES, MOST_SLICES = 500_000, 4, 24
 
 
 def _dir(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:10]}")
 
 
-def slice_count(df: DataFrame) -> int:
-    return max(LEAST_SLICES, -(-df.count() // SLICE_ROWS))
+def slice_count(df: DataFrame) -> tuple[int, int]:
+    """Ranges of a replay of ``df``, and pieces of a range."""
+    pieces = max(LEAST_SLICES, -(-df.count() // SLICE_ROWS))
+    per = -(-pieces // MOST_SLICES)
+    return -(-pieces // per), per
 
 
 def time_slices(df: DataFrame, path: str, ts: str = "ts") -> list[DataFrame]:
-    """``df`` in consecutive ranges of ``ts`` (rows without a time first), one task and one folder each.
+    """``df`` in consecutive ranges of ``ts`` (rows without a time first), one folder each and a task a piece.
 
     Equal times are never in two ranges."""
-    n, schema = slice_count(df), StructType([*df.schema.fields, StructField("__slice", IntegerType())])
+    (n, per), schema = slice_count(df), StructType([*df.schema.fields, StructField("__slice", IntegerType())])
     t = F.col(ts).cast("timestamp")
-    df.repartitionByRange(n, t.asc_nulls_first()).withColumn("__slice", F.spark_partition_id()).write.partitionBy("__slice").parquet(path)
+    piece = df.repartitionByRange(n * per, t.asc_nulls_first())
+    piece.withColumn("__slice", F.floor(F.spark_partition_id() / per).cast("int")).write.partitionBy("__slice").parquet(path)
     kept = df.sparkSession.read.schema(schema).parquet(path)
     return [kept.where(F.col("__slice") == i).drop("__slice") for i in range(n)]
 
@@ -71,9 +77,10 @@ def run_scoring_stream(spark: SparkSession, requests: DataFrame, model: Pipeline
     """Every request once: scored, or rejected (``accepted`` false) with its messages."""
     base = _dir(spark, "stream-scoring")
     src, out, rej, ckpt = (f"{base}/{p}" for p in ("source", "scored", "rejected", "_checkpoint"))
+    n, per = slice_count(requests)
     requests.select(*[F.col(f.name).cast(f.dataType) for f in REQUEST_SCHEMA.fields]) \
-        .repartition(slice_count(requests)).write.parquet(src)
-    q = start_scoring_stream(read_request_stream(spark, src, max_files=1), model, kind, model_used,
+        .repartition(n * per).write.parquet(src)
+    q = start_scoring_stream(read_request_stream(spark, src, max_files=per), model, kind, model_used,
                              out, rej, ckpt, available_now=True)
     q.awaitTermination()
     scored, bad = spark.read.parquet(out), spark.read.parquet(rej)
