@@ -9,13 +9,16 @@ metric of ``metrics.auc_roc``, not a binned one.
 from __future__ import annotations
 
 import itertools
+import math
+import sys
 import time
 from concurrent.futures import ThreadPoolExecutor
 
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import Evaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
@@ -108,6 +111,63 @@ def mirrored(counted: DataFrame, feature_set: str) -> DataFrame:
     return both.select(*[changed.get(c, F.col(c)).alias(c) for c in counted.columns])
 
 
+#: Bins of a feature in a boosted fit (Spark's own default).
+BINS = 32
+
+
+def bin_thresholds(counted: DataFrame, feature_set: str, bins: int = BINS) -> dict[str, list[float]]:
+    """Rising split points of every feature, at most ``bins`` - 1, by the rule of Spark's trees
+    (midpoints next to equal shares of the weight), over all rows instead of a sample of them.
+
+    One task holds the distinct values of one feature; a bin's rows all go the same way in every tree."""
+    pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in FEATURE_SETS[feature_set]]))
+    values = counted.select(pairs, "weight").groupBy("feature", "value").agg(F.sum("weight").alias("weight"))
+
+    def one(p: pd.DataFrame) -> pd.DataFrame:
+        p = p.sort_values("value")
+        v, w = p["value"].tolist(), p["weight"].tolist()
+        mid = [(a + b) / 2 for a, b in zip(v, v[1:])]
+        if len(mid) >= bins:
+            stride = sum(w) / bins
+            target, seen, kept = stride, w[0], []
+            for m, x in zip(mid, w[1:]):
+                if abs(seen - target) < abs(seen + x - target):
+                    kept.append(m)
+                    target += stride
+                seen += x
+            mid = kept
+        return pd.DataFrame({"feature": [p["feature"].iloc[0]], "thresholds": [mid]})
+    found = values.groupBy("feature").applyInPandas(one, "feature string, thresholds array<double>").collect()  # one short row a feature
+    return {r["feature"]: list(r["thresholds"]) for r in found}
+
+
+def _bucketizer(thresholds: list[list[float]], cols: list[str], out: list[str]) -> Bucketizer:
+    # A tree sends values up to the threshold left, a bucket starts with its own split: splits are the next larger number.
+    splits = [[-math.inf, *([math.nextafter(t, math.inf) for t in ts] or [sys.float_info.max]), math.inf] for ts in thresholds]
+    return Bucketizer(splitsArray=splits, inputCols=cols, outputCols=out, handleInvalid="keep")
+
+
+def fit_boosted(counted: DataFrame, feature_set: str, **params) -> PipelineModel:
+    """Boosted pipeline (buckets, assembler, learner) fitted on the counted rows' bins.
+
+    Trees only see a value's bin, so rows of the same bins count as one: a round
+    reads at most one row for each combination of bins and label, however many rows there are."""
+    cols = FEATURE_SETS[feature_set]
+    own = [f"{c}__bin" for c in cols]
+    found = bin_thresholds(counted, feature_set, params.get("maxBins", BINS))
+    buckets = _bucketizer([found.get(c, []) for c in cols], cols, own)
+    binned = stage(buckets.transform(counted).groupBy(*own, "label").agg(F.sum("weight").alias("weight")), "binned")
+    n = binned.count()
+    binned = binned.coalesce(max(1, -(-n // COUNTED_ROWS))).persist()
+    try:
+        assembler = VectorAssembler(inputCols=own, outputCol="features", handleInvalid="skip")
+        # With that many bins allowed, Spark's own search of splits reads all binned rows and keeps every bin.
+        learner = make_learner("gbt", 0, **{**params, "maxBins": 1024})
+        return PipelineModel([buckets, assembler, learner.fit(assembler.transform(binned))])
+    finally:
+        binned.unpersist()
+
+
 def _training_rows(counted: DataFrame, learner: str, feature_set: str) -> DataFrame:
     return mirrored(counted, feature_set) if learner == "logistic_regression" else counted
 
@@ -119,6 +179,10 @@ def _assembler(feature_set: str, learner: str, invalid: str = "skip") -> VectorA
 
 def _vectors(df: DataFrame, cols: list[str], model: PipelineModel) -> DataFrame:
     """``df`` with the feature vector of ``cols`` that the fitted model reads; incomplete rows stay."""
+    if isinstance(model.stages[0], Bucketizer):
+        binned = [f"__bin_{i}" for i in range(len(cols))]
+        buckets = Bucketizer(splitsArray=model.stages[0].getSplitsArray(), inputCols=cols, outputCols=binned, handleInvalid="keep")
+        return VectorAssembler(inputCols=binned, outputCol="features", handleInvalid="keep").transform(buckets.transform(df)).drop(*binned)
     own = cols + ([BIAS] if model.stages[-1].numFeatures > len(cols) else [])
     return VectorAssembler(inputCols=own, outputCol="features", handleInvalid="keep").transform(df.withColumn(BIAS, F.lit(1.0)))
 
@@ -129,8 +193,8 @@ def fit(df: DataFrame, learner: str, feature_set: str, label: str = S.LABEL,
     missing feature (e.g. an unparseable contact date gives no day count)
     are left out of the fit rather than failing it.
 
-    Logistic and boosted fits read each distinct (features, label) row once,
-    weighted by its count, which leaves their sums as they are. The forest bags
+    Logistic fits read each distinct (features, label) row once, weighted by its
+    count, boosted ones each distinct row of bins (``fit_boosted``), which leaves their sums as they are. The forest bags
     single rows, so it reads all of them. ``n_train`` sets the logistic penalty
     (default: the number of complete rows)."""
     rows = complete_rows(df, feature_set, label)
@@ -138,6 +202,8 @@ def fit(df: DataFrame, learner: str, feature_set: str, label: str = S.LABEL,
         return Pipeline(stages=[_assembler(feature_set, learner), make_learner(learner, 0, **params)]).fit(rows)
     counted, n, held = count_rows(rows, feature_set)
     try:
+        if learner == "gbt":
+            return fit_boosted(counted, feature_set, **params)
         return Pipeline(stages=[_assembler(feature_set, learner), make_learner(learner, n_train or n, **params)]).fit(_training_rows(counted, learner, feature_set))
     finally:
         held.unpersist()
@@ -171,12 +237,17 @@ def cross_validate(df: DataFrame, learner: str, feature_set: str, folds_col: str
         rows = rows.persist()
     counted, _, cached = count_rows(rows, feature_set, (folds_col,))
 
+    def scores(m, held):
+        return predict(m, counted.where(held), feature_set).select(F.col(folds_col).cast("int").alias("fold"), "label", "weight", "score")
+
     def one(f):
         held = F.col(folds_col) == f
         part = rows.where(~held) if forest else counted.where(~held)
+        if learner == "gbt":
+            return scores(fit_boosted(part, feature_set), held)
         n = 0 if forest else int(part.agg(F.sum("weight")).first()[0] or 0)
         m = Pipeline(stages=[_assembler(feature_set, learner), make_learner(learner, n)]).fit(part if forest else _training_rows(part, learner, feature_set))
-        return predict(m, counted.where(held), feature_set).select(F.col(folds_col).cast("int").alias("fold"), "label", "weight", "score")
+        return scores(m, held)
 
     if parallelism > 1:
         with ThreadPoolExecutor(parallelism) as ex:

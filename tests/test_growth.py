@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from consult import schema as S
 from consult.operators import models as M
 from consult.operators import split as SP
+from consult.operators.features import add_interactions
 from consult.plans.prepare import build_datasets, tagged_rows
 from consult.streaming import runner
 
@@ -60,3 +61,16 @@ def test_larger_replay_has_wider_ranges_not_more(spark, tmp_path, monkeypatch):
     slices = [s.agg(F.count("*"), F.min("id"), F.max("id")).first() for s in runner.time_slices(df, f"{tmp_path}/s")]
     assert len(slices) <= runner.MOST_SLICES and sum(s[0] for s in slices) == 1000
     assert all(a[2] < b[1] for a, b in zip(slices, slices[1:]) if a[0] and b[0])
+
+
+def test_boosted_fit_reads_bins_and_scores_like_the_plain_fit(spark):
+    rows = _cleaned(spark, 60, 60).select("*", F.datediff("contact_date", "accident_date").alias("days_since_accident"), (F.col("fl_score") + 1).alias("consultation_number"))
+    rows = add_interactions(rows).withColumn("days_since_accident", F.col("days_since_accident") * 7)
+    counted, n, _ = M.count_rows(M.complete_rows(rows, "enhanced"), "enhanced")
+    found = M.bin_thresholds(counted, "enhanced")
+    assert max(map(len, found.values())) <= M.BINS and len(found["days_since_accident"]) >= 25
+    binned = M.fit(rows, "gbt", "enhanced", maxIter=5)
+    plain = M.Pipeline(stages=[M._assembler("enhanced", "gbt"), M.make_learner("gbt", n, maxIter=5)]).fit(counted)
+    wide = rows.unionByName(rows.withColumn("days_since_accident", F.col("days_since_accident") + 3)).withColumn("id", F.monotonically_increasing_id()).persist()
+    a, b = (M.predict(m, wide, "enhanced").select("id", F.round("score", 9).alias("s")) for m in (binned, plain))
+    assert a.exceptAll(b).isEmpty() and a.count() == 7200
