@@ -116,3 +116,23 @@ def test_sketches_merge_within_their_bound(spark):
     whole = R.with_percentiles(R.merge_sketches(hourly, "10 days", ())).first()
     assert whole.n_requests == 60_000 and whole.n_5xx == 1200 and abs(whole.p50_latency_ms - 1.0) < 0.1
     assert R.with_percentiles(R.latency_sketches(log.where("latency_ms IS NULL"), "10 days")).first().p50_latency_ms is None
+
+
+def test_state_is_kept_by_bucket_not_by_patient(spark, tmp_path, monkeypatch):
+    """300 patients in 8 buckets: the state has a row a bucket, and every patient its own numbers over three batches."""
+    import datetime as dt
+
+    from consult.streaming import numbering, runner
+    monkeypatch.setattr(numbering, "BUCKETS", 8)
+    src, out, ckpt = (f"{tmp_path}/{p}" for p in ("src", "out", "ckpt"))
+    queries = []
+
+    def start():
+        queries.append(runner._to_parquet(numbering.number_consultations(spark.readStream.schema(ROWS).parquet(src), "pid"), out, ckpt))
+        return queries[-1]
+    with numbering.state_store(spark):
+        batches = [[(p, dt.date(2025, 1, 2 * b + k), k) for p in range(300) for k in (1, 2)] for b in range(3)]
+        runner.replay(spark, [spark.createDataFrame(b, ROWS) for b in batches], src, start)
+    assert queries[-1].lastProgress["stateOperators"][0]["numRowsTotal"] <= 8
+    got = sorted((r.pid, r.contact_date.day, r.consultation_number, r.late) for r in spark.read.parquet(out).collect())
+    assert got == [(p, day, day, False) for p in range(300) for day in range(1, 7)]
