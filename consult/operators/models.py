@@ -12,11 +12,13 @@ import itertools
 import math
 import sys
 import time
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -61,9 +63,9 @@ def make_learner(name: str, n_train: int, seed: int = S.SEED, **params):
     ``mirrored`` rows), and regParam = 1 / n on the mean loss. Forest: 100 trees, depth 10, at least 2
     rows per leaf, sqrt features. Boosted: 100 rounds, depth 6, step 0.1, log
     loss; node ids are not cached (shallow trees: the cache costs more than it
-    saves; the deep forest does cache them), and the per-round lineage is
+    saves), and the per-round lineage is
     checkpointed every 10 rounds. Trees aggregate a level's nodes in up to 1 GB
-    at once. Logistic and boosted learners take weights."""
+    at once. Logistic and boosted learners take weights, the forest's trees those of their bags."""
     if name == "logistic_regression":
         return LogisticRegression(**{**dict(
             featuresCol="features", labelCol="label", weightCol="weight", regParam=1.0 / max(n_train, 1), elasticNetParam=0.0,
@@ -147,20 +149,25 @@ def _bucketizer(thresholds: list[list[float]], cols: list[str], out: list[str])
     return Bucketizer(splitsArray=splits, inputCols=cols, outputCols=out, handleInvalid="keep")
 
 
+def _binned(counted: DataFrame, feature_set: str, bins: int) -> tuple[Bucketizer, VectorAssembler, DataFrame]:
+    """Buckets, assembler, and one row of (bins, label, weight) for each combination that is there."""
+    cols = FEATURE_SETS[feature_set]
+    own = [f"{c}__bin" for c in cols]
+    found = bin_thresholds(counted, feature_set, bins)
+    buckets = _bucketizer([found.get(c, []) for c in cols], cols, own)
+    binned = stage(buckets.transform(counted).groupBy(*own, "label").agg(F.sum("weight").alias("weight")), "binned")
+    binned = binned.coalesce(max(1, -(-binned.count() // COUNTED_ROWS)))
+    return buckets, VectorAssembler(inputCols=own, outputCol="features", handleInvalid="skip"), binned
+
+
 def fit_boosted(counted: DataFrame, feature_set: str, **params) -> PipelineModel:
     """Boosted pipeline (buckets, assembler, learner) fitted on the counted rows' bins.
 
     Trees only see a value's bin, so rows of the same bins count as one: a round
     reads at most one row for each combination of bins and label, however many rows there are."""
-    cols = FEATURE_SETS[feature_set]
-    own = [f"{c}__bin" for c in cols]
-    found = bin_thresholds(counted, feature_set, params.get("maxBins", BINS))
-    buckets = _bucketizer([found.get(c, []) for c in cols], cols, own)
-    binned = stage(buckets.transform(counted).groupBy(*own, "label").agg(F.sum("weight").alias("weight")), "binned")
-    n = binned.count()
-    binned = binned.coalesce(max(1, -(-n // COUNTED_ROWS))).persist()
+    buckets, assembler, binned = _binned(counted, feature_set, params.get("maxBins", BINS))
+    binned = binned.persist()
     try:
-        assembler = VectorAssembler(inputCols=own, outputCol="features", handleInvalid="skip")
         # With that many bins allowed, Spark's own search of splits reads all binned rows and keeps every bin.
         learner = make_learner("gbt", 0, **{**params, "maxBins": 1024})
         return PipelineModel([buckets, assembler, learner.fit(assembler.transform(binned))])
@@ -168,6 +175,98 @@ def fit_boosted(counted: DataFrame, feature_set: str, **params) -> PipelineModel
         binned.unpersist()
 
 
+#: Trees of one forest that are fitted at a time.
+TREES_AT_ONCE = 8
+#: Rows up to which a forest reads single rows: below, one fit of them costs less than a fit for each tree.
+SINGLE_ROWS = 1_000_000
+
+
+def single_rows(counted: DataFrame, feature_set: str) -> DataFrame:
+    """Every counted row ``weight`` times, in an order that depends on the values alone."""
+    cols = [*FEATURE_SETS[feature_set], "label"]
+    rows = counted.select(*cols, F.explode(F.sequence(F.lit(1), F.col("weight").cast("int"))).alias("__copy"))
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, *cols, "__copy").sortWithinPartitions(*cols, "__copy").drop("__copy")
+
+
+def draw_bags(binned: DataFrame, trees: int, rate: float, bootstrap: bool, seed: int) -> DataFrame:
+    """``binned`` with ``draws``: how often each tree's bag holds the row.
+
+    Single rows are each drawn Poisson(``rate``) times by Spark's forest (without
+    bootstrap: kept with that probability), so a row that stands for ``weight``
+    equal ones is drawn Poisson(``rate`` * ``weight``) times (binomially). Draws
+    depend on the row's values and the seed alone, not on partitions or order."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            draws = []
+            for h, w in zip(b.pop("__hash"), b["weight"], strict=True):
+                rng = np.random.default_rng([seed % 2**64, h % 2**64])
+                draws.append(rng.poisson(w * rate, trees) if bootstrap else rng.binomial(int(w), rate, trees))
+            b["draws"] = draws
+            yield b
+    hashed = binned.withColumn("__hash", F.xxhash64(*[c for c in binned.columns if c != "weight"]))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in binned.schema.fields)
+    return hashed.mapInPandas(run, f"{fields}, draws array<bigint>")
+
+
+def fit_forest(counted: DataFrame, feature_set: str, **params) -> PipelineModel:
+    """Forest pipeline (buckets, assembler, learner) fitted on the counted rows' bins.
+
+    Every tree has its own bag of single rows. Rows of the same bins go the same
+    way in every tree, so a bag is the number of times that each combination of bins
+    and label is drawn (``draw_bags``), and a tree is a fit of one tree on
+    rows weighted by it. Leaves hold at least ``minInstancesPerNode`` drawn rows, by
+    their weight. A tree with an empty bag has no vote. Up to ``SINGLE_ROWS`` rows
+    Spark's forest draws the bags itself."""
+    whole = make_learner("random_forest", 0, **params)
+    if (counted.agg(F.sum("weight")).first()[0] or 0) <= SINGLE_ROWS:
+        return Pipeline(stages=[_assembler(feature_set, "random_forest"), whole]).fit(single_rows(counted, feature_set))
+    seed, least = whole.getSeed(), whole.getMinInstancesPerNode()
+    strategy = whole.getFeatureSubsetStrategy()
+    if strategy == "auto":  # of one tree alone Spark would take all features
+        strategy = "sqrt" if whole.getNumTrees() > 1 else "all"
+    buckets, assembler, binned = _binned(counted, feature_set, whole.getMaxBins())
+    bags = stage(draw_bags(binned, whole.getNumTrees(), whole.getSubsamplingRate(), whole.getBootstrap(), seed), "bags")
+    trees = range(whole.getNumTrees())
+    totals = bags.agg((F.max("label") + 1).alias("classes"), *[F.sum(F.col("draws")[t]).alias(f"draw_{t}") for t in trees]).first()
+    sizes = [totals[f"draw_{t}"] or 0 for t in trees]
+    # A label with its number of classes, and a column for each tree: no fit looks for the one or compiles code of its own for the other.
+    classes = {"ml_attr": {"type": "nominal", "num_vals": max(2, int(totals["classes"] or 0))}}
+    bags = assembler.transform(bags).select("features", F.col("label").alias("label", metadata=classes), *[F.col("draws")[t].cast("double").alias(f"draw_{t}") for t in trees]).persist()
+    try:
+        def one(t: int):
+            # A split needs ``least`` rows on both sides, so smaller bags are leaves.
+            own = {"maxDepth": 0} if sizes[t] < 2 * least else {"minWeightFractionPerNode": max(whole.getMinWeightFractionPerNode(), (least - 0.5) / sizes[t])}
+            tree = make_learner("random_forest", 0, **{**params, "numTrees": 1, "bootstrap": False, "subsamplingRate": 1.0, "weightCol": f"draw_{t}", "minInstancesPerNode": 1,
+                                                       "maxBins": 1024, "featureSubsetStrategy": strategy, "seed": seed + t, "cacheNodeIds": False, **own})
+            return tree.fit(bags.select("features", "label", f"draw_{t}").where(F.col(f"draw_{t}") > 0))
+
+        drawn = [t for t in trees if sizes[t]]
+        if not drawn:
+            raise ValueError("no rows to fit a forest on")
+        with ThreadPoolExecutor(TREES_AT_ONCE) as ex:
+            fits = list(ex.map(one, drawn))
+    finally:
+        bags.unpersist()
+    return PipelineModel([buckets, assembler, _forest(whole, fits, len(FEATURE_SETS[feature_set]))])
+
+
+def _forest(learner: RandomForestClassifier, fits: list[RandomForestClassificationModel], n_features: int) -> RandomForestClassificationModel:
+    """One forest model of the trees of ``fits``."""
+    sc = SparkSession.active().sparkContext
+    package = sc._jvm.org.apache.spark.ml.classification
+    trees = sc._gateway.new_array(package.DecisionTreeClassificationModel, len(fits))
+    for i, m in enumerate(fits):
+        trees[i] = m.trees[0]._java_obj
+    own = package.RandomForestClassificationModel(learner.uid, trees, n_features, max(m.numClasses for m in fits))
+    model = RandomForestClassificationModel(own)
+    model._resetUid(learner.uid)
+    return learner._copyValues(model)
+
+
+#: Learners that are fitted on counted rows of bins.
+BINNED_FITS = {"random_forest": fit_forest, "gbt": fit_boosted}
+
+
 def _training_rows(counted: DataFrame, learner: str, feature_set: str) -> DataFrame:
     return mirrored(counted, feature_set) if learner == "logistic_regression" else counted
 
@@ -195,15 +294,13 @@ def fit(df: DataFrame, learner: str, feature_set: str, label: str = S.LABEL,
 
     Logistic fits read each distinct (features, label) row once, weighted by its
     count, boosted ones each distinct row of bins (``fit_boosted``), which leaves their sums as they are. The forest bags
-    single rows, so it reads all of them. ``n_train`` sets the logistic penalty
+    single rows by drawing how many of a counted row each tree gets (``fit_forest``). ``n_train`` sets the logistic penalty
     (default: the number of complete rows)."""
     rows = complete_rows(df, feature_set, label)
-    if learner == "random_forest":
-        return Pipeline(stages=[_assembler(feature_set, learner), make_learner(learner, 0, **params)]).fit(rows)
     counted, n, held = count_rows(rows, feature_set)
     try:
-        if learner == "gbt":
-            return fit_boosted(counted, feature_set, **params)
+        if learner in BINNED_FITS:
+            return BINNED_FITS[learner](counted, feature_set, **params)
         return Pipeline(stages=[_assembler(feature_set, learner), make_learner(learner, n_train or n, **params)]).fit(_training_rows(counted, learner, feature_set))
     finally:
         held.unpersist()
@@ -228,13 +325,10 @@ def cross_validate(df: DataFrame, learner: str, feature_set: str, folds_col: str
     """(fold, auc) for each held-out fold; ``df`` carries the fold column.
 
     Rows are counted once by (features, label, fold). That table is filtered per
-    fold for logistic and boosted fits, and every learner's held-out rows are
+    fold for the fits, and the held-out rows are
     scored from it with their counts. The AUCs are exact, of all folds in one go."""
     spark = df.sparkSession
     rows = complete_rows(df, feature_set, label, (folds_col,))
-    forest = learner == "random_forest"
-    if forest:
-        rows = rows.persist()
     counted, _, cached = count_rows(rows, feature_set, (folds_col,))
 
     def scores(m, held):
@@ -242,11 +336,11 @@ def cross_validate(df: DataFrame, learner: str, feature_set: str, folds_col: str
 
     def one(f):
         held = F.col(folds_col) == f
-        part = rows.where(~held) if forest else counted.where(~held)
-        if learner == "gbt":
-            return scores(fit_boosted(part, feature_set), held)
-        n = 0 if forest else int(part.agg(F.sum("weight")).first()[0] or 0)
-        m = Pipeline(stages=[_assembler(feature_set, learner), make_learner(learner, n)]).fit(part if forest else _training_rows(part, learner, feature_set))
+        part = counted.where(~held)
+        if learner in BINNED_FITS:
+            return scores(BINNED_FITS[learner](part, feature_set), held)
+        n = int(part.agg(F.sum("weight")).first()[0] or 0)
+        m = Pipeline(stages=[_assembler(feature_set, learner), make_learner(learner, n)]).fit(_training_rows(part, learner, feature_set))
         return scores(m, held)
 
     if parallelism > 1:
@@ -259,8 +353,6 @@ def cross_validate(df: DataFrame, learner: str, feature_set: str, folds_col: str
         whole = whole.unionByName(s)
     found = {r["fold"]: r["auc_roc"] for r in auc_roc(whole, ["fold"], weight="weight").collect()}  # one row a fold
     cached.unpersist()
-    if forest:
-        rows.unpersist()
     return spark.createDataFrame([(f, found.get(f)) for f in range(k)], "fold int, auc double")
 
 

@@ -117,3 +117,33 @@ def test_metrics_keep_the_group_without_a_name(spark):
                                  "model string, label int, score double")
     got = X.evaluate_all(rows.withColumn("feature_set", F.lit(None).cast("string"))).collect()
     assert sorted(str(r["model"]) for r in got) == ["None", "a"] and len({r["auc_roc"] for r in got}) == 1
+
+
+def test_bags_of_counted_rows(spark):
+    """Draws follow the row's values, not its place, with the mean and variance of single draws."""
+    rows = spark.range(400).select(F.col("id").cast("double").alias("x"), F.lit(1.0).alias("label"), F.lit(50.0).alias("weight"))
+    a = M.draw_bags(rows.repartition(3), 20, 1.0, True, 42)
+    b = M.draw_bags(rows.coalesce(1), 20, 1.0, True, 42)
+    assert a.exceptAll(b).count() == 0
+    r = a.select(F.explode("draws").alias("n")).agg(F.avg("n").alias("mean"), F.variance("n").alias("var")).first()
+    assert abs(r["mean"] - 50) < 0.5 and abs(r["var"] - 50) < 5
+    assert set(M.draw_bags(rows.limit(5), 3, 1.0, False, 42).select(F.explode("draws")).distinct().toPandas()["col"]) == {50}
+
+
+def test_forest_of_counted_rows_is_the_forest_of_single_rows(ds, monkeypatch):
+    cols = M.FEATURE_SETS["baseline"]
+    single = M.fit(ds["baseline_train"], "random_forest", "baseline", numTrees=20)
+    monkeypatch.setattr(M, "SINGLE_ROWS", 0)
+    bagged = M.fit(ds["baseline_train"], "random_forest", "baseline", numTrees=20)
+    assert bagged.stages[-1].getNumTrees == 20
+    a = M.predict(single, ds["baseline_test"], "baseline").select(*cols, "score").distinct()
+    b = M.predict(bagged, ds["baseline_test"], "baseline").select(*cols, F.col("score").alias("other")).distinct()
+    assert a.join(b, cols).agg(F.avg(F.abs(F.col("score") - F.col("other")))).first()[0] < 0.05
+
+
+def test_forest_reads_counts_not_rows(spark):
+    """Eight billion rows in eight: a forest that read single rows would not end."""
+    rows = [(float(p), 1.0, float(f), 0.0, float(p), 1.0, 1e9 if p == f else 1e9 + 1) for p in (0, 1) for f in (0, 1, 2, 3)]
+    counted = spark.createDataFrame(rows, [*M.FEATURE_SETS["baseline"], "label", M.BIAS, "weight"])
+    m = M.fit_forest(counted, "baseline", numTrees=4, featureSubsetStrategy="all")
+    assert M.importances(m, "baseline")["p_score"] > 0.99
