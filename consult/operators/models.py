@@ -63,7 +63,7 @@ def make_learner(name: str, n_train: int, seed: int = S.SEED, **params):
     ``mirrored`` rows), and regParam = 1 / n on the mean loss. Forest: 100 trees, depth 10, at least 2
     rows per leaf, sqrt features. Boosted: 100 rounds, depth 6, step 0.1, log
     loss; node ids are not cached (shallow trees: the cache costs more than it
-    saves), and the per-round lineage is
+    saves; the deep forest does cache them), and the per-round lineage is
     checkpointed every 10 rounds. Trees aggregate a level's nodes in up to 1 GB
     at once. Logistic and boosted learners take weights, the forest's trees those of their bags."""
     if name == "logistic_regression":
@@ -181,13 +181,6 @@ TREES_AT_ONCE = 8
 SINGLE_ROWS = 1_000_000
 
 
-def single_rows(counted: DataFrame, feature_set: str) -> DataFrame:
-    """Every counted row ``weight`` times, in an order that depends on the values alone."""
-    cols = [*FEATURE_SETS[feature_set], "label"]
-    rows = counted.select(*cols, F.explode(F.sequence(F.lit(1), F.col("weight").cast("int"))).alias("__copy"))
-    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, *cols, "__copy").sortWithinPartitions(*cols, "__copy").drop("__copy")
-
-
 def draw_bags(binned: DataFrame, trees: int, rate: float, bootstrap: bool, seed: int) -> DataFrame:
     """``binned`` with ``draws``: how often each tree's bag holds the row.
 
@@ -208,18 +201,18 @@ def draw_bags(binned: DataFrame, trees: int, rate: float, bootstrap: bool, seed:
     return hashed.mapInPandas(run, f"{fields}, draws array<bigint>")
 
 
-def fit_forest(counted: DataFrame, feature_set: str, **params) -> PipelineModel:
+def fit_forest(counted: DataFrame, feature_set: str, rows: DataFrame | None = None, **params) -> PipelineModel:
     """Forest pipeline (buckets, assembler, learner) fitted on the counted rows' bins.
 
     Every tree has its own bag of single rows. Rows of the same bins go the same
     way in every tree, so a bag is the number of times that each combination of bins
     and label is drawn (``draw_bags``), and a tree is a fit of one tree on
     rows weighted by it. Leaves hold at least ``minInstancesPerNode`` drawn rows, by
-    their weight. A tree with an empty bag has no vote. Up to ``SINGLE_ROWS`` rows
-    Spark's forest draws the bags itself."""
+    their weight. A tree with an empty bag has no vote. Of ``rows``, the same rows
+    singly (``SINGLE_ROWS`` at most), Spark's forest draws the bags itself."""
     whole = make_learner("random_forest", 0, **params)
-    if (counted.agg(F.sum("weight")).first()[0] or 0) <= SINGLE_ROWS:
-        return Pipeline(stages=[_assembler(feature_set, "random_forest"), whole]).fit(single_rows(counted, feature_set))
+    if rows is not None:
+        return Pipeline(stages=[_assembler(feature_set, "random_forest"), whole]).fit(rows)
     seed, least = whole.getSeed(), whole.getMinInstancesPerNode()
     strategy = whole.getFeatureSubsetStrategy()
     if strategy == "auto":  # of one tree alone Spark would take all features
@@ -263,10 +256,6 @@ def _forest(learner: RandomForestClassifier, fits: list[RandomForestClassificati
     return learner._copyValues(model)
 
 
-#: Learners that are fitted on counted rows of bins.
-BINNED_FITS = {"random_forest": fit_forest, "gbt": fit_boosted}
-
-
 def _training_rows(counted: DataFrame, learner: str, feature_set: str) -> DataFrame:
     return mirrored(counted, feature_set) if learner == "logistic_regression" else counted
 
@@ -299,8 +288,10 @@ def fit(df: DataFrame, learner: str, feature_set: str, label: str = S.LABEL,
     rows = complete_rows(df, feature_set, label)
     counted, n, held = count_rows(rows, feature_set)
     try:
-        if learner in BINNED_FITS:
-            return BINNED_FITS[learner](counted, feature_set, **params)
+        if learner == "random_forest":
+            return fit_forest(counted, feature_set, rows if n <= SINGLE_ROWS else None, **params)
+        if learner == "gbt":
+            return fit_boosted(counted, feature_set, **params)
         return Pipeline(stages=[_assembler(feature_set, learner), make_learner(learner, n_train or n, **params)]).fit(_training_rows(counted, learner, feature_set))
     finally:
         held.unpersist()
@@ -329,7 +320,10 @@ def cross_validate(df: DataFrame, learner: str, feature_set: str, folds_col: str
     scored from it with their counts. The AUCs are exact, of all folds in one go."""
     spark = df.sparkSession
     rows = complete_rows(df, feature_set, label, (folds_col,))
-    counted, _, cached = count_rows(rows, feature_set, (folds_col,))
+    counted, total, cached = count_rows(rows, feature_set, (folds_col,))
+    single = learner == "random_forest" and total <= SINGLE_ROWS
+    if single:
+        rows = rows.persist()
 
     def scores(m, held):
         return predict(m, counted.where(held), feature_set).select(F.col(folds_col).cast("int").alias("fold"), "label", "weight", "score")
@@ -337,8 +331,10 @@ def cross_validate(df: DataFrame, learner: str, feature_set: str, folds_col: str
     def one(f):
         held = F.col(folds_col) == f
         part = counted.where(~held)
-        if learner in BINNED_FITS:
-            return scores(BINNED_FITS[learner](part, feature_set), held)
+        if learner == "random_forest":
+            return scores(fit_forest(part, feature_set, rows.where(~held) if single else None), held)
+        if learner == "gbt":
+            return scores(fit_boosted(part, feature_set), held)
         n = int(part.agg(F.sum("weight")).first()[0] or 0)
         m = Pipeline(stages=[_assembler(feature_set, learner), make_learner(learner, n)]).fit(_training_rows(part, learner, feature_set))
         return scores(m, held)
@@ -353,6 +349,8 @@ def cross_validate(df: DataFrame, learner: str, feature_set: str, folds_col: str
         whole = whole.unionByName(s)
     found = {r["fold"]: r["auc_roc"] for r in auc_roc(whole, ["fold"], weight="weight").collect()}  # one row a fold
     cached.unpersist()
+    if single:
+        rows.unpersist()
     return spark.createDataFrame([(f, found.get(f)) for f in range(k)], "fold int, auc double")
 
 
