@@ -10,10 +10,18 @@ ancestors, so the tree (l and r) is built over those places alone.
 
 The signature of a window is its smallest shingle with the 15 words that begin
 or end with it. Windows of a signature are linked to one window of it, the hub
-(smallest id), not to each other, so copies cost a row each. The interval join
+(smallest id), not to each other, so copies cost a row each. A hub may share less
+than a passage with two windows that share one: where a signature has three
+windows or more, they are compared with the hub shingle by shingle, as far as a
+passage reaches from p, and those that leave it at the same shingle, on the left or
+the right, with the same next one form a group with a hub of its own, as long as one of
+them shares less than a passage with the hub before (``_finer``). So two texts
+with a verbatim passage are linked to each other or each to a hub that has a
+passage there. The interval join
 keeps links whose windows, laid over each other at p, share a passage or more;
 links of one (document, hub document, offset) whose intervals overlap form a
-place if at least ``ENOUGH`` hash functions agree; overlapping places whose
+place if at least ``ENOUGH`` hash functions agree or one of them is verbatim over a
+passage; overlapping places whose
 offsets are at most ``DRIFT`` apart form a candidate. A candidate is verified:
 the longest stretches of the two texts at one offset with a shingle similarity
 of ``SIMILARITY`` or more and of a passage's length or more are returned. Where
@@ -23,6 +31,9 @@ the places', is cut into stretches in the same way, and those that hold such
 shingles are returned if the Jaccard of the shingle sets of both spans is
 ``SIMILARITY`` or more and each span is a passage.
 
+Of equal texts only the one of smallest number is compared with others; the rest
+are linked to it as a whole and share the passages found for it.
+
 A document is an id with its text. Where every id is there once it is its own
 number; else documents are numbered by (id, text), null ids last, and results
 carry the ids.
@@ -41,7 +52,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from consult.functions.prefix import dense_index
@@ -53,6 +64,8 @@ PASSAGE, SIMILARITY, HASHES, ENOUGH = 50, 0.8, 3, 2
 DRIFT = 16
 #: Shingles of the least passage.
 WIDTH = PASSAGE - SHINGLE + 1
+#: Shingles left or right of a place that a least passage around it may hold.
+SIDE = WIDTH - 1
 
 
 def compact_windows(v: np.ndarray, first: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -122,18 +135,109 @@ def _windows(rows: DataFrame, hashes: int) -> DataFrame:
     return rows.mapInArrow(run, WINDOW)
 
 
-def candidates(rows: DataFrame, hashes: int = HASHES, enough: int = ENOUGH) -> DataFrame:
-    """(a, b, at): at each (shift, lo, hi), shingles lo..hi of a may stand in b, ``shift`` shingles earlier."""
+def _copies(rows: DataFrame) -> DataFrame:
+    """(id, same): documents whose text one of smaller id, the smallest being ``same``, has too; texts too short for a passage are left out."""
+    texts = rows.where(F.length("t") >= 2 * PASSAGE - 1).select("id", F.sha2("t", 256).alias("digest"))
+    least = texts.groupBy("digest").agg(F.min("id").alias("same"), F.max("id").alias("last")).where("same < last")
+    return texts.join(least, "digest").where("id <> same").select("id", "same")
+
+
+def _around(windows: DataFrame, rows: DataFrame) -> DataFrame:
+    """``windows`` with ``around``: a byte for each shingle up to ``SIDE`` left and right of p, 0 outside l..r."""
+    held = windows.groupBy("id").agg(F.collect_list(F.struct("key", "f", "p", "l", "r")).alias("at"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, texts in chunks(batches, "t"):
+            sh, _, first = Words(texts).shingles(short=False)
+            code = (mix(sh) % np.uint64(255)).astype(np.uint8) + np.uint8(1)
+            many = b.column("at").value_lengths().to_numpy()
+            at, ids = b.column("at").flatten(), np.repeat(b.column("id").to_numpy(), many)
+            start = np.repeat(first[:-1], many)
+            p, l, r = (start + at.field(c).to_numpy() for c in "plr")
+            for lo in range(0, len(p), 1 << 14):
+                cut = slice(lo, lo + (1 << 14))
+                spot = p[cut, None] + np.arange(-SIDE, SIDE + 1)
+                inside = (spot >= l[cut, None]) & (spot <= r[cut, None])
+                bytes_ = np.where(inside, code[np.clip(spot, 0, len(code) - 1)], 0).astype(np.uint8)
+                ends = np.arange(0, bytes_.size + 1, 2 * SIDE + 1, dtype=np.int32)
+                around = pa.Array.from_buffers(pa.binary(), len(bytes_), [None, pa.py_buffer(ends), pa.py_buffer(bytes_.tobytes())])
+                part = at.slice(lo, len(bytes_))
+                yield pa.RecordBatch.from_arrays([part.field("key"), pa.array(ids[cut]), *[part.field(c) for c in "fplr"], around], ["key", "id", *"fplr", "around"])
+    return held.join(rows, "id").select("id", "at", "t").mapInArrow(run, f"{WINDOW}, around binary")
+
+
+def _parting(pairs: DataFrame) -> DataFrame:
+    """``pairs`` with the distances from p, left (dl) and right (dr), of the first shingle that ``around`` does not share with ``other``; ``SIDE`` + 1: none.
+
+    Of ``around`` only the shingles less than ``clip`` left of p count."""
+    columns = [c for c in pairs.columns if c != "other"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            one, two = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, 2 * SIDE + 1) for c in ("around", "other"))
+            unlike = (one != two) | (one == 0)
+            left, right = unlike[:, :SIDE][:, ::-1] | (np.arange(1, SIDE + 1) >= b.column("clip").to_numpy()[:, None]), unlike[:, SIDE + 1:]
+            far = [np.where(side.any(1), side.argmax(1) + 1, SIDE + 1).astype(np.int32) for side in (left, right)]
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in columns], *map(pa.array, far)], [*columns, "dl", "dr"])
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pairs.schema.fields if f.name != "other")
+    return pairs.mapInArrow(run, f"{fields}, dl int, dr int")
+
+
+def _laid(links: DataFrame, by: Column) -> DataFrame:
+    """Links (id, p, l, r; hub, h) as (a, b, bits of the hash functions, shift, lo, hi), if they share a passage or more."""
+    move = F.col("p") - F.col("h.p")
+    out = links.select(F.col("id").alias("a"), F.col("hub").alias("b"), by.cast("int").alias("by"), move.alias("shift"), F.greatest(F.col("l"), F.col("h.l") + move).alias("lo"), F.least(F.col("r"), F.col("h.r") + move).alias("hi"))
+    return out.where(F.col("hi") - F.col("lo") + 1 >= WIDTH)
+
+
+def _finer(shared: DataFrame, rows: DataFrame, hashes: int) -> list[DataFrame]:
+    """Links of windows whose signature three or more have, to hubs of finer groups; those verbatim over a passage count for all hash functions.
+
+    Two windows that share more than both share with the hub leave it at the same
+    shingle with the same next one, so they meet again in the group of it; in the group of
+    the right side only what the left one does not cover (``clip``) counts. A group whose
+    windows all share a passage with the hub before is done. Each
+    round the windows of a group agree on one shingle more, and most are alone in the next."""
+    crowded = shared.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 2").select("key")
+    now = _around(shared.join(crowded, "key").select("key", "id", *"fplr"), rows).withColumn("clip", F.lit(SIDE + 1))
+    out: list[DataFrame] = []
+    while True:
+        now = stage(now, "finer")
+        hubs = now.groupBy("key").agg(F.min(F.struct("id", *"plr", "around")).alias("h"))
+        pairs = now.join(hubs, "key").where("id <> h.id")
+        pairs = pairs.select("key", "id", *"fplr", "clip", "around", F.col("h.id").alias("hub"), F.struct(*[F.col(f"h.{c}").alias(c) for c in "plr"]).alias("h"), F.col("h.around").alias("other"))
+        parted = stage(_parting(pairs).withColumn("sure", F.expr(f"dl + dr > {WIDTH}")), "parted")
+        # The signature's group is linked to its hub already, so of the first round only the verbatim links are new.
+        links = parted if out else parted.where("sure")
+        out.append(_laid(links, F.when(F.col("sure"), F.lit((1 << hashes) - 1)).otherwise(F.expr("shiftleft(1, CAST(f AS int))"))))
+        right = f"least({SIDE}, r - p)"
+        ways = parted.select("id", *"fplr", "around", "sure", F.explode(F.expr(f"""filter(array(
+            struct(xxhash64(key, 0, dl, substring(around, {SIDE + 1} - dl, 1)) AS key, clip AS clip, dl < clip AND dl <= least({SIDE}, p - l) AS ok),
+            struct(xxhash64(key, 1, dr, substring(around, {SIDE + 1} + dr, 1)) AS key, dl AS clip, dr <= {right} AND dl - 1 + {right} >= {SIDE} AS ok)), w -> w.ok)""")).alias("w"))
+        ways = ways.select("w.key", "id", *"fplr", "around", "w.clip", "sure")
+        groups = ways.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("last"), F.bool_and("sure").alias("done")).where("least < last AND NOT done").select("key")
+        groups = stage(groups, "finer_groups")
+        if groups.isEmpty():
+            return out
+        now = ways.drop("sure").join(groups, "key")
+
+
+def candidates(rows: DataFrame, hashes: int = HASHES, enough: int = ENOUGH, copies: DataFrame | None = None) -> DataFrame:
+    """(a, b, at): at each (shift, lo, hi), shingles lo..hi of a may stand in b, ``shift`` shingles earlier; of ``copies`` (id, same) only with the document they copy."""
+    copies = stage(_copies(rows), "copies") if copies is None else copies
     windows = stage(_windows(rows, hashes), "windows")
     hubs = stage(windows.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last").select("key", "hub"), "hubs")
-    shared = stage(windows.join(hubs, "key"), "shared")
+    # The hub has the smallest id, so it is no copy.
+    shared = stage(windows.join(hubs, "key").join(copies.select("id"), "id", "left_anti"), "shared")
     one = shared.where("id = hub").groupBy("key").agg(F.min(F.struct("p", "l", "r")).alias("h"))
     links = shared.where("id <> hub").join(stage(one, "hub_windows"), "key")
-    links = links.select(F.col("id").alias("a"), F.col("hub").alias("b"), "f", (F.col("p") - F.col("h.p")).alias("shift"), "l", "r", (F.col("h.l") + F.col("p") - F.col("h.p")).alias("hl"), (F.col("h.r") + F.col("p") - F.col("h.p")).alias("hr"))
-    laid = links.select("a", "b", "f", "shift", F.greatest("l", "hl").alias("lo"), F.least("r", "hr").alias("hi")).where(F.col("hi") - F.col("lo") + 1 >= WIDTH)
-    laid = laid.distinct()
+    laid = _laid(links, F.expr("shiftleft(1, CAST(f AS int))"))
+    for more in _finer(shared, rows, hashes):
+        laid = laid.unionByName(more)
+    whole = copies.select(F.col("id").alias("a"), F.col("same").alias("b"), F.lit((1 << hashes) - 1).alias("by"), F.lit(0).alias("shift"), F.lit(0).alias("lo"), F.lit((1 << 31) - 2).alias("hi"))
+    laid = laid.distinct().unionByName(whole)
     cut = _islands(laid, "a", "b", "shift")
-    grouped = cut.groupBy("a", "b", "shift", "island").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.expr("bit_count(bit_or(shiftleft(1, CAST(f AS int))))").alias("agree"))
+    grouped = cut.groupBy("a", "b", "shift", "island").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.expr("bit_count(bit_or(by))").alias("agree"))
     w = Window.partitionBy("a", "b").orderBy("shift")
     placed = grouped.where(F.col("agree") >= enough).select("a", "b", "shift", "lo", "hi").withColumn("far", F.coalesce((F.col("shift") - F.lag("shift").over(w) > DRIFT).cast("int"), F.lit(0)))
     near = placed.withColumn("course", F.sum("far").over(w.rangeBetween(Window.unboundedPreceding, 0)))
@@ -273,9 +377,13 @@ def numbered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Da
 def shared_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hashes: int = HASHES, enough: int = ENOUGH) -> DataFrame:
     """(id, start_word, n_words, source_id, source_start, source_n_words, similarity): passages that the source, of smaller id, has too."""
     rows, names = numbered(docs, id_col, text_col)
-    found = stage(candidates(rows, hashes, enough), "candidates")
+    copies = stage(_copies(rows), "copies")
+    found = stage(candidates(rows, hashes, enough, copies), "candidates")
     a, b = rows.select(F.col("id").alias("a"), F.col("t").alias("ta")), rows.select(F.col("id").alias("b"), F.col("t").alias("tb"))
-    out = _verify(found.join(a, "a").join(b, "b").select("a", "b", "at", "ta", "tb")).distinct()
+    out = stage(_verify(found.join(a, "a").join(b, "b").select("a", "b", "at", "ta", "tb")).distinct(), "passages")
+    own = copies.select(F.col("id").alias("copy"), F.col("same").alias("id")).join(out, "id").select(F.col("copy").alias("id"), *out.columns[1:])
+    # Of a copy's rows those with its original are its own; the original's rows never have it as a source.
+    out = out.unionByName(own)
     if names is None:
         return out
     out = out.join(names.select(F.col("n").alias("id"), F.col("name").alias("own")), "id").join(names.select(F.col("n").alias("source_id"), F.col("name").alias("source")), "source_id")

@@ -128,6 +128,24 @@ def test_passages_of_documents_that_share_an_id_or_have_none(spark):
     assert [(r.id, r.source_id, r.n_words) for r in rows] == [(None, None, 60)]
 
 
+def test_op1_hubs_that_share_less_than_a_passage(spark):
+    """Wherever a window of the shared passage stands, a document of smaller id has its signature, but not 50 words."""
+    def words(name, n):
+        return [f"{name}{i}" for i in range(n)]
+    docs, want = [], set()
+    for k in range(8):
+        p, n = words(f"p{k}x", 60), 10 * k
+        pieces = [p[:48], p[12:], words(f"l{k}x", 30) + p, p + words(f"r{k}x", 30), p[:48]]
+        docs += [(n + i, " ".join(words(f"a{k}x{i}x", 25) + piece + words(f"b{k}x{i}x", 25))) for i, piece in enumerate(pieces)]
+        want.add((n + 3, 25, 60, n + 2, 55, 60))
+    docs.append((99, docs[2][1]))
+    got = substring_dedup.shared_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    whole = len(docs[2][1].split())
+    want |= {(99, 0, whole, 2, 0, whole)}
+    rows = {(r.id, r.start_word, r.n_words, r.source_id, r.source_start, r.source_n_words) for r in got if r.similarity == 1}
+    assert len(got) == len(rows) and rows == want
+
+
 def test_passages_with_edits_are_found(spark):
     """Recall on passages of 60 to 90 words with a word put in, left out or changed in the middle."""
     random.seed(7)
