@@ -6,7 +6,7 @@ and scoring, so the two can not drift apart.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from consult import schema as S
@@ -57,11 +57,13 @@ def add_consultation_sequence(df: DataFrame, key: str = S.PSEUDO_ID,
     rest = [c for c in df.columns if c != key and c not in date]
     out = rank_within(df, [key], date + rest, out="consultation_number",
                       total_out="total_consultations_for_patient", num_partitions=num_partitions)
-    n = F.col("consultation_number")
-    return out.select(*df.columns, n.alias("consultation_number"),
-                      (n == 1).cast("int").alias("is_first_consultation"),
-                      (n > 1).cast("int").alias("is_follow_up"),
-                      "total_consultations_for_patient")
+    return out.select(*df.columns, *sequence_columns(F.col("consultation_number"), F.col("total_consultations_for_patient")))
+
+
+def sequence_columns(number: Column, total: Column) -> list[Column]:
+    """The four sequence columns of a row's position and its patient's rows."""
+    return [number.alias("consultation_number"), (number == 1).cast("int").alias("is_first_consultation"),
+            (number > 1).cast("int").alias("is_follow_up"), total.alias("total_consultations_for_patient")]
 
 
 def sequence_stats(df: DataFrame, key: str = S.PSEUDO_ID) -> DataFrame:

@@ -1322,9 +1322,9 @@ def model_data(spark, d):
 
 
 def model_rows(spark, d):
-    """The clean fixture's features with the split and the folds, written once an application."""
+    """The clean fixture's model columns with the split and the folds, written once an application."""
     from consult.plans.prepare import tagged_rows
-    return reused(spark, d, "model-rows", lambda: tagged_rows(cleaned(spark, d))[0])
+    return reused(spark, d, "model-rows", lambda: tagged_rows(cleaned(spark, d))[0].select(*S.ENHANCED_TABLE_ORDER, "split", "fold"))
 
 
 def folded(spark, d, fs):

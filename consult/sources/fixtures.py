@@ -45,21 +45,27 @@ def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def consultations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean 8-column consultation table (one row per line item)."""
-    j = _joined(spark, sf_dir)
-    b = j.select(
+    """Clean 8-column consultation table (one row per line item).
+
+    Line items go to the join as the few short values that are read of them."""
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_quantity", F.col("l_shipdate").cast("date").alias("contact_date"),
+        _status(F.col("l_returnflag"), {"A": 0, "N": 1}, 2).alias("fl_status"),
+        (F.col("l_partkey") % 5 == 0).alias("unknown"), (F.col("l_suppkey") % 3).alias("third"))
+    od = table(spark, sf_dir, "orders")
+    b = li.join(od, li.l_orderkey == od.o_orderkey, "inner").select(
         _pid(F.col("o_custkey")).alias("accident_number"),
         F.col("o_orderdate").cast("date").alias("accident_date"),
-        F.col("l_shipdate").cast("date").alias("contact_date"),
+        "contact_date",
         _fl_score(F.col("l_quantity")).alias("fl_score"),
-        _status(F.col("l_returnflag"), {"A": 0, "N": 1}, 2).alias("fl_status"),
+        "fl_status",
         _p_score(F.col("o_orderpriority")).alias("p_score"),
         _status(F.col("o_orderstatus"), {"F": 0, "O": 1}, 2).alias("p_status"),
-        "l_partkey", "l_suppkey",
+        "unknown", "third",
     )
-    nbe = (F.when(F.col("l_partkey") % 5 == 0, F.lit(2))
+    nbe = (F.when(F.col("unknown"), F.lit(2))
            .when(F.col("p_score") + F.col("fl_score") - F.col("p_status") - F.col("fl_status")
-                 + F.col("l_suppkey") % 3 <= 3, F.lit(1))
+                 + F.col("third") <= 3, F.lit(1))
            .otherwise(F.lit(0)))
     return b.select("accident_number", "accident_date", "contact_date", "fl_score",
                     "fl_status", "p_score", "p_status", nbe.cast("int").alias("nbe"))

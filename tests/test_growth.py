@@ -5,12 +5,15 @@ from __future__ import annotations
 import datetime as dt
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from consult import schema as S
+from consult import session
 from consult.operators import models as M
 from consult.operators import split as SP
-from consult.operators.features import add_interactions
+from consult.operators.features import add_consultation_sequence, add_interactions
+from consult.plans import prepare
 from consult.plans.prepare import build_datasets, tagged_rows
 from consult.streaming import runner
 
@@ -47,6 +50,33 @@ def test_tagged_rows_have_the_split_and_folds_of_the_operators(spark):
     assert own.exceptAll(SP.assign_folds(train)).isEmpty() and own.count() == train.count()
 
 
+def test_rows_are_written_once_before_they_meet_their_patients(spark, monkeypatch):
+    plain, written = session.stage, []
+
+    def noted(df, name):
+        out = plain(df, name)
+        written.append((name, out.count()))
+        return out
+    monkeypatch.setattr(session, "stage", noted)
+    monkeypatch.setattr(prepare, "stage", noted)
+    rows, _, _ = tagged_rows(_cleaned(spark))
+    # 240 rows of 40 patients, in 8 ranges: all else is one row a patient, or two where a range ends.
+    assert [name for name, n in written if n > 48] == ["ranked"] and rows.count() == 240
+
+
+def test_place_in_the_sequence_of_a_patient_that_spans_ranges(spark):
+    who = F.when(F.col("accident_number") > "P12", "P500").otherwise(F.col("accident_number"))
+    cleaned = _cleaned(spark).withColumn("accident_number", F.when(F.col("accident_number") != "P0", who)).distinct()
+    rows, _, _ = tagged_rows(cleaned)
+    seq = ["consultation_number", "is_first_consultation", "is_follow_up", "total_consultations_for_patient"]
+    values = [c for c in cleaned.columns if c != "accident_number"]
+    want = add_consultation_sequence(cleaned, key="accident_number").select(*values, *seq)
+    # The rows without an id are numbered too; only their pseudonym fails.
+    assert rows.select(*values, *seq).exceptAll(want).isEmpty() and rows.select(*seq).count() == want.count()
+    with pytest.raises(Exception, match="id missing"):
+        rows.select(S.PSEUDO_ID).collect()
+
+
 def test_counted_table_outlives_its_unpersist_without_a_second_count(spark):
     rows = M.complete_rows(_cleaned(spark), "baseline")
     counted, n, held = M.count_rows(rows, "baseline")
