@@ -15,7 +15,7 @@
    into the block before the next round, so all shards share that score.
 
 Shards are of equal size whatever the data (equal vectors have distinct rows),
-and nothing is broadcast. Scores are exact: in floats where every product sum
+and nothing is broadcast: blocks and shards meet by sort-merge at every size. Scores are exact: in floats where every product sum
 is below 2^53, else in Python integers.
 
 Defined results: vectors that are null or hold a null or non-finite component
@@ -264,7 +264,9 @@ def top_products(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str =
         upto = min(shards, max(1, seen * GROWTH))
         turn = F.explode(F.sequence(F.lit(seen), F.lit(upto - 1)))
         pairs = held.select("block", "state", turn.alias("turn")).withColumn("shard", F.pmod(F.col("block") + F.col("turn"), F.lit(shards)).cast("int"))
-        hits = pairs.join(trees, "shard").select("shard", "tree", "block", "state").mapInArrow(meet, "block int, state binary")
+        # A block becomes a row for every shard it meets, which no estimate sees: by the blocks' size on file
+        # Spark would broadcast all pairs. A partition gets few shards, so that tasks share the work.
+        hits = pairs.repartition(2 * shards, "shard").hint("merge").join(trees, "shard").select("shard", "tree", "block", "state").mapInArrow(meet, "block int, state binary")
         held = stage(held.unionByName(hits).groupBy("block").applyInArrow(gather, "block int, state binary"), "blocks")
         seen = upto
     return held.mapInArrow(report, "query_id long, rank int, vec_id long, score long")

@@ -34,6 +34,16 @@ def test_small_shards_and_blocks(spark):
     assert run(spark, rows, 20, shard_rows=70, block=8) == brute(rows, 20)
 
 
+def test_pairs_do_not_go_through_the_driver(spark, monkeypatch):
+    """Blocks small enough on file to be broadcast become many pairs: no plan sends them through the driver."""
+    plans, stage = [], topk_search.stage
+    monkeypatch.setattr(topk_search, "stage", lambda df, name: (plans.append(df._jdf.queryExecution().executedPlan().toString()), stage(df, name))[1])
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(0, 0.4, 5).tolist()) for i in range(200)]
+    assert run(spark, rows, 20, shard_rows=20, block=4) == brute(rows, 20)
+    assert sum("SortMergeJoin" in p for p in plans) == 3 and not any("Broadcast" in p for p in plans)
+
+
 def test_ties_nulls_and_repeats(spark):
     """Half the rows are one vector; ids repeat or are null; lengths differ; some vectors take no part."""
     rng = np.random.default_rng(6)
