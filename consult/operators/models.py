@@ -12,11 +12,13 @@ import itertools
 import math
 import sys
 import time
+import uuid
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import Evaluator
@@ -28,9 +30,10 @@ from pyspark.sql import functions as F
 
 from consult import schema as S
 from consult.functions.exprs import confidence_level, r6
+from consult.operators import forest
 from consult.operators.features import SCORING_INTERACTIONS, add_interactions, fill_defaults
 from consult.operators.metrics import auc_roc
-from consult.session import stage
+from consult.session import scratch_path, stage
 
 LEARNERS = ["logistic_regression", "random_forest", "gbt"]
 FEATURE_SETS = {"baseline": S.BASELINE_FEATURES, "enhanced": S.ENHANCED_FEATURES}
@@ -149,14 +152,14 @@ def _bucketizer(thresholds: list[list[float]], cols: list[str], out: list[str])
     return Bucketizer(splitsArray=splits, inputCols=cols, outputCols=out, handleInvalid="keep")
 
 
-def _binned(counted: DataFrame, feature_set: str, bins: int) -> tuple[Bucketizer, VectorAssembler, DataFrame]:
-    """Buckets, assembler, and one row of (bins, label, weight) for each combination that is there."""
+def _binned(counted: DataFrame, feature_set: str, bins: int, rows: int = COUNTED_ROWS) -> tuple[Bucketizer, VectorAssembler, DataFrame]:
+    """Buckets, assembler, and one row of (bins, label, weight) for each combination that is there, ``rows`` of them a partition."""
     cols = FEATURE_SETS[feature_set]
     own = [f"{c}__bin" for c in cols]
     found = bin_thresholds(counted, feature_set, bins)
     buckets = _bucketizer([found.get(c, []) for c in cols], cols, own)
     binned = stage(buckets.transform(counted).groupBy(*own, "label").agg(F.sum("weight").alias("weight")), "binned")
-    binned = binned.coalesce(max(1, -(-binned.count() // COUNTED_ROWS)))
+    binned = binned.coalesce(max(1, -(-binned.count() // rows)))
     return buckets, VectorAssembler(inputCols=own, outputCol="features", handleInvalid="skip"), binned
 
 
@@ -175,9 +178,9 @@ def fit_boosted(counted: DataFrame, feature_set: str, **params) -> PipelineModel
         binned.unpersist()
 
 
-#: Trees of one forest that are fitted at a time.
-TREES_AT_ONCE = 8
-#: Rows up to which a forest reads single rows: below, one fit of them costs less than a fit for each tree.
+#: Rows of bins of a forest that one task goes through, all trees of a level in one go.
+FOREST_ROWS = 50_000
+#: Rows up to which a forest reads single rows: it keeps the models of small tables as they are.
 SINGLE_ROWS = 1_000_000
 
 
@@ -206,52 +209,38 @@ def fit_forest(counted: DataFrame, feature_set: str, rows: DataFrame | None = No
 
     Every tree has its own bag of single rows. Rows of the same bins go the same
     way in every tree, so a bag is the number of times that each combination of bins
-    and label is drawn (``draw_bags``), and a tree is a fit of one tree on
-    rows weighted by it. Leaves hold at least ``minInstancesPerNode`` drawn rows, by
-    their weight. A tree with an empty bag has no vote. Of ``rows``, the same rows
+    and label is drawn (``draw_bags``). All trees grow together, one job a level
+    (``forest.grow``). Leaves hold at least ``minInstancesPerNode`` drawn rows.
+    A tree with an empty bag has no vote. Of ``rows``, the same rows
     singly (``SINGLE_ROWS`` at most), Spark's forest draws the bags itself."""
-    whole = make_learner("random_forest", 0, **params)
+    learner = make_learner("random_forest", 0, **params)
     if rows is not None:
-        return Pipeline(stages=[_assembler(feature_set, "random_forest"), whole]).fit(rows)
-    seed, least = whole.getSeed(), whole.getMinInstancesPerNode()
-    strategy = whole.getFeatureSubsetStrategy()
-    if strategy == "auto":  # of one tree alone Spark would take all features
-        strategy = "sqrt" if whole.getNumTrees() > 1 else "all"
-    buckets, assembler, binned = _binned(counted, feature_set, whole.getMaxBins())
-    bags = stage(draw_bags(binned, whole.getNumTrees(), whole.getSubsamplingRate(), whole.getBootstrap(), seed), "bags")
-    trees = range(whole.getNumTrees())
-    totals = bags.agg((F.max("label") + 1).alias("classes"), *[F.sum(F.col("draws")[t]).alias(f"draw_{t}") for t in trees]).first()
-    sizes = [totals[f"draw_{t}"] or 0 for t in trees]
-    # A label with its number of classes, and a column for each tree: no fit looks for the one or compiles code of its own for the other.
-    classes = {"ml_attr": {"type": "nominal", "num_vals": max(2, int(totals["classes"] or 0))}}
-    bags = assembler.transform(bags).select("features", F.col("label").alias("label", metadata=classes), *[F.col("draws")[t].cast("double").alias(f"draw_{t}") for t in trees]).persist()
+        return Pipeline(stages=[_assembler(feature_set, "random_forest"), learner]).fit(rows)
+    cols, n_trees, kind = FEATURE_SETS[feature_set], learner.getNumTrees(), learner.getImpurity()
+    buckets, assembler, binned = _binned(counted, feature_set, learner.getMaxBins(), FOREST_ROWS)
+    bags = draw_bags(binned, n_trees, learner.getSubsamplingRate(), learner.getBootstrap(), learner.getSeed())
+    blocks = stage(forest.pack_bags(bags, assembler.getInputCols()), "bags").persist()
     try:
-        def one(t: int):
-            # A split needs ``least`` rows on both sides, so smaller bags are leaves.
-            own = {"maxDepth": 0} if sizes[t] < 2 * least else {"minWeightFractionPerNode": max(whole.getMinWeightFractionPerNode(), (least - 0.5) / sizes[t])}
-            tree = make_learner("random_forest", 0, **{**params, "numTrees": 1, "bootstrap": False, "subsamplingRate": 1.0, "weightCol": f"draw_{t}", "minInstancesPerNode": 1,
-                                                       "maxBins": 1024, "featureSubsetStrategy": strategy, "seed": seed + t, "cacheNodeIds": False, **own})
-            return tree.fit(bags.select("features", "label", f"draw_{t}").where(F.col(f"draw_{t}") > 0))
-
-        drawn = [t for t in trees if sizes[t]]
-        if not drawn:
+        sizes = forest.bag_sizes(blocks, n_trees)
+        if not sizes.any():
             raise ValueError("no rows to fit a forest on")
-        with ThreadPoolExecutor(TREES_AT_ONCE) as ex:
-            fits = list(ex.map(one, drawn))
+        least = np.maximum(learner.getMinInstancesPerNode(), learner.getMinWeightFractionPerNode() * sizes.sum(1))
+        subset = forest.subset_size(learner.getFeatureSubsetStrategy(), len(cols), n_trees)
+        trees = forest.grow(blocks, sizes, subset, len(cols), max(map(len, buckets.getSplitsArray())), learner.getMaxDepth(), least, learner.getMinInfoGain(), kind, learner.getSeed())
     finally:
-        bags.unpersist()
-    return PipelineModel([buckets, assembler, _forest(whole, fits, len(FEATURE_SETS[feature_set]))])
-
-
-def _forest(learner: RandomForestClassifier, fits: list[RandomForestClassificationModel], n_features: int) -> RandomForestClassificationModel:
-    """One forest model of the trees of ``fits``."""
-    sc = SparkSession.active().sparkContext
-    package = sc._jvm.org.apache.spark.ml.classification
-    trees = sc._gateway.new_array(package.DecisionTreeClassificationModel, len(fits))
-    for i, m in enumerate(fits):
-        trees[i] = m.trees[0]._java_obj
-    own = package.RandomForestClassificationModel(learner.uid, trees, n_features, max(m.numClasses for m in fits))
-    model = RandomForestClassificationModel(own)
+        blocks.unpersist()
+    return PipelineModel([buckets, assembler, _forest(counted.sparkSession, learner, forest.nodes_table(trees, kind), len(trees), len(cols), sizes.shape[1])])
+
+
+def _forest(spark: SparkSession, learner: RandomForestClassifier, nodes: pa.Table, n_trees: int, n_features: int, classes: int) -> RandomForestClassificationModel:
+    """Spark's model of the nodes: a forest of roots, saved, gets them in their place and is read again."""
+    label = F.col("label").alias("label", metadata={"ml_attr": {"type": "nominal", "num_vals": classes}})
+    zeros = VectorAssembler(inputCols=["zero"] * n_features, outputCol="features").transform(spark.range(2).select(F.col("id").cast("double").alias("label"), F.lit(0.0).alias("zero")))
+    roots = RandomForestClassifier(numTrees=n_trees, maxDepth=0, bootstrap=False, seed=learner.getSeed()).fit(zeros.select("features", label))
+    path = scratch_path(spark, f"forest/{uuid.uuid4().hex}")
+    roots.write().session(spark).save(path)
+    spark.createDataFrame(nodes, forest.NODES).write.mode("overwrite").parquet(f"{path}/data")
+    model = RandomForestClassificationModel.load(path)
     model._resetUid(learner.uid)
     return learner._copyValues(model)
 

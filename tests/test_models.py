@@ -147,3 +147,30 @@ def test_forest_reads_counts_not_rows(spark):
     counted = spark.createDataFrame(rows, [*M.FEATURE_SETS["baseline"], "label", M.BIAS, "weight"])
     m = M.fit_forest(counted, "baseline", numTrees=4, featureSubsetStrategy="all")
     assert M.importances(m, "baseline")["p_score"] > 0.99
+
+
+def test_forest_runs_one_job_a_level_not_a_fit_a_tree(spark, ds):
+    def jobs_so_far(group):
+        spark.sparkContext.setJobGroup(group, group)
+        spark.sparkContext.parallelize([1], 1).count()
+        return max(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    counted, _, held = M.count_rows(M.complete_rows(ds["baseline_train"], "baseline"), "baseline")
+    before = jobs_so_far("before-forest")
+    m = M.fit_forest(counted, "baseline", numTrees=60)
+    assert jobs_so_far("after-forest") - before < 100 and m.stages[-1].getNumTrees == 60
+    held.unpersist()
+
+
+def test_tree_of_counted_rows_is_sparks_tree(spark, ds):
+    """Without bags and random features the one tree is that of Spark over single rows, and it survives saving."""
+    from pyspark.ml import Pipeline
+    cols, own = M.FEATURE_SETS["baseline"], {"numTrees": 1, "bootstrap": False, "featureSubsetStrategy": "all", "maxDepth": 5}
+    rows = M.complete_rows(ds["baseline_train"], "baseline")
+    counted, _, held = M.count_rows(rows, "baseline")
+    a = Pipeline(stages=[M._assembler("baseline", "random_forest"), M.make_learner("random_forest", 0, **own)]).fit(rows)
+    b = M.fit_forest(counted, "baseline", **own)
+    held.unpersist()
+    assert b.stages[-1].numFeatures == 4 and b.stages[-1].trees[0].depth == a.stages[-1].trees[0].depth
+    x = M.predict(a, ds["baseline_test"], "baseline").select(*cols, "score").distinct()
+    y = M.predict(b, ds["baseline_test"], "baseline").select(*cols, F.col("score").alias("other")).distinct()
+    assert x.join(y, cols).agg(F.avg(F.abs(F.col("score") - F.col("other")))).first()[0] < 1e-3
